@@ -3,15 +3,27 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.params import DEFAULT_PARAMS, RunParams
-from ledgerline.plans import metrics
+from ledgerline.plans import metrics, upserts
+from ledgerline.plans.stages import TPD_COLUMNS, Stages, stages_for
+from ledgerline.session import ensure_checkpoint_dir
 from ledgerline.sources.testdata import RetailModel
 
 QueryFn = Callable[[RetailModel, RunParams], DataFrame]
 
+
+def _st(fn: Callable[[Stages], DataFrame]) -> QueryFn:
+    def run(m: RetailModel, p: RunParams) -> DataFrame:
+        return fn(stages_for(m, p))
+    run.__name__ = getattr(fn, "__name__", "stage_query")
+    run.__doc__ = fn.__doc__
+    return run
+
+
 QUERIES: dict[str, QueryFn] = {
     "department_hierarchy": metrics.department_hierarchy,
     "employee_performance": metrics.employee_performance,
@@ -19,14 +31,46 @@ QUERIES: dict[str, QueryFn] = {
     "product_sales_metrics": metrics.product_sales_metrics,
     "regional_sales_summary": metrics.regional_sales_summary,
     "top_categories": metrics.top_categories,
+    "order_amount_in_top_categories": _st(lambda st: st.order_amount_in_top_categories()),
+    "customer_tier": _st(lambda st: st.customer_tier()),
+    "low_stock_orders": _st(lambda st: st.low_stock_orders()),
+    "uncancelled_orders": _st(lambda st: st.uncancelled_orders()),
+    "stage_processing_data": _st(lambda st: st.tpd1),
+    "optional_filter": _st(lambda st: stages_for(st.m, replace(st.p, department_id=103)).tpd1),
+    "reprice_with_discounts": _st(lambda st: st.tpd2.select(*TPD_COLUMNS[:5], "Amount")),
+    "customer_value_status": _st(lambda st: st.tpd2.select(*TPD_COLUMNS[:5], "Status")),
+    "customer_order_summary_merge": _st(lambda st: upserts.customer_order_summary_merge(st)[0]),
+    "merge_changes": _st(lambda st: upserts.customer_order_summary_merge(st)[1]),
+    "purge_processed_queue": _st(lambda st: upserts.purge_processed_queue(st)),
+    "sales_performance_report": _st(lambda st: st.sales_performance_report()),
+    "aggregated_department_employee": _st(lambda st: st.aggregated_department_employee()),
+    "validate_amount": _st(lambda st: st.validate_amount()),
+    "validate_customer": _st(lambda st: st.validate_customer()),
+    "finalize_status": _st(lambda st: st.finalize_status()),
+    "execution_log": _st(lambda st: st.execution_log()),
+    "processing_summary": _st(lambda st: st.processing_summary()),
+    "department_summary": _st(lambda st: st.department_summary()),
+    "validation_summary": _st(lambda st: st.validation_summary()),
+    "similar_order_count": _st(lambda st: st.similar_order_count()),
+    "regional_category_average": _st(lambda st: st.regional_category_average()),
+    "employee_ranking": _st(lambda st: st.employee_ranking),
+    "customer_segmentation": _st(lambda st: st.customer_segmentation),
+    "reclassify_status": _st(lambda st: st.reclassify_status()),
+    "customer_segment_analysis": _st(lambda st: st.customer_segment_analysis()),
     "department_budget_tree": metrics.department_budget_tree,
     "department_performance_metrics": metrics.department_performance_metrics,
+    "department_performance_report": _st(lambda st: st.department_performance_report()),
+    "repair_order_dates": _st(lambda st: st.repair_order_dates()),
+    "process_statistics": _st(lambda st: st.process_statistics()),
+    "regions_cross_count": _st(lambda st: st.regions_cross_count()),
+    "merge_update_only": _st(lambda st: upserts.merge_update_only(st)),
 }
 
 
 def bind(fn: QueryFn, params: RunParams = DEFAULT_PARAMS) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ensure_checkpoint_dir(spark)
         return fn(RetailModel(spark, sf_dir), params)
-    run.__name__ = fn.__name__
+    run.__name__ = getattr(fn, "__name__", "query")
     run.__doc__ = fn.__doc__
     return run

@@ -236,7 +236,7 @@ class RetailModel:
         agg = lines.groupBy("CustomerId", "DepartmentId").agg(
             F.count_distinct("OrderId").alias("OrderCount"),
             F.sum(net).cast("decimal(18,2)").alias("TotalAmount"),
-            F.avg(net).cast("decimal(18,2)").alias("AvgAmount"),
+            F.avg(net).cast("decimal(18,6)").alias("AvgAmount"),
             F.min("OrderDate").alias("FirstProcessDate"),
             F.count_distinct("ProductId").alias("ProductCount"),
             F.count_distinct("SalesPersonId").alias("EmployeeCount"),
