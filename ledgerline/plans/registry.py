@@ -8,7 +8,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.params import DEFAULT_PARAMS, RunParams
-from ledgerline.plans import metrics, upserts
+from ledgerline.plans import adhoc, metrics, pipeline, upserts
 from ledgerline.plans.stages import TPD_COLUMNS, Stages, stages_for
 from ledgerline.session import ensure_checkpoint_dir
 from ledgerline.sources.testdata import RetailModel
@@ -64,6 +64,12 @@ QUERIES: dict[str, QueryFn] = {
     "process_statistics": _st(lambda st: st.process_statistics()),
     "regions_cross_count": _st(lambda st: st.regions_cross_count()),
     "merge_update_only": _st(lambda st: upserts.merge_update_only(st)),
+    "nested_topn_amount": _st(lambda st: adhoc.nested_topn_amount(
+        st.m.orders, st.m.order_details, st.m.products, st.m.categories,
+        st.m.categories, st.m.products, st.m.order_details)),
+    "filtered_product_join": _st(adhoc.filtered_product_join),
+    "left_join_extra_on": _st(adhoc.left_join_extra_on),
+    "run_pipeline": pipeline.run_pipeline,
 }
 
 
