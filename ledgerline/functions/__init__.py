@@ -1,0 +1 @@
+"""Column expressions (native Spark functions only)."""

@@ -1,0 +1 @@
+"""Reusable DataFrame operators: relational helpers, DML, recursion, exact quantiles."""

@@ -62,3 +62,34 @@ def with_row_id(df: DataFrame, col: str = "Id") -> DataFrame:
 def first_match_scalar(df: DataFrame, agg: Column, alias: str) -> Column:
     """A one-row aggregate of ``df`` as a scalar-subquery Column (broadcast once)."""
     return df.select(agg.alias(alias)).scalar()
+
+
+def row_number_by_range(df: DataFrame, keys: Sequence[str], order: Sequence[Column], col: str = "rn",
+                        partitions: int | None = None) -> DataFrame:
+    """`ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order)` for few, possibly huge, key groups.
+
+    A plain window sorts each key group in one task, so one department holding
+    a third of the rows would be one task.  Here the rows are range-partitioned
+    on (keys, order), which spreads a big group over many partitions; each
+    row's position inside its partition comes from ``monotonically_increasing_id``
+    taken right after the per-partition sort, and the rows of the same key in
+    earlier partitions are added from a small (partition, key) count table.
+    ``order`` must make the order total (end with a unique column).  The count
+    table has at most partitions x keys rows, so it is broadcast only for
+    low-cardinality keys — the case this operator is for.
+    """
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sort_cols = [F.col(k).asc_nulls_first() for k in keys] + list(order)
+    s = (df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
+         .withColumn("__pid", F.spark_partition_id())
+         .withColumn("__mid", F.monotonically_increasing_id()))
+    stats = s.groupBy("__pid", *keys).agg(F.min("__mid").alias("__first"), F.count(F.lit(1)).alias("__cnt"))
+    w = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = stats.select(F.col("__pid").alias("__opid"),
+                           *[F.col(k).alias(f"__ok{i}") for i, k in enumerate(keys)], "__first",
+                           F.coalesce(F.sum("__cnt").over(w), F.lit(0)).alias("__before"))
+    on = [F.col("__pid") == F.col("__opid")] + [F.col(k).eqNullSafe(F.col(f"__ok{i}")) for i, k in enumerate(keys)]
+    j = s.join(F.broadcast(offsets), on, "inner")
+    rn = (F.col("__mid") - F.col("__first") + 1 + F.col("__before")).cast("int")
+    return j.select(*df.columns, rn.alias(col))

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.exprs import (add_days, count_when, gross_amount, lit_ts, net_amount,
                                         optional_eq, percent_factor, tier)
 from ledgerline.operators.quantile import percentile_cont
-from ledgerline.operators.relational import append_if_absent, top_n_per_key
+from ledgerline.operators.relational import append_if_absent, row_number_by_range, top_n_per_key
 from ledgerline.params import DEFAULT_PARAMS, RunParams
 from ledgerline.plans import metrics
 from ledgerline.sources.testdata import RetailModel
@@ -375,6 +375,10 @@ class Stages:
 
     # ------------------------------------------------------------ Q17 stage 6
     def aggregated_department_employee(self) -> DataFrame:
+        return self.temp_aggregated_data
+
+    @cached_property
+    def temp_aggregated_data(self) -> DataFrame:
         """Q17: #TempAggregatedData — totals per (department, employee) above the median.
 
         Rows of customers in a region whose TotalSales beats the regional
@@ -405,17 +409,17 @@ class Stages:
             F.sum("n").alias("n"),
             F.sum(F.when(F.col("Amount").isNotNull(), F.col("n"))).alias("n_amount"),
             F.max("Amount").alias("MaxAmount"), F.min("Amount").alias("MinAmount"))
-        median_src = t.groupBy("DepartmentId", "EmployeeId").agg(F.sum("Amount").alias("tot"))
+        median_src = self.tpd2.groupBy("DepartmentId", "EmployeeId").agg(F.sum("Amount").alias("tot"))
         median = percentile_cont(median_src, "tot", 0.5)
         g = g.filter(F.col("s").cast("double") > F.lit(median).cast("double"))
-        return g.select(
+        return self._keep(g.select(
             F.col("EmpDepartmentId").alias("DepartmentId"), "EmployeeId",
             F.col("s").cast("decimal(18,2)").alias("TotalAmount"),
             F.col("n").cast("int").alias("RecordCount"),
             (F.col("s").cast("decimal(24,2)") / F.nullif(F.col("n_amount"), F.lit(0)).cast("decimal(20,0)"))
             .cast("decimal(18,2)").alias("AverageAmount"),
             F.col("MaxAmount").cast("decimal(18,2)").alias("MaxAmount"),
-            F.col("MinAmount").cast("decimal(18,2)").alias("MinAmount"))
+            F.col("MinAmount").cast("decimal(18,2)").alias("MinAmount")))
 
     # ------------------------------------------------------------ Q18-Q20 stages 7-8
     def _with_validations(self, tpd: DataFrame) -> DataFrame:
@@ -634,11 +638,12 @@ class Stages:
                      .agg(F.sum("recent_cat_sales").alias("TopCategorySales"),
                           F.sum("recent_cat_lines").alias("top_lines")))
         j = e.join(recent, "EmployeeId", "left").join(top_sales, "EmployeeId", "left")
-        w = Window.partitionBy("DepartmentId").orderBy(F.col("recent_sales").desc_nulls_last(),
-                                                       F.col("EmployeeId").asc())
-        return self._keep(j.select(
-            "EmployeeId", "DepartmentId", "EmployeeName",
-            F.row_number().over(w).alias("SalesRank"),
+        # few departments, possibly huge ones: a distributed row number instead of one sort per department
+        ranked = row_number_by_range(j, ["DepartmentId"],
+                                     [F.col("recent_sales").desc_nulls_last(), F.col("EmployeeId").asc()],
+                                     col="SalesRank")
+        return self._keep(ranked.select(
+            "EmployeeId", "DepartmentId", "EmployeeName", "SalesRank",
             F.when(F.col("top_lines") > 0, F.col("TopCategorySales")).cast("decimal(38,4)")
             .alias("TopCategorySales")))
 

@@ -53,10 +53,22 @@ def summary_merge_spec(st: Stages) -> MergeSpec:
 
 def customer_order_summary_merge(st: Stages, target: DataFrame | None = None,
                                  tpd: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Q14: upsert the monthly summary from the unprocessed staging rows; (after-image, change feed)."""
+    """Q14: upsert the monthly summary from the unprocessed staging rows; (after-image, change feed).
+
+    With the default inputs the result is computed once per run and both
+    outputs are materialized (they are the run's new table version and its
+    #TempMergeResults).
+    """
+    default = target is None and tpd is None
+    if default and getattr(st, "_summary_merge", None) is not None:
+        return st._summary_merge
     target = target if target is not None else st.m.customer_order_summary(st.p)
     source = st.merge_source(tpd if tpd is not None else st.tpd2)
-    return merge(target, source, summary_merge_spec(st))
+    new_target, changes = merge(target, source, summary_merge_spec(st))
+    if default and st.keep:
+        st._summary_merge = (st._keep(new_target), st._keep(changes))
+        return st._summary_merge
+    return new_target, changes
 
 
 def purge_processed_queue(st: Stages, queue: DataFrame | None = None,

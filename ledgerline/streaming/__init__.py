@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The procedure this library rebuilds is a batch job: no stream sources,
+watermarks, windows over event time or stateful operators occur in it (its
+processing queue is an ordinary table, handled by the batch DELETE in
+``ledgerline.plans.upserts.purge_processed_queue``).  Nothing is built here.
+"""
