@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 
 
 def lit_ts(value: datetime) -> Column:
-    """A run parameter as a TIMESTAMP_NTZ literal (inputs are NTZ)."""
-    return F.lit(value).cast("timestamp_ntz")
+    """A run parameter as a TIMESTAMP_NTZ literal (inputs are NTZ).
+
+    Built from text, so the session time zone cannot shift it.
+    """
+    return F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
 
 
 def gross_amount(prefix: str = "") -> Column:

@@ -48,11 +48,14 @@ def check_unique_source(source: DataFrame, keys: Sequence[str]) -> None:
 
 
 def merge(target: DataFrame, source: DataFrame, spec: MergeSpec,
-          check_duplicates: bool = True) -> tuple[DataFrame, DataFrame]:
+          check_duplicates: bool = True, scope_only: bool = False) -> tuple[DataFrame, DataFrame]:
     """Apply a MERGE; return (new target, change feed).
 
     The change feed has ActionType ('INSERT' / 'UPDATE' / 'DELETE') and, per
-    name in ``spec.change_columns``, ``New<name>`` and ``Old<name>``.
+    name in ``spec.change_columns``, ``New<name>`` and ``Old<name>``.  With
+    ``scope_only`` the new target holds only the rows of ``spec.target_scope``
+    (plus inserts): the part to write back with ``overwrite_partitions`` when
+    the scope is a set of partitions.
     """
     keys = list(spec.on)
     if check_duplicates:
@@ -92,8 +95,11 @@ def merge(target: DataFrame, source: DataFrame, spec: MergeSpec,
 
     kept = j.filter((F.col("__action").isNull() & has_t) | F.col("__action").isin("UPDATE", "INSERT"))
     new_in_scope = kept.select(*[new_value(c) for c in cols])
-    untouched = out_scope.select(*[F.col(f"t__{c}").alias(c) for c in cols])
-    new_target = new_in_scope.unionByName(untouched)
+    if scope_only:
+        new_target = new_in_scope
+    else:
+        untouched = out_scope.select(*[F.col(f"t__{c}").alias(c) for c in cols])
+        new_target = new_in_scope.unionByName(untouched)
 
     changed = j.filter(F.col("__action").isNotNull())
     feed_cols = [F.col("__action").alias("ActionType")]
@@ -137,3 +143,18 @@ def write_snapshot(df: DataFrame, base_path: str, version: int, partition_by: Se
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return path
+
+
+def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    """Replace only the partitions present in ``df`` of the table at ``path`` (dynamic overwrite).
+
+    Used after a MERGE whose scope is one partition (a month): the other
+    partitions are neither read nor rewritten.
+    """
+    spark = df.sparkSession
+    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)

@@ -24,7 +24,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.operators.dml import write_snapshot
+from ledgerline.functions.exprs import lit_ts
+from ledgerline.operators.dml import merge, overwrite_partitions, write_snapshot
 from ledgerline.params import RunParams
 from ledgerline.plans import upserts
 from ledgerline.plans.stages import stages_for
@@ -50,7 +51,14 @@ def _append_if_absent(spark: SparkSession, rows: DataFrame, path: str, keys: lis
 
 
 def run_pipeline(m: RetailModel, params: RunParams, out_dir: str | None = None,
-                 debug: bool = False) -> DataFrame:
+                 debug: bool = False, summary_path: str | None = None) -> DataFrame:
+    """Run stages 1-14 and return the run summary row.
+
+    ``summary_path``: a partitioned (ProcessYear, ProcessMonth) CustomerOrderSummary
+    table kept across runs.  When it exists, the merge reads it, and only the
+    run month's partition is rewritten (dynamic partition overwrite); otherwise
+    the merged table is written there (or under ``out_dir``) in full.
+    """
     spark = m.spark
     started = datetime.now().replace(microsecond=0)
     base = (out_dir or f"{ensure_checkpoint_dir(spark)}/ledgerline-runs/{params.run_id}-{uuid.uuid4().hex[:8]}")
@@ -61,8 +69,15 @@ def run_pipeline(m: RetailModel, params: RunParams, out_dir: str | None = None,
         # 2 re-price and value status
         tpd2 = st.tpd2
         # 3 summary merge + change feed
-        summary, changes = upserts.customer_order_summary_merge(st, tpd=tpd2)
-        write_snapshot(summary, f"{base}/CustomerOrderSummary", 1, partition_by=["ProcessYear", "ProcessMonth"])
+        months = ["ProcessYear", "ProcessMonth"]
+        if summary_path and _exists(spark, summary_path):
+            stored = spark.read.parquet(summary_path)
+            scoped, changes = merge(stored, st.merge_source(tpd2), upserts.summary_merge_spec(st), scope_only=True)
+            changes = changes.checkpoint()
+            overwrite_partitions(scoped.checkpoint(), summary_path, months)  # checkpoint: never read what we overwrite
+        else:
+            summary, changes = upserts.customer_order_summary_merge(st, tpd=tpd2)
+            summary.write.partitionBy(*months).parquet(summary_path or f"{base}/CustomerOrderSummary")
         changes.write.parquet(f"{base}/TempMergeResults")
         # 4 queue purge: needs IsProcessed = 1, which stage 8 sets later (so nothing goes in one run)
         queue = upserts.purge_processed_queue(st, tpd=tpd2)
@@ -77,8 +92,8 @@ def run_pipeline(m: RetailModel, params: RunParams, out_dir: str | None = None,
         # 8 finalise (checkpointed inside)
         st.tpd3
         # 9 execution log
-        log = st.execution_log().withColumn("StartTime", F.lit(started).cast("timestamp_ntz")) \
-            .withColumn("EndTime", F.current_timestamp().cast("timestamp_ntz"))
+        log = st.execution_log().withColumn("StartTime", lit_ts(started)) \
+            .withColumn("EndTime", F.localtimestamp())
         log.write.mode("append").parquet(f"{base}/ProcessExecutionLog")
         # 10 debug result sets
         if debug:

@@ -19,6 +19,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.functions.exprs import lit_ts
 from ledgerline.params import RunParams
 
 # Fixed values of the mapping (kept equal to the DuckDB side).
@@ -241,8 +242,8 @@ class RetailModel:
             F.count_distinct("ProductId").alias("ProductCount"),
             F.count_distinct("SalesPersonId").alias("EmployeeCount"),
         )
-        cur = F.lit(params.current_ts).cast("timestamp_ntz")
-        old = F.lit(params.days_before(100)).cast("timestamp_ntz")
+        cur = lit_ts(params.current_ts)
+        old = lit_ts(params.days_before(100))
         is_old = F.col("CustomerId") % 3 == 1
         base = agg.select(
             "CustomerId", "DepartmentId",

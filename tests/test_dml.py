@@ -83,3 +83,20 @@ def test_delete_plus_kept_is_all(spark):
     kept = delete(target, doomed, ["k"])
     assert kept.count() + doomed.count() == 100
     assert kept.join(doomed, "k").count() == 0
+
+
+def test_scope_only_merge_and_partition_overwrite(spark, scratch):
+    import os
+    from ledgerline.operators.dml import overwrite_partitions
+    path = os.path.join(scratch, "summary_parts")
+    target = spark.createDataFrame([(1, 6, 1), (1, 7, 10), (2, 7, 20)], "k int, month int, v int")
+    target.write.partitionBy("month").parquet(path)
+    stored = spark.read.parquet(path).select("k", "month", "v")
+    source = spark.createDataFrame([(1, 11), (3, 30)], "k int, v int")
+    spec = MergeSpec(on=["k"], target_scope=t("month") == 7, matched_set={"v": s("v")},
+                     insert_values={"k": s("k"), "month": F.lit(7), "v": s("v")})
+    scoped, _ = merge(stored, source, spec, scope_only=True)
+    assert sorted(map(tuple, scoped.collect())) == [(1, 7, 11), (2, 7, 20), (3, 7, 30)]
+    overwrite_partitions(scoped.checkpoint(), path, ["month"])  # cut the read of the same path
+    after = sorted(map(tuple, spark.read.parquet(path).select("k", "month", "v").collect()))
+    assert after == [(1, 6, 1), (1, 7, 11), (2, 7, 20), (3, 7, 30)]
