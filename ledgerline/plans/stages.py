@@ -102,9 +102,13 @@ class Stages:
 
     @cached_property
     def recent_lines(self) -> DataFrame:
-        """Order lines of recent orders, with the order's customer and salesperson."""
+        """Order lines of recent orders, with the order's customer and salesperson.
+
+        Read by about eight stage queries; stored once per run instead of
+        re-joining lines and orders each time.
+        """
         o = self.recent_orders.select("OrderId", "CustomerId", "SalesPersonId", "OrderDate")
-        return self.m.order_details.join(o, "OrderId", "inner")
+        return self._keep(self.m.order_details.join(o, "OrderId", "inner"))
 
     @cached_property
     def dept_tree(self) -> DataFrame:
@@ -299,6 +303,11 @@ class Stages:
         return self._keep(upd.unionByName(rest.select(*TPD_COLUMNS)))
 
     # ------------------------------------------------------------ Q14 stage 3
+    @cached_property
+    def summary_table(self) -> DataFrame:
+        """CustomerOrderSummary as it is before this run (read once per run)."""
+        return self._keep(self.m.customer_order_summary(self.p))
+
     def merge_source(self, tpd: DataFrame) -> DataFrame:
         """Per (customer, department) summary of unprocessed staging rows."""
         t = tpd.filter(F.col("IsProcessed") == 0)

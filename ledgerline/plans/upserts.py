@@ -62,7 +62,7 @@ def customer_order_summary_merge(st: Stages, target: DataFrame | None = None,
     default = target is None and tpd is None
     if default and getattr(st, "_summary_merge", None) is not None:
         return st._summary_merge
-    target = target if target is not None else st.m.customer_order_summary(st.p)
+    target = target if target is not None else st.summary_table
     source = st.merge_source(tpd if tpd is not None else st.tpd2)
     new_target, changes = merge(target, source, summary_merge_spec(st))
     if default and st.keep:
@@ -118,7 +118,7 @@ def merge_update_only(st: Stages, target: DataFrame | None = None,
     Default source: the current month of the summary after the stage-3 merge
     (one row per key, as MERGE requires).
     """
-    target = target if target is not None else st.m.customer_order_summary(st.p)
+    target = target if target is not None else st.summary_table
     if source is None:
         after, _ = customer_order_summary_merge(st)
         source = after.filter((F.col("ProcessYear") == st.p.process_year)

@@ -227,21 +227,30 @@ class RetailModel:
         unmatched ones are deleted by the merge; a second copy of them sits in
         the previous month and must stay untouched.
         """
-        o = self.orders.select("OrderId", "CustomerId", "SalesPersonId", "OrderDate")
-        e = self.employees.select("EmployeeId", "DepartmentId")
+        o = (self.orders.select("OrderId", "CustomerId", "SalesPersonId", "OrderDate")
+             .filter(F.col("CustomerId") % 3 != 2))
+        e = self.employees.select(F.col("EmployeeId").alias("SalesPersonId"), "DepartmentId")
         od = self.order_details
-        lines = (o.filter(F.col("CustomerId") % 3 != 2)
-                 .join(e, o.SalesPersonId == e.EmployeeId, "inner")
-                 .join(od.select("OrderId", "ProductId", "Quantity", "UnitPrice", "Discount"), "OrderId", "inner"))
         net = F.col("Quantity") * F.col("UnitPrice") * (1 - F.col("Discount"))
-        agg = lines.groupBy("CustomerId", "DepartmentId").agg(
-            F.count_distinct("OrderId").alias("OrderCount"),
-            F.sum(net).cast("decimal(18,2)").alias("TotalAmount"),
-            F.avg(net).cast("decimal(18,6)").alias("AvgAmount"),
+        # one row per order first (lines combined map-side), then per (customer, department);
+        # orders are unique, so distinct order and salesperson counts need no Expand over lines
+        per_order = od.groupBy("OrderId").agg(F.sum(net).alias("s"), F.count(F.lit(1)).alias("n"))
+        orders = o.join(e, "SalesPersonId", "inner")
+        head = orders.join(per_order, "OrderId", "inner").groupBy("CustomerId", "DepartmentId").agg(
+            F.count(F.lit(1)).alias("OrderCount"),
+            F.sum("s").alias("s"), F.sum("n").alias("n"),
             F.min("OrderDate").alias("FirstProcessDate"),
-            F.count_distinct("ProductId").alias("ProductCount"),
-            F.count_distinct("SalesPersonId").alias("EmployeeCount"),
-        )
+            F.count_distinct("SalesPersonId").alias("EmployeeCount"))
+        products = (od.select("OrderId", "ProductId")
+                    .join(orders.select("OrderId", "CustomerId", "DepartmentId"), "OrderId", "inner")
+                    .select("CustomerId", "DepartmentId", "ProductId").distinct()
+                    .groupBy("CustomerId", "DepartmentId").agg(F.count(F.lit(1)).alias("ProductCount")))
+        avg = (F.col("s").cast("decimal(26,4)") / F.col("n").cast("decimal(20,0)")).cast("decimal(38,8)")
+        agg = head.join(products, ["CustomerId", "DepartmentId"], "inner").select(
+            "CustomerId", "DepartmentId", "OrderCount",
+            F.col("s").cast("decimal(18,2)").alias("TotalAmount"),
+            avg.cast("decimal(18,6)").alias("AvgAmount"),
+            "FirstProcessDate", "ProductCount", "EmployeeCount")
         cur = lit_ts(params.current_ts)
         old = lit_ts(params.days_before(100))
         is_old = F.col("CustomerId") % 3 == 1
@@ -285,6 +294,33 @@ class CatalogModel(RetailModel):
         return self.spark.table(f"{self.database}.CustomerOrderSummary")
 
 
+# Main join key of each table: tables sharing a key are bucketed alike, so
+# their joins (orders with lines, queue, cancellations) need no shuffle.
+BUCKET_KEYS = {
+    "orders": "OrderId", "order_details": "OrderId", "order_processing_queue": "OrderId",
+    "order_cancellations": "OrderId", "customers": "CustomerId", "discounts": "CustomerId",
+    "products": "ProductId",
+}
+
+
+def publish_tables(model: RetailModel, database: str, buckets: int, mode: str = "overwrite") -> None:
+    """Write the retail tables into ``database`` for ``CatalogModel``.
+
+    Fact tables are bucketed (and sorted) by their main join key with the same
+    bucket count, so Orders ⋈ OrderDetails and the other OrderId joins run as
+    sort-merge joins without an exchange; dimensions are written plain.
+    """
+    spark = model.spark
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    for attr, table in CatalogModel.TABLES.items():
+        df = getattr(model, attr)
+        writer = df.write.mode(mode)
+        key = BUCKET_KEYS.get(attr)
+        if key:
+            writer = writer.bucketBy(buckets, key).sortBy(key)
+        writer.saveAsTable(f"{database}.{table}")
+
+
 class FrameModel(RetailModel):
     """The same interface over DataFrames given by name (tests, notebooks)."""
 

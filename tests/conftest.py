@@ -15,6 +15,7 @@ def spark():
              .config("spark.ui.enabled", "false")
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.driver.memory", "4g")
+             .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="ledgerline-wh-"))
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     from ledgerline.session import ensure_checkpoint_dir
