@@ -37,9 +37,16 @@ SUMMARY_SCHEMA = ("ProcessId string, StartTime timestamp_ntz, EndTime timestamp_
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+    try:
+        jvm = spark._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+    except Exception:  # noqa: BLE001 - no JVM handle (Spark Connect): probe by reading
+        try:
+            spark.read.parquet(path).limit(0).collect()
+            return True
+        except Exception:  # noqa: BLE001
+            return False
 
 
 def _append_if_absent(spark: SparkSession, rows: DataFrame, path: str, keys: list[str]) -> None:

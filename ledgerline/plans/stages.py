@@ -32,6 +32,7 @@ from ledgerline.operators.quantile import percentile_cont
 from ledgerline.operators.relational import append_if_absent, row_number_by_range, top_n_per_key
 from ledgerline.params import DEFAULT_PARAMS, RunParams
 from ledgerline.plans import metrics
+from ledgerline.session import session_key
 from ledgerline.sources.testdata import RetailModel
 
 TPD_KEYS = ["CustomerId", "OrderId", "ProductId", "EmployeeId", "DepartmentId"]
@@ -71,7 +72,7 @@ _RUNS: dict[tuple, "Stages"] = {}
 
 def stages_for(m: RetailModel, params: RunParams = DEFAULT_PARAMS) -> "Stages":
     """One ``Stages`` per (application, input folder, parameters): queries of a run share its tables."""
-    key = (m.spark.sparkContext.applicationId, m.sf_dir, params)
+    key = (session_key(m.spark), m.sf_dir, params)
     st = _RUNS.get(key)
     if st is None:
         st = _RUNS[key] = Stages(m, params, keep=True)

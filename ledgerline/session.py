@@ -54,7 +54,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     A cluster names a shared folder (HDFS/S3/...) there.  Local runs and tests
     have none, so we take a fresh folder under the system temp dir.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server's spark.checkpoint.dir applies
+        return spark.conf.get("spark.checkpoint.dir", "") or ""
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -64,3 +67,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         os.makedirs(configured, exist_ok=True)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def session_key(spark: SparkSession) -> str:
+    """Identifies the running application (classic or Connect session)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001
+        return spark.conf.get("spark.app.id", None) or str(id(spark))
