@@ -81,9 +81,12 @@ def row_number_by_range(df: DataFrame, keys: Sequence[str], order: Sequence[Colu
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sort_cols = [F.col(k).asc_nulls_first() for k in keys] + list(order)
+    # stored once: the counts and the join below must see the very same
+    # partition layout (range bounds come from a sample of the input)
     s = (df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
          .withColumn("__pid", F.spark_partition_id())
-         .withColumn("__mid", F.monotonically_increasing_id()))
+         .withColumn("__mid", F.monotonically_increasing_id())
+         .checkpoint(eager=True))
     stats = s.groupBy("__pid", *keys).agg(F.min("__mid").alias("__first"), F.count(F.lit(1)).alias("__cnt"))
     w = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = stats.select(F.col("__pid").alias("__opid"),
