@@ -31,16 +31,6 @@ def net_unit_price(prefix: str = "") -> Column:
     return F.col(f"{prefix}UnitPrice") * (1 - F.col(f"{prefix}Discount"))
 
 
-def money_sum(col: Column) -> Column:
-    """SUM of a money expression, exact, as DECIMAL(38,4)."""
-    return F.sum(col).cast("decimal(38,4)")
-
-
-def money_avg(col: Column, scale: int = 4) -> Column:
-    """AVG of a DECIMAL(.., scale) expression: exact, rounded half-up at scale+4."""
-    return F.avg(col).cast(f"decimal(38,{scale + 4})")
-
-
 def optional_eq(col: str | Column, value) -> Column:
     """`ISNULL(@p, col) = col`: a filter only when the parameter is set.
 

@@ -59,11 +59,6 @@ def with_row_id(df: DataFrame, col: str = "Id") -> DataFrame:
     return df.withColumn(col, F.monotonically_increasing_id()).checkpoint(eager=True)
 
 
-def first_match_scalar(df: DataFrame, agg: Column, alias: str) -> Column:
-    """A one-row aggregate of ``df`` as a scalar-subquery Column (broadcast once)."""
-    return df.select(agg.alias(alias)).scalar()
-
-
 def row_number_by_range(df: DataFrame, keys: Sequence[str], order: Sequence[Column], col: str = "rn",
                         partitions: int | None = None) -> DataFrame:
     """`ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order)` for few, possibly huge, key groups.

@@ -15,8 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.exprs import (datediff_days, gross_amount, lit_ts, money_sum,
-                                        net_amount, net_unit_price)
+from ledgerline.functions.exprs import datediff_days, gross_amount, lit_ts, net_amount, net_unit_price
 from ledgerline.operators.hierarchy import cumulative_down, tree_paths
 from ledgerline.params import DEFAULT_PARAMS, RunParams
 from ledgerline.sources.testdata import RetailModel

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.exprs import lit_ts
 from ledgerline.operators.dml import merge, overwrite_partitions, write_snapshot
+from ledgerline.operators.relational import with_row_id
 from ledgerline.params import RunParams
 from ledgerline.plans import upserts
 from ledgerline.plans.stages import stages_for
@@ -116,6 +117,8 @@ def run_pipeline(m: RetailModel, params: RunParams, out_dir: str | None = None,
                           ["ReportDate", "DepartmentId"])
         # 13 order date repair
         write_snapshot(st.repair_order_dates(st.tpd4), f"{base}/Orders", 1)
+        # the staging table as the procedure leaves it, with its IDENTITY-style ids
+        with_row_id(st.tpd4).write.parquet(f"{base}/TempProcessingData")
         # 14 statistics
         elapsed = int((datetime.now() - started).total_seconds())
         st.process_statistics().withColumn("ProcessingTimeSeconds", F.lit(elapsed).cast("long")) \

@@ -23,11 +23,11 @@ from __future__ import annotations
 from decimal import Decimal
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.exprs import (add_days, count_when, gross_amount, lit_ts, net_amount,
-                                        optional_eq, percent_factor, tier)
+from ledgerline.functions.exprs import (add_days, count_when, lit_ts, net_amount, optional_eq,
+                                        percent_factor, tier)
 from ledgerline.operators.quantile import percentile_cont
 from ledgerline.operators.relational import append_if_absent, row_number_by_range, top_n_per_key
 from ledgerline.params import DEFAULT_PARAMS, RunParams

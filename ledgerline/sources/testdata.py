@@ -333,7 +333,3 @@ class FrameModel(RetailModel):
 
     def customer_order_summary(self, params: RunParams) -> DataFrame:  # noqa: ARG002
         return self.__dict__["customer_order_summary"]
-
-
-def load_model(spark: SparkSession, sf_dir: str) -> RetailModel:
-    return RetailModel(spark, sf_dir)
