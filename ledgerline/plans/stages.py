@@ -113,8 +113,9 @@ class Stages:
 
     @cached_property
     def dept_tree(self) -> DataFrame:
-        """DepartmentIds reachable from a root (bounded dimension)."""
-        return metrics.department_hierarchy(self.m, self.p).select("DepartmentId")
+        """DepartmentIds reachable from a root (bounded dimension), stored once per run
+        so the recursion is not re-run inside every query that filters on it."""
+        return self._keep(metrics.department_hierarchy(self.m, self.p).select("DepartmentId"))
 
     @cached_property
     def category_avg_stock(self) -> DataFrame:
@@ -351,24 +352,24 @@ class Stages:
         prod = (m.products.select("ProductId", "CategoryId", "SupplierId")
                 .join(F.broadcast(m.categories.select("CategoryId")), "CategoryId", "left_semi")
                 .join(m.suppliers, "SupplierId", "left_semi"))
-        lines = (m.order_details.join(mult.select("OrderId").distinct(), "OrderId", "left_semi")
-                 .join(prod, "ProductId", "inner"))
-        per_order = lines.groupBy("OrderId").agg(F.sum(net_amount()).alias("s"), F.count(F.lit(1)).alias("n"))
-        sums = (mult.join(per_order, "OrderId", "inner").groupBy(*keys).agg(
-            F.count("OrderId").alias("OrderCount"),
-            F.sum(F.col("s") * F.col("mult")).alias("s"),
-            F.sum(F.col("n") * F.col("mult")).alias("n")))
-        dims = (mult.select(*keys, "OrderId").join(lines.select("OrderId", "ProductId", "CategoryId", "SupplierId"),
-                                                    "OrderId", "inner")
-                .groupBy(*keys).agg(F.count_distinct("ProductId").alias("ProductCount"),
-                                    F.count_distinct("CategoryId").alias("CategoryCount"),
-                                    F.count_distinct("SupplierId").alias("SupplierCount")))
+        # each line of a staged order, once per (report key, order), weighted by the
+        # number of staging rows of that order: one aggregate gives sums and distinct counts
+        lines = (m.order_details.join(mult.select("OrderId"), "OrderId", "left_semi")
+                 .join(prod, "ProductId", "inner")
+                 .join(mult, "OrderId", "inner"))
+        agg = lines.groupBy(*keys).agg(
+            F.count_distinct("OrderId").alias("OrderCount"),
+            F.sum(net_amount() * F.col("mult")).alias("s"),
+            F.sum("mult").alias("n"),
+            F.count_distinct("ProductId").alias("ProductCount"),
+            F.count_distinct("CategoryId").alias("CategoryCount"),
+            F.count_distinct("SupplierId").alias("SupplierCount"))
         per_pair = (self.recent_lines.groupBy("SalesPersonId", "CustomerId")
                     .agg(F.sum(net_amount()).alias("pair_sales")))
         p90 = percentile_cont(per_pair, "pair_sales", 0.9)
         mean = per_pair.select(F.avg("pair_sales").alias("m")).scalar()
         total = F.col("s").cast("decimal(38,4)")
-        out = sums.join(dims, keys, "inner").select(
+        out = agg.select(
             self.cur.alias("ReportDate"),
             F.col("EmpDepartmentId").alias("DepartmentId"), "EmployeeId", "CustomerId",
             "OrderCount", total.alias("TotalSales"),
@@ -742,34 +743,47 @@ class Stages:
         return out
 
     # ------------------------------------------------------------ Q34 stage 13
+    def order_line_flags(self, orders: DataFrame | None = None) -> DataFrame:
+        """Per order, from one pass over its lines: has_valid_line (a product whose
+        category exists), has_discontinued (a discontinued product)."""
+        m = self.m
+        cats = F.broadcast(m.categories.select("CategoryId").withColumn("cat_ok", F.lit(1)))  # bounded
+        prod = (m.products.select("ProductId", "CategoryId", "Discontinued")
+                .join(cats, "CategoryId", "left")
+                .select("ProductId", F.coalesce(F.col("cat_ok"), F.lit(0)).alias("valid"),
+                        F.when(F.col("Discontinued") == 1, 1).otherwise(0).alias("disc")))
+        lines = m.order_details.select("OrderId", "ProductId")
+        if orders is not None:
+            lines = lines.join(orders.select("OrderId"), "OrderId", "left_semi")
+        return (lines.join(prod, "ProductId", "inner").groupBy("OrderId")
+                .agg((F.max("valid") == 1).alias("has_valid_line"), (F.max("disc") == 1).alias("has_discontinued")))
+
     def repair_order_dates(self, tpd: DataFrame | None = None) -> DataFrame:
-        """Q34: Orders after the date repair (all orders; only qualifying ones change)."""
+        """Q34: Orders after the date repair (all orders; only qualifying ones change).
+
+        One pass over the orders: each order gets its line flags, whether its
+        customer (with region) and salesperson (with department) exist, and
+        whether it is staged; the CASE rules apply where all hold.
+        """
         m = self.m
         t = tpd if tpd is not None else self.tpd1
         o = m.orders_with_shipping
         od_, req, shp = F.col("OrderDate"), F.col("RequiredDate"), F.col("ShippedDate")
         anomaly = ((req < od_) | (req > add_days(od_, 90))
                    | (shp.isNotNull() & (shp < od_)) | (shp.isNotNull() & (shp > add_days(od_, 180))))
-        cust = (m.customers.select("CustomerId", "RegionId")
-                .join(F.broadcast(m.regions.select("RegionId")), "RegionId", "left_semi").select("CustomerId"))
-        emp = (m.employees.select("EmployeeId", "DepartmentId")
-               .join(F.broadcast(m.departments.select("DepartmentId")), "DepartmentId", "left_semi")
-               .select(F.col("EmployeeId").alias("SalesPersonId")))
-        prod = (m.products.select("ProductId", "CategoryId")
-                .join(F.broadcast(m.categories.select("CategoryId")), "CategoryId", "left_semi").select("ProductId"))
-        cand = (o.filter((od_ >= self.prev) & anomaly)
-                .join(t.select("OrderId"), "OrderId", "left_semi")
-                .join(cust, "CustomerId", "left_semi")
-                .join(emp, "SalesPersonId", "left_semi"))
-        has_line = m.order_details.select("OrderId", "ProductId").join(prod, "ProductId", "left_semi")
-        cand = cand.join(has_line, "OrderId", "left_semi").select("OrderId").withColumn("fix", F.lit(True))
-        discontinued = (m.order_details.select("OrderId", "ProductId")
-                        .join(m.products.filter(F.col("Discontinued") == 1).select("ProductId"),
-                              "ProductId", "left_semi")
-                        .join(cand, "OrderId", "left_semi")
-                        .select("OrderId").distinct().withColumn("has_discontinued", F.lit(True)))
-        j = o.join(cand, "OrderId", "left").join(discontinued, "OrderId", "left")
-        fix = F.coalesce(F.col("fix"), F.lit(False))
+        cust_ok = (m.customers.select("CustomerId", "RegionId")
+                   .join(F.broadcast(m.regions.select("RegionId")), "RegionId", "left_semi")
+                   .select("CustomerId", F.lit(True).alias("cust_ok")))
+        emp_ok = (m.employees.select("EmployeeId", "DepartmentId")
+                  .join(F.broadcast(m.departments.select("DepartmentId")), "DepartmentId", "left_semi")
+                  .select(F.col("EmployeeId").alias("SalesPersonId"), F.lit(True).alias("emp_ok")))
+        staged = t.select("OrderId").distinct().withColumn("staged", F.lit(True))
+        j = (o.join(self.order_line_flags(), "OrderId", "left")
+             .join(staged, "OrderId", "left")
+             .join(cust_ok, "CustomerId", "left")
+             .join(emp_ok, "SalesPersonId", "left"))
+        fix = F.coalesce((od_ >= self.prev) & anomaly & F.col("staged") & F.col("cust_ok") & F.col("emp_ok")
+                         & F.col("has_valid_line"), F.lit(False))
         new_req = (F.when(req < od_, add_days(od_, 7))
                    .when(req > add_days(od_, 90), add_days(od_, 30)).otherwise(req))
         new_shp = (F.when(shp.isNotNull() & (shp < od_), F.lit(None))

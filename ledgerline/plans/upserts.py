@@ -89,24 +89,29 @@ def purge_processed_queue(st: Stages, queue: DataFrame | None = None,
     emp = (m.employees.select("EmployeeId", "DepartmentId")
            .join(F.broadcast(m.departments.select("DepartmentId")), "DepartmentId", "left_semi")
            .select(F.col("EmployeeId").alias("SalesPersonId")))
-    prod = (m.products.select("ProductId", "CategoryId", "SupplierId")
-            .join(F.broadcast(m.categories.select("CategoryId")), "CategoryId", "left_semi")
-            .join(m.suppliers, "SupplierId", "left_semi").select("ProductId"))
     candidates = queue.filter((F.col("Status") == "Processed")
                               & (F.col("ProcessedDate") < add_days(st.cur, -30)))
     orders = (m.orders.select("OrderId", "CustomerId", "SalesPersonId")
               .join(candidates.select("OrderId"), "OrderId", "left_semi")
-              .join(cust, "CustomerId", "left_semi").join(emp, "SalesPersonId", "left_semi"))
-    lines = m.order_details.select("OrderId", "ProductId").join(orders.select("OrderId"), "OrderId", "left_semi")
-    with_valid_line = lines.join(prod, "ProductId", "left_semi").select("OrderId")
-    with_discontinued = (lines.join(m.products.filter(F.col("Discontinued") == 1).select("ProductId"),
-                                    "ProductId", "left_semi").select("OrderId"))
+              .join(cust, "CustomerId", "left_semi").join(emp, "SalesPersonId", "left_semi")
+              .select("OrderId"))
+    # one pass over the candidate orders' lines: a line with a product in an existing
+    # category and supplier, and no discontinued product
+    cats = F.broadcast(m.categories.select("CategoryId").withColumn("cat_ok", F.lit(1)))  # bounded
+    prod = (m.products.select("ProductId", "CategoryId", "SupplierId", "Discontinued")
+            .join(cats, "CategoryId", "left")
+            .join(m.suppliers.withColumn("sup_ok", F.lit(1)), "SupplierId", "left")
+            .select("ProductId",
+                    F.when((F.col("cat_ok") == 1) & (F.col("sup_ok") == 1), 1).otherwise(0).alias("valid"),
+                    F.when(F.col("Discontinued") == 1, 1).otherwise(0).alias("disc")))
+    clean = (m.order_details.select("OrderId", "ProductId").join(orders, "OrderId", "left_semi")
+             .join(prod, "ProductId", "inner").groupBy("OrderId")
+             .agg(F.max("valid").alias("v"), F.max("disc").alias("d"))
+             .filter((F.col("v") == 1) & (F.col("d") == 0)).select("OrderId"))
     processed = tpd.filter(F.col("IsProcessed") == 1).select("OrderId")
-    doomed = (candidates.join(orders.select("OrderId"), "OrderId", "left_semi")
-              .join(with_valid_line, "OrderId", "left_semi")
+    doomed = (candidates.join(clean, "OrderId", "left_semi")
               .join(processed, "OrderId", "left_semi")
               .join(m.order_cancellations.select("OrderId"), "OrderId", "left_anti")
-              .join(with_discontinued, "OrderId", "left_anti")
               .select("QueueId"))
     return delete(queue, doomed, ["QueueId"])
 
