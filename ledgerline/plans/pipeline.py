@@ -72,8 +72,10 @@ def run_pipeline(m: RetailModel, params: RunParams, out_dir: str | None = None,
     base = (out_dir or f"{ensure_checkpoint_dir(spark)}/ledgerline-runs/{params.run_id}-{uuid.uuid4().hex[:8]}")
     st = stages_for(m, params)
     try:
-        # 1 staging rows; @RowCount
-        records = st.tpd1.count()
+        # 1 staging rows; @RowCount comes from an Observation filled while tpd1 is stored
+        tpd1 = st.tpd1
+        observed = st.stage1_rows.get if st.keep else {}
+        records = int(observed["rows"]) if "rows" in observed else tpd1.count()
         # 2 re-price and value status
         tpd2 = st.tpd2
         # 3 summary merge + change feed

@@ -23,7 +23,7 @@ from __future__ import annotations
 from decimal import Decimal
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ledgerline.functions.exprs import (add_days, count_when, lit_ts, net_amount, optional_eq,
@@ -86,6 +86,8 @@ class Stages:
         self.keep = keep
         self.cur = lit_ts(params.current_ts)
         self.prev = lit_ts(params.previous_month)
+        # @@ROWCOUNT of stage 1, filled by the job that stores tpd1 (no extra count job)
+        self.stage1_rows = Observation("stage1_rows")
 
     def _keep(self, df: DataFrame) -> DataFrame:
         return materialize(df) if self.keep else df
@@ -240,7 +242,7 @@ class Stages:
                 .join(valid_products, "ProductId", "left_semi")
                 .join(kept, "OrderId", "inner")
                 .join(status, "CustomerId", "left"))
-        return self._keep(rows.select(
+        return self._keep(rows.observe(self.stage1_rows, F.count(F.lit(1)).alias("rows")).select(
             "CustomerId", "OrderId", "ProductId", "EmployeeId", "DepartmentId",
             F.col("Amount").cast("decimal(18,2)").alias("Amount"),
             F.col("Tier").alias("Status"),
