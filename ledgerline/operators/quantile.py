@@ -34,7 +34,7 @@ def _pick(pairs: DataFrame, ranks: list[int], offset: int) -> dict[int, float]:
     for r in ranks:
         c = (F.col("cum") > r - offset) & (F.col("cum") - F.col("c") <= r - offset)
         cond = c if cond is None else cond | c
-    rows = cum.filter(cond).select("x", "cum", "c").collect()
+    rows = cum.filter(cond).select("x", "cum", "c").collect()  # at most one row per wanted rank
     out = {}
     for r in ranks:
         for row in rows:

@@ -63,6 +63,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            # a machine-local folder would not survive a lost executor
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
         configured = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
         os.makedirs(configured, exist_ok=True)
     sc.setCheckpointDir(configured)
