@@ -51,3 +51,43 @@ def cumulative_down(spark: SparkSession, nodes: DataFrame, *, id_col: str, paren
     )
     SELECT * FROM tree"""
     return spark.sql(query, nodes=nodes)
+
+
+def tree_paths_iterative(nodes: DataFrame, *, id_col: str, parent_col: str, name_col: str,
+                         value_col: str | None = None, sep: str = " > ", keep: list[str] | None = None,
+                         max_levels: int = 10_000) -> DataFrame:
+    """The same result as ``tree_paths`` (plus a running sum of ``value_col``) for big or deep trees.
+
+    ``WITH RECURSIVE`` is capped at ``spark.sql.cteRecursionRowLimit`` rows.
+    Here each level is one equi-join of the current frontier with the
+    nodes on parent id, stored with ``checkpoint()`` so that the lineage stays
+    one level long; the loop ends when a level is empty (one count per level)
+    and raises after ``max_levels`` levels, which catches cycles.
+    """
+    from pyspark.sql import functions as F
+
+    keep = keep or []
+    base_cols = [id_col, name_col, parent_col, *keep] + ([value_col] if value_col else [])
+    n = nodes.select(*base_cols)
+    running = [F.col(value_col).cast("decimal(38,2)").alias("TotalValue")] if value_col else []
+    level = (n.filter(F.col(parent_col).isNull())
+             .select(*base_cols, F.lit(0).alias("Level"),
+                     F.col(name_col).cast("string").alias("HierarchyPath"), *running)
+             .checkpoint(eager=True))
+    out = level
+    depth = 0
+    while level.limit(1).count() > 0:
+        depth += 1
+        if depth > max_levels:
+            raise RuntimeError(f"tree deeper than {max_levels} levels (cycle?)")
+        prev = level.select(F.col(id_col).alias("__pid"), F.col("Level").alias("__lvl"),
+                            F.col("HierarchyPath").alias("__path"),
+                            *([F.col("TotalValue").alias("__tot")] if value_col else []))
+        nxt = n.join(prev, F.col(parent_col) == F.col("__pid"), "inner")
+        level = nxt.select(
+            *base_cols, (F.col("__lvl") + 1).alias("Level"),
+            F.concat(F.col("__path"), F.lit(sep), F.col(name_col)).cast("string").alias("HierarchyPath"),
+            *([(F.col("__tot") + F.col(value_col)).cast("decimal(38,2)").alias("TotalValue")] if value_col else [])
+        ).checkpoint(eager=True)
+        out = out.unionByName(level)
+    return out

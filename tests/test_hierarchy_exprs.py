@@ -56,3 +56,23 @@ def test_optional_eq_and_tier(spark):
     assert [r.d for r in df.filter(optional_eq("d", 2)).collect()] == [2]
     lab = df.select(tier((F.col("d") > 1, "big"), (F.col("d") > 0, "small"), default="none").alias("t"))
     assert sorted(r.t for r in lab.collect()) == ["big", "none", "small"]
+
+
+def test_iterative_tree_matches_recursive(spark):
+    from ledgerline.operators.hierarchy import tree_paths_iterative
+    rows = [(1, None, "HQ", 10), (2, 1, "A", 5), (3, 2, "B", 1), (5, 2, "C", 2), (4, None, "X", 0), (9, 77, "orphan", 1)]
+    nodes = _nodes(spark, rows)
+    rec = {(r.id, r.Level, r.HierarchyPath) for r in
+           tree_paths(spark, nodes, id_col="id", parent_col="parent", name_col="name").collect()}
+    it = tree_paths_iterative(nodes, id_col="id", parent_col="parent", name_col="name", value_col="budget")
+    got = {(r.id, r.Level, r.HierarchyPath) for r in it.collect()}
+    assert got == rec
+    totals = {r.id: float(r.TotalValue) for r in it.collect()}
+    assert totals[3] == 16.0 and totals[5] == 17.0
+
+
+def test_iterative_tree_detects_cycle(spark):
+    from ledgerline.operators.hierarchy import tree_paths_iterative
+    nodes = _nodes(spark, [(1, None, "HQ", 1), (2, 3, "A", 1), (3, 2, "B", 1), (4, 1, "C", 1), (2, 4, "A", 1)])
+    with pytest.raises(RuntimeError):
+        tree_paths_iterative(nodes, id_col="id", parent_col="parent", name_col="name", max_levels=20)
