@@ -844,7 +844,8 @@ class Stages:
         others = others if others is not None else [m.customers, m.orders, m.order_details, m.products]
         nonempty = F.lit(True)
         for df in others:
-            nonempty = nonempty & df.select(F.count(F.lit(1)) > 0).scalar()
+            # EXISTS-style test: one row is enough
+            nonempty = nonempty & df.limit(1).select(F.count(F.lit(1)) > 0).scalar()
         regions = m.regions.select(F.count_distinct("RegionId").alias("n")).scalar()
         return self.m.spark.range(1).select(
             F.when(nonempty, regions).otherwise(F.lit(0)).cast("long").alias("RegionCount2"))
