@@ -17,9 +17,9 @@ def _run(spark, partitions):
     try:
         st = Stages(RetailModel(spark, SF))
         return {
-            "ranking": sorted(map(tuple, st.employee_ranking.collect())),
-            "segments": sorted(map(tuple, st.customer_segment_analysis().collect())),
-            "final": sorted(map(tuple, st.tpd4.collect())),
+            "ranking": sorted(map(repr, st.employee_ranking.collect())),
+            "segments": sorted(map(repr, st.customer_segment_analysis().collect())),
+            "final": sorted(map(repr, st.tpd4.collect())),
         }
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
