@@ -15,7 +15,7 @@ def _run(spark, partitions):
     old = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
     try:
-        st = Stages(RetailModel(spark, SF))
+        st = Stages(RetailModel(spark, SF), keep=True)
         return {
             "ranking": sorted(map(repr, st.employee_ranking.collect())),
             "segments": sorted(map(repr, st.customer_segment_analysis().collect())),
