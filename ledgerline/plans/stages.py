@@ -108,7 +108,8 @@ class Stages:
         """Order lines of recent orders, with the order's customer and salesperson.
 
         Read by about eight stage queries; stored once per run instead of
-        re-joining lines and orders each time.
+        re-joining lines and orders each time.  With a run date of today this
+        is about one month of lines, a small slice of the table.
         """
         o = self.recent_orders.select("OrderId", "CustomerId", "SalesPersonId", "OrderDate")
         return self._keep(self.m.order_details.join(o, "OrderId", "inner"))

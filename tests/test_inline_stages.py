@@ -119,3 +119,19 @@ def test_purge_deletes_old_processed_clean_orders(model):
     kept = {r.QueueId for r in upserts.purge_processed_queue(st, tpd=processed).collect()}
     # 1 goes (processed, old, clean); 2 stays (discontinued product); 3 pending; 4 too recent
     assert kept == {2, 3, 4}
+
+
+def test_pipeline_failure_writes_error_log(spark, model, scratch):
+    import os
+
+    from ledgerline.plans.pipeline import run_pipeline
+    from ledgerline.params import RunParams as RP
+    frames = {k: v for k, v in model.__dict__.items() if hasattr(v, "columns")}
+    frames["orders"] = frames["orders"].drop("SalesPersonId")       # broken input
+    broken = FrameModel(spark, frames, name="broken")
+    out = os.path.join(scratch, "failed-run")
+    params = RP(current_ts=CUR, run_id="failing-run")
+    with pytest.raises(Exception):
+        run_pipeline(broken, params, out_dir=out)
+    err = spark.read.parquet(os.path.join(out, "ErrorLog")).collect()
+    assert len(err) == 1 and err[0].ProcessId == "failing-run" and err[0].ErrorMessage
