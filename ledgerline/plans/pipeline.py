@@ -50,27 +50,38 @@ def _exists(spark: SparkSession, path: str) -> bool:
             return False
 
 
-def _append_if_absent(spark: SparkSession, rows: DataFrame, path: str, keys: list[str]) -> None:
-    """Append report rows whose key is not yet stored (idempotent re-runs)."""
+def _append_if_absent(spark: SparkSession, rows: DataFrame, path: str, keys: list[str], day_col: str,
+                      day) -> None:
+    """Append report rows whose key is not yet stored for the run's day (idempotent re-runs).
+
+    Report tables are partitioned by ``ReportDay`` (the date of ``day_col``),
+    so the NOT EXISTS check reads one partition, not the table's history.
+    """
+    rows = rows.withColumn("ReportDay", F.to_date(F.col(day_col)))
     if _exists(spark, path):
-        stored = spark.read.parquet(path).select(*keys).distinct()
+        stored = (spark.read.parquet(path).filter(F.col("ReportDay") == F.lit(day.date()))
+                  .select(*keys).distinct())
         rows = rows.join(stored, keys, "left_anti")
-    rows.write.mode("append").parquet(path)
+    rows.write.mode("append").partitionBy("ReportDay").parquet(path)
 
 
 def run_pipeline(m: RetailModel, params: RunParams, out_dir: str | None = None,
-                 debug: bool = False, summary_path: str | None = None) -> DataFrame:
+                 debug: bool = False, summary_path: str | None = None,
+                 reports_dir: str | None = None) -> DataFrame:
     """Run stages 1-14 and return the run summary row.
 
     ``summary_path``: a partitioned (ProcessYear, ProcessMonth) CustomerOrderSummary
     table kept across runs.  When it exists, the merge reads it, and only the
     run month's partition is rewritten (dynamic partition overwrite); otherwise
     the merged table is written there (or under ``out_dir``) in full.
+    ``reports_dir``: where the report tables live across runs (default: the run folder).
     """
     spark = m.spark
     started = datetime.now().replace(microsecond=0)
     base = (out_dir or f"{ensure_checkpoint_dir(spark)}/ledgerline-runs/{params.run_id}-{uuid.uuid4().hex[:8]}")
     st = stages_for(m, params)
+    reports = reports_dir or base
+    day = params.current_ts
     try:
         # 1 staging rows; @RowCount comes from an Observation filled while tpd1 is stored
         tpd1 = st.tpd1
@@ -93,8 +104,8 @@ def run_pipeline(m: RetailModel, params: RunParams, out_dir: str | None = None,
         queue = upserts.purge_processed_queue(st, tpd=tpd2)
         write_snapshot(queue, f"{base}/OrderProcessingQueue", 1)
         # 5 sales report
-        _append_if_absent(spark, st.sales_performance_report(), f"{base}/SalesPerformanceReport",
-                          ["ReportDate", "DepartmentId", "EmployeeId", "CustomerId"])
+        _append_if_absent(spark, st.sales_performance_report(), f"{reports}/SalesPerformanceReport",
+                          ["ReportDate", "DepartmentId", "EmployeeId", "CustomerId"], "ReportDate", day)
         # 6 aggregate
         st.aggregated_department_employee().write.parquet(f"{base}/TempAggregatedData")
         # 7 validation
@@ -112,11 +123,11 @@ def run_pipeline(m: RetailModel, params: RunParams, out_dir: str | None = None,
             st.validation_summary().write.parquet(f"{base}/debug/ValidationResults")
         # 11 reclassification and segment analysis
         st.tpd4
-        _append_if_absent(spark, st.customer_segment_analysis(), f"{base}/CustomerSegmentAnalysis",
-                          ["AnalysisDate", "CustomerId"])
+        _append_if_absent(spark, st.customer_segment_analysis(), f"{reports}/CustomerSegmentAnalysis",
+                          ["AnalysisDate", "CustomerId"], "AnalysisDate", day)
         # 12 department report
-        _append_if_absent(spark, st.department_performance_report(), f"{base}/DepartmentPerformanceReport",
-                          ["ReportDate", "DepartmentId"])
+        _append_if_absent(spark, st.department_performance_report(), f"{reports}/DepartmentPerformanceReport",
+                          ["ReportDate", "DepartmentId"], "ReportDate", day)
         # 13 order date repair
         write_snapshot(st.repair_order_dates(st.tpd4), f"{base}/Orders", 1)
         # the staging table as the procedure leaves it, with its IDENTITY-style ids
