@@ -31,10 +31,12 @@ def main(argv: list[str] | None = None) -> None:
     from ledgerline.params import RunParams
     from ledgerline.plans.pipeline import run_pipeline
     from ledgerline.plans.registry import QUERIES
-    from ledgerline.session import get_session
+    from ledgerline.session import get_session, size_shuffle_partitions
     from ledgerline.sources.testdata import CatalogModel, RetailModel
 
     spark = get_session(args.master)
+    if args.input:
+        size_shuffle_partitions(spark, [args.input])
     model = CatalogModel(spark, args.database) if args.database else RetailModel(spark, args.input)
     when = datetime.strptime(args.date, "%Y-%m-%d") if args.date else None
     params = RunParams.fresh(when)

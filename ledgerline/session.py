@@ -78,3 +78,24 @@ def session_key(spark: SparkSession) -> str:
         return spark.sparkContext.applicationId
     except Exception:  # noqa: BLE001
         return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
+def size_shuffle_partitions(spark: SparkSession, paths: list[str], target_bytes: int = 128 << 20) -> int:
+    """Set ``spark.sql.shuffle.partitions`` to about input bytes / ``target_bytes``.
+
+    Only when the job did not set it itself.  AQE then merges small partitions
+    and splits skewed ones at run time; this sets the upper bound so that the
+    largest stage's partitions fit an executor.
+    """
+    conf = spark.sparkContext.getConf()
+    if conf.contains("spark.sql.shuffle.partitions"):
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    jvm = spark._jvm
+    hconf = spark._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        total += path.getFileSystem(hconf).getContentSummary(path).getLength()
+    n = max(spark.sparkContext.defaultParallelism, -(-total // target_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n
