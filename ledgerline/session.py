@@ -18,6 +18,8 @@ SESSION_DEFAULTS = {
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # per-run stored tables are dropped from the checkpoint folder once unreachable
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
