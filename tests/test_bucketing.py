@@ -24,5 +24,9 @@ def test_bucketed_orders_and_lines_join_without_exchange(spark):
         a = sorted(map(tuple, metrics.customer_analysis(cat).collect()))
         b = sorted(map(tuple, metrics.customer_analysis(RetailModel(spark, SF)).collect()))
         assert a == b
+        from ledgerline.plans.stages import Stages
+        r1 = sorted(map(repr, Stages(cat).repair_order_dates().collect()))
+        r2 = sorted(map(repr, Stages(RetailModel(spark, SF)).repair_order_dates().collect()))
+        assert r1 == r2
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
