@@ -43,3 +43,9 @@ def test_entry_runs(spark):
     df = entry.entry(spark)
     assert df.count() >= 0
     assert "CustomerId" in df.columns
+
+
+def test_run_pipeline_summary(spark):
+    out = entry.queries()["run_pipeline"](spark, SF).collect()
+    staged = entry.queries()["stage_processing_data"](spark, SF).count()
+    assert len(out) == 1 and out[0].Status == "Success" and out[0].RecordsProcessed == staged
