@@ -135,3 +135,17 @@ def test_pipeline_failure_writes_error_log(spark, model, scratch):
         run_pipeline(broken, params, out_dir=out)
     err = spark.read.parquet(os.path.join(out, "ErrorLog")).collect()
     assert len(err) == 1 and err[0].ProcessId == "failing-run" and err[0].ErrorMessage
+
+
+def test_zero_budget_gives_null_ratio(spark, model):
+    zero = spark.createDataFrame([(0, "HQ", None, 0, D("0.00"), 0), (100, "Sales", 0, 0, D("0.00"), 0),
+                                  (101, "Empty", 0, 0, D("5.00"), 0)],
+                                 "DepartmentId int, DepartmentName string, ParentDepartmentId int, ManagerId int, "
+                                 "BudgetAmount decimal(18,2), LocationId int")
+    frames = {k: v for k, v in model.__dict__.items() if hasattr(v, "columns")}
+    frames["departments"] = zero
+    st = Stages(FrameModel(spark, frames, name="zero-budget"), P)
+    rows = {r.DepartmentId: r for r in st.department_performance_report().collect()}
+    assert rows[100].TotalSales is not None and rows[100].SalesToBudgetRatio is None
+    assert rows[100].Status == "Below Target"
+    assert rows[101].EmployeeCount == 0 and rows[101].TotalSales is None   # no staff: kept, empty measures
