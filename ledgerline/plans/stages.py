@@ -692,34 +692,35 @@ class Stages:
         """Q30: CustomerSegmentAnalysis rows: one per (customer, ranking of a recent salesperson)."""
         m = self.m
         cs = self.customer_segmentation
-        o = self.recent_orders.select("OrderId", "CustomerId", "SalesPersonId")
-        e = m.employees.select(F.col("EmployeeId").alias("SalesPersonId"))
+        # every per-customer order fact below comes from one (customer, salesperson)
+        # count of recent orders; orders are unique, so distinct counts add up
+        by_emp = self._keep(self.recent_orders.groupBy("CustomerId", "SalesPersonId")
+                            .agg(F.count(F.lit(1)).alias("k")))
+        e = m.employees.select(F.col("EmployeeId").alias("SalesPersonId"), "DepartmentId")
         er = self.employee_ranking.select(F.col("EmployeeId").alias("SalesPersonId"), "SalesRank",
                                           "TopCategorySales")
         pairs = (cs.select("CustomerId", "CustomerSegment", "PreferredCategories")
-                 .join(o, "CustomerId", "inner")
-                 .join(e.withColumn("emp_found", F.lit(True)), "SalesPersonId", "left")
+                 .join(by_emp.select("CustomerId", "SalesPersonId"), "CustomerId", "inner")
+                 .join(e.select("SalesPersonId").withColumn("emp_found", F.lit(True)), "SalesPersonId", "left")
                  .join(er, "SalesPersonId", "left")
                  .select("CustomerId", "CustomerSegment", "PreferredCategories",
                          F.when(F.col("emp_found"), F.col("SalesRank")).alias("SalesRank"),
                          F.when(F.col("emp_found"), F.col("TopCategorySales")).alias("TopCategorySales"))
                  .distinct())
-        cust_orders = o.groupBy("CustomerId").agg(F.count(F.lit(1)).alias("TotalOrders"))
+        cust_orders = by_emp.groupBy("CustomerId").agg(F.sum("k").alias("TotalOrders"))
         money = (self.recent_lines.groupBy("CustomerId")
                  .agg(F.sum(net_amount()).alias("s"), F.count(F.lit(1)).alias("n")))
-        by_emp = o.groupBy("CustomerId", "SalesPersonId").agg(F.count(F.lit(1)).alias("k"))
         main_emp = top_n_per_key(by_emp, ["CustomerId"], [F.col("k").desc(), F.col("SalesPersonId").asc()], 1) \
             .select("CustomerId", F.col("SalesPersonId").alias("EmployeeId"))
-        emp_dept = m.employees.select(F.col("EmployeeId").alias("SalesPersonId"), "DepartmentId")
-        by_dept = (o.join(emp_dept, "SalesPersonId", "inner")
-                   .groupBy("CustomerId", "DepartmentId").agg(F.count(F.lit(1)).alias("k")))
+        by_dept = (by_emp.join(e, "SalesPersonId", "inner")
+                   .groupBy("CustomerId", "DepartmentId").agg(F.sum("k").alias("k")))
         main_dept = top_n_per_key(by_dept, ["CustomerId"], [F.col("k").desc(), F.col("DepartmentId").asc()], 1) \
             .select("CustomerId", "DepartmentId")
         j = (pairs.join(cust_orders, "CustomerId", "left").join(money, "CustomerId", "left")
              .join(main_emp, "CustomerId", "left").join(main_dept, "CustomerId", "left"))
         out = j.select(
             self.cur.alias("AnalysisDate"), "CustomerId", "CustomerSegment", "PreferredCategories",
-            F.coalesce(F.col("TotalOrders"), F.lit(0)).alias("TotalOrders"),
+            F.coalesce(F.col("TotalOrders"), F.lit(0)).cast("long").alias("TotalOrders"),
             F.col("s").cast("decimal(38,4)").alias("TotalSpent"),
             metrics.avg_from_parts(F.col("s"), F.col("n")).alias("AvgOrderValue"),
             "EmployeeId", "DepartmentId", "SalesRank", "TopCategorySales",
