@@ -2,6 +2,7 @@
 
     spark-submit -m ledgerline pipeline --input /data/retail_tpch --out s3://bucket/runs/2026-12-03
     spark-submit -m ledgerline query customer_analysis --input /data/retail_tpch --out s3://bucket/q
+    python -m ledgerline usage --scripts "/sql/procs/*.sql" [--out /reports/usage]
     python -m ledgerline pipeline --input /root/testdata/sf0.01 --master local[8]
 
 ``--input`` is a folder of the test-style parquet tables, or ``--database``
@@ -17,11 +18,12 @@ from datetime import datetime
 
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="ledgerline")
-    ap.add_argument("what", choices=["pipeline", "query"])
+    ap.add_argument("what", choices=["pipeline", "query", "usage"])
     ap.add_argument("name", nargs="?", help="query name (for 'query')")
     src = ap.add_mutually_exclusive_group(required=True)
     src.add_argument("--input", help="folder with region/nation/customer/... parquet tables")
     src.add_argument("--database", help="catalog database with the retail tables")
+    src.add_argument("--scripts", help="(usage) files or glob of SQL scripts")
     ap.add_argument("--out", help="output folder (pipeline: run folder; query: parquet path)")
     ap.add_argument("--date", help="run date YYYY-MM-DD (default: today)")
     ap.add_argument("--summary-path", help="partitioned CustomerOrderSummary kept across runs")
@@ -35,6 +37,9 @@ def main(argv: list[str] | None = None) -> None:
     from ledgerline.sources.testdata import CatalogModel, RetailModel
 
     spark = get_session(args.master)
+    if args.what == "usage":
+        _usage(spark, args.scripts, args.out)
+        return
     if args.input:
         size_shuffle_partitions(spark, [args.input])
     model = CatalogModel(spark, args.database) if args.database else RetailModel(spark, args.input)
@@ -50,5 +55,26 @@ def main(argv: list[str] | None = None) -> None:
             df.show(50, truncate=False)
 
 
+def _usage(spark, scripts_glob: str, out: str | None) -> None:
+    """Table-usage inventory of the scripts: every report, shown or written as parquet."""
+    from ledgerline.plans import usage
+
+    scripts = usage.read_scripts(spark, scripts_glob)
+    refs = usage.references(scripts).cache()
+    reports = {
+        "table_usage": usage.table_usage(refs), "aliases": usage.alias_lists(refs),
+        "type_counts": usage.type_counts(refs), "most_used": usage.most_used(refs),
+        "lineage": usage.lineage_edges(refs), "statement_ranges": usage.statement_ranges(scripts, refs),
+        "updated_columns": usage.updated_columns(scripts, refs), "merge_actions": usage.merge_actions(scripts, refs),
+        "complexity": usage.complexity(refs), "update_counts": usage.update_counts(refs),
+    }
+    for name, df in reports.items():
+        if out:
+            df.write.mode("overwrite").parquet(f"{out.rstrip('/')}/{name}")
+        else:
+            print(f"== {name}")
+            df.orderBy(*df.columns[:3]).show(200, truncate=False)
+
+
 if __name__ == "__main__":
     main()
