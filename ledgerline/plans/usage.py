@@ -50,7 +50,9 @@ def read_scripts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _clean(text: Column) -> Column:
-    no_block = F.regexp_replace(text, r"(?s)/\*.*?\*/", " ")
+    """Drop comments and the contents of one-line string literals (line count unchanged)."""
+    no_strings = F.regexp_replace(text, r"'[^'\n]*'", "''")
+    no_block = F.regexp_replace(no_strings, r"(?s)/\*.*?\*/", " ")
     return F.regexp_replace(no_block, r"--[^\n]*", "")
 
 

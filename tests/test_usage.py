@@ -32,7 +32,7 @@ WHEN NOT MATCHED BY TARGET THEN INSERT (OrderId, Amount) VALUES (source.OrderId,
 WHEN NOT MATCHED BY SOURCE THEN DELETE
 OUTPUT $action INTO #MergeLog;
 
-IF EXISTS (SELECT 1 FROM sys.procedures WHERE name = 'x') SELECT 1;
+IF EXISTS (SELECT 1 FROM sys.procedures WHERE name = 'x; -- not a statement end') SELECT 1;
 """
 
 ADHOC = """
