@@ -127,9 +127,13 @@ class Stages:
 
     @cached_property
     def top_category_ids(self) -> DataFrame:
-        """CategoryIds whose name is among the top 5 by gross sales (at most 5 names)."""
+        """CategoryIds whose name is among the top 5 by gross sales (at most 5 names).
+
+        Ranking needs every order line, so the few ids are stored once per run.
+        """
         names = metrics.top_categories(self.m, self.p).select("CategoryName")
-        return self.m.categories.join(F.broadcast(names), "CategoryName", "left_semi").select("CategoryId")
+        return self._keep(self.m.categories.join(F.broadcast(names), "CategoryName", "left_semi")
+                          .select("CategoryId"))
 
     # ------------------------------------------------------------ Q7-Q10
     def order_amount_in_top_categories(self, orders: DataFrame | None = None) -> DataFrame:
