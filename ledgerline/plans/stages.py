@@ -120,6 +120,11 @@ class Stages:
         so the recursion is not re-run inside every query that filters on it."""
         return self._keep(metrics.department_hierarchy(self.m, self.p).select("DepartmentId"))
 
+    @cached_property
+    def order_totals(self) -> DataFrame:
+        """Per-order gross/net sums over all lines: read by the tier and value rules, stored once."""
+        return self._keep(metrics.order_totals(self.m))
+
     @cached_property
     def category_avg_stock(self) -> DataFrame:
         """Average UnitsInStock per category (double, like AVG over the products)."""
@@ -159,7 +164,7 @@ class Stages:
         recent_n = (self.window_orders.groupBy("CustomerId")
                     .agg(F.count(F.lit(1)).alias("RecentOrders")))
         o = self.m.orders.select("OrderId", "CustomerId").join(cust, "CustomerId", "left_semi")
-        totals = metrics.order_totals(self.m).select("OrderId", "gross_sum", "line_count")
+        totals = self.order_totals.select("OrderId", "gross_sum", "line_count")
         gross = (o.join(totals, "OrderId", "inner").groupBy("CustomerId")
                  .agg(F.sum("gross_sum").alias("g"), F.sum("line_count").alias("n")))
         j = cust.join(recent_n, "CustomerId", "left").join(gross, "CustomerId", "left")
@@ -285,7 +290,7 @@ class Stages:
         c = m.customers.select("CustomerId", "RegionId")
         region_mean = (per_cust.join(c, "CustomerId", "inner").groupBy("RegionId")
                        .agg(F.avg(F.col("cust_orders").cast("double")).alias("region_mean")))
-        totals = metrics.order_totals(m).select("OrderId", "gross_sum")
+        totals = self.order_totals.select("OrderId", "gross_sum")
         p75 = percentile_cont(totals, "gross_sum", 0.75)
         j = (tpd.join(per_cust, "CustomerId", "left")
              .join(c.withColumnRenamed("RegionId", "cust_region"), "CustomerId", "left")
