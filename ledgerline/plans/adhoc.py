@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.exprs import gross_amount, net_amount
+from ledgerline.plans import labels as L
 from ledgerline.plans.stages import TPD_KEYS, Stages
 
 
@@ -76,10 +77,10 @@ def left_join_extra_on(st: Stages) -> DataFrame:
     v = st.validated.join(st.m.orders.select("OrderId"), "OrderId", "left_semi")
     failed = F.filter(F.array(
         F.when(F.col("has_amount_check") & (F.col("amount_valid") == 0),
-               F.struct(F.lit("Amount Validation").alias("ValidationType"),
+               F.struct(F.lit(L.AMOUNT_VALIDATION).alias("ValidationType"),
                         F.col("amount_msg").alias("ValidationMessage"))),
         F.when(F.col("customer_valid") == 0,
-               F.struct(F.lit("Customer Status Validation").alias("ValidationType"),
+               F.struct(F.lit(L.CUSTOMER_VALIDATION).alias("ValidationType"),
                         F.col("customer_msg").alias("ValidationMessage")))), lambda x: x.isNotNull())
     return (v.select(*TPD_KEYS, F.explode_outer(failed).alias("tvr"))
             .select(*TPD_KEYS, "tvr.ValidationType", "tvr.ValidationMessage"))

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.exprs import datediff_days, gross_amount, lit_ts, net_amount, net_unit_price
 from ledgerline.operators.hierarchy import cumulative_down, tree_paths
+from ledgerline.plans import labels as L
 from ledgerline.params import DEFAULT_PARAMS, RunParams
 from ledgerline.sources.testdata import RetailModel
 
@@ -41,7 +42,8 @@ def order_totals(m: RetailModel) -> DataFrame:
 def department_hierarchy(m: RetailModel, params: RunParams = DEFAULT_PARAMS) -> DataFrame:
     """Q1: departments reachable from a root, with Level and HierarchyPath."""
     return tree_paths(m.spark, m.departments, id_col="DepartmentId", parent_col="ParentDepartmentId",
-                      name_col="DepartmentName", keep=["ManagerId", "BudgetAmount", "LocationId"])
+                      name_col="DepartmentName", sep=L.PATH_SEPARATOR,
+                      keep=["ManagerId", "BudgetAmount", "LocationId"])
 
 
 def department_budget_tree(m: RetailModel, params: RunParams = DEFAULT_PARAMS) -> DataFrame:

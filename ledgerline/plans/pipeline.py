@@ -28,6 +28,7 @@ from ledgerline.functions.exprs import lit_ts
 from ledgerline.operators.dml import merge, overwrite_partitions, write_snapshot
 from ledgerline.operators.relational import with_row_id
 from ledgerline.params import RunParams
+from ledgerline.plans import labels as L
 from ledgerline.plans import upserts
 from ledgerline.plans.stages import stages_for
 from ledgerline.session import ensure_checkpoint_dir
@@ -137,7 +138,7 @@ def run_pipeline(m: RetailModel, params: RunParams, out_dir: str | None = None,
         st.process_statistics().withColumn("ProcessingTimeSeconds", F.lit(elapsed).cast("long")) \
             .write.mode("append").parquet(f"{base}/ProcessStatistics")
         ended = datetime.now().replace(microsecond=0)
-        row = (params.run_id, started, ended, int((ended - started).total_seconds()), records, "Success", None)
+        row = (params.run_id, started, ended, int((ended - started).total_seconds()), records, L.SUCCESS, None)
         return spark.createDataFrame([row], SUMMARY_SCHEMA)
     except Exception as exc:
         err = spark.createDataFrame(

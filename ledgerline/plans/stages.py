@@ -31,6 +31,7 @@ from ledgerline.functions.exprs import (add_days, count_when, lit_ts, net_amount
 from ledgerline.operators.quantile import percentile_cont
 from ledgerline.operators.relational import append_if_absent, row_number_by_range, top_n_per_key
 from ledgerline.params import DEFAULT_PARAMS, RunParams
+from ledgerline.plans import labels as L
 from ledgerline.plans import metrics
 from ledgerline.session import session_key
 from ledgerline.sources.testdata import RetailModel
@@ -38,17 +39,13 @@ from ledgerline.sources.testdata import RetailModel
 TPD_KEYS = ["CustomerId", "OrderId", "ProductId", "EmployeeId", "DepartmentId"]
 TPD_COLUMNS = TPD_KEYS + ["Amount", "Status", "ProcessDate", "IsProcessed", "ErrorMessage"]
 
-# Fixed labels of the procedure.
-AMOUNT_VALIDATION = "Amount Validation"
-CUSTOMER_VALIDATION = "Customer Status Validation"
-PROCESS_NAME = "ComplexBusinessProcess"
 
 
 def _dec(x: str) -> Column:
     return F.lit(Decimal(x))
 
 
-def sorted_list(values: Column, sep: str = ", ") -> Column:
+def sorted_list(values: Column, sep: str = L.LIST_SEPARATOR) -> Column:
     """`STRING_AGG(DISTINCT x, sep)` with a fixed (sorted) order; NULL when empty.
 
     Used only where the distinct values per group are bounded (statuses,
@@ -173,8 +170,8 @@ class Stages:
             "CustomerId",
             recent.alias("RecentOrders"),
             metrics.avg_from_parts(F.col("g"), F.col("n"), scale=2).alias("AvgGrossLine"),
-            tier((recent > 10, "VIP"), (F.col("g") > F.col("n") * 1000, "Premium"),
-                 default="Standard").alias("Tier"))
+            tier((recent > 10, L.VIP), (F.col("g") > F.col("n") * 1000, L.PREMIUM),
+                 default=L.STANDARD).alias("Tier"))
 
     def customer_tier(self) -> DataFrame:
         """Q8: tier of every active customer with an order in the run window."""
@@ -298,9 +295,9 @@ class Stages:
              .join(totals, "OrderId", "left"))
         p75_col = F.lit(p75).cast("double")
         return j.withColumn("NewStatus", tier(
-            (F.coalesce(F.col("cust_orders"), F.lit(0)) > F.col("region_mean") * 1.5, "High Value"),
-            (F.col("gross_sum") > p75_col, "Above Average"),
-            default="Standard"))
+            (F.coalesce(F.col("cust_orders"), F.lit(0)) > F.col("region_mean") * 1.5, L.HIGH_VALUE),
+            (F.col("gross_sum") > p75_col, L.ABOVE_AVERAGE),
+            default=L.STANDARD))
 
     @cached_property
     def tpd2(self) -> DataFrame:
@@ -387,9 +384,9 @@ class Stages:
             "OrderCount", total.alias("TotalSales"),
             metrics.avg_from_parts(F.col("s"), F.col("n")).alias("AvgOrderValue"),
             "ProductCount", "CategoryCount", "SupplierCount", "RegionId",
-            tier((total.cast("double") > F.lit(p90).cast("double"), "Top Performer"),
-                 (total.cast("double") > mean.cast("double"), "Above Average"),
-                 default="Standard").alias("Status"),
+            tier((total.cast("double") > F.lit(p90).cast("double"), L.TOP_PERFORMER),
+                 (total.cast("double") > mean.cast("double"), L.ABOVE_AVERAGE),
+                 default=L.STANDARD).alias("Status"),
             self.cur.alias("CreatedDate"), F.lit(self.p.run_user).alias("CreatedBy"))
         if existing is not None:
             today = existing.filter(F.col("ReportDate") == self.cur)
@@ -459,13 +456,13 @@ class Stages:
              .join(cust, "CustomerId", "left").join(recent, "OrderId", "left"))
         amt, cap = F.col("Amount"), F.col("max_line") * _dec("1.1")
         a_valid = F.when((amt > 0) & (amt <= cap), 1).otherwise(0)
-        a_msg = (F.when(amt <= 0, "Amount must be greater than zero")
-                 .when(amt > cap, "Amount exceeds maximum allowed value").otherwise("Valid"))
+        a_msg = (F.when(amt <= 0, L.AMOUNT_NOT_POSITIVE)
+                 .when(amt > cap, L.AMOUNT_TOO_HIGH).otherwise(L.VALID))
         active = F.col("IsActive") == 1
         c_valid = F.when(active & (F.col("CreditLimit") >= F.col("recent_spend")), 1).otherwise(0)
-        c_msg = (F.when(~F.coalesce(active, F.lit(False)), "Customer is not active")
-                 .when(F.col("CreditLimit") < F.col("recent_spend"), "Customer credit limit exceeded")
-                 .otherwise("Valid"))
+        c_msg = (F.when(~F.coalesce(active, F.lit(False)), L.CUSTOMER_INACTIVE)
+                 .when(F.col("CreditLimit") < F.col("recent_spend"), L.CREDIT_EXCEEDED)
+                 .otherwise(L.VALID))
         return j.select(*TPD_COLUMNS,
                         F.coalesce(F.col("recent_order"), F.lit(False)).alias("has_amount_check"),
                         a_valid.alias("amount_valid"), a_msg.alias("amount_msg"),
@@ -479,17 +476,17 @@ class Stages:
         """Q18+Q19: #TempValidationResults rows (staging keys instead of the surrogate id)."""
         v = self.validated
         a = v.filter("has_amount_check").select(
-            *TPD_KEYS, F.lit(AMOUNT_VALIDATION).alias("ValidationType"),
+            *TPD_KEYS, F.lit(L.AMOUNT_VALIDATION).alias("ValidationType"),
             F.col("amount_valid").alias("IsValid"), F.col("amount_msg").alias("ValidationMessage"))
-        c = v.select(*TPD_KEYS, F.lit(CUSTOMER_VALIDATION).alias("ValidationType"),
+        c = v.select(*TPD_KEYS, F.lit(L.CUSTOMER_VALIDATION).alias("ValidationType"),
                      F.col("customer_valid").alias("IsValid"), F.col("customer_msg").alias("ValidationMessage"))
         return a.unionByName(c)
 
     def validate_amount(self) -> DataFrame:
-        return self.validation_results().filter(F.col("ValidationType") == AMOUNT_VALIDATION)
+        return self.validation_results().filter(F.col("ValidationType") == L.AMOUNT_VALIDATION)
 
     def validate_customer(self) -> DataFrame:
-        return self.validation_results().filter(F.col("ValidationType") == CUSTOMER_VALIDATION)
+        return self.validation_results().filter(F.col("ValidationType") == L.CUSTOMER_VALIDATION)
 
     @cached_property
     def tpd3(self) -> DataFrame:
@@ -497,10 +494,10 @@ class Stages:
         v = self.validated.join(self.m.orders.select("OrderId"), "OrderId", "left_semi")
         a_bad = F.col("has_amount_check") & (F.col("amount_valid") == 0)
         c_bad = F.col("customer_valid") == 0
-        msg = F.concat_ws("; ", F.when(a_bad, F.col("amount_msg")), F.when(c_bad, F.col("customer_msg")))
-        status = (F.when(a_bad | c_bad, "Validation Failed")
-                  .when(F.col("Amount").isNull() | (F.col("Amount") <= 0), "Invalid Amount")
-                  .otherwise("Processed"))
+        msg = F.concat_ws(L.MESSAGE_SEPARATOR, F.when(a_bad, F.col("amount_msg")), F.when(c_bad, F.col("customer_msg")))
+        status = (F.when(a_bad | c_bad, L.VALIDATION_FAILED)
+                  .when(F.col("Amount").isNull() | (F.col("Amount") <= 0), L.INVALID_AMOUNT)
+                  .otherwise(L.PROCESSED))
         done = v.select(*[status.alias("Status") if c == "Status"
                           else F.lit(1).alias("IsProcessed") if c == "IsProcessed"
                           else F.when(a_bad | c_bad, msg).alias("ErrorMessage") if c == "ErrorMessage"
@@ -520,10 +517,10 @@ class Stages:
         """Q21: one ProcessExecutionLog row (LEFT JOIN to invalid validations fans out)."""
         t = self.tpd3.filter(F.col("IsProcessed") == 1)
         w = F.greatest(F.col("invalid_count"), F.lit(1))   # rows after the left join
-        failed = F.col("Status") != "Processed"
+        failed = F.col("Status") != L.PROCESSED
         agg = t.agg(
             F.sum(w).alias("RecordsProcessed"),
-            F.sum(F.when(F.col("Status") == "Processed", w).otherwise(0)).alias("RecordsSucceeded"),
+            F.sum(F.when(F.col("Status") == L.PROCESSED, w).otherwise(0)).alias("RecordsSucceeded"),
             F.sum(F.when(failed, w).otherwise(0)).alias("RecordsFailed"),
             F.sum(F.col("Amount") * w).alias("s"),
             F.sum(F.when(F.col("Amount").isNotNull(), w)).alias("n"),
@@ -532,7 +529,7 @@ class Stages:
             F.count_distinct("CustomerId").alias("CustomerCount"),
             F.sum(F.when(F.col("invalid_count") > 0, 1).otherwise(0)).alias("ErrorCount"))
         return agg.select(
-            F.lit(self.p.run_id).alias("ProcessId"), F.lit(PROCESS_NAME).alias("ProcessName"),
+            F.lit(self.p.run_id).alias("ProcessId"), F.lit(L.PROCESS_NAME).alias("ProcessName"),
             self.cur.alias("StartTime"), self.cur.alias("EndTime"),
             F.coalesce(F.col("RecordsProcessed"), F.lit(0)).cast("long").alias("RecordsProcessed"),
             F.col("RecordsSucceeded").cast("long").alias("RecordsSucceeded"),
@@ -541,15 +538,15 @@ class Stages:
             metrics.avg_from_parts(F.col("s"), F.col("n"), scale=2).alias("AverageAmount"),
             "DepartmentCount", "EmployeeCount", "CustomerCount",
             F.coalesce(F.col("ErrorCount"), F.lit(0)).cast("long").alias("ErrorCount"),
-            tier((F.col("RecordsFailed") == 0, "Success"),
-                 (F.col("RecordsFailed") < F.col("RecordsProcessed") * _dec("0.1"), "Partial Success"),
-                 default="Failed").alias("Status"))
+            tier((F.col("RecordsFailed") == 0, L.SUCCESS),
+                 (F.col("RecordsFailed") < F.col("RecordsProcessed") * _dec("0.1"), L.PARTIAL_SUCCESS),
+                 default=L.FAILED).alias("Status"))
 
     def processing_summary(self) -> DataFrame:
         """Q22: totals over all staging rows after stage 8."""
         t = self.tpd3
         return t.agg(
-            F.lit("Processing Summary").alias("InfoType"),
+            F.lit(L.PROCESSING_SUMMARY).alias("InfoType"),
             F.count(F.lit(1)).alias("TotalRecords"),
             count_when(F.col("IsProcessed") == 1).cast("long").alias("ProcessedRecords"),
             count_when(F.col("IsProcessed") == 0).cast("long").alias("UnprocessedRecords"),
@@ -562,7 +559,7 @@ class Stages:
         tad = self.aggregated_department_employee()
         return (tad.groupBy("DepartmentId", "TotalAmount", "RecordCount", "AverageAmount")
                 .agg(F.count_distinct("EmployeeId").alias("EmployeeCount"))
-                .select(F.lit("Department Summary").alias("InfoType"), "DepartmentId", "EmployeeCount",
+                .select(F.lit(L.DEPARTMENT_SUMMARY).alias("InfoType"), "DepartmentId", "EmployeeCount",
                         "TotalAmount", "RecordCount", "AverageAmount")
                 .orderBy(F.col("TotalAmount").desc()))
 
@@ -573,7 +570,7 @@ class Stages:
             F.count(F.lit(1)).alias("TotalValidations"),
             count_when(F.col("IsValid") == 1).cast("long").alias("ValidCount"),
             count_when(F.col("IsValid") == 0).cast("long").alias("InvalidCount"),
-        ).select(F.lit("Validation Results").alias("InfoType"), "ValidationType", "TotalValidations",
+        ).select(F.lit(L.VALIDATION_RESULTS).alias("InfoType"), "ValidationType", "TotalValidations",
                  "ValidCount", "InvalidCount")
 
     # ------------------------------------------------------------ Q25-Q30 stage 11
@@ -627,9 +624,9 @@ class Stages:
         cdt = self.complex_transformation
         mean = cdt.select(F.avg(F.col("SimilarOrderCount").cast("double")).alias("m")).scalar()
         p75 = percentile_cont(cdt, "RegionalCategoryAverage", 0.75)
-        status = tier((F.col("SimilarOrderCount") > mean * 1.2, "High Frequency"),
+        status = tier((F.col("SimilarOrderCount") > mean * 1.2, L.HIGH_FREQUENCY),
                       (F.col("RegionalCategoryAverage").cast("double") > F.lit(p75).cast("double"),
-                       "Above Regional Average"),
+                       L.ABOVE_REGIONAL_AVERAGE),
                       default=F.col("Status"))
         done = cdt.select(*[status.alias("Status") if c == "Status" else F.col(c) for c in TPD_COLUMNS])
         return self._keep(done.unionByName(self.tpd3.filter(F.col("IsProcessed") != 1).select(*TPD_COLUMNS)))
@@ -690,10 +687,10 @@ class Stages:
         mean_orders = orders_n.select(F.avg(F.col("recent_orders").cast("double"))).scalar()
         j = (c.join(spend, "CustomerId", "left").join(orders_n, "CustomerId", "left")
              .join(prods_n, "CustomerId", "left").join(cat_names, "CustomerId", "left"))
-        seg = tier((F.col("spend").cast("double") > F.lit(p90).cast("double"), "Platinum"),
-                   (F.coalesce(F.col("recent_orders"), F.lit(0)) > mean_orders * 1.5, "Gold"),
-                   (F.coalesce(F.col("recent_products"), F.lit(0)) > 10, "Silver"),
-                   default="Bronze")
+        seg = tier((F.col("spend").cast("double") > F.lit(p90).cast("double"), L.PLATINUM),
+                   (F.coalesce(F.col("recent_orders"), F.lit(0)) > mean_orders * 1.5, L.GOLD),
+                   (F.coalesce(F.col("recent_products"), F.lit(0)) > 10, L.SILVER),
+                   default=L.BRONZE)
         return self._keep(j.select("CustomerId", "CustomerName", "RegionId", seg.alias("CustomerSegment"),
                                    "PreferredCategories"))
 
@@ -747,8 +744,8 @@ class Stages:
         out = dpm.select(
             self.cur.alias("ReportDate"), "DepartmentId", "DepartmentName", "TotalBudget", "EmployeeCount",
             "TotalSales", "AvgOrderValue", "OrderCount", "CustomerCount", "SalesToBudgetRatio",
-            tier((r >= 120, "Exceeding Target"), (r >= 100, "Meeting Target"), (r >= 80, "Near Target"),
-                 default="Below Target").alias("Status"),
+            tier((r >= 120, L.EXCEEDING_TARGET), (r >= 100, L.MEETING_TARGET), (r >= 80, L.NEAR_TARGET),
+                 default=L.BELOW_TARGET).alias("Status"),
             self.cur.alias("CreatedDate"), F.lit(self.p.run_user).alias("CreatedBy"))
         if existing is not None:
             today = existing.filter(F.col("ReportDate") == self.cur)
@@ -824,10 +821,10 @@ class Stages:
                         .join(m.customers.select("CustomerId", "RegionId"), "CustomerId", "inner")
                         .join(F.broadcast(m.regions.select("RegionId")), "RegionId", "left_semi")
                         .select(F.count_distinct("RegionId")).scalar())
-        failed = count_when(F.col("Status") != "Processed")
+        failed = count_when(F.col("Status") != L.PROCESSED)
         agg = t.agg(
             F.count(F.lit(1)).alias("TotalRecords"),
-            count_when(F.col("Status") == "Processed").cast("long").alias("SuccessfulRecords"),
+            count_when(F.col("Status") == L.PROCESSED).cast("long").alias("SuccessfulRecords"),
             failed.cast("long").alias("FailedRecords"),
             F.sum("Amount").cast("decimal(38,2)").alias("TotalAmount"),
             F.avg("Amount").cast("decimal(38,6)").alias("AverageAmount"),
@@ -841,9 +838,9 @@ class Stages:
             product_count.alias("ProductCount"), category_count.alias("CategoryCount"),
             supplier_count.alias("SupplierCount"), region_count.alias("RegionCount"),
             F.lit(0).cast("long").alias("ProcessingTimeSeconds"),
-            tier((F.col("FailedRecords") == 0, "Success"),
-                 (F.col("FailedRecords") < F.col("TotalRecords") * _dec("0.05"), "Warning"),
-                 default="Error").alias("Status"))
+            tier((F.col("FailedRecords") == 0, L.SUCCESS),
+                 (F.col("FailedRecords") < F.col("TotalRecords") * _dec("0.05"), L.WARNING),
+                 default=L.ERROR).alias("Status"))
 
     def regions_cross_count(self, others: list[DataFrame] | None = None) -> DataFrame:
         """Q36: COUNT(DISTINCT RegionId) over a comma (cross) product, without forming the product.

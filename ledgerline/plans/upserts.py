@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.exprs import add_days
 from ledgerline.operators.dml import MergeSpec, delete, merge
+from ledgerline.plans import labels as L
 from ledgerline.plans.stages import Stages
 
 SUMMARY_KEYS = ["CustomerId", "DepartmentId"]
@@ -89,7 +90,7 @@ def purge_processed_queue(st: Stages, queue: DataFrame | None = None,
     emp = (m.employees.select("EmployeeId", "DepartmentId")
            .join(F.broadcast(m.departments.select("DepartmentId")), "DepartmentId", "left_semi")
            .select(F.col("EmployeeId").alias("SalesPersonId")))
-    candidates = queue.filter((F.col("Status") == "Processed")
+    candidates = queue.filter((F.col("Status") == L.PROCESSED)
                               & (F.col("ProcessedDate") < add_days(st.cur, -30)))
     orders = (m.orders.select("OrderId", "CustomerId", "SalesPersonId")
               .join(candidates.select("OrderId"), "OrderId", "left_semi")
