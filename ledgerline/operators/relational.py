@@ -59,6 +59,9 @@ def with_row_id(df: DataFrame, col: str = "Id") -> DataFrame:
     return df.withColumn(col, F.monotonically_increasing_id()).checkpoint(eager=True)
 
 
+OFFSETS_BROADCAST_ROWS = 1_000_000
+
+
 def row_number_by_range(df: DataFrame, keys: Sequence[str], order: Sequence[Column], col: str = "rn",
                         partitions: int | None = None) -> DataFrame:
     """`ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order)` for few, possibly huge, key groups.
@@ -70,8 +73,8 @@ def row_number_by_range(df: DataFrame, keys: Sequence[str], order: Sequence[Colu
     taken right after the per-partition sort, and the rows of the same key in
     earlier partitions are added from a small (partition, key) count table.
     ``order`` must make the order total (end with a unique column).  The count
-    table has at most partitions x keys rows, so it is broadcast only for
-    low-cardinality keys — the case this operator is for.
+    table has at most partitions x keys rows; it is broadcast after a size
+    check (``OFFSETS_BROADCAST_ROWS``), else joined with a shuffle.
     """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -88,6 +91,8 @@ def row_number_by_range(df: DataFrame, keys: Sequence[str], order: Sequence[Colu
                            *[F.col(k).alias(f"__ok{i}") for i, k in enumerate(keys)], "__first",
                            F.coalesce(F.sum("__cnt").over(w), F.lit(0)).alias("__before"))
     on = [F.col("__pid") == F.col("__opid")] + [F.col(k).eqNullSafe(F.col(f"__ok{i}")) for i, k in enumerate(keys)]
-    j = s.join(F.broadcast(offsets), on, "inner")
+    # broadcast the offsets only when their size is checked to be small; otherwise a shuffle join
+    small = stats.limit(OFFSETS_BROADCAST_ROWS + 1).count() <= OFFSETS_BROADCAST_ROWS
+    j = s.join(F.broadcast(offsets) if small else offsets, on, "inner")
     rn = (F.col("__mid") - F.col("__first") + 1 + F.col("__before")).cast("int")
     return j.select(*df.columns, rn.alias(col))
