@@ -65,22 +65,30 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 _RUNS: dict[tuple, "Stages"] = {}
+_FACTS: dict[tuple, dict[str, DataFrame]] = {}
 
 
 def stages_for(m: RetailModel, params: RunParams = DEFAULT_PARAMS) -> "Stages":
-    """One ``Stages`` per (application, input folder, parameters): queries of a run share its tables."""
+    """One ``Stages`` per (application, input folder, parameters): queries of a run share its tables.
+
+    Facts that do not depend on the run parameters (department tree, top
+    categories, per-order totals) are shared by all runs over the same input.
+    """
     key = (session_key(m.spark), m.sf_dir, params)
     st = _RUNS.get(key)
     if st is None:
-        st = _RUNS[key] = Stages(m, params, keep=True)
+        facts = _FACTS.setdefault(key[:2], {})
+        st = _RUNS[key] = Stages(m, params, keep=True, facts=facts)
     return st
 
 
 class Stages:
-    def __init__(self, m: RetailModel, params: RunParams = DEFAULT_PARAMS, keep: bool = False):
+    def __init__(self, m: RetailModel, params: RunParams = DEFAULT_PARAMS, keep: bool = False,
+                 facts: dict[str, DataFrame] | None = None):
         self.m = m
         self.p = params
         self.keep = keep
+        self.facts = facts
         self.cur = lit_ts(params.current_ts)
         self.prev = lit_ts(params.previous_month)
         # @@ROWCOUNT of stage 1, filled by the job that stores tpd1 (no extra count job)
@@ -89,6 +97,14 @@ class Stages:
     def _keep(self, df: DataFrame) -> DataFrame:
         return materialize(df) if self.keep else df
 
+    def _shared(self, name: str, build) -> DataFrame:
+        """A parameter-independent fact, built once per input when facts are shared."""
+        if self.facts is None:
+            return build()
+        if name not in self.facts:
+            self.facts[name] = build()
+        return self.facts[name]
+
     # ------------------------------------------------------------ shared facts
     @cached_property
     def recent_orders(self) -> DataFrame:
@@ -115,12 +131,13 @@ class Stages:
     def dept_tree(self) -> DataFrame:
         """DepartmentIds reachable from a root (bounded dimension), stored once per run
         so the recursion is not re-run inside every query that filters on it."""
-        return self._keep(metrics.department_hierarchy(self.m, self.p).select("DepartmentId"))
+        return self._shared("dept_tree", lambda: self._keep(
+            metrics.department_hierarchy(self.m, self.p).select("DepartmentId")))
 
     @cached_property
     def order_totals(self) -> DataFrame:
         """Per-order gross/net sums over all lines: read by the tier and value rules, stored once."""
-        return self._keep(metrics.order_totals(self.m))
+        return self._shared("order_totals", lambda: self._keep(metrics.order_totals(self.m)))
 
     @cached_property
     def category_avg_stock(self) -> DataFrame:
@@ -133,9 +150,11 @@ class Stages:
 
         Ranking needs every order line, so the few ids are stored once per run.
         """
-        names = metrics.top_categories(self.m, self.p).select("CategoryName")
-        return self._keep(self.m.categories.join(F.broadcast(names), "CategoryName", "left_semi")
-                          .select("CategoryId"))
+        def build():
+            names = metrics.top_categories(self.m, self.p).select("CategoryName")
+            return self._keep(self.m.categories.join(F.broadcast(names), "CategoryName", "left_semi")
+                              .select("CategoryId"))
+        return self._shared("top_category_ids", build)
 
     # ------------------------------------------------------------ Q7-Q10
     def order_amount_in_top_categories(self, orders: DataFrame | None = None) -> DataFrame:
