@@ -50,9 +50,15 @@ def read_scripts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _clean(text: Column) -> Column:
-    """Drop comments and the contents of one-line string literals (line count unchanged)."""
+    """Drop comments and the contents of one-line string literals; the line count is unchanged.
+
+    Block comments are cut out at their boundaries and replaced by their own
+    newlines, so later statements keep their line numbers.
+    """
     no_strings = F.regexp_replace(text, r"'[^'\n]*'", "''")
-    no_block = F.regexp_replace(no_strings, r"(?s)/\*.*?\*/", " ")
+    pieces = F.split(no_strings, r"(?=/\*)|(?<=\*/)")
+    no_block = F.array_join(F.transform(pieces, lambda p: F.when(
+        p.startswith("/*"), F.regexp_replace(p, r"[^\n]", "")).otherwise(p)), "")
     return F.regexp_replace(no_block, r"--[^\n]*", "")
 
 

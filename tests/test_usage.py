@@ -22,7 +22,8 @@ SET Amount = (SELECT MAX(x.Amount) FROM Archive x WHERE x.OrderId = s.OrderId),
 FROM #Stage s
 JOIN Orders o2 ON o2.OrderId = s.OrderId;
 
-DELETE FROM Queue WHERE QueueId IN (SELECT q.QueueId FROM Queue q JOIN Orders o3 ON o3.OrderId = q.OrderId);
+/* a block comment
+   over two lines; with a semicolon */DELETE FROM Queue WHERE QueueId IN (SELECT q.QueueId FROM Queue q JOIN Orders o3 ON o3.OrderId = q.OrderId);
 
 MERGE Summary AS target
 USING (SELECT OrderId, Amount FROM #Stage) AS source
@@ -99,7 +100,7 @@ def test_lineage_ranges_columns_merge(refs):
     ranges = {(x.verb, x.target): (x.first_line, x.last_line)
               for x in usage.statement_ranges(scripts, r).filter("script_id = 'proc'").collect()}
     assert ranges[("insert", "#Stage")] == (3, 11)
-    assert ranges[("delete", "Queue")] == (19, 19)
+    assert ranges[("delete", "Queue")] == (20, 20)
     cols = {x.target: x.columns for x in usage.updated_columns(scripts, r).collect()}
     assert cols["#Stage"] == ["Amount", "Status"]
     acts = {(x.target, x.branch, x.action, x.output_into) for x in usage.merge_actions(scripts, r).collect()}
