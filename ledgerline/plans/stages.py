@@ -489,7 +489,9 @@ class Stages:
 
     @cached_property
     def validated(self) -> DataFrame:
-        return self._with_validations(self.tpd2.filter(F.col("IsProcessed") == 0))
+        """Unprocessed staging rows with both validation outcomes; read by the validation
+        queries, the finalisation and the log, so stored once per run."""
+        return self._keep(self._with_validations(self.tpd2.filter(F.col("IsProcessed") == 0)))
 
     def validation_results(self) -> DataFrame:
         """Q18+Q19: #TempValidationResults rows (staging keys instead of the surrogate id)."""
