@@ -93,7 +93,7 @@ QUERIES: dict[str, QueryFn] = {
     # Q31 R2
     "department_budget_tree": metrics.department_budget_tree,
     # Q32 P8 P16
-    "department_performance_metrics": metrics.department_performance_metrics,
+    "department_performance_metrics": _st(lambda st: st.department_metrics),
     # Q33
     "department_performance_report": _st(lambda st: st.department_performance_report()),
     # Q34 U4 P17 P22

@@ -758,9 +758,14 @@ class Stages:
         return out
 
     # ------------------------------------------------------------ Q33 stage 12
+    @cached_property
+    def department_metrics(self) -> DataFrame:
+        """Q32 for this run (read by Q33 as well), stored once."""
+        return self._keep(metrics.department_performance_metrics(self.m, self.p))
+
     def department_performance_report(self, existing: DataFrame | None = None) -> DataFrame:
         """Q33: department report rows with target status, inserted if absent for the date."""
-        dpm = metrics.department_performance_metrics(self.m, self.p)
+        dpm = self.department_metrics
         r = F.col("SalesToBudgetRatio")
         out = dpm.select(
             self.cur.alias("ReportDate"), "DepartmentId", "DepartmentName", "TotalBudget", "EmployeeCount",
