@@ -169,6 +169,11 @@ class Stages:
         return o.join(per, "OrderId", "left").select(
             "OrderId", F.col("Amount").cast("decimal(38,4)").alias("Amount"))
 
+    @cached_property
+    def window_orders_per_customer(self) -> DataFrame:
+        """Orders per customer in [@PreviousMonth, @CurrentDate): one aggregate, stored per run."""
+        return self._keep(self.window_orders.groupBy("CustomerId").agg(F.count(F.lit(1)).alias("RecentOrders")))
+
     def customer_tier_frame(self, customers: DataFrame) -> DataFrame:
         """Q8 core: VIP / Premium / Standard for the given CustomerIds.
 
@@ -177,13 +182,11 @@ class Stages:
         exactly as sum > 1000 * count); else Standard.
         """
         cust = customers.select("CustomerId").distinct()
-        recent_n = (self.window_orders.groupBy("CustomerId")
-                    .agg(F.count(F.lit(1)).alias("RecentOrders")))
         o = self.m.orders.select("OrderId", "CustomerId").join(cust, "CustomerId", "left_semi")
         totals = self.order_totals.select("OrderId", "gross_sum", "line_count")
         gross = (o.join(totals, "OrderId", "inner").groupBy("CustomerId")
                  .agg(F.sum("gross_sum").alias("g"), F.sum("line_count").alias("n")))
-        j = cust.join(recent_n, "CustomerId", "left").join(gross, "CustomerId", "left")
+        j = cust.join(self.window_orders_per_customer, "CustomerId", "left").join(gross, "CustomerId", "left")
         recent = F.coalesce(F.col("RecentOrders"), F.lit(0))
         return j.select(
             "CustomerId",
@@ -195,7 +198,7 @@ class Stages:
     def customer_tier(self) -> DataFrame:
         """Q8: tier of every active customer with an order in the run window."""
         active = self.m.customers.filter(F.col("IsActive") == 1).select("CustomerId")
-        with_orders = active.join(self.window_orders.select("CustomerId"), "CustomerId", "left_semi")
+        with_orders = active.join(self.window_orders_per_customer.select("CustomerId"), "CustomerId", "left_semi")
         return self.customer_tier_frame(with_orders)
 
     def low_stock_products(self) -> DataFrame:
