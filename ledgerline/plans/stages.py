@@ -840,12 +840,17 @@ class Stages:
         t = self.tpd4.filter(F.col("IsProcessed") == 1)
         lines = self.recent_lines.select("OrderId", "ProductId", "CustomerId")
         prod = m.products.select("ProductId", "CategoryId", "SupplierId")
-        lp = lines.join(prod, "ProductId", "inner")
-        product_count = lp.select(F.count_distinct("ProductId")).scalar()
-        category_count = (lp.join(F.broadcast(m.categories.select("CategoryId")), "CategoryId", "left_semi")
-                          .select(F.count_distinct("CategoryId")).scalar())
-        supplier_count = (lp.join(m.suppliers, "SupplierId", "left_semi")
-                          .select(F.count_distinct("SupplierId")).scalar())
+        cats = F.broadcast(m.categories.select("CategoryId").withColumn("cat_ok", F.lit(True)))  # bounded
+        sups = m.suppliers.withColumn("sup_ok", F.lit(True))
+        lp = (lines.join(prod, "ProductId", "inner").join(cats, "CategoryId", "left")
+              .join(sups, "SupplierId", "left"))
+        # one pass for the three distinct counts (categories / suppliers only where they exist)
+        dims = lp.agg(F.count_distinct("ProductId").alias("p"),
+                      F.count_distinct(F.when(F.col("cat_ok"), F.col("CategoryId"))).alias("c"),
+                      F.count_distinct(F.when(F.col("sup_ok"), F.col("SupplierId"))).alias("s"))
+        product_count = dims.select("p").scalar()
+        category_count = dims.select("c").scalar()
+        supplier_count = dims.select("s").scalar()
         region_count = (self.recent_orders.select("CustomerId")
                         .join(m.customers.select("CustomerId", "RegionId"), "CustomerId", "inner")
                         .join(F.broadcast(m.regions.select("RegionId")), "RegionId", "left_semi")
