@@ -698,9 +698,10 @@ class Stages:
         m = self.m
         c = m.customers.filter(F.col("IsActive") == 1).select("CustomerId", "CustomerName", "RegionId")
         lines = self.recent_lines
-        spend = lines.groupBy("CustomerId").agg(F.sum(net_amount()).alias("spend"))
-        orders_n = (self.recent_orders.groupBy("CustomerId")
-                    .agg(F.count(F.lit(1)).alias("recent_orders")))
+        # each feeds a threshold (percentile / mean) and the join: stored once per run
+        spend = self._keep(lines.groupBy("CustomerId").agg(F.sum(net_amount()).alias("spend")))
+        orders_n = self._keep(self.recent_orders.groupBy("CustomerId")
+                              .agg(F.count(F.lit(1)).alias("recent_orders")))
         prod = m.products.select("ProductId", "CategoryId")
         prods_n = (lines.join(prod, "ProductId", "left_semi").groupBy("CustomerId")
                    .agg(F.count_distinct("ProductId").alias("recent_products")))
