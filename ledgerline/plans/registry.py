@@ -117,10 +117,11 @@ QUERIES: dict[str, QueryFn] = {
 }
 
 
-def bind(fn: QueryFn, params: RunParams = DEFAULT_PARAMS) -> Callable[[SparkSession, str], DataFrame]:
+def bind(fn: QueryFn, params: RunParams = DEFAULT_PARAMS,
+         name: str | None = None) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ensure_checkpoint_dir(spark)
         return fn(RetailModel(spark, sf_dir), params)
-    run.__name__ = getattr(fn, "__name__", "query")
+    run.__name__ = name or getattr(fn, "__name__", "query")
     run.__doc__ = fn.__doc__
     return run
