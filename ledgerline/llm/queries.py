@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import quality_rules, sharding
+from ledgerline.llm import quality_rules, sharding, simhash
 from ledgerline.llm.common import table
 
 N_SHARDS = 40
@@ -25,9 +25,15 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.byte_shards(table(spark, sf_dir, "documents"), N_SHARDS)
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents: 3-word shingles, radius 3."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), n=3, radius=3)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_sharding": op2_sharding,
+    "op3_simhash": op3_simhash,
 }
 
 ORACLES: dict[str, str] = {}
