@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import quality_rules, sharding, simhash
+from ledgerline.llm import packing, quality_rules, sharding, simhash
 from ledgerline.llm.common import table
 
 N_SHARDS = 40
@@ -30,10 +30,16 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), n=3, radius=3)
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 1024 tokens."""
+    return packing.packed(table(spark, sf_dir, "documents"), capacity=1024, end_id=2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_sharding": op2_sharding,
     "op3_simhash": op3_simhash,
+    "op10_packing": op10_packing,
 }
 
 ORACLES: dict[str, str] = {}
