@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -78,3 +81,15 @@ def running_before(df: DataFrame, order: Sequence[Column], values: dict[str, Col
     return (local.join(starts, F.col("__part") == F.col("__start_part"))
             .select(*df.columns, *[(F.col(f"__l_{n}") + F.col(f"__s_{n}")).alias(n) for n in names],
                     *[f"{n}_total" for n in names]))
+
+
+def bounded(batches: Iterator[pa.RecordBatch], column: int, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that the texts of ``column`` take at most ``most`` bytes, or are one row."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        ends, at = np.cumsum(sizes, dtype=np.int64), 0
+        while at < batch.num_rows:
+            before = int(ends[at - 1]) if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, before + most, side="right")))
+            yield batch.slice(at, to - at)
+            at = to

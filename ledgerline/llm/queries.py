@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import line_dedup, packing, quality_rules, sharding, simhash
+from ledgerline.llm import html_extract, line_dedup, packing, quality_rules, sharding, simhash, substring_dedup
 from ledgerline.llm.common import table, with_row_id
 
 N_SHARDS = 40
@@ -30,6 +30,11 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), n=3, radius=3)
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the 50-word passages that start in a smaller document."""
+    return substring_dedup.deduplicated(table(spark, sf_dir, "documents"), window=50)
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The texts of all documents without the later copies of repeated runs of two or more lines."""
     docs = with_row_id(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -37,6 +42,11 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "__lines AS n_lines", "__gone AS n_removed", "text")
 
 
+def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_extract.extracted(table(spark, sf_dir, "pages"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 1024 tokens."""
     return packing.packed(table(spark, sf_dir, "documents"), capacity=1024, end_id=2)
@@ -46,7 +56,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_sharding": op2_sharding,
     "op3_simhash": op3_simhash,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_line_dedup": op8_line_dedup,
+    "op9_html_extract": op9_html_extract,
     "op10_packing": op10_packing,
 }
 
