@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import html_extract, line_dedup, packing, quality_rules, sharding, simhash, substring_dedup
+from ledgerline.llm import (decontaminate, html_extract, line_dedup, packing, quality_classifier, quality_rules, sharding, simhash,
+                            substring_dedup)
 from ledgerline.llm.common import table, with_row_id
 
 N_SHARDS = 40
@@ -30,6 +31,16 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), n=3, radius=3)
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, verbatim or with other numbers and names."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality score for every document, learnt from the labels that aren't held out."""
+    return quality_classifier.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the 50-word passages that start in a smaller document."""
     return substring_dedup.deduplicated(table(spark, sf_dir, "documents"), window=50)
@@ -56,6 +67,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_sharding": op2_sharding,
     "op3_simhash": op3_simhash,
+    "op5_decontaminate": op5_decontaminate,
+    "op6_quality_classifier": op6_quality_classifier,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_line_dedup": op8_line_dedup,
     "op9_html_extract": op9_html_extract,
