@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import (decontaminate, html_extract, line_dedup, packing, quality_classifier, quality_rules, sharding, simhash,
+from ledgerline.llm import (decontaminate, html_extract, line_dedup, packing, pii, quality_classifier, quality_rules, sharding, simhash,
                             substring_dedup)
 from ledgerline.llm.common import table, with_row_id
 
@@ -31,6 +31,11 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), n=3, radius=3)
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents: base spans and those at learnt contexts."""
+    return pii.found(table(spark, sf_dir, "documents"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, verbatim or with other numbers and names."""
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -67,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_sharding": op2_sharding,
     "op3_simhash": op3_simhash,
+    "op4_pii": op4_pii,
     "op5_decontaminate": op5_decontaminate,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_substring_dedup": op7_substring_dedup,
