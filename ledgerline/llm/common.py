@@ -41,9 +41,19 @@ def stash(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def whole(df: DataFrame) -> Column:
+    """All columns of a row as one struct: names that clash with an operator's own stay inside it."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def field(name: str) -> Column:
+    """A column of the rows that ``with_row_id`` stored."""
+    return F.col("doc").getField(name)
+
+
 def with_row_id(df: DataFrame) -> DataFrame:
-    """Store ``df`` with a unique row id, so that repeated rows and null keys stay apart."""
-    return stash(df.withColumn(ROW_ID, F.monotonically_increasing_id()))
+    """(row id, doc): ``df`` stored with a unique row id, so that repeated rows and null keys stay apart."""
+    return stash(df.select(F.monotonically_increasing_id().alias(ROW_ID), whole(df).alias("doc")))
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

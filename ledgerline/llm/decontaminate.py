@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import ROW_ID, bounded, stash, with_row_id
+from ledgerline.llm.common import ROW_ID, bounded, field, stash, with_row_id
 
 WINDOW = 8
 COVERAGE = 0.5
@@ -157,10 +157,9 @@ def _bitmap(items: DataFrame):
     return items.sparkSession.sparkContext.broadcast(bits)
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-            item_col: str = "item_id", item_text: str = "text", window: int = WINDOW,
-            coverage: float = COVERAGE) -> DataFrame:
-    """(row, item, kind, covered, tokens): contaminated rows of ``docs`` (with a row id) and items.
+def matches(rows: DataFrame, benchmark: DataFrame, item_col: str = "item_id", item_text: str = "text",
+            window: int = WINDOW, coverage: float = COVERAGE) -> DataFrame:
+    """(row, item, kind, covered, tokens): contaminated ones of ``rows(id, text)`` and the items they hold.
 
     kind: ``exact`` if all slots have the item's values, else ``reparameterised``.
     """
@@ -170,7 +169,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     # items shorter than a window are one window of their own length
     own = stash(windows(items, list(range(1, window + 1))).filter(f"size = least(n, {window})"))
     sizes = sorted(r["size"] for r in own.select("size").distinct().collect())  # at most ``window`` numbers
-    found = windows(docs.select(F.col(ROW_ID).alias("id"), F.col(text_col).alias("text")), sizes, _bitmap(own))
+    found = windows(rows, sizes, _bitmap(own))
     own = own.select(F.col("id").alias("item_row"), F.col("n").alias("tokens"), "size", F.col("pos").alias("item_pos"),
                      "hash", F.col("slots").alias("item_slots"))
     met = found.select(F.col("id").alias("row"), "size", "pos", "hash", "slots").join(own, ["hash", "size"])
@@ -203,17 +202,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     null ids are reported like any other.  An empty table gives no rows.  Other
     columns are ignored.
     """
-    rows = stash(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-                 .withColumn(ROW_ID, F.monotonically_increasing_id()))
-    found = matches(rows, benchmark, "doc_id", "text", item_col, item_text, **parameters)
-    return rows.select("doc_id", F.col(ROW_ID).alias("row")).join(found, "row").select(
-        "doc_id", F.col("item").alias("item_id"), "kind", "covered", "tokens")
+    # the id travels with the row number, so the documents are read once
+    rows = docs.select(F.struct(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id")).alias("id"),
+                       F.col(text_col).alias("text"))
+    found = matches(rows, benchmark, item_col, item_text, **parameters)
+    return found.select("row.doc_id", F.col("item").alias("item_id"), "kind", "covered", "tokens")
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          **parameters) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **parameters) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item."""
     stored = with_row_id(docs)
-    found = matches(stored, benchmark, id_col, text_col, **parameters)
-    return (stored.join(found.select(F.col("row").alias(ROW_ID)).distinct(), ROW_ID, "left_anti")
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    found = matches(stored.select(F.col(ROW_ID).alias("id"), field(text_col).alias("text")), benchmark, **parameters)
+    return stored.join(found.select(F.col("row").alias(ROW_ID)).distinct(), ROW_ID, "left_anti").select("doc.*")

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import ROW_ID, WORD, let, running_before, stash, with_row_id
+from ledgerline.llm.common import ROW_ID, WORD, field, let, running_before, stash, with_row_id
 
 MIN_LINES = 2
 
@@ -33,11 +33,11 @@ def _ranked(suffixes: DataFrame, keys: list[str]) -> DataFrame:
 
 def repeated_lines(stored: DataFrame, id_col: str, text_col: str, min_lines: int = MIN_LINES) -> DataFrame:
     """(row id, gone): which of a document's lines with words, from 0, later copies of repeated runs cover."""
-    lines = F.filter(F.split(text_col, "\n"), lambda x: x.rlike(WORD))
-    at = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), F.col(ROW_ID).alias("row"),
+    lines = F.filter(F.split(field(text_col), "\n"), lambda x: x.rlike(WORD))
+    at = F.struct(field(id_col).isNull().alias("no_id"), field(id_col).alias("id"), F.col(ROW_ID).alias("row"),
                   F.col("seq"))
     # two independent 64-bit hashes stand for a line
-    suffixes = (stored.select(id_col, ROW_ID, F.posexplode(lines).alias("seq", "l"))
+    suffixes = (stored.select("doc", ROW_ID, F.posexplode(lines).alias("seq", "l"))
                 .select(F.col(ROW_ID).alias("row"), "seq", at.alias("at"),
                         F.xxhash64("l").alias("k1"), F.xxhash64(F.lit(1), F.col("l")).alias("k2")))
     suffixes, keys, h = stash(suffixes), ["k1", "k2"], 1
@@ -57,16 +57,16 @@ def repeated_lines(stored: DataFrame, id_col: str, text_col: str, min_lines: int
     return gone.select(F.col("row").alias(ROW_ID), "gone")
 
 
-def deduplicated(stored: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  min_lines: int = MIN_LINES) -> DataFrame:
-    """``stored`` (with a row id) with the text that stays, ``__lines`` and ``__gone``, both long.
+    """(doc, rest, n_lines, n_removed): each row of ``docs``, the text that stays, its lines and how many went.
 
-    __lines: lines with a word; __gone: how many of them went.  Lines without a
-    word are never part of a run and stay.  A null text stays null.  Null ids
-    come last in the order of copies; of repeated rows the first read keeps its
-    lines.  An empty table gives no rows.
+    Lines without a word are never part of a run, don't count and stay.  A null
+    text stays null.  Null ids come last in the order of copies; of repeated
+    rows the first read keeps its lines.  An empty table gives no rows.
     """
-    gone = repeated_lines(stored, id_col, text_col, min_lines)
+    stored = with_row_id(docs)
+    gone = repeated_lines(stored, id_col, text_col, min_lines).withColumnRenamed(ROW_ID, "gone_row")
 
     def rest(a: Column) -> Column:
         """The lines that stay: ``gone`` counts lines with a word, ``a`` holds them all."""
@@ -75,17 +75,16 @@ def deduplicated(stored: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                                                    F.transform(F.col("gone"), lambda g: s[g])))
         return F.array_join(F.transform(out, lambda i: a[i]), "\n")
 
-    lines = F.size(F.filter(F.split(text_col, "\n"), lambda x: x.rlike(WORD)))
-    return (stored.join(gone.withColumnRenamed(ROW_ID, "__gone_row"), F.col(ROW_ID) == F.col("__gone_row"), "left")
-            .withColumn("__lines", F.when(F.col(text_col).isNull(), 0).otherwise(lines).cast("long"))
-            .withColumn("__gone", F.coalesce(F.size("gone"), F.lit(0)).cast("long"))
-            .withColumn(text_col, F.when(F.col("gone").isNull(), F.col(text_col))
-                        .otherwise(let(F.split(text_col, "\n"), rest)))
-            .drop("gone", "__gone_row"))
+    text = field(text_col)
+    lines = F.size(F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD)))
+    return (stored.join(gone, F.col(ROW_ID) == F.col("gone_row"), "left").select(
+        "doc", F.when(F.col("gone").isNull(), text).otherwise(let(F.split(text, "\n"), rest)).alias("rest"),
+        F.when(text.isNull(), 0).otherwise(lines).cast("long").alias("n_lines"),
+        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed")))
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     min_lines: int = MIN_LINES) -> DataFrame:
     """``docs`` with the texts that stay; documents that lost every line go."""
-    out = deduplicated(with_row_id(docs), id_col, text_col, min_lines)
-    return out.filter("NOT (__gone > 0 AND __gone = __lines)").select(*[F.col(f"`{c}`") for c in docs.columns])
+    out = deduplicated(docs, id_col, text_col, min_lines).filter("NOT (n_removed > 0 AND n_removed = n_lines)")
+    return out.select(*[(F.col("rest") if c == text_col else field(c)).alias(c) for c in docs.columns])

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import SPACES, WORD, let, stash, words
+from ledgerline.llm.common import SPACES, WORD, let, stash, whole, words
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -80,47 +80,44 @@ def _prior(hosts: DataFrame, failures: str) -> tuple[float, float]:
 
 
 def judged(docs: DataFrame, text_col: str = "text", host_col: str = "source", rule_rate: float = RULE_RATE,
-           host_rate: float = HOST_RATE) -> DataFrame:
-    """``docs`` with structs ``__q`` (counts) and ``__v`` (base_failed, kept, host_rate, rules).
-
-    One row per input row.  A null or empty text has zero words and fails the
-    base rules.  Documents without a host (null) form one host.  Repeated rows
-    count as often as they occur.  An empty table gives no rows.  The columns
-    of ``docs`` stay as they are.
+           host_rate: float = HOST_RATE, keep: list[str] | None = None) -> DataFrame:
+    """(doc, q, verdict): each row of ``docs`` (or its columns ``keep``), its counts, and what became of it.
+
+    verdict: base_failed, kept, the host's shrunk rate of any failure, and the
+    soft rules that the document fails.  One row per input row.  A null or
+    empty text has zero words and fails the base rules.  Documents without a
+    host (null) form one host.  Repeated rows count as often as they occur.  An
+    empty table gives no rows.
     """
-    rated = docs.withColumn("__q", counts(F.col(text_col)))
-    base = (F.col("__q.n_words") < MIN_WORDS) | (
-        100 * F.col("__q.n_repeat_words") > 50 * F.col("__q.n_words"))
-    soft = [F.expr(f"{cond.replace('q.', '__q.')}").alias(name) for name, cond in SOFT_RULES.items()]
-    rated = rated.withColumn("__r", F.struct(base.alias("base"), *soft))
-    rated = stash(rated)
-
     names = list(SOFT_RULES)
-    any_fails = F.col("__r.base")
+    base = (F.col("q.n_words") < MIN_WORDS) | (100 * F.col("q.n_repeat_words") > 50 * F.col("q.n_words"))
+    kept_columns = docs if keep is None else docs.select(*keep)
+    rated = docs.select(whole(kept_columns).alias("doc"), F.col(host_col).alias("host"), counts(F.col(text_col)).alias("q"))
+    rated = stash(rated.withColumn("r", F.struct(base.alias("base"), *[F.expr(c).alias(n) for n, c in SOFT_RULES.items()])))
+
+    any_fails = F.col("r.base")
     for n in names:
-        any_fails = any_fails | F.col(f"__r.{n}")
+        any_fails = any_fails | F.col(f"r.{n}")
     # partial sums before the shuffle: a hot host is one row per task
-    hosts = stash(rated.groupBy(F.col(host_col).alias("__host")).agg(
+    hosts = stash(rated.groupBy(F.col("host").alias("judged_host")).agg(
         F.count(F.lit(1)).alias("n_docs"), F.sum(any_fails.cast("long")).alias("f_any"),
-        *[F.sum(F.col(f"__r.{n}").cast("long")).alias(f"f_{n}") for n in names]))
+        *[F.sum(F.col(f"r.{n}").cast("long")).alias(f"f_{n}") for n in names]))
 
     def shrunk(col: str) -> Column:
         a, b = _prior(hosts, col)
         return (F.col(col) + a) / (F.col("n_docs") + a + b)
 
-    verdicts = hosts.select("__host", shrunk("f_any").alias("__any"),
-                            *[(shrunk(f"f_{n}") >= rule_rate).alias(f"__bad_{n}") for n in names])
-    out = rated.join(verdicts, F.col(host_col).eqNullSafe(F.col("__host")), "left")
-    host_bad = F.col("__any") >= host_rate
-    fails = F.lit(False)
+    verdicts = hosts.select("judged_host", shrunk("f_any").alias("host_any"),
+                            *[(shrunk(f"f_{n}") >= rule_rate).alias(f"bad_{n}") for n in names])
+    out = rated.join(verdicts, F.col("host").eqNullSafe(F.col("judged_host")), "left")
+    rejected = F.col("r.base") | (F.col("host_any") >= host_rate)
     for n in names:
-        fails = fails | (F.col(f"__r.{n}") & F.col(f"__bad_{n}"))
-    verdict = F.struct(F.col("__r.base").alias("base_failed"), (~(F.col("__r.base") | fails | host_bad)).alias("kept"),
-                       F.col("__any").alias("host_rate"),
-                       *[F.col(f"__r.{n}").alias(n) for n in names])
-    return out.withColumn("__v", verdict).select(*docs.columns, "__q", "__v")
+        rejected = rejected | (F.col(f"r.{n}") & F.col(f"bad_{n}"))
+    verdict = F.struct(F.col("r.base").alias("base_failed"), (~rejected).alias("kept"), F.col("host_any").alias("host_rate"),
+                       *[F.col(f"r.{n}") for n in names])
+    return out.select("doc", "q", verdict.alias("verdict"))
 
 
 def kept_documents(docs: DataFrame, **parameters) -> DataFrame:
     """The rows of ``docs`` that pass, with their own columns."""
-    return judged(docs, **parameters).filter("__v.kept").select(*docs.columns)
+    return judged(docs, **parameters).filter("verdict.kept").select("doc.*")

@@ -6,19 +6,29 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import (decontaminate, html_extract, line_dedup, packing, pii, quality_classifier, quality_rules, sharding, simhash,
-                            substring_dedup)
-from ledgerline.llm.common import table, with_row_id
+from ledgerline.llm import (
+    decontaminate,
+    html_extract,
+    line_dedup,
+    oracles,
+    packing,
+    pii,
+    quality_classifier,
+    quality_rules,
+    sharding,
+    simhash,
+    substring_dedup,
+)
+from ledgerline.llm.common import table
 
 N_SHARDS = 40
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality rules with host verdicts over all documents."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    out = quality_rules.judged(docs)
-    return out.select("doc_id", *[f"__q.{c}" for c in (
-        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")], "__v.base_failed", "__v.kept")
+    out = quality_rules.judged(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return out.select("doc.doc_id", *[f"q.{c}" for c in (
+        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")], "verdict.base_failed", "verdict.kept")
 
 
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,9 +63,8 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The texts of all documents without the later copies of repeated runs of two or more lines."""
-    docs = with_row_id(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return line_dedup.deduplicated(docs, min_lines=2).selectExpr(
-        "doc_id", "__lines AS n_lines", "__gone AS n_removed", "text")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.deduplicated(docs, min_lines=2).selectExpr("doc.doc_id", "n_lines", "n_removed", "rest AS text")
 
 
 def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,30 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
-    "op8_line_dedup": r"""
-        WITH lines AS (
-            SELECT doc_id, i, x, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k
-            FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS x,
-                         generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)
-            WHERE regexp_matches(x, '[^\x20\x09-\x0D]')),
-        runs AS (SELECT a.doc_id, a.k, a.x AS x1, b.x AS x2
-                 FROM lines a JOIN lines b ON a.doc_id = b.doc_id AND b.k = a.k + 1),
-        later AS (SELECT doc_id, k FROM
-                    (SELECT *, row_number() OVER (PARTITION BY x1, x2 ORDER BY doc_id, k) AS copy FROM runs)
-                  WHERE copy > 1),
-        gone AS (SELECT doc_id, k FROM later UNION SELECT doc_id, k + 1 FROM later),
-        kept AS (
-            SELECT s.doc_id, string_agg(s.x, chr(10) ORDER BY s.i) AS text
-            FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS x,
-                         generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents) s
-            WHERE NOT EXISTS (SELECT 1 FROM lines l JOIN gone g ON l.doc_id = g.doc_id AND l.k = g.k
-                              WHERE l.doc_id = s.doc_id AND l.i = s.i)
-            GROUP BY s.doc_id),
-        n AS (SELECT doc_id, count(*) AS n FROM lines GROUP BY doc_id),
-        m AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
-        SELECT d.doc_id, coalesce(n.n, 0) AS n_lines, coalesce(m.n, 0) AS n_removed,
-               CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(kept.text, '') END AS text
-        FROM documents d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN m ON d.doc_id = m.doc_id
-             LEFT JOIN kept ON d.doc_id = kept.doc_id
-    """,
+    "op1_quality_rules": oracles.OP1_QUALITY_RULES,
+    "op7_substring_dedup": oracles.OP7_SUBSTRING_DEDUP,
+    "op8_line_dedup": oracles.OP8_LINE_DEDUP,
 }

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import stash, with_row_id, ROW_ID
+from ledgerline.llm.common import ROW_ID, field, stash, with_row_id
 from ledgerline.llm.components import components
 
 RADIUS = 3
@@ -265,9 +265,9 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Null ids come after all others; among rows of one id the first read stays.
     """
     stored = with_row_id(docs)
-    prints = stash(fingerprints(stored.select(F.col(id_col).alias("id"), ROW_ID, F.col(text_col).alias("text")), "text", n))
+    prints = stash(fingerprints(stored.select(field(id_col).alias("id"), ROW_ID, field(text_col).alias("text")), "text", n))
     rank = F.struct(F.col("id").isNull().alias("no_id"), F.col("id"), F.col(ROW_ID).alias("row"))
     least = prints.groupBy("__fp").agg(F.min(rank).alias("least"))
     rooted = groups(prints, radius).join(least, F.col("fp") == F.col("__fp"))
     kept = rooted.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.row").alias(ROW_ID))
-    return stored.join(kept, ROW_ID, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return stored.join(kept, ROW_ID, "left_semi").select("doc.*")
