@@ -27,6 +27,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--out", help="output folder (pipeline: run folder; query: parquet path)")
     ap.add_argument("--date", help="run date YYYY-MM-DD (default: today)")
     ap.add_argument("--summary-path", help="partitioned CustomerOrderSummary kept across runs")
+    ap.add_argument("--reports-dir", help="where the report tables live across runs (default: the output folder)")
     ap.add_argument("--master", help="only for local runs, e.g. local[8]")
     args = ap.parse_args(argv)
 
@@ -46,13 +47,21 @@ def main(argv: list[str] | None = None) -> None:
     when = datetime.strptime(args.date, "%Y-%m-%d") if args.date else None
     params = RunParams.fresh(when)
     if args.what == "pipeline":
-        run_pipeline(model, params, out_dir=args.out, summary_path=args.summary_path).show(truncate=False)
+        run_pipeline(model, params, out_dir=args.out, summary_path=args.summary_path,
+                     reports_dir=args.reports_dir).show(truncate=False)
     else:
         df = QUERIES[args.name](model, params)
         if args.out:
             df.write.mode("overwrite").parquet(args.out)
         else:
-            df.show(50, truncate=False)
+            _show(df, 50)
+
+
+def _show(df, rows: int) -> None:
+    """Print the first rows, and say if there are more."""
+    df.show(rows, truncate=False)
+    if not df.offset(rows).isEmpty():
+        print(f"(only the first {rows} rows; --out writes them all)")
 
 
 def _usage(spark, scripts_glob: str, out: str | None) -> None:
@@ -73,7 +82,7 @@ def _usage(spark, scripts_glob: str, out: str | None) -> None:
             df.write.mode("overwrite").parquet(f"{out.rstrip('/')}/{name}")
         else:
             print(f"== {name}")
-            df.orderBy(*df.columns[:3]).show(200, truncate=False)
+            _show(df.orderBy(*df.columns[:3]), 200)
 
 
 if __name__ == "__main__":

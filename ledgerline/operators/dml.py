@@ -7,9 +7,10 @@ the folder being read).  Where the target is a row-level-capable v2 table,
 
 Scale notes: the merge joins only the target slice that can change (rows
 matching ``target_scope``) with the source; the rest of the target passes
-through untouched, without a shuffle.  The source-duplicate check is an
-aggregate on the source keys (T-SQL raises when two source rows match one
-target row; so do we).
+through untouched, without a shuffle.  The source-duplicate check is an aggregate on
+the source keys, semi-joined with that slice (T-SQL raises when two source rows
+match one target row; so do we); sources that are unique by construction skip
+it (``check_duplicates=False``).
 """
 
 from __future__ import annotations
@@ -17,9 +18,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.session import remove_folder
+
 
 class MergeConflictError(ValueError):
     """More than one source row matches a target row."""
@@ -41,10 +44,17 @@ class MergeSpec:
     change_columns: Sequence[str] = field(default_factory=tuple)  # OUTPUT INSERTED/DELETED columns
 
 
-def check_unique_source(source: DataFrame, keys: Sequence[str]) -> None:
-    dup = source.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).count()
-    if dup:
-        raise MergeConflictError(f"MERGE source has duplicate keys on {list(keys)}")
+def check_unique_source(source: DataFrame, keys: Sequence[str], target: DataFrame | None = None) -> None:
+    """Raise if two source rows match one target row (without ``target``: if a key stands twice).
+
+    Source rows that match nothing, NULL keys among them, may repeat: they are
+    plain inserts.
+    """
+    twice = source.filter(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)).groupBy(*keys).count().filter(F.col("count") > 1)
+    if target is not None:
+        twice = twice.join(target.select(*keys), list(keys), "left_semi")
+    if not twice.isEmpty():
+        raise MergeConflictError(f"several source rows match one target row on {list(keys)}")
 
 
 def merge(target: DataFrame, source: DataFrame, spec: MergeSpec,
@@ -58,14 +68,14 @@ def merge(target: DataFrame, source: DataFrame, spec: MergeSpec,
     the scope is a set of partitions.
     """
     keys = list(spec.on)
-    if check_duplicates:
-        check_unique_source(source, keys)
     cols = target.columns
     t = target.select([F.col(c).alias(f"t__{c}") for c in cols]).withColumn("t____present", F.lit(True))
     scope = spec.target_scope if spec.target_scope is not None else F.lit(True)
     t = t.withColumn("t____scope", F.coalesce(scope, F.lit(False)))
     in_scope = t.filter(F.col("t____scope"))
     out_scope = t.filter(~F.col("t____scope"))
+    if check_duplicates:
+        check_unique_source(source, keys, in_scope.select(*[F.col(f"t__{k}").alias(k) for k in keys]))
     s = source.select([F.col(c).alias(f"s__{c}") for c in source.columns]).withColumn("s____present", F.lit(True))
     cond = None
     for k in keys:
@@ -135,8 +145,23 @@ def delete(target: DataFrame, doomed_keys: DataFrame, keys: Sequence[str]) -> Da
     return target.join(doomed_keys.select(*keys), list(keys), "left_anti")
 
 
-def write_snapshot(df: DataFrame, base_path: str, version: int, partition_by: Sequence[str] = ()) -> str:
-    """Write ``df`` as version ``version`` of a table under ``base_path``; return the path."""
+def latest_version(spark: SparkSession, base_path: str) -> int:
+    """The newest version under ``base_path`` (0: none)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(base_path)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+    return max((int(n[2:]) for n in names if n.startswith("v=") and n[2:].isdigit()), default=0)
+
+
+def read_snapshot(spark: SparkSession, base_path: str) -> DataFrame | None:
+    """The newest version of a table, or None."""
+    version = latest_version(spark, base_path)
+    return spark.read.parquet(f"{base_path.rstrip('/')}/v={version:06d}") if version else None
+
+
+def write_snapshot(df: DataFrame, base_path: str, version: int | None = None, partition_by: Sequence[str] = ()) -> str:
+    """Write ``df`` as a version (default: the next) of a table under ``base_path``; return the path."""
+    version = version or latest_version(df.sparkSession, base_path) + 1
     path = f"{base_path.rstrip('/')}/v={version:06d}"
     writer = df.write.mode("errorifexists")
     if partition_by:
@@ -145,11 +170,13 @@ def write_snapshot(df: DataFrame, base_path: str, version: int, partition_by: Se
     return path
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
-    """Replace only the partitions present in ``df`` of the table at ``path`` (dynamic overwrite).
+def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str],
+                         scope: Sequence[Mapping[str, object]] = ()) -> None:
+    """Replace the partitions in ``df``, and those of ``scope`` (column -> value), of the table at ``path``.
 
     Used after a MERGE whose scope is one partition (a month): the other
-    partitions are neither read nor rewritten.
+    partitions are neither read nor rewritten.  A partition of the scope that
+    ``df`` has no row of was emptied by the MERGE, and goes.
     """
     spark = df.sparkSession
     old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
@@ -158,3 +185,9 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str])
         df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+    for part in scope:
+        rows = df
+        for c in partition_by:
+            rows = rows.filter(F.col(c) == F.lit(part[c]))
+        if rows.isEmpty():
+            remove_folder(spark, "/".join([path.rstrip("/"), *[f"{c}={part[c]}" for c in partition_by]]))

@@ -1,36 +1,57 @@
-"""Parent/child trees: paths and root-to-node running sums with WITH RECURSIVE.
+"""Parent/child trees: paths and root-to-node running sums, level by level.
 
-Spark 4.1 evaluates recursive CTEs natively (level by level, each level a
-join of the previous level with the edge table).  The limits
-``spark.sql.cteRecursionLevelLimit`` (default 100 levels) and
-``spark.sql.cteRecursionRowLimit`` stop a cyclic tree with an error instead
-of looping, like the T-SQL MAXRECURSION default.
+Each level is one equi-join of the level above with the nodes on parent id and
+is checkpointed, so the lineage stays one level long however deep the tree is.
+There is no limit of rows or levels.  Every node carries the ids on its path; a
+node that is met twice on one path is a cycle and an error.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+class CycleError(ValueError):
+    """A node is its own ancestor."""
+
+
+def _walk(nodes: DataFrame, id_col: str, parent_col: str, at_root: dict[str, Column],
+          below: dict[str, Column]) -> DataFrame:
+    """Nodes reachable from the roots (parent NULL) with Level and computed columns.
+
+    ``below`` may name a parent's computed column c as ``up__c``.
+    """
+    own = nodes.columns
+    level = nodes.filter(F.col(parent_col).isNull()).select(
+        *own, F.lit(0).alias("Level"), *[c.alias(n) for n, c in at_root.items()],
+        F.array(F.col(id_col)).alias("__ids")).checkpoint()
+    out = level
+    while not level.isEmpty():
+        above = level.select(F.col(id_col).alias("up__id"), F.col("Level").alias("up__Level"),
+                             *[F.col(n).alias(f"up__{n}") for n in at_root], F.col("__ids").alias("up__ids"))
+        level = (nodes.join(above, F.col(parent_col) == F.col("up__id"), "inner")
+                 .select(*own, (F.col("up__Level") + 1).alias("Level"), *[c.alias(n) for n, c in below.items()],
+                         F.col("up__ids"), F.array_append("up__ids", F.col(id_col)).alias("__ids")).checkpoint())
+        met = level.filter(F.array_contains("up__ids", F.col(id_col))).select("__ids").first()
+        if met is not None:
+            raise CycleError(f"the tree has a cycle: {' > '.join(map(str, met[0]))}")
+        level = level.drop("up__ids")
+        out = out.unionByName(level)
+    return out.drop("__ids")
 
 
 def tree_paths(spark: SparkSession, nodes: DataFrame, *, id_col: str, parent_col: str,
                name_col: str, sep: str = " > ", keep: list[str] | None = None) -> DataFrame:
-    """Every node reachable from a root (parent NULL) with Level and HierarchyPath.
+    """Every node reachable from a root with Level and HierarchyPath.
 
     Roots have Level 0 and path = name; a child has Level + 1 and path
     ``parent_path + sep + name`` (NULL-propagating concat, as with `+`).
     """
-    keep = keep or []
-    cols = ", ".join(f"n.{c}" for c in [id_col, name_col, parent_col, *keep])
-    query = f"""
-    WITH RECURSIVE tree AS (
-      SELECT {cols}, 0 AS Level, CAST(n.{name_col} AS STRING) AS HierarchyPath
-      FROM {{nodes}} n WHERE n.{parent_col} IS NULL
-      UNION ALL
-      SELECT {cols}, t.Level + 1, CAST(concat(t.HierarchyPath, '{sep}', n.{name_col}) AS STRING)
-      FROM {{nodes}} n JOIN tree t ON n.{parent_col} = t.{id_col}
-    )
-    SELECT * FROM tree"""
-    return spark.sql(query, nodes=nodes)
+    name = F.col(name_col).cast("string")
+    return _walk(nodes.select(id_col, name_col, parent_col, *(keep or [])), id_col, parent_col,
+                 {"HierarchyPath": name},
+                 {"HierarchyPath": F.concat(F.col("up__HierarchyPath"), F.lit(sep), name)})
 
 
 def cumulative_down(spark: SparkSession, nodes: DataFrame, *, id_col: str, parent_col: str,
@@ -38,56 +59,8 @@ def cumulative_down(spark: SparkSession, nodes: DataFrame, *, id_col: str, paren
                     direct_alias: str = "DirectBudget", total_alias: str = "TotalBudget") -> DataFrame:
     """Root-to-node running sum of ``value_col`` (not a subtree roll-up)."""
     keep = keep or []
-    cols = ", ".join(f"n.{c}" for c in [id_col, *keep, parent_col])
-    query = f"""
-    WITH RECURSIVE tree AS (
-      SELECT {cols}, n.{value_col} AS {direct_alias},
-             CAST(n.{value_col} AS DECIMAL(38,2)) AS {total_alias}, 0 AS Level
-      FROM {{nodes}} n WHERE n.{parent_col} IS NULL
-      UNION ALL
-      SELECT {cols}, n.{value_col},
-             CAST(t.{total_alias} + n.{value_col} AS DECIMAL(38,2)), t.Level + 1
-      FROM {{nodes}} n JOIN tree t ON n.{parent_col} = t.{id_col}
-    )
-    SELECT * FROM tree"""
-    return spark.sql(query, nodes=nodes)
-
-
-def tree_paths_iterative(nodes: DataFrame, *, id_col: str, parent_col: str, name_col: str,
-                         value_col: str | None = None, sep: str = " > ", keep: list[str] | None = None,
-                         max_levels: int = 10_000) -> DataFrame:
-    """The same result as ``tree_paths`` (plus a running sum of ``value_col``) for big or deep trees.
-
-    ``WITH RECURSIVE`` is capped at ``spark.sql.cteRecursionRowLimit`` rows.
-    Here each level is one equi-join of the current frontier with the
-    nodes on parent id, stored with ``checkpoint()`` so that the lineage stays
-    one level long; the loop ends when a level is empty (one count per level)
-    and raises after ``max_levels`` levels, which catches cycles.
-    """
-    from pyspark.sql import functions as F
-
-    keep = keep or []
-    base_cols = [id_col, name_col, parent_col, *keep] + ([value_col] if value_col else [])
-    n = nodes.select(*base_cols)
-    running = [F.col(value_col).cast("decimal(38,2)").alias("TotalValue")] if value_col else []
-    level = (n.filter(F.col(parent_col).isNull())
-             .select(*base_cols, F.lit(0).alias("Level"),
-                     F.col(name_col).cast("string").alias("HierarchyPath"), *running)
-             .checkpoint(eager=True))
-    out = level
-    depth = 0
-    while level.limit(1).count() > 0:
-        depth += 1
-        if depth > max_levels:
-            raise RuntimeError(f"tree deeper than {max_levels} levels (cycle?)")
-        prev = level.select(F.col(id_col).alias("__pid"), F.col("Level").alias("__lvl"),
-                            F.col("HierarchyPath").alias("__path"),
-                            *([F.col("TotalValue").alias("__tot")] if value_col else []))
-        nxt = n.join(prev, F.col(parent_col) == F.col("__pid"), "inner")
-        level = nxt.select(
-            *base_cols, (F.col("__lvl") + 1).alias("Level"),
-            F.concat(F.col("__path"), F.lit(sep), F.col(name_col)).cast("string").alias("HierarchyPath"),
-            *([(F.col("__tot") + F.col(value_col)).cast("decimal(38,2)").alias("TotalValue")] if value_col else [])
-        ).checkpoint(eager=True)
-        out = out.unionByName(level)
-    return out
+    n = nodes.select(id_col, *keep, parent_col, F.col(value_col).alias(direct_alias))
+    total = lambda c: c.cast("decimal(38,2)")
+    out = _walk(n, id_col, parent_col, {total_alias: total(F.col(direct_alias))},
+                {total_alias: total(F.col(f"up__{total_alias}") + F.col(direct_alias))})
+    return out.select(id_col, *keep, parent_col, direct_alias, total_alias, "Level")

@@ -1,103 +1,66 @@
-"""Exact PERCENTILE_CONT over a column of any size, without one task holding all values.
+"""Exact PERCENTILE_CONT over a column of any size.
 
-Spark's exact ``percentile`` keeps every distinct value of a global group in
-one aggregation buffer, which fails once the group is large.  Here the two
-order statistics PERCENTILE_CONT interpolates are found by selection:
-
-1. values are reduced to (value, count) pairs — a hot value becomes one row;
-2. if the pairs are few (``MAX_BAND_ROWS``), a running count over them gives
-   the answer directly;
-3. otherwise two approximate quantiles (Greenwald-Khanna sketch, bounded
-   memory, rank error at most n / ACCURACY) bracket the wanted ranks, the
-   rows below the bracket are counted, and the search continues inside the
-   bracket, which holds about 4 / ACCURACY of the values.
-
-Only a handful of numbers per step reach the driver.
+The two order statistics that PERCENTILE_CONT interpolates are found by
+narrowing a bracket: a sketch (``percentile_approx``: partial on the map side,
+bounded memory, no shuffle of values) proposes a value for the wanted rank and
+a lower and an upper one around it; one counting pass tells how many values lie
+below each.  If the proposed value holds the rank, it is the answer; else the
+search goes on between it and the bound on the rank's side.  Every round
+excludes the proposed value, and the bracket shrinks to about 4 / ACCURACY of
+the rows, so a handful of rounds do for any input.  A hot value is found like
+any other.  Only a few numbers per round reach the driver.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-ACCURACY = 20000           # GK sketch accuracy: rank error <= n / ACCURACY
-MAX_BAND_ROWS = 2_000_000  # distinct values ranked in one task at the last step
-
-
-def _pick(pairs: DataFrame, ranks: list[int], offset: int) -> dict[int, float]:
-    w = Window.orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = pairs.withColumn("cum", F.sum("c").over(w))
-    cond = None
-    for r in ranks:
-        c = (F.col("cum") > r - offset) & (F.col("cum") - F.col("c") <= r - offset)
-        cond = c if cond is None else cond | c
-    rows = cum.filter(cond).select("x", "cum", "c").collect()  # at most one row per wanted rank
-    out = {}
-    for r in ranks:
-        for row in rows:
-            if row["cum"] > r - offset >= row["cum"] - row["c"]:
-                out[r] = float(row["x"])
-    return out
+#: Relative rank error of the sketch is at most 1 / ACCURACY.
+ACCURACY = 10_000
 
 
-def _kth_values(pairs: DataFrame, n: int, n_distinct: int, ranks: list[int], offset: int = 0) -> dict[int, float]:
-    """Order statistics (0-based ranks, shifted by ``offset``) from (x, c) pairs."""
-    if n_distinct <= MAX_BAND_ROWS:
-        return _pick(pairs, ranks, offset)
-    first, last = min(ranks) - offset, max(ranks) - offset
-    eps = 2.0 / ACCURACY
-    q_lo = max(0.0, first / max(n - 1, 1) - eps)
-    q_hi = min(1.0, last / max(n - 1, 1) + eps)
-    # weight each distinct value by its count through the sketch's input rows
-    expanded = pairs.select(F.explode(F.array_repeat("x", F.least(F.col("c"), F.lit(ACCURACY)).cast("int"))).alias("x"))
-    lo, hi = expanded.agg(F.percentile_approx("x", [q_lo, q_hi], ACCURACY).alias("q")).first()["q"]
-    st = pairs.agg(
-        F.sum(F.when(F.col("x") < lo, F.col("c")).otherwise(0)).alias("below"),
-        F.sum(F.when((F.col("x") >= lo) & (F.col("x") <= hi), F.col("c")).otherwise(0)).alias("n_in"),
-        F.sum(F.when((F.col("x") >= lo) & (F.col("x") <= hi), 1).otherwise(0)).alias("d_in"),
-    ).first()
-    below, n_in, d_in = int(st["below"] or 0), int(st["n_in"] or 0), int(st["d_in"] or 0)
-    if below <= first and below + n_in > last and d_in < n_distinct:
-        band = pairs.filter((F.col("x") >= lo) & (F.col("x") <= hi))
-        return _kth_values(band, n_in, d_in, ranks, offset + below)
-    # bracket missed (counts were capped in the sketch input): halve the value range instead
-    mid = pairs.agg(F.percentile_approx("x", 0.5, ACCURACY)).first()[0]
-    st = pairs.agg(F.sum(F.when(F.col("x") <= mid, F.col("c")).otherwise(0)).alias("left_n"),
-                   F.sum(F.when(F.col("x") <= mid, 1).otherwise(0)).alias("left_d")).first()
-    left_n, left_d = int(st["left_n"]), int(st["left_d"])
-    out: dict[int, float] = {}
-    left = [r for r in ranks if r - offset < left_n]
-    right = [r for r in ranks if r - offset >= left_n]
-    if left:
-        out.update(_kth_values(pairs.filter(F.col("x") <= mid), left_n, left_d, left, offset))
-    if right:
-        out.update(_kth_values(pairs.filter(F.col("x") > mid), n - left_n, n_distinct - left_d, right,
-                               offset + left_n))
-    return out
+def _order_statistic(values: DataFrame, n: int, rank: int) -> tuple[float, int]:
+    """The value of a 0-based rank among ``values(x)``, and how many values are at most it."""
+    band, below, size = values, 0, n  # the rank lies in the band; ``below`` values are under it
+    while True:
+        at = (rank - below + 0.5) / size
+        points = [max(0.0, at - 2.0 / ACCURACY), at, min(1.0, at + 2.0 / ACCURACY)]
+        low, mid, high = band.agg(F.percentile_approx("x", points, ACCURACY).alias("q")).first()["q"]
+        x = F.col("x")
+        c = band.agg(*[F.count(F.when(cond, 1)).alias(name) for name, cond in (
+            ("lt_low", x < low), ("lt_mid", x < mid), ("le_mid", x <= mid), ("le_high", x <= high))]).first()
+        r = rank - below
+        if c.lt_mid <= r < c.le_mid:
+            return float(mid), below + c.le_mid
+        if r < c.lt_mid:
+            first = c.lt_low if c.lt_low <= r else 0
+            cond = x < mid if first == 0 else (x >= low) & (x < mid)
+            below, size = below + first, c.lt_mid - first
+        else:
+            last = c.le_high if r < c.le_high else size
+            cond = x > mid if last == size else (x > mid) & (x <= high)
+            below, size = below + c.le_mid, last - c.le_mid
+        band = band.filter(cond)
 
 
 def percentile_cont(df: DataFrame, col: str, q: float) -> float | None:
     """PERCENTILE_CONT(q) WITHIN GROUP (ORDER BY col) over all rows of ``df`` (NULLs ignored).
 
+    ``df`` is scanned a few times: store it first if it is costly to make.
     Computed on doubles with the interpolation ``(hi - pos) * v_lo + (pos - lo) * v_hi``.
     Returns None on empty input.
     """
-    pairs = (df.select(F.col(col).cast("double").alias("x")).filter(F.col("x").isNotNull())
-             .groupBy("x").agg(F.count(F.lit(1)).alias("c"))
-             .persist(StorageLevel.MEMORY_AND_DISK))
-    try:
-        st = pairs.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("d")).first()
-        n = int(st["n"] or 0)
-        if n == 0:
-            return None
-        pos = (n - 1) * q
-        lo, hi = int(math.floor(pos)), int(math.ceil(pos))
-        vals = _kth_values(pairs, n, int(st["d"]), sorted({lo, hi}))
-    finally:
-        pairs.unpersist()
-    if lo == hi or vals[lo] == vals[hi]:
-        return vals[lo]
-    return (hi - pos) * vals[lo] + (pos - lo) * vals[hi]
+    values = df.select(F.col(col).cast("double").alias("x")).filter(F.col("x").isNotNull())
+    n = values.count()
+    if n == 0:
+        return None
+    pos = (n - 1) * q
+    lo, hi = int(math.floor(pos)), int(math.ceil(pos))
+    v_lo, at_most = _order_statistic(values, n, lo)
+    if hi < at_most:
+        return v_lo
+    v_hi = float(values.filter(F.col("x") > v_lo).agg(F.min("x")).first()[0])
+    return (hi - pos) * v_lo + (pos - lo) * v_hi

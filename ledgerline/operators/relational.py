@@ -31,24 +31,6 @@ def append_if_absent(new_rows: DataFrame, target: DataFrame, keys: Sequence[str]
     return new_rows.join(target.select(*keys).distinct(), list(keys), "left_anti")
 
 
-def append(target: DataFrame, new_rows: DataFrame) -> DataFrame:
-    """The target after appending ``new_rows`` (columns matched by name)."""
-    return target.unionByName(new_rows.select(*target.columns))
-
-
-def with_flag(df: DataFrame, other: DataFrame, on: Sequence[str] | Column, flag: str) -> DataFrame:
-    """Add boolean ``flag`` = EXISTS(matching row in ``other``) without changing row count.
-
-    ``other`` is reduced to its distinct keys first, so the left join cannot
-    fan out.
-    """
-    if isinstance(on, Column):
-        raise TypeError("with_flag takes key column names")
-    keys = list(on)
-    marks = other.select(*keys).distinct().withColumn(flag, F.lit(True))
-    return df.join(marks, keys, "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
-
-
 def with_row_id(df: DataFrame, col: str = "Id") -> DataFrame:
     """`INT IDENTITY`: unique 64-bit ids without a global sort or single task.
 
@@ -59,9 +41,6 @@ def with_row_id(df: DataFrame, col: str = "Id") -> DataFrame:
     return df.withColumn(col, F.monotonically_increasing_id()).checkpoint(eager=True)
 
 
-OFFSETS_BROADCAST_ROWS = 1_000_000
-
-
 def row_number_by_range(df: DataFrame, keys: Sequence[str], order: Sequence[Column], col: str = "rn",
                         partitions: int | None = None) -> DataFrame:
     """`ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order)` for few, possibly huge, key groups.
@@ -73,8 +52,7 @@ def row_number_by_range(df: DataFrame, keys: Sequence[str], order: Sequence[Colu
     taken right after the per-partition sort, and the rows of the same key in
     earlier partitions are added from a small (partition, key) count table.
     ``order`` must make the order total (end with a unique column).  The count
-    table has at most partitions x keys rows; it is broadcast after a size
-    check (``OFFSETS_BROADCAST_ROWS``), else joined with a shuffle.
+    table has at most partitions x keys rows; AQE broadcasts it if it is small.
     """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -91,8 +69,6 @@ def row_number_by_range(df: DataFrame, keys: Sequence[str], order: Sequence[Colu
                            *[F.col(k).alias(f"__ok{i}") for i, k in enumerate(keys)], "__first",
                            F.coalesce(F.sum("__cnt").over(w), F.lit(0)).alias("__before"))
     on = [F.col("__pid") == F.col("__opid")] + [F.col(k).eqNullSafe(F.col(f"__ok{i}")) for i, k in enumerate(keys)]
-    # broadcast the offsets only when their size is checked to be small; otherwise a shuffle join
-    small = stats.limit(OFFSETS_BROADCAST_ROWS + 1).count() <= OFFSETS_BROADCAST_ROWS
-    j = s.join(F.broadcast(offsets) if small else offsets, on, "inner")
+    j = s.join(offsets, on, "inner")
     rn = (F.col("__mid") - F.col("__first") + 1 + F.col("__before")).cast("int")
     return j.select(*df.columns, rn.alias(col))

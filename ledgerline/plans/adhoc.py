@@ -37,34 +37,33 @@ def nested_topn_amount(orders: DataFrame, order_details: DataFrame, products: Da
     """
     names = F.broadcast(top_category_names(rank_categories, rank_products, rank_details, n))
     cat_ids = categories.join(names, "CategoryName", "left_semi").select("CategoryId").withColumn("in_top", F.lit(True))
-    prod = products.select("ProductId", "CategoryId").join(F.broadcast(cat_ids), "CategoryId", "inner")
+    prod = products.select("ProductId", "CategoryId").join(cat_ids, "CategoryId", "inner")
     o = orders.select("OrderId")
     lines = order_details.join(o, "OrderId", "left_semi").join(prod.select("ProductId"), "ProductId", "left_semi")
     per = lines.groupBy("OrderId").agg(F.sum(net_amount()).alias("Amount"))
     return o.join(per, "OrderId", "left").select("OrderId", F.col("Amount").cast("decimal(38,4)").alias("Amount"))
 
 
-def comma_join_cardinality(left: DataFrame, right: DataFrame, on: Sequence[str],
-                           others: Sequence[DataFrame]) -> DataFrame:
-    """Q38: rows of `FROM a, b, c, ... WHERE a.id = b.id` without forming the product.
+def comma_join(left: DataFrame, right: DataFrame, on: Sequence[str], others: Sequence[DataFrame]) -> DataFrame:
+    """Q38: `SELECT * FROM a, b, c, ... WHERE a.id = b.id` as the rows of a and b, with a multiplicity.
 
-    Only a and b are related; every other table multiplies the row count.
-    The product itself is never materialised (no cross joins): the result
-    is (JoinedRows, ProductRows).
+    Only a and b are related; every other table repeats each joined row as
+    often as it has rows.  The product isn't formed: ``Multiplicity`` says how
+    many times the row stands in it (rows that stand in it not at all go).
     """
-    joined = left.select(*on).join(right.select(*on), list(on), "inner").select(F.count(F.lit(1)).alias("j"))
     factor = F.lit(1).cast("decimal(38,0)")
     for df in others:
-        factor = factor * df.select(F.count(F.lit(1)).cast("decimal(38,0)")).scalar()
-    return joined.select(F.col("j").alias("JoinedRows"),
-                         (F.col("j").cast("decimal(38,0)") * factor).cast("decimal(38,0)").alias("ProductRows"))
+        factor = factor * df.select(F.count(F.lit(1)).cast("decimal(18,0)")).scalar()
+    return (left.join(right, list(on), "inner").withColumn("Multiplicity", factor.cast("decimal(38,0)"))
+            .filter(F.col("Multiplicity") > 0))
 
 
 def filtered_product_join(st: Stages) -> DataFrame:
     """Q38 over the retail tables: orders joined to the queue on OrderId, times four dimensions."""
     m = st.m
-    return comma_join_cardinality(m.orders, m.order_processing_queue, ["OrderId"],
-                                  [m.regions, m.shippers, m.categories, m.departments])
+    return comma_join(m.orders.select("OrderId", "CustomerId", "OrderDate"),
+                      m.order_processing_queue.withColumnRenamed("Status", "QueueStatus"), ["OrderId"],
+                      [m.regions, m.shippers, m.categories, m.departments])
 
 
 def left_join_extra_on(st: Stages) -> DataFrame:

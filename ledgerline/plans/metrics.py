@@ -5,9 +5,7 @@ order (partial aggregation before the shuffle), then joined to orders on
 OrderId, then grouped by the report key.  Left joins the SQL makes only to
 dimensions on their unique key (Products, Categories, Suppliers, Shippers,
 Departments) change neither rows nor measures, so they are left out.
-Only bounded dimensions (regions, departments, categories) are broadcast;
-everything that grows with the data is left to the planner and AQE, whose
-runtime broadcast conversion is size-checked.
+No side is broadcast by force: AQE's runtime broadcast conversion checks sizes.
 """
 
 from __future__ import annotations
@@ -124,12 +122,14 @@ def product_sales_metrics(m: RetailModel, params: RunParams = DEFAULT_PARAMS) ->
 
 
 # ---------------------------------------------------------------- Q5
-def regional_sales_summary(m: RetailModel, params: RunParams = DEFAULT_PARAMS) -> DataFrame:
+def regional_sales_summary(m: RetailModel, params: RunParams = DEFAULT_PARAMS,
+                           totals: DataFrame | None = None) -> DataFrame:
     """Q5: per region, customers, orders, net sales, average net line, distinct salespeople."""
     c = m.customers.select("CustomerId", "RegionId")
     o = m.orders.select("OrderId", "CustomerId", "SalesPersonId")
     e = m.employees.select(F.col("EmployeeId").alias("SalesPersonId"), F.lit(1).alias("emp_exists"))
-    per_order = (o.join(order_totals(m).select("OrderId", "net_sum", "line_count"), "OrderId", "left")
+    totals = totals if totals is not None else order_totals(m)
+    per_order = (o.join(totals.select("OrderId", "net_sum", "line_count"), "OrderId", "left")
                  .join(e, "SalesPersonId", "left"))
     cust_orders = c.join(per_order, "CustomerId", "inner")
     # one pass: a single distinct aggregate is planned as (region, salesperson)
@@ -139,7 +139,7 @@ def regional_sales_summary(m: RetailModel, params: RunParams = DEFAULT_PARAMS) -
         F.sum("line_count").alias("n"),
         F.count_distinct(F.when(F.col("emp_exists") == 1, F.col("SalesPersonId"))).alias("EmployeeCount"))
     cust_side = c.groupBy("RegionId").agg(F.count(F.lit(1)).alias("CustomerCount"))
-    r = F.broadcast(m.regions)  # five rows
+    r = m.regions
     j = r.join(cust_side, "RegionId", "left").join(order_side, "RegionId", "left")
     return j.select(
         "RegionId", "RegionName", "CountryId",
@@ -156,7 +156,7 @@ def category_gross_sales(m: RetailModel) -> DataFrame:
     per_product = m.order_details.groupBy("ProductId").agg(F.sum(gross_amount()).alias("g"))
     p = m.products.select("ProductId", "CategoryId")
     per_cat = per_product.join(p, "ProductId", "inner").groupBy("CategoryId").agg(F.sum("g").alias("g"))
-    cat = F.broadcast(m.categories)  # one row per brand: bounded
+    cat = m.categories
     return (per_cat.join(cat, "CategoryId", "inner").groupBy("CategoryName")
             .agg(F.sum("g").cast("decimal(38,2)").alias("GrossSales")))
 
@@ -168,35 +168,37 @@ def top_categories(m: RetailModel, params: RunParams = DEFAULT_PARAMS, n: int =
 
 
 # ---------------------------------------------------------------- Q32
-def department_performance_metrics(m: RetailModel, params: RunParams = DEFAULT_PARAMS) -> DataFrame:
+def department_performance_metrics(m: RetailModel, params: RunParams = DEFAULT_PARAMS,
+                                   totals: DataFrame | None = None) -> DataFrame:
     """Q32: per department in the budget tree, recent sales against the cumulative budget.
 
     ``WHERE o.OrderDate >= @PreviousMonth OR o.OrderDate IS NULL`` after the
-    left joins keeps employees with no orders at all and the recent orders of
-    the others; employees whose orders are all older drop out, and so does a
-    department left with no rows.
+    left joins keeps employees with no orders at all and the recent (or
+    undated) orders of the others; employees whose orders are all older drop
+    out, and so does a department left with no rows.
     """
     prev = lit_ts(params.previous_month)
+    totals = totals if totals is not None else order_totals(m)
     rdb = department_budget_tree(m, params).select("DepartmentId", "DepartmentName", "TotalBudget")
     e = m.employees.select("EmployeeId", "DepartmentId")
-    o_all = m.orders.select("OrderId", "SalesPersonId", "CustomerId", "OrderDate")
-    has_orders = (o_all.groupBy(F.col("SalesPersonId").alias("EmployeeId"))
-                  .agg(F.count(F.lit(1)).alias("n_all")))
-    cust = m.customers.select(F.col("CustomerId").alias("cid"), F.col("CustomerId").alias("ExistingCustomer"))
-    recent = (o_all.filter(F.col("OrderDate") >= prev)
-              .join(order_totals(m).select("OrderId", "net_sum", "line_count"), "OrderId", "left")
-              .join(cust, F.col("CustomerId") == F.col("cid"), "left"))
-    emp_rows = (e.join(has_orders, "EmployeeId", "left")
-                .join(recent, F.col("EmployeeId") == F.col("SalesPersonId"), "left")
-                .filter(F.col("OrderId").isNotNull() | F.col("n_all").isNull()))
-    per_dept = emp_rows.groupBy("DepartmentId").agg(
-        F.count_distinct("EmployeeId").alias("EmployeeCount"),
-        F.sum("net_sum").alias("s"), F.sum("line_count").alias("n"),
-        F.count("OrderId").alias("OrderCount"),
-        F.count_distinct("ExistingCustomer").alias("CustomerCount"))
+    orders = m.orders.select("OrderId", F.col("SalesPersonId").alias("EmployeeId"), "CustomerId", "OrderDate")
+    recent = orders.filter((F.col("OrderDate") >= prev) | F.col("OrderDate").isNull())
+    # one row per (salesperson, customer) before any join on the salesperson: a busy one isn't a hot key
+    pairs = (recent.join(totals.select("OrderId", "net_sum", "line_count"), "OrderId", "left")
+             .groupBy("EmployeeId", "CustomerId")
+             .agg(F.count(F.lit(1)).alias("k"), F.sum("net_sum").alias("s"), F.sum("line_count").alias("n")))
+    known = m.customers.select("CustomerId", F.col("CustomerId").alias("ExistingCustomer"))
+    sales = (pairs.join(e, "EmployeeId", "inner").join(known, "CustomerId", "left").groupBy("DepartmentId")
+             .agg(F.sum("s").alias("s"), F.sum("n").alias("n"), F.sum("k").alias("OrderCount"),
+                  F.count_distinct("ExistingCustomer").alias("CustomerCount")))
+    # who counts: sold something recently, or never sold anything
+    sold = orders.groupBy("EmployeeId").agg(F.max(
+        ((F.col("OrderDate") >= prev) | F.col("OrderDate").isNull()).cast("int")).alias("sold_recently"))
+    counted = (e.join(sold, "EmployeeId", "left").filter("sold_recently IS NULL OR sold_recently = 1")
+               .groupBy("DepartmentId").agg(F.count(F.lit(1)).alias("EmployeeCount")))
     staffed = e.groupBy("DepartmentId").agg(F.count(F.lit(1)).alias("staff"))
-    j = (rdb.join(F.broadcast(staffed), "DepartmentId", "left")
-         .join(per_dept, "DepartmentId", "left")
+    j = (rdb.join(staffed, "DepartmentId", "left").join(counted, "DepartmentId", "left")
+         .join(sales, "DepartmentId", "left")
          .filter(F.col("staff").isNull() | F.col("EmployeeCount").isNotNull()))
     total = F.col("s").cast("decimal(38,4)")
     return j.select(

@@ -1,23 +1,24 @@
 """Q40: the whole procedure, stages 1-14 in order, with its sinks.
 
-Tables written under ``out_dir`` (default: a run folder inside the shared
-``spark.checkpoint.dir``):
-
-* snapshots (new version folders, never the folder being read):
-  CustomerOrderSummary, OrderProcessingQueue, Orders;
-* appended report tables (insert-if-absent for the run date):
-  SalesPerformanceReport, CustomerSegmentAnalysis, DepartmentPerformanceReport,
-  ProcessExecutionLog, ProcessStatistics, and ErrorLog on failure;
-* the run's temp tables: TempMergeResults, TempValidationResults,
-  TempAggregatedData (and the three debug result sets when ``debug``).
-
-The staging table versions are checkpointed as they are produced, so a lost
+Tables written under ``out_dir``:
+
+* what lasts: snapshots of Orders and OrderProcessingQueue (new version
+  folders, never the folder being read), CustomerOrderSummary, the report tables
+  (insert-if-absent for the run date), ProcessExecutionLog, ProcessStatistics,
+  RunSummary, and ErrorLog on failure (all appended);
+* a folder per run with its temp tables: TempMergeResults,
+  TempValidationResults, TempAggregatedData, TempProcessingData (and the three
+  debug result sets when ``debug``).
+
+The staging table versions are stored as they are produced, so a lost
 executor costs at most the current stage, and the next stage starts from a
 short lineage.  Returns the one-row run summary.
 """
 
 from __future__ import annotations
 
+import copy
+import traceback
 import uuid
 from datetime import datetime
 
@@ -25,12 +26,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions.exprs import lit_ts
-from ledgerline.operators.dml import merge, overwrite_partitions, write_snapshot
+from ledgerline.operators.dml import merge, overwrite_partitions, read_snapshot, write_snapshot
 from ledgerline.operators.relational import with_row_id
 from ledgerline.params import RunParams
 from ledgerline.plans import labels as L
 from ledgerline.plans import upserts
-from ledgerline.plans.stages import stages_for
+from ledgerline.plans.stages import Run, stages_for
 from ledgerline.session import ensure_checkpoint_dir
 from ledgerline.sources.testdata import RetailModel
 
@@ -66,83 +67,147 @@ def _append_if_absent(spark: SparkSession, rows: DataFrame, path: str, keys: lis
     rows.write.mode("append").partitionBy("ReportDay").parquet(path)
 
 
+#: Report tables: key columns and the column of the run date.
+REPORTS = {
+    "SalesPerformanceReport": (["ReportDate", "DepartmentId", "EmployeeId", "CustomerId"], "ReportDate"),
+    "CustomerSegmentAnalysis": (["AnalysisDate", "CustomerId"], "AnalysisDate"),
+    "DepartmentPerformanceReport": (["ReportDate", "DepartmentId"], "ReportDate"),
+}
+
+
+def _as_left(m: RetailModel, lasting: str) -> RetailModel:
+    """The model with Orders and the queue as the last run into ``lasting`` left them."""
+    spark = m.spark
+    orders = read_snapshot(spark, f"{lasting}/Orders")
+    queue = read_snapshot(spark, f"{lasting}/OrderProcessingQueue")
+    if orders is None and queue is None:
+        return m
+    m = copy.copy(m)
+    m.run = Run()  # other data: nothing stored so far counts
+    if orders is not None:
+        m.__dict__["orders_with_shipping"] = orders
+        m.__dict__["orders"] = orders.drop("ShippedDate")
+    if queue is not None:
+        m.__dict__["order_processing_queue"] = queue
+    return m
+
+
 def run_pipeline(m: RetailModel, params: RunParams, out_dir: str | None = None,
                  debug: bool = False, summary_path: str | None = None,
                  reports_dir: str | None = None) -> DataFrame:
     """Run stages 1-14 and return the run summary row.
 
-    ``summary_path``: a partitioned (ProcessYear, ProcessMonth) CustomerOrderSummary
-    table kept across runs.  When it exists, the merge reads it, and only the
-    run month's partition is rewritten (dynamic partition overwrite); otherwise
-    the merged table is written there (or under ``out_dir``) in full.
-    ``reports_dir``: where the report tables live across runs (default: the run folder).
+    ``out_dir`` holds what lasts between runs: new versions of Orders and the
+    queue (the next run reads the newest), CustomerOrderSummary (partitioned by
+    ProcessYear and ProcessMonth; the merge rewrites the run month only), the
+    report tables, and the appended logs; a run's own tables are in a folder of
+    their own under ``runs``.  ``summary_path`` and ``reports_dir`` may lie
+    elsewhere.  Without ``out_dir`` everything goes to a scratch folder.
+
+    On failure the ErrorLog and RunSummary rows are appended and the error is
+    raised again, with the summary row as its ``run_summary``.
     """
     spark = m.spark
     started = datetime.now().replace(microsecond=0)
-    base = (out_dir or f"{ensure_checkpoint_dir(spark)}/ledgerline-runs/{params.run_id}-{uuid.uuid4().hex[:8]}")
+    lasting = out_dir or f"{ensure_checkpoint_dir(spark)}/ledgerline-runs/{params.run_id}-{uuid.uuid4().hex[:8]}"
+    temp = f"{lasting}/runs/{params.run_id}-{uuid.uuid4().hex[:8]}"
+    reports, summary_path = reports_dir or lasting, summary_path or f"{lasting}/CustomerOrderSummary"
+    m = _as_left(m, lasting)
     st = stages_for(m, params)
-    reports = reports_dir or base
-    day = params.current_ts
+    day, records = params.current_ts, None
+
+    def report(name: str, rows: DataFrame) -> None:
+        keys, day_col = REPORTS[name]
+        _append_if_absent(spark, rows, f"{reports}/{name}", keys, day_col, day)
+
+    def summary_row(status: str, message: str | None) -> DataFrame:
+        ended = datetime.now().replace(microsecond=0)
+        row = (params.run_id, started, ended, int((ended - started).total_seconds()), records, status, message)
+        out = spark.createDataFrame([row], SUMMARY_SCHEMA)
+        out.write.mode("append").parquet(f"{lasting}/RunSummary")
+        return out
+
     try:
         # 1 staging rows; @RowCount comes from an Observation filled while tpd1 is stored
         tpd1 = st.tpd1
-        observed = st.stage1_rows.get if st.keep else {}
+        observed = st.stage1_rows.get if st.run else {}
         records = int(observed["rows"]) if "rows" in observed else tpd1.count()
         # 2 re-price and value status
         tpd2 = st.tpd2
         # 3 summary merge + change feed
         months = ["ProcessYear", "ProcessMonth"]
-        if summary_path and _exists(spark, summary_path):
+        if _exists(spark, summary_path):
             stored = spark.read.parquet(summary_path)
-            scoped, changes = merge(stored, st.merge_source(tpd2), upserts.summary_merge_spec(st), scope_only=True)
+            scoped, changes = merge(stored, st.merge_source(tpd2), upserts.summary_merge_spec(st),
+                                    check_duplicates=False, scope_only=True)
             changes = changes.checkpoint()
-            overwrite_partitions(scoped.checkpoint(), summary_path, months)  # checkpoint: never read what we overwrite
+            overwrite_partitions(scoped.checkpoint(), summary_path, months,  # checkpoint: never read what we overwrite
+                                 [{"ProcessYear": params.process_year, "ProcessMonth": params.process_month}])
         else:
             summary, changes = upserts.customer_order_summary_merge(st, tpd=tpd2)
-            summary.write.partitionBy(*months).parquet(summary_path or f"{base}/CustomerOrderSummary")
-        changes.write.parquet(f"{base}/TempMergeResults")
+            summary.write.partitionBy(*months).parquet(summary_path)
+        changes.write.parquet(f"{temp}/TempMergeResults")
         # 4 queue purge: needs IsProcessed = 1, which stage 8 sets later (so nothing goes in one run)
-        queue = upserts.purge_processed_queue(st, tpd=tpd2)
-        write_snapshot(queue, f"{base}/OrderProcessingQueue", 1)
+        write_snapshot(upserts.purge_processed_queue(st, tpd=tpd2), f"{lasting}/OrderProcessingQueue")
         # 5 sales report
-        _append_if_absent(spark, st.sales_performance_report(), f"{reports}/SalesPerformanceReport",
-                          ["ReportDate", "DepartmentId", "EmployeeId", "CustomerId"], "ReportDate", day)
+        report("SalesPerformanceReport", st.sales_performance_report())
         # 6 aggregate
-        st.aggregated_department_employee().write.parquet(f"{base}/TempAggregatedData")
+        st.aggregated_department_employee().write.parquet(f"{temp}/TempAggregatedData")
         # 7 validation
-        st.validation_results().write.parquet(f"{base}/TempValidationResults")
-        # 8 finalise (checkpointed inside)
+        st.validation_results().write.parquet(f"{temp}/TempValidationResults")
+        # 8 finalise (stored inside)
         st.tpd3
         # 9 execution log
         log = st.execution_log().withColumn("StartTime", lit_ts(started)) \
             .withColumn("EndTime", F.localtimestamp())
-        log.write.mode("append").parquet(f"{base}/ProcessExecutionLog")
+        log.write.mode("append").parquet(f"{lasting}/ProcessExecutionLog")
         # 10 debug result sets
         if debug:
-            st.processing_summary().write.parquet(f"{base}/debug/ProcessingSummary")
-            st.department_summary().write.parquet(f"{base}/debug/DepartmentSummary")
-            st.validation_summary().write.parquet(f"{base}/debug/ValidationResults")
+            st.processing_summary().write.parquet(f"{temp}/debug/ProcessingSummary")
+            st.department_summary().write.parquet(f"{temp}/debug/DepartmentSummary")
+            st.validation_summary().write.parquet(f"{temp}/debug/ValidationResults")
         # 11 reclassification and segment analysis
         st.tpd4
-        _append_if_absent(spark, st.customer_segment_analysis(), f"{reports}/CustomerSegmentAnalysis",
-                          ["AnalysisDate", "CustomerId"], "AnalysisDate", day)
+        report("CustomerSegmentAnalysis", st.customer_segment_analysis())
         # 12 department report
-        _append_if_absent(spark, st.department_performance_report(), f"{reports}/DepartmentPerformanceReport",
-                          ["ReportDate", "DepartmentId"], "ReportDate", day)
+        report("DepartmentPerformanceReport", st.department_performance_report())
         # 13 order date repair
-        write_snapshot(st.repair_order_dates(st.tpd4), f"{base}/Orders", 1)
+        write_snapshot(st.repair_order_dates(st.tpd4), f"{lasting}/Orders")
         # the staging table as the procedure leaves it, with its IDENTITY-style ids
-        with_row_id(st.tpd4).write.parquet(f"{base}/TempProcessingData")
+        with_row_id(st.tpd4).write.parquet(f"{temp}/TempProcessingData")
         # 14 statistics
         elapsed = int((datetime.now() - started).total_seconds())
         st.process_statistics().withColumn("ProcessingTimeSeconds", F.lit(elapsed).cast("long")) \
-            .write.mode("append").parquet(f"{base}/ProcessStatistics")
-        ended = datetime.now().replace(microsecond=0)
-        row = (params.run_id, started, ended, int((ended - started).total_seconds()), records, L.SUCCESS, None)
-        return spark.createDataFrame([row], SUMMARY_SCHEMA)
+            .write.mode("append").parquet(f"{lasting}/ProcessStatistics")
+        return summary_row(L.SUCCESS, None)
     except Exception as exc:
-        err = spark.createDataFrame(
-            [(params.run_id, type(exc).__name__, str(exc)[:4000], datetime.now())],
-            "ProcessId string, ErrorNumber string, ErrorMessage string, CreatedDate timestamp_ntz")
-        err.write.mode("append").parquet(f"{base}/ErrorLog")
+        frames = traceback.extract_tb(exc.__traceback__)
+        spark.createDataFrame(
+            [(params.run_id, type(exc).__name__, frames[-1].name, frames[-1].lineno, str(exc), datetime.now())],
+            "ProcessId string, ErrorNumber string, ErrorProcedure string, ErrorLine int, ErrorMessage string, "
+            "CreatedDate timestamp_ntz").write.mode("append").parquet(f"{lasting}/ErrorLog")
+        exc.run_summary = summary_row(L.FAILED, str(exc))
         raise
+
+
+#: Tables of a run that has its folder to itself, and where they are.
+RUN_TABLES = {
+    "CustomerOrderSummary": "", "SalesPerformanceReport": "", "CustomerSegmentAnalysis": "",
+    "DepartmentPerformanceReport": "", "ProcessExecutionLog": "", "ProcessStatistics": "", "Orders": "",
+    "OrderProcessingQueue": "", "TempMergeResults": "runs/*/", "TempAggregatedData": "runs/*/",
+    "TempValidationResults": "runs/*/", "TempProcessingData": "runs/*/",
+}
+
+
+def run_pipeline_counts(m: RetailModel, params: RunParams) -> DataFrame:
+    """Q40 as a query: the run's status and record count, with the rows of every table it wrote."""
+    spark = m.spark
+    out = f"{ensure_checkpoint_dir(spark)}/ledgerline-runs/{params.run_id}-{uuid.uuid4().hex[:8]}"
+    summary = run_pipeline(m, params, out_dir=out).select("Status", "RecordsProcessed")
+    rows = None
+    for name, folder in RUN_TABLES.items():
+        n = spark.read.parquet(f"{out}/{folder}{name}").groupBy().agg(F.lit(name).alias("TableName"), F.count(F.lit(1)).alias("TableRows"))
+        rows = n if rows is None else rows.unionByName(n)
+    one = summary.first()  # the summary is one row
+    return rows.select("TableName", "TableRows", F.lit(one.Status).alias("Status"),
+                       F.lit(one.RecordsProcessed).cast("long").alias("RecordsProcessed"))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.params import DEFAULT_PARAMS, RunParams
 from ledgerline.plans import adhoc, metrics, pipeline, upserts
-from ledgerline.plans.stages import TPD_COLUMNS, Stages, stages_for
+from ledgerline.plans.stages import TPD_COLUMNS, Run, Stages, stages_for
 from ledgerline.session import ensure_checkpoint_dir
 from ledgerline.sources.testdata import RetailModel
 
@@ -61,7 +61,7 @@ QUERIES: dict[str, QueryFn] = {
     # Q15 D1
     "purge_processed_queue": _st(lambda st: upserts.purge_processed_queue(st)),
     # Q16 S12 A6
-    "sales_performance_report": _st(lambda st: st.sales_performance_report()),
+    "sales_performance_report": _st(lambda st: st.sales_performance_report(st.m.stored_sales_report(st.p))),
     # Q17 A13 J14
     "aggregated_department_employee": _st(lambda st: st.aggregated_department_employee()),
     # Q18
@@ -89,13 +89,13 @@ QUERIES: dict[str, QueryFn] = {
     # Q29 U3
     "reclassify_status": _st(lambda st: st.reclassify_status()),
     # Q30 T3 T4 J13
-    "customer_segment_analysis": _st(lambda st: st.customer_segment_analysis()),
+    "customer_segment_analysis": _st(lambda st: st.customer_segment_analysis(st.m.stored_segment_analysis(st.p))),
     # Q31 R2
     "department_budget_tree": metrics.department_budget_tree,
     # Q32 P8 P16
     "department_performance_metrics": _st(lambda st: st.department_metrics),
     # Q33
-    "department_performance_report": _st(lambda st: st.department_performance_report()),
+    "department_performance_report": _st(lambda st: st.department_performance_report(st.m.stored_department_report(st.p))),
     # Q34 U4 P17 P22
     "repair_order_dates": _st(lambda st: st.repair_order_dates()),
     # Q35
@@ -113,15 +113,16 @@ QUERIES: dict[str, QueryFn] = {
     # J3
     "left_join_extra_on": _st(adhoc.left_join_extra_on),
     # Q40 S10 S13 S14
-    "run_pipeline": pipeline.run_pipeline,
+    "run_pipeline": pipeline.run_pipeline_counts,
 }
 
 
-def bind(fn: QueryFn, params: RunParams = DEFAULT_PARAMS,
-         name: str | None = None) -> Callable[[SparkSession, str], DataFrame]:
+def bind(fn: QueryFn, params: RunParams = DEFAULT_PARAMS, name: str | None = None,
+         shared: Run | None = None) -> Callable[[SparkSession, str], DataFrame]:
+    """``fn`` over the tables of a folder; queries bound to one ``shared`` run share its stored tables."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ensure_checkpoint_dir(spark)
-        return fn(RetailModel(spark, sf_dir), params)
+        return fn(RetailModel(spark, sf_dir, shared), params)
     run.__name__ = name or getattr(fn, "__name__", "query")
     run.__doc__ = fn.__doc__
     return run

@@ -20,10 +20,11 @@ rows, exactly as the procedure does.
 
 from __future__ import annotations
 
+import uuid
 from decimal import Decimal
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions.exprs import (add_days, count_when, lit_ts, net_amount, optional_eq,
@@ -33,7 +34,7 @@ from ledgerline.operators.relational import append_if_absent, row_number_by_rang
 from ledgerline.params import DEFAULT_PARAMS, RunParams
 from ledgerline.plans import labels as L
 from ledgerline.plans import metrics
-from ledgerline.session import session_key
+from ledgerline.session import ensure_checkpoint_dir, remove_folder
 from ledgerline.sources.testdata import RetailModel
 
 TPD_KEYS = ["CustomerId", "OrderId", "ProductId", "EmployeeId", "DepartmentId"]
@@ -54,40 +55,62 @@ def sorted_list(values: Column, sep: str = L.LIST_SEPARATOR) -> Column:
     return F.when(F.size(values) > 0, F.array_join(F.array_sort(values), sep))
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Store an intermediate table once per run (the procedure's #temp tables).
+class Run:
+    """The stored tables that the queries of one run share (the procedure's #temp tables).
 
-    A reliable checkpoint into ``spark.checkpoint.dir`` (a shared folder on a
-    cluster): later stages read it instead of re-running the lineage, and a
-    lost executor does not lose it.
+    The caller makes it, hands it to its models and ends it.  Tables are kept
+    by the identity of the data (file listing, not path) and by the run's
+    parameters, and lie in a folder of the run's own under the cluster's
+    ``spark.checkpoint.dir``, which ``end()`` removes.
     """
-    return df.checkpoint(eager=True)
 
+    def __init__(self):
+        self._stages: dict[tuple, Stages] = {}
+        self._facts: dict[tuple, dict[str, DataFrame]] = {}
+        self._folders: dict[str, SparkSession] = {}
 
-_RUNS: dict[tuple, "Stages"] = {}
-_FACTS: dict[tuple, dict[str, DataFrame]] = {}
+    def stages(self, m: RetailModel, params: RunParams) -> "Stages":
+        """One ``Stages`` per data and parameters; facts without parameters are shared by all parameters."""
+        data = (m.spark.sparkContext.applicationId, m.identity())
+        key = (*data, params)
+        if key not in self._stages:
+            self._stages[key] = Stages(m, params, run=self, facts=self._facts.setdefault(data, {}))
+        return self._stages[key]
 
+    def store(self, df: DataFrame) -> DataFrame:
+        """Write an intermediate table to the run's folder and read it back.
 
-def stages_for(m: RetailModel, params: RunParams = DEFAULT_PARAMS) -> "Stages":
-    """One ``Stages`` per (application, input folder, parameters): queries of a run share its tables.
+        Later stages read it instead of re-running the lineage (columns are
+        pruned), and a lost executor doesn't lose it.
+        """
+        spark = df.sparkSession
+        path = f"{ensure_checkpoint_dir(spark)}/run-{id(self):x}-{uuid.uuid4().hex}"
+        self._folders[path] = spark
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    def end(self) -> None:
+        """Forget and remove everything that was stored."""
+        self._stages.clear()
+        self._facts.clear()
+        for path, spark in self._folders.items():
+            remove_folder(spark, path)
+        self._folders.clear()
 
-    Facts that do not depend on the run parameters (department tree, top
-    categories, per-order totals) are shared by all runs over the same input.
-    """
-    key = (session_key(m.spark), m.sf_dir, params)
-    st = _RUNS.get(key)
-    if st is None:
-        facts = _FACTS.setdefault(key[:2], {})
-        st = _RUNS[key] = Stages(m, params, keep=True, facts=facts)
-    return st
+
+def stages_for(m: RetailModel, params: RunParams = DEFAULT_PARAMS) -> "Stages":
+    """The stages of the model's run; a model without one gets a run of its own."""
+    if m.run is None:
+        m.run = Run()
+    return m.run.stages(m, params)
 
 
 class Stages:
-    def __init__(self, m: RetailModel, params: RunParams = DEFAULT_PARAMS, keep: bool = False,
+    def __init__(self, m: RetailModel, params: RunParams = DEFAULT_PARAMS, run: Run | None = None,
                  facts: dict[str, DataFrame] | None = None):
         self.m = m
         self.p = params
-        self.keep = keep
+        self.run = run
         self.facts = facts
         self.cur = lit_ts(params.current_ts)
         self.prev = lit_ts(params.previous_month)
@@ -95,7 +118,7 @@ class Stages:
         self.stage1_rows = Observation("stage1_rows")
 
     def _keep(self, df: DataFrame) -> DataFrame:
-        return materialize(df) if self.keep else df
+        return self.run.store(df) if self.run else df
 
     def _shared(self, name: str, build) -> DataFrame:
         """A parameter-independent fact, built once per input when facts are shared."""
@@ -139,6 +162,12 @@ class Stages:
         """Per-order gross/net sums over all lines: read by the tier and value rules, stored once."""
         return self._shared("order_totals", lambda: self._keep(metrics.order_totals(self.m)))
 
+    @cached_property
+    def regional_totals(self) -> DataFrame:
+        """TotalSales per region over all orders, from the stored per-order totals."""
+        return self._shared("regional_totals", lambda: self._keep(
+            metrics.regional_sales_summary(self.m, self.p, self.order_totals).select("RegionId", "TotalSales")))
+
     @cached_property
     def category_avg_stock(self) -> DataFrame:
         """Average UnitsInStock per category (double, like AVG over the products)."""
@@ -160,7 +189,8 @@ class Stages:
     def order_amount_in_top_categories(self, orders: DataFrame | None = None) -> DataFrame:
         """Q7: per order, net value of its lines whose product is in a top-5 category (NULL if none)."""
         o = (orders if orders is not None else self.window_orders).select("OrderId")
-        lines = self.m.order_details.join(o, "OrderId", "left_semi")
+        # the run window's lines are among the stored recent ones
+        lines = (self.m.order_details if orders is not None else self.recent_lines).join(o, "OrderId", "left_semi")
         top = F.broadcast(self.top_category_ids.withColumn("in_top", F.lit(True)))
         prod = self.m.products.select("ProductId", "CategoryId").join(top, "CategoryId", "left")
         per = (lines.join(prod, "ProductId", "inner")
@@ -203,7 +233,7 @@ class Stages:
 
     def low_stock_products(self) -> DataFrame:
         """Products whose UnitsInStock is below their category's average."""
-        avg = F.broadcast(self.category_avg_stock)  # one row per category: bounded
+        avg = self.category_avg_stock
         return (self.m.products.select("ProductId", "CategoryId", "UnitsInStock")
                 .join(avg, "CategoryId", "inner")
                 .filter(F.col("UnitsInStock") < F.col("cat_avg_stock")).select("ProductId"))
@@ -235,10 +265,10 @@ class Stages:
         """
         m, p = self.m, self.p
         cust = (m.customers.filter(F.col("IsActive") == 1)
-                .join(F.broadcast(m.regions.select("RegionId")), "RegionId", "left_semi")
+                .join(m.regions.select("RegionId"), "RegionId", "left_semi")
                 .select("CustomerId"))
         emp = (m.employees.filter(F.col("IsActive") == 1)
-               .join(F.broadcast(self.dept_tree), "DepartmentId", "left_semi")
+               .join(self.dept_tree, "DepartmentId", "left_semi")
                .filter(optional_eq("DepartmentId", p.department_id)
                        & optional_eq("EmployeeId", p.employee_id))
                .select(F.col("EmployeeId"), F.col("EmployeeId").alias("SalesPersonId"), "DepartmentId"))
@@ -248,12 +278,13 @@ class Stages:
                   .join(cust, "CustomerId", "left_semi")
                   .join(emp, "SalesPersonId", "inner")
                   .join(recent_cancel, "OrderId", "left_anti"))
-        win_lines = (m.order_details.select("OrderId", "ProductId", "Quantity", "UnitPrice", "Discount")
+        orders = self._keep(orders)  # a month's orders: read by the lines, the totals and the rows
+        win_lines = (self.recent_lines.select("OrderId", "ProductId", "Quantity", "UnitPrice", "Discount")
                      .join(orders.select("OrderId"), "OrderId", "left_semi"))
         # One aggregate per order gives both the top-5 amount and the low-stock test.
         top = F.broadcast(self.top_category_ids.withColumn("in_top", F.lit(True)))
         prod_info = (m.products.select("ProductId", "CategoryId", "UnitsInStock")
-                     .join(F.broadcast(self.category_avg_stock), "CategoryId", "left")
+                     .join(self.category_avg_stock, "CategoryId", "left")
                      .join(top, "CategoryId", "left")
                      .select("ProductId", F.coalesce(F.col("in_top"), F.lit(False)).alias("in_top"),
                              F.coalesce(F.col("UnitsInStock") < F.col("cat_avg_stock"), F.lit(False))
@@ -263,9 +294,9 @@ class Stages:
                           F.max(F.col("is_low").cast("int")).alias("has_low"))
                      .filter(F.col("has_low") == 1))
         valid_products = (m.products.select("ProductId", "CategoryId", "SupplierId")
-                          .join(F.broadcast(m.categories.select("CategoryId")), "CategoryId", "left_semi")
+                          .join(m.categories.select("CategoryId"), "CategoryId", "left_semi")
                           .join(m.suppliers, "SupplierId", "left_semi").select("ProductId"))
-        kept = orders.join(per_order, "OrderId", "inner")
+        kept = self._keep(orders.join(per_order, "OrderId", "inner"))
         status = self.customer_tier_frame(kept.select("CustomerId")).select("CustomerId", "Tier")
         rows = (win_lines.select("OrderId", "ProductId")
                 .join(valid_products, "ProductId", "left_semi")
@@ -289,8 +320,8 @@ class Stages:
     def repriced_amount(self, tpd: DataFrame) -> DataFrame:
         """Q12: Amount = net of the row's (order, product) lines x discount factor, as DECIMAL(18,2)."""
         pairs = tpd.select("OrderId", "ProductId").distinct()
-        pair_net = (self.m.order_details.join(pairs, ["OrderId", "ProductId"], "left_semi")
-                    .join(self.m.orders.select("OrderId"), "OrderId", "left_semi")
+        # the rows to re-price belong to recent orders
+        pair_net = (self.recent_lines.join(pairs, ["OrderId", "ProductId"], "left_semi")
                     .groupBy("OrderId", "ProductId").agg(F.sum(net_amount()).alias("pair_net")))
         j = tpd.join(pair_net, ["OrderId", "ProductId"], "left").join(self.discount_factor(), "CustomerId", "left")
         factor = percent_factor(F.col("pct_sum")).cast("decimal(9,4)")
@@ -313,7 +344,7 @@ class Stages:
         p75 = percentile_cont(totals, "gross_sum", 0.75)
         j = (tpd.join(per_cust, "CustomerId", "left")
              .join(c.withColumnRenamed("RegionId", "cust_region"), "CustomerId", "left")
-             .join(F.broadcast(region_mean), F.col("cust_region") == F.col("RegionId"), "left")
+             .join(region_mean, F.col("cust_region") == F.col("RegionId"), "left")
              .join(totals, "OrderId", "left"))
         p75_col = F.lit(p75).cast("double")
         return j.withColumn("NewStatus", tier(
@@ -366,12 +397,12 @@ class Stages:
         m = self.m
         t = self.tpd2.filter((F.col("IsProcessed") == 0) & (F.col("ProcessDate") >= self.prev))
         active_cust = (m.customers.filter(F.col("IsActive") == 1)
-                       .join(F.broadcast(m.regions.select("RegionId")), "RegionId", "left_semi")
+                       .join(m.regions.select("RegionId"), "RegionId", "left_semi")
                        .select("CustomerId", "RegionId"))
         emp = (m.employees.filter(F.col("IsActive") == 1)
-               .join(F.broadcast(self.dept_tree), "DepartmentId", "left_semi")
+               .join(self.dept_tree, "DepartmentId", "left_semi")
                .select("EmployeeId", F.col("DepartmentId").alias("EmpDepartmentId")))
-        ship = F.broadcast(m.shippers)
+        ship = m.shippers
         o = (m.orders.select("OrderId", "ShipVia")
              .join(ship, F.col("ShipVia") == F.col("ShipperId"), "left_semi").select("OrderId"))
         rows = (t.select("CustomerId", "OrderId", "EmployeeId")
@@ -381,17 +412,19 @@ class Stages:
         keys = ["EmpDepartmentId", "EmployeeId", "CustomerId", "RegionId"]
         mult = rows.groupBy(*keys, "OrderId").agg(F.count(F.lit(1)).alias("mult"))
         prod = (m.products.select("ProductId", "CategoryId", "SupplierId")
-                .join(F.broadcast(m.categories.select("CategoryId")), "CategoryId", "left_semi")
+                .join(m.categories.select("CategoryId"), "CategoryId", "left_semi")
                 .join(m.suppliers, "SupplierId", "left_semi"))
         # each line of a staged order, once per (report key, order), weighted by the
         # number of staging rows of that order: one aggregate gives sums and distinct counts
-        lines = (m.order_details.join(mult.select("OrderId"), "OrderId", "left_semi")
+        lines = (self.recent_lines.select("OrderId", "ProductId", "Quantity", "UnitPrice", "Discount")
                  .join(prod, "ProductId", "inner")
                  .join(mult, "OrderId", "inner"))
-        agg = lines.groupBy(*keys).agg(
+        # one row per (report key, order, product) first: the distinct counts then expand few rows
+        pairs = lines.groupBy(*keys, "OrderId", "ProductId", "CategoryId", "SupplierId").agg(
+            F.sum(net_amount() * F.col("mult")).alias("s"), F.sum("mult").alias("n"))
+        agg = pairs.groupBy(*keys).agg(
             F.count_distinct("OrderId").alias("OrderCount"),
-            F.sum(net_amount() * F.col("mult")).alias("s"),
-            F.sum("mult").alias("n"),
+            F.sum("s").alias("s"), F.sum("n").alias("n"),
             F.count_distinct("ProductId").alias("ProductCount"),
             F.count_distinct("CategoryId").alias("CategoryCount"),
             F.count_distinct("SupplierId").alias("SupplierCount"))
@@ -431,19 +464,19 @@ class Stages:
         """
         m = self.m
         t = self.tpd2.filter(F.col("IsProcessed") == 0)
-        rss = metrics.regional_sales_summary(m, self.p).select("RegionId", "TotalSales")
+        rss = self.regional_totals
         good_regions = rss.filter(F.col("TotalSales") > rss.select(F.avg("TotalSales")).scalar()).select("RegionId")
-        cust = m.customers.select("CustomerId", "RegionId").join(F.broadcast(good_regions), "RegionId", "left_semi")
+        cust = m.customers.select("CustomerId", "RegionId").join(good_regions, "RegionId", "left_semi")
         emp = (m.employees.filter(F.col("IsActive") == 1)
-               .join(F.broadcast(self.dept_tree), "DepartmentId", "left_semi")
+               .join(self.dept_tree, "DepartmentId", "left_semi")
                .select("EmployeeId", F.col("DepartmentId").alias("EmpDepartmentId")))
         prod = (m.products.select("ProductId", "CategoryId")
-                .join(F.broadcast(m.categories.select("CategoryId")), "CategoryId", "left_semi"))
+                .join(m.categories.select("CategoryId"), "CategoryId", "left_semi"))
         rows = (t.select("CustomerId", "OrderId", "EmployeeId", "Amount")
                 .join(cust.select("CustomerId"), "CustomerId", "left_semi")
                 .join(emp, "EmployeeId", "inner")
                 .join(m.orders.select("OrderId"), "OrderId", "left_semi"))
-        lines_per_order = (m.order_details.join(rows.select("OrderId").distinct(), "OrderId", "left_semi")
+        lines_per_order = (self.recent_lines.join(rows.select("OrderId").distinct(), "OrderId", "left_semi")
                            .join(prod, "ProductId", "left_semi")
                            .groupBy("OrderId").agg(F.count(F.lit(1)).alias("n")))
         fan = rows.join(lines_per_order, "OrderId", "inner")
@@ -452,7 +485,7 @@ class Stages:
             F.sum("n").alias("n"),
             F.sum(F.when(F.col("Amount").isNotNull(), F.col("n"))).alias("n_amount"),
             F.max("Amount").alias("MaxAmount"), F.min("Amount").alias("MinAmount"))
-        median_src = self.tpd2.groupBy("DepartmentId", "EmployeeId").agg(F.sum("Amount").alias("tot"))
+        median_src = self._keep(self.tpd2.groupBy("DepartmentId", "EmployeeId").agg(F.sum("Amount").alias("tot")))
         median = percentile_cont(median_src, "tot", 0.5)
         g = g.filter(F.col("s").cast("double") > F.lit(median).cast("double"))
         return self._keep(g.select(
@@ -468,8 +501,7 @@ class Stages:
     def _with_validations(self, tpd: DataFrame) -> DataFrame:
         """Adds both validation outcomes as columns of the unprocessed staging rows."""
         m = self.m
-        order_max = (m.order_details.join(tpd.select("OrderId").distinct(), "OrderId", "left_semi")
-                     .join(m.orders.select("OrderId"), "OrderId", "left_semi")
+        order_max = (self.recent_lines.join(tpd.select("OrderId").distinct(), "OrderId", "left_semi")
                      .groupBy("OrderId").agg(F.max(net_amount()).alias("max_line")))
         spend = (self.recent_lines.join(tpd.select("CustomerId").distinct(), "CustomerId", "left_semi")
                  .groupBy("CustomerId").agg(F.sum(net_amount()).alias("recent_spend")))
@@ -605,7 +637,7 @@ class Stages:
         m = self.m
         t = self.tpd3.filter(F.col("IsProcessed") == 1)
         prod_cat = (m.products.select("ProductId", "CategoryId")
-                    .join(F.broadcast(m.categories.select("CategoryId")), "CategoryId", "left_semi"))
+                    .join(m.categories.select("CategoryId"), "CategoryId", "left_semi"))
         lines = self.recent_lines.select("OrderId", "CustomerId", "ProductId", "Quantity", "UnitPrice", "Discount")
         # (customer, category) -> distinct recent orders touching the category
         similar = (lines.join(prod_cat, "ProductId", "inner")
@@ -664,13 +696,13 @@ class Stages:
         """Q27: SalesRank in department by recent net sales, and sales inside own top-3 categories."""
         m = self.m
         e = (m.employees.filter(F.col("IsActive") == 1)
-             .join(F.broadcast(m.departments.select("DepartmentId")), "DepartmentId", "left_semi")
+             .join(m.departments.select("DepartmentId"), "DepartmentId", "left_semi")
              .select("EmployeeId", "DepartmentId", "EmployeeName"))
         recent = (self.recent_lines.groupBy("SalesPersonId")
                   .agg(F.sum(net_amount()).alias("recent_sales"))
                   .withColumnRenamed("SalesPersonId", "EmployeeId"))
         prod_cat = (m.products.select("ProductId", "CategoryId")
-                    .join(F.broadcast(m.categories.select("CategoryId")), "CategoryId", "left_semi"))
+                    .join(m.categories.select("CategoryId"), "CategoryId", "left_semi"))
         all_lines = m.order_details.join(m.orders.select("OrderId", "SalesPersonId", "OrderDate"), "OrderId", "inner")
         emp_cat = (all_lines.join(prod_cat, "ProductId", "inner")
                    .groupBy("SalesPersonId", "CategoryId")
@@ -706,7 +738,7 @@ class Stages:
         prods_n = (lines.join(prod, "ProductId", "left_semi").groupBy("CustomerId")
                    .agg(F.count_distinct("ProductId").alias("recent_products")))
         cat_names = (lines.select("CustomerId", "ProductId").join(prod, "ProductId", "inner")
-                     .join(F.broadcast(m.categories), "CategoryId", "inner")
+                     .join(m.categories, "CategoryId", "inner")
                      .groupBy("CustomerId")
                      .agg(sorted_list(F.collect_set("CategoryName")).alias("PreferredCategories")))
         p90 = percentile_cont(spend, "spend", 0.9)
@@ -766,7 +798,7 @@ class Stages:
     @cached_property
     def department_metrics(self) -> DataFrame:
         """Q32 for this run (read by Q33 as well), stored once."""
-        return self._keep(metrics.department_performance_metrics(self.m, self.p))
+        return self._keep(metrics.department_performance_metrics(self.m, self.p, self.order_totals))
 
     def department_performance_report(self, existing: DataFrame | None = None) -> DataFrame:
         """Q33: department report rows with target status, inserted if absent for the date."""
@@ -788,7 +820,7 @@ class Stages:
         """Per order, from one pass over its lines: has_valid_line (a product whose
         category exists), has_discontinued (a discontinued product)."""
         m = self.m
-        cats = F.broadcast(m.categories.select("CategoryId").withColumn("cat_ok", F.lit(1)))  # bounded
+        cats = m.categories.select("CategoryId").withColumn("cat_ok", F.lit(1))
         prod = (m.products.select("ProductId", "CategoryId", "Discontinued")
                 .join(cats, "CategoryId", "left")
                 .select("ProductId", F.coalesce(F.col("cat_ok"), F.lit(0)).alias("valid"),
@@ -813,13 +845,13 @@ class Stages:
         anomaly = ((req < od_) | (req > add_days(od_, 90))
                    | (shp.isNotNull() & (shp < od_)) | (shp.isNotNull() & (shp > add_days(od_, 180))))
         cust_ok = (m.customers.select("CustomerId", "RegionId")
-                   .join(F.broadcast(m.regions.select("RegionId")), "RegionId", "left_semi")
+                   .join(m.regions.select("RegionId"), "RegionId", "left_semi")
                    .select("CustomerId", F.lit(True).alias("cust_ok")))
         emp_ok = (m.employees.select("EmployeeId", "DepartmentId")
-                  .join(F.broadcast(m.departments.select("DepartmentId")), "DepartmentId", "left_semi")
+                  .join(m.departments.select("DepartmentId"), "DepartmentId", "left_semi")
                   .select(F.col("EmployeeId").alias("SalesPersonId"), F.lit(True).alias("emp_ok")))
         staged = t.select("OrderId").distinct().withColumn("staged", F.lit(True))
-        j = (o.join(self.order_line_flags(), "OrderId", "left")
+        j = (o.join(self.order_line_flags(staged), "OrderId", "left")
              .join(staged, "OrderId", "left")
              .join(cust_ok, "CustomerId", "left")
              .join(emp_ok, "SalesPersonId", "left"))
@@ -842,7 +874,7 @@ class Stages:
         t = self.tpd4.filter(F.col("IsProcessed") == 1)
         lines = self.recent_lines.select("OrderId", "ProductId", "CustomerId")
         prod = m.products.select("ProductId", "CategoryId", "SupplierId")
-        cats = F.broadcast(m.categories.select("CategoryId").withColumn("cat_ok", F.lit(True)))  # bounded
+        cats = m.categories.select("CategoryId").withColumn("cat_ok", F.lit(True))
         sups = m.suppliers.withColumn("sup_ok", F.lit(True))
         lp = (lines.join(prod, "ProductId", "inner").join(cats, "CategoryId", "left")
               .join(sups, "SupplierId", "left"))
@@ -855,7 +887,7 @@ class Stages:
         supplier_count = dims.select("s").scalar()
         region_count = (self.recent_orders.select("CustomerId")
                         .join(m.customers.select("CustomerId", "RegionId"), "CustomerId", "inner")
-                        .join(F.broadcast(m.regions.select("RegionId")), "RegionId", "left_semi")
+                        .join(m.regions.select("RegionId"), "RegionId", "left_semi")
                         .select(F.count_distinct("RegionId")).scalar())
         failed = count_when(F.col("Status") != L.PROCESSED)
         agg = t.agg(

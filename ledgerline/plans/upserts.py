@@ -60,13 +60,13 @@ def customer_order_summary_merge(st: Stages, target: DataFrame | None = None,
     outputs are materialized (they are the run's new table version and its
     #TempMergeResults).
     """
-    default = target is None and tpd is None
+    default = target is None and (tpd is None or tpd is st.__dict__.get("tpd2"))
     if default and getattr(st, "_summary_merge", None) is not None:
         return st._summary_merge
     target = target if target is not None else st.summary_table
     source = st.merge_source(tpd if tpd is not None else st.tpd2)
-    new_target, changes = merge(target, source, summary_merge_spec(st))
-    if default and st.keep:
+    new_target, changes = merge(target, source, summary_merge_spec(st), check_duplicates=False)  # grouped by the key
+    if default and st.run:
         st._summary_merge = (st._keep(new_target), st._keep(changes))
         return st._summary_merge
     return new_target, changes
@@ -86,9 +86,9 @@ def purge_processed_queue(st: Stages, queue: DataFrame | None = None,
     queue = queue if queue is not None else m.order_processing_queue
     tpd = tpd if tpd is not None else st.tpd3
     cust = (m.customers.select("CustomerId", "RegionId")
-            .join(F.broadcast(m.regions.select("RegionId")), "RegionId", "left_semi").select("CustomerId"))
+            .join(m.regions.select("RegionId"), "RegionId", "left_semi").select("CustomerId"))
     emp = (m.employees.select("EmployeeId", "DepartmentId")
-           .join(F.broadcast(m.departments.select("DepartmentId")), "DepartmentId", "left_semi")
+           .join(m.departments.select("DepartmentId"), "DepartmentId", "left_semi")
            .select(F.col("EmployeeId").alias("SalesPersonId")))
     candidates = queue.filter((F.col("Status") == L.PROCESSED)
                               & (F.col("ProcessedDate") < add_days(st.cur, -30)))
@@ -98,7 +98,7 @@ def purge_processed_queue(st: Stages, queue: DataFrame | None = None,
               .select("OrderId"))
     # one pass over the candidate orders' lines: a line with a product in an existing
     # category and supplier, and no discontinued product
-    cats = F.broadcast(m.categories.select("CategoryId").withColumn("cat_ok", F.lit(1)))  # bounded
+    cats = m.categories.select("CategoryId").withColumn("cat_ok", F.lit(1))
     prod = (m.products.select("ProductId", "CategoryId", "SupplierId", "Discontinued")
             .join(cats, "CategoryId", "left")
             .join(m.suppliers.withColumn("sup_ok", F.lit(1)), "SupplierId", "left")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -65,7 +66,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if not re.match(r"local(\[|$)", sc.master):
             # a machine-local folder would not survive a lost executor
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
         configured = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
@@ -74,12 +75,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def session_key(spark: SparkSession) -> str:
-    """Identifies the running application (classic or Connect session)."""
-    try:
-        return spark.sparkContext.applicationId
-    except Exception:  # noqa: BLE001
-        return spark.conf.get("spark.app.id", None) or str(id(spark))
+def listing(spark: SparkSession, paths: list[str]) -> tuple:
+    """(path, length, modification time) of every file under ``paths``, sorted: changes when the data does."""
+    jvm, conf, out = spark._jvm, spark._jsc.hadoopConfiguration(), []
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        files = path.getFileSystem(conf).listFiles(path, True)
+        while files.hasNext():
+            f = files.next()
+            out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(out))
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of stored tables, wherever the cluster keeps it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def size_shuffle_partitions(spark: SparkSession, paths: list[str], target_bytes: int = 128 << 20) -> int:

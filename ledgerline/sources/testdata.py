@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.exprs import lit_ts
 from ledgerline.params import RunParams
+from ledgerline.session import listing
 
 # Fixed values of the mapping (kept equal to the DuckDB side).
 SEGMENT_TYPE_IDS = {"AUTOMOBILE": 1, "BUILDING": 2, "FURNITURE": 3, "HOUSEHOLD": 4, "MACHINERY": 5}
@@ -39,9 +40,17 @@ def _days_after(ts_col, days_col):
 class RetailModel:
     """The twenty retail tables as DataFrames derived from ``sf_dir``."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    #: Whose stored tables this model's queries share (``plans.stages.Run``); None: nobody's.
+    run = None
+
+    def __init__(self, spark: SparkSession, sf_dir: str, run=None):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self.run = run
+
+    def identity(self) -> tuple:
+        """What the data is, not where: stored results count for one identity only."""
+        return ("folder", listing(self.spark, [self.sf_dir]))
 
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
@@ -69,8 +78,7 @@ class RetailModel:
         type_id = F.lit(None).cast("int")
         for name, tid in reversed(list(SEGMENT_TYPE_IDS.items())):
             type_id = F.when(seg == name, F.lit(tid)).otherwise(type_id)
-        # nation is a 25-row dimension: broadcast is safe by construction.
-        return c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey, "inner").select(
+        return c.join(n, c.c_nationkey == n.n_nationkey, "inner").select(
             F.col("c_custkey").alias("CustomerId"),
             F.col("c_name").alias("CustomerName"),
             type_id.alias("CustomerTypeId"),
@@ -130,7 +138,7 @@ class RetailModel:
         return p.select(
             F.col("p_partkey").alias("ProductId"),
             F.col("p_name").alias("ProductName"),
-            F.substring("p_brand", 7, 10).cast("int").alias("CategoryId"),
+            F.expr("substring(p_brand, 7)").cast("int").alias("CategoryId"),
             (F.col("p_partkey") % self.supplier_count).alias("SupplierId"),
             F.col("p_retailprice").cast("decimal(10,2)").alias("UnitPrice"),
             F.col("p_size").cast("int").alias("UnitsInStock"),
@@ -142,7 +150,7 @@ class RetailModel:
     @cached_property
     def categories(self) -> DataFrame:
         return (self.raw("part").select("p_brand").distinct()
-                .select(F.substring("p_brand", 7, 10).cast("int").alias("CategoryId"),
+                .select(F.expr("substring(p_brand, 7)").cast("int").alias("CategoryId"),
                         F.col("p_brand").alias("CategoryName")))
 
     @cached_property
@@ -215,7 +223,8 @@ class RetailModel:
             F.col("o_orderkey").alias("QueueId"),
             F.col("o_orderkey").alias("OrderId"),
             F.when(F.col("o_orderstatus") == "F", "Processed").otherwise("Pending").alias("Status"),
-            _days_after(F.col("o_orderdate"), F.lit(1)).alias("ProcessedDate"),
+            # every other entry waited long ago, so that the purge finds old ones in the run window
+            _days_after(F.col("o_orderdate"), F.when(F.col("o_orderkey") % 2 == 0, -70).otherwise(1)).alias("ProcessedDate"),
         )
 
     def customer_order_summary(self, params: RunParams) -> DataFrame:
@@ -272,6 +281,27 @@ class RetailModel:
         return base.unionByName(earlier)
 
 
+    # -- report tables as earlier runs left them ------------------------------
+    def stored_sales_report(self, params: RunParams) -> DataFrame:
+        """SalesPerformanceReport rows: every third order's key, of the run date or (odd orders) of the day before."""
+        e = self.employees.select(F.col("EmployeeId").alias("SalesPersonId"), "DepartmentId")
+        o = self.orders.filter(F.col("OrderId") % 3 == 0).join(e, "SalesPersonId", "inner")
+        return o.select(F.when(F.col("OrderId") % 2 == 0, lit_ts(params.current_ts))
+                        .otherwise(lit_ts(params.days_before(1))).alias("ReportDate"),
+                        "DepartmentId", F.col("SalesPersonId").alias("EmployeeId"), "CustomerId").distinct()
+
+    def stored_segment_analysis(self, params: RunParams) -> DataFrame:
+        """CustomerSegmentAnalysis rows: every third customer, of the run date or (odd ones) of the day before."""
+        return self.customers.filter(F.col("CustomerId") % 3 == 0).select(
+            F.when(F.col("CustomerId") % 2 == 0, lit_ts(params.current_ts))
+            .otherwise(lit_ts(params.days_before(1))).alias("AnalysisDate"), "CustomerId")
+
+    def stored_department_report(self, params: RunParams) -> DataFrame:
+        """DepartmentPerformanceReport rows: every third department, of the run date."""
+        return self.departments.filter(F.col("DepartmentId") % 3 == 0).select(
+            lit_ts(params.current_ts).alias("ReportDate"), "DepartmentId")
+
+
 class CatalogModel(RetailModel):
     """The same interface over real catalog tables (`spark.table(name)`)."""
 
@@ -291,9 +321,24 @@ class CatalogModel(RetailModel):
         self.__dict__["orders_with_shipping"] = self.__dict__["orders"]
         self.__dict__["orders"] = self.__dict__["orders"].drop("ShippedDate")
 
+    def identity(self) -> tuple:
+        names = [*self.TABLES.values(), "CustomerOrderSummary"]
+        known = [n for n in names if self.spark.catalog.tableExists(f"{self.database}.{n}")]
+        folders = {f.rsplit("/", 1)[0] for n in known for f in self.spark.table(f"{self.database}.{n}").inputFiles()}
+        return ("catalog", self.database, listing(self.spark, sorted(folders)))
+
     def customer_order_summary(self, params: RunParams) -> DataFrame:  # noqa: ARG002
         return self.spark.table(f"{self.database}.CustomerOrderSummary")
 
+    def stored_sales_report(self, params: RunParams) -> DataFrame:  # noqa: ARG002
+        return self.spark.table(f"{self.database}.SalesPerformanceReport")
+
+    def stored_segment_analysis(self, params: RunParams) -> DataFrame:  # noqa: ARG002
+        return self.spark.table(f"{self.database}.CustomerSegmentAnalysis")
+
+    def stored_department_report(self, params: RunParams) -> DataFrame:  # noqa: ARG002
+        return self.spark.table(f"{self.database}.DepartmentPerformanceReport")
+
 
 # Main join key of each table: tables sharing a key are bucketed alike, so
 # their joins (orders with lines, queue, cancellations) need no shuffle.
@@ -333,5 +378,8 @@ class FrameModel(RetailModel):
         if "orders_with_shipping" not in frames and "orders" in frames:
             self.__dict__["orders_with_shipping"] = frames["orders"]
 
+    def identity(self) -> tuple:
+        return ("frames", self)  # the object itself: no other model equals it
+
     def customer_order_summary(self, params: RunParams) -> DataFrame:  # noqa: ARG002
         return self.__dict__["customer_order_summary"]

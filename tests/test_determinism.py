@@ -4,7 +4,7 @@ import os
 
 import pytest
 
-from ledgerline.plans.stages import Stages
+from ledgerline.plans.stages import Run, Stages
 from ledgerline.sources.testdata import RetailModel
 
 SF = "/root/testdata/sf0.001"
@@ -15,7 +15,7 @@ def _run(spark, partitions):
     old = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
     try:
-        st = Stages(RetailModel(spark, SF), keep=True)
+        st = Stages(RetailModel(spark, SF), run=Run())
         return {
             "ranking": sorted(map(repr, st.employee_ranking.collect())),
             "segments": sorted(map(repr, st.customer_segment_analysis().collect())),

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.functions.exprs import datediff_days, datediff_seconds, optional_eq, tier
-from ledgerline.operators.hierarchy import cumulative_down, tree_paths
+from ledgerline.operators.hierarchy import CycleError, cumulative_down, tree_paths
 from ledgerline.params import RunParams, add_months
 
 
@@ -58,21 +58,13 @@ def test_optional_eq_and_tier(spark):
     assert sorted(r.t for r in lab.collect()) == ["big", "none", "small"]
 
 
-def test_iterative_tree_matches_recursive(spark):
-    from ledgerline.operators.hierarchy import tree_paths_iterative
-    rows = [(1, None, "HQ", 10), (2, 1, "A", 5), (3, 2, "B", 1), (5, 2, "C", 2), (4, None, "X", 0), (9, 77, "orphan", 1)]
-    nodes = _nodes(spark, rows)
-    rec = {(r.id, r.Level, r.HierarchyPath) for r in
-           tree_paths(spark, nodes, id_col="id", parent_col="parent", name_col="name").collect()}
-    it = tree_paths_iterative(nodes, id_col="id", parent_col="parent", name_col="name", value_col="budget")
-    got = {(r.id, r.Level, r.HierarchyPath) for r in it.collect()}
-    assert got == rec
-    totals = {r.id: float(r.TotalValue) for r in it.collect()}
-    assert totals[3] == 16.0 and totals[5] == 17.0
+def test_deep_tree_has_no_level_limit(spark):
+    nodes = _nodes(spark, [(i, i - 1 if i > 1 else None, f"n{i}", 1) for i in range(1, 151)]).coalesce(1)
+    rows = {r.id: r for r in tree_paths(spark, nodes, id_col="id", parent_col="parent", name_col="name").collect()}
+    assert len(rows) == 150 and rows[150].Level == 149 and rows[150].HierarchyPath.endswith("n149 > n150")
 
 
-def test_iterative_tree_detects_cycle(spark):
-    from ledgerline.operators.hierarchy import tree_paths_iterative
-    nodes = _nodes(spark, [(1, None, "HQ", 1), (2, 3, "A", 1), (3, 2, "B", 1), (4, 1, "C", 1), (2, 4, "A", 1)])
-    with pytest.raises(RuntimeError):
-        tree_paths_iterative(nodes, id_col="id", parent_col="parent", name_col="name", max_levels=20)
+def test_cycle_names_the_path(spark):
+    nodes = _nodes(spark, [(1, None, "HQ", 1), (2, 1, "A", 1), (1, 2, "HQ again", 1)])
+    with pytest.raises(CycleError, match="1 > 2 > 1"):
+        cumulative_down(spark, nodes, id_col="id", parent_col="parent", value_col="budget")

@@ -25,7 +25,6 @@ def test_small_band_path(spark, q):
 
 @pytest.mark.parametrize("q", [0.5, 0.9])
 def test_bracketing_path_with_hot_value(spark, monkeypatch, q):
-    monkeypatch.setattr(quantile, "MAX_BAND_ROWS", 50)
     monkeypatch.setattr(quantile, "ACCURACY", 200)
     rng = np.random.default_rng(11)
     vals = rng.integers(0, 5000, size=3000).astype(float).tolist() + [42.0] * 1500  # one hot value
@@ -38,3 +37,21 @@ def test_empty_and_nulls(spark):
     assert quantile.percentile_cont(df, "x", 0.5) is None
     df2 = spark.createDataFrame([(None,), (3.0,), (1.0,)], "x double")
     assert quantile.percentile_cont(df2, "x", 0.5) == 2.0
+
+
+@pytest.mark.parametrize("q", [0.0, 0.5, 0.9, 1.0])
+def test_millions_of_values_and_a_hot_one(spark, q):
+    df = spark.range(2_000_000).selectExpr("CASE WHEN id % 3 = 0 THEN 1234567.0D ELSE cast((id * 7919) % 2000003 AS double) END AS x")
+    ids = np.arange(2_000_000, dtype=np.int64)
+    vals = np.where(ids % 3 == 0, 1234567.0, (ids * 7919 % 2000003).astype(float))
+    assert quantile.percentile_cont(df, "x", q) == pytest.approx(_np_cont(vals, q), rel=1e-12)
+
+
+@pytest.mark.parametrize("accuracy", [2, 5])
+def test_coarse_sketch_is_still_exact(spark, monkeypatch, accuracy):
+    monkeypatch.setattr(quantile, "ACCURACY", accuracy)
+    rng = np.random.default_rng(3)
+    vals = rng.normal(size=700).round(2).tolist()
+    df = spark.createDataFrame([(v,) for v in vals], "x double").repartition(4)
+    for q in (0.1, 0.5, 0.99):
+        assert quantile.percentile_cont(df, "x", q) == pytest.approx(_np_cont(vals, q), rel=1e-12)
