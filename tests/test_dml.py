@@ -100,3 +100,27 @@ def test_scope_only_merge_and_partition_overwrite(spark, scratch):
     overwrite_partitions(scoped.checkpoint(), path, ["month"])  # cut the read of the same path
     after = sorted(map(tuple, spark.read.parquet(path).select("k", "month", "v").collect()))
     assert after == [(1, 6, 1), (1, 7, 11), (2, 7, 20), (3, 7, 30)]
+
+
+def test_emptied_partition_goes(spark, scratch):
+    import os
+    from ledgerline.operators.dml import overwrite_partitions
+    path = os.path.join(scratch, "emptied_parts")
+    spark.createDataFrame([(1, 6, 1), (1, 7, -10), (2, 7, -20)], "k int, month int, v int").write.partitionBy("month").parquet(path)
+    stored = spark.read.parquet(path).select("k", "month", "v")
+    scoped, changes = merge(stored, spark.createDataFrame([], "k int, v int"), _spec(), scope_only=True)
+    scoped = scoped.checkpoint()
+    assert scoped.count() == 0
+    overwrite_partitions(scoped, path, ["month"], [{"month": 7}])
+    assert [tuple(r) for r in spark.read.parquet(path).select("k", "month", "v").collect()] == [(1, 6, 1)]
+
+
+def test_unmatched_duplicates_and_null_keys_are_inserts(spark):
+    target = spark.createDataFrame([(1, 7, 10), (5, 6, 50)], "k int, month int, v int")
+    source = spark.createDataFrame([(1, 11), (9, 90), (9, 91), (None, 1), (None, 2), (5, 51), (5, 52)], "k int, v int")
+    new, changes = merge(target, source, _spec())
+    got = sorted(map(tuple, new.collect()), key=str)
+    # 5 stands in another month, outside the scope: its sources match no target row either
+    assert got == sorted([(1, 7, 11), (9, 7, 90), (9, 7, 91), (None, 7, 1), (None, 7, 2), (5, 7, 51), (5, 7, 52),
+                          (5, 6, 50)], key=str)
+    assert sorted(r.ActionType for r in changes.collect()) == ["INSERT"] * 6 + ["UPDATE"]

@@ -29,10 +29,14 @@ def test_top_n_per_key_and_append_if_absent(spark):
     assert append_if_absent(add, target.unionByName(add), ["k"]).count() == 0
 
 
-def test_row_number_by_range_without_broadcast(spark, monkeypatch):
+def test_row_number_by_range_without_broadcast(spark):
     from ledgerline.operators import relational
-    monkeypatch.setattr(relational, "OFFSETS_BROADCAST_ROWS", 1)
-    df = spark.range(500).select((F.col("id") % 3).alias("k"), F.col("id"))
-    got = relational.row_number_by_range(df, ["k"], [F.col("id").desc()], partitions=5)
-    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy(F.col("id").desc())))
-    assert got.select("k", "id", "rn").exceptAll(want.select("k", "id", "rn")).count() == 0
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(500).select((F.col("id") % 3).alias("k"), F.col("id"))
+        got = relational.row_number_by_range(df, ["k"], [F.col("id").desc()], partitions=5)
+        want = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy(F.col("id").desc())))
+        assert got.select("k", "id", "rn").exceptAll(want.select("k", "id", "rn")).count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
