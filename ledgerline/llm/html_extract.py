@@ -160,30 +160,47 @@ def _place(url: str | None) -> tuple[str, str]:
 
 
 def _read(pages: DataFrame, kind: str) -> DataFrame:
-    """Per page: row id, page_id, url, host, path, article text (null if it has none), other blocks and their hashes."""
+    """Per page: row id, page_id, url, host, path, hashes of its other blocks; the blocks where no article holds the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh64_intdigest
 
         for batch in bounded(batches, 3):
-            hosts, paths, mains, others, hashes = [], [], [], [], []
+            hosts, paths, others, hashes = [], [], [], []
             for url, page in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 host, path = _place(url)
                 main, other = blocks(page or "")
                 hosts.append(host)
                 paths.append(path)
-                mains.append("\n".join(main) if main else None)
-                others.append(other)
+                others.append(None if main or not other else other)
                 hashes.append(np.array([xxh64_intdigest(x) for x in other], np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(mains, pa.string()),
+                [*batch.columns[:3], pa.array(hosts, pa.string()), pa.array(paths, pa.string()),
                  pa.array(others, pa.list_(pa.string())), pa.array(hashes, pa.list_(pa.int64()))],
-                names=[ROW_ID, "page_id", "url", "host", "path", "main", "other", "lines"])
+                names=[ROW_ID, "page_id", "url", "host", "path", "other", "lines"])
 
-    return pages.mapInArrow(run, f"{ROW_ID} long, page_id {kind}, url string, host string, path string, main string, "
+    return pages.mapInArrow(run, f"{ROW_ID} long, page_id {kind}, url string, host string, path string, "
                                  "other array<string>, lines array<long>")
 
 
+def _articles(pages: DataFrame, kind: str) -> DataFrame:
+    """page_id, url, text of the pages that no other page has a say in: with an article, or without any text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in bounded(batches, 2):
+            at, texts = [], []
+            for i, page in enumerate(batch.column(2).to_pylist()):
+                main, other = blocks(page or "")
+                if main or not other:
+                    at.append(i)
+                    texts.append("\n".join(main))
+            rows = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), pa.array(texts, pa.string())],
+                                             names=["page_id", "url", "text"])
+
+    return pages.mapInArrow(run, f"page_id {kind}, url string, text string")
+
+
 def _alike(a: str, b: str) -> int:
     """Length of the common prefix of two paths."""
     return next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
@@ -212,19 +229,20 @@ def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     URLs) form one host.  Repeated rows each have a row.  An empty table gives
     no rows.  Other columns are ignored.
     """
-    rows = pages.select(F.monotonically_increasing_id().alias(ROW_ID), F.col(id_col).alias("page_id"),
-                        F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     kind = pages.schema[id_col].dataType.simpleString()
-    read = stash(_read(rows, kind))
+    own = [F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html")]
+    read = stash(_read(pages.select(F.monotonically_increasing_id().alias(ROW_ID), *own), kind))
     # neighbours in the order of host and path: places are global, so no host is one task's
     placed = stash(running_before(read.select(ROW_ID, "host", "path", "lines"), [F.col("host"), F.col("path"), F.col(ROW_ID)],
                                   {"place": F.lit(1).cast("long")}).drop("place_total"))
     beside = lambda name, step: placed.select(
         (F.col("place") + step).alias("place"), *[F.col(c).alias(f"{name}_{c}") for c in ("host", "path", "lines")])
-    open_pages = placed.join(read.filter("main IS NULL AND size(other) > 0").select(ROW_ID, "other"), ROW_ID)
+    open_pages = placed.join(read.filter("other IS NOT NULL").select(ROW_ID, "other"), ROW_ID)
     pairs = open_pages.join(beside("before", 1), "place", "left").join(beside("after", -1), "place", "left")
     rest = _without_shared(pairs.select(ROW_ID, "host", "path", "lines", "other", *[
         f"{s}_{c}" for s in ("before", "after") for c in ("host", "path", "lines")]))
-    text = F.coalesce(F.col("main"), F.col("rest"), F.lit(""))
-    return (read.select(ROW_ID, "page_id", "url", "main").join(rest, F.col(ROW_ID) == F.col("rest_row"), "left")
-            .select("page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars")))
+    differenced = (read.filter("other IS NOT NULL").select(ROW_ID, "page_id", "url")
+                   .join(rest, F.col(ROW_ID) == F.col("rest_row")).select("page_id", "url", F.col("rest").alias("text")))
+    # article texts are read again rather than stored and shuffled
+    return (_articles(pages.select(*own), kind).unionByName(differenced)
+            .withColumn("n_chars", F.length("text").cast("long")))
