@@ -44,6 +44,8 @@ def main(argv: list[str] | None = None) -> None:
     if args.input:
         size_shuffle_partitions(spark, [args.input])
     model = CatalogModel(spark, args.database) if args.database else RetailModel(spark, args.input)
+    if args.database:
+        size_shuffle_partitions(spark, model.folders())
     when = datetime.strptime(args.date, "%Y-%m-%d") if args.date else None
     params = RunParams.fresh(when)
     if args.what == "pipeline":

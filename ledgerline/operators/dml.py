@@ -15,7 +15,7 @@ it (``check_duplicates=False``).
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -58,9 +58,12 @@ def check_unique_source(source: DataFrame, keys: Sequence[str], target: DataFram
 
 
 def merge(target: DataFrame, source: DataFrame, spec: MergeSpec,
-          check_duplicates: bool = True, scope_only: bool = False) -> tuple[DataFrame, DataFrame]:
+          check_duplicates: bool = True, scope_only: bool = False,
+          store: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
     """Apply a MERGE; return (new target, change feed).
 
+    Both read the joined rows; ``store`` may store those once.
+
     The change feed has ActionType ('INSERT' / 'UPDATE' / 'DELETE') and, per
     name in ``spec.change_columns``, ``New<name>`` and ``Old<name>``.  With
     ``scope_only`` the new target holds only the rows of ``spec.target_scope``
@@ -94,6 +97,7 @@ def merge(target: DataFrame, source: DataFrame, spec: MergeSpec,
                 if spec.delete_condition is not None else F.lit(False))
     action = (F.when(upd_cond, "UPDATE").when(ins_cond, "INSERT").when(del_cond, "DELETE"))
     j = j.withColumn("__action", action)
+    j = store(j) if store else j
 
     def new_value(c: str) -> Column:
         old = F.col(f"t__{c}")

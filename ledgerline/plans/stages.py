@@ -131,8 +131,8 @@ class Stages:
     # ------------------------------------------------------------ shared facts
     @cached_property
     def recent_orders(self) -> DataFrame:
-        """Orders with OrderDate >= @PreviousMonth (the lower-bound filters)."""
-        return self.m.orders.filter(F.col("OrderDate") >= self.prev)
+        """Orders with OrderDate >= @PreviousMonth (the lower-bound filters): about a month's, stored once per run."""
+        return self._keep(self.m.orders.filter(F.col("OrderDate") >= self.prev))
 
     @cached_property
     def window_orders(self) -> DataFrame:

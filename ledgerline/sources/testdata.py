@@ -263,10 +263,13 @@ class RetailModel:
         cur = lit_ts(params.current_ts)
         old = lit_ts(params.days_before(100))
         is_old = F.col("CustomerId") % 3 == 1
-        base = agg.select(
-            "CustomerId", "DepartmentId",
-            F.lit(params.process_year).alias("ProcessYear"),
-            F.lit(params.process_month).alias("ProcessMonth"),
+        prev = params.previous_month
+        month = lambda y, m: F.struct(F.lit(y).alias("ProcessYear"), F.lit(m).alias("ProcessMonth"))
+        this, last = month(params.process_year, params.process_month), month(prev.year, prev.month)
+        # the old customers stand in both months: one pass makes both copies
+        months = F.explode(F.when(is_old, F.array(this, last)).otherwise(F.array(this)))
+        return agg.withColumn("month", months).select(
+            "CustomerId", "DepartmentId", "month.ProcessYear", "month.ProcessMonth",
             "OrderCount", "TotalAmount", "AvgAmount",
             F.when(is_old, old).otherwise(cur).alias("LastProcessDate"),
             "FirstProcessDate", "ProductCount", "EmployeeCount",
@@ -274,12 +277,6 @@ class RetailModel:
             old.alias("CreatedDate"), F.lit("seed").alias("CreatedBy"),
             old.alias("UpdatedDate"), F.lit("seed").alias("UpdatedBy"),
         )
-        prev = params.previous_month
-        earlier = (base.filter(is_old)
-                   .withColumn("ProcessYear", F.lit(prev.year))
-                   .withColumn("ProcessMonth", F.lit(prev.month)))
-        return base.unionByName(earlier)
-
 
     # -- report tables as earlier runs left them ------------------------------
     def stored_sales_report(self, params: RunParams) -> DataFrame:
@@ -321,11 +318,14 @@ class CatalogModel(RetailModel):
         self.__dict__["orders_with_shipping"] = self.__dict__["orders"]
         self.__dict__["orders"] = self.__dict__["orders"].drop("ShippedDate")
 
-    def identity(self) -> tuple:
+    def folders(self) -> list[str]:
+        """Where the files of the tables lie."""
         names = [*self.TABLES.values(), "CustomerOrderSummary"]
         known = [n for n in names if self.spark.catalog.tableExists(f"{self.database}.{n}")]
-        folders = {f.rsplit("/", 1)[0] for n in known for f in self.spark.table(f"{self.database}.{n}").inputFiles()}
-        return ("catalog", self.database, listing(self.spark, sorted(folders)))
+        return sorted({f.rsplit("/", 1)[0] for n in known for f in self.spark.table(f"{self.database}.{n}").inputFiles()})
+
+    def identity(self) -> tuple:
+        return ("catalog", self.database, listing(self.spark, self.folders()))
 
     def customer_order_summary(self, params: RunParams) -> DataFrame:  # noqa: ARG002
         return self.spark.table(f"{self.database}.CustomerOrderSummary")
