@@ -259,8 +259,9 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                            F.col("first.row").alias("first_row")))
     # units of two texts or more
     units = seen.select(ROW_ID, F.xxhash64("sha").alias("text_hash"), F.explode("keys").alias("key"))
-    several = (units.groupBy("key").agg(F.min("text_hash").alias("a"), F.max("text_hash").alias("b"))
-               .filter("a != b").select("key"))
+    # stored: a join side straight from an aggregation keeps AQE from splitting a key that very many texts share
+    several = stash(units.groupBy("key").agg(F.min("text_hash").alias("a"), F.max("text_hash").alias("b"))
+                    .filter("a != b").select("key"))
     own = judged.filter(f"{ROW_ID} = first_row AND n_words >= {window}").select(ROW_ID, "bare")
     shared = units.select("key", ROW_ID).join(several, "key").groupBy(ROW_ID).agg(F.collect_set("key").alias("shared"))
     open_rows = stash(own.join(shared, ROW_ID, "left").filter("bare OR shared IS NOT NULL").select(ROW_ID, "shared"))
@@ -268,8 +269,9 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                                 window, rounds, unit_symbols))
     each = windows.select(ROW_ID, "id", F.explode(F.arrays_zip("hashes", "starts")).alias("w")).select(
         ROW_ID, "id", F.col("w.hashes").alias("hash"), F.col("w.starts").alias("start"))
-    earliest = each.groupBy("hash").agg(F.min("id").alias("least"), F.max("id").alias("most")).filter("least < most")
-    doomed = (each.join(earliest.select("hash", "least"), "hash").filter("id > least")
+    earliest = stash(each.groupBy("hash").agg(F.min("id").alias("least"), F.max("id").alias("most"))
+                     .filter("least < most").select("hash", "least"))
+    doomed = (each.join(earliest, "hash").filter("id > least")
               .groupBy(ROW_ID).agg(F.collect_list("start").alias("gone")))
     cut = _cut(windows.select(ROW_ID, "text").join(stash(doomed), ROW_ID), window)
     empty = F.sha2(F.lit(""), 256)
