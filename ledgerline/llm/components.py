@@ -19,8 +19,8 @@ def components(edges: DataFrame) -> DataFrame:
     Large star: each node hands the smallest of its neighbourhood to its larger
     neighbours.  Small star: the same among its smaller neighbours.  Minima are
     partial aggregates, so a hub with very many neighbours is combined before
-    the shuffle, and the join that hands the minimum out is one that AQE can
-    split.  Every round is checkpointed.  Ends when a round changes nothing:
+    the shuffle, and checkpointed, so that AQE can split the join that hands them
+    out.  Every round is checkpointed.  Ends when a round changes nothing:
     then all edges are (node, root).
     """
     edges = edges.select("hi", "lo").distinct().checkpoint()
@@ -28,10 +28,11 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(
             edges.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")).checkpoint()
         large = (both.filter("v > u").join(least, "u")
                  .select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct())
-        least = large.groupBy("hi").agg(F.min("lo").alias("m"))
+        large = large.checkpoint()
+        least = large.groupBy("hi").agg(F.min("lo").alias("m")).checkpoint()
         small = (large.join(least, "hi").select(
             F.explode(F.array(F.struct(F.col("hi"), F.col("m").alias("lo")),
                               F.struct(F.col("lo").alias("hi"), F.col("m").alias("lo")))).alias("e"))

@@ -186,7 +186,8 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     filed = prints.select("fp", F.explode(F.array(*[
         F.struct(F.lit(k).alias("t"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("key"))
         for k, m in enumerate(masks)])).alias("b")).select("b.t", "b.key", "fp")
-    sizes = filed.groupBy("t", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    # stored: a join side straight from an aggregation keeps AQE from splitting a large bucket
+    sizes = stash(filed.groupBy("t", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
     # blocks of a large bucket: every two meet in one task; a small bucket is one block
     shared = filed.join(sizes, ["t", "key"]).withColumn("blocks", F.ceil(F.col("n") / BLOCK_ROWS))
     shared = shared.withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")))
