@@ -26,6 +26,7 @@ from ledgerline.session import listing
 # Fixed values of the mapping (kept equal to the DuckDB side).
 SEGMENT_TYPE_IDS = {"AUTOMOBILE": 1, "BUILDING": 2, "FURNITURE": 3, "HOUSEHOLD": 4, "MACHINERY": 5}
 SHIPPER_IDS = [1, 2, 3, 4, 5]
+RAW_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 ROOT_DEPARTMENT_NAME = "HQ"
 DISCOUNT_START = "1995-01-01 00:00:00"
 DISCOUNT_END = "2002-01-01 00:00:00"
@@ -50,7 +51,7 @@ class RetailModel:
 
     def identity(self) -> tuple:
         """What the data is, not where: stored results count for one identity only."""
-        return ("folder", listing(self.spark, [self.sf_dir]))
+        return ("folder", listing(self.spark, [f"{self.sf_dir}/{t}.parquet" for t in RAW_TABLES]))
 
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
