@@ -253,7 +253,7 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                        F.coalesce(F.col(id_col).cast("long"), F.lit(last)).alias("id"), F.col(text_col).alias("text"))
     seen = stash(_surveyed(rows, window, rounds, unit_symbols))
     # equal texts are one: the row of the smallest id stands for them
-    first = seen.groupBy("sha").agg(F.min(F.struct("id", F.col(ROW_ID).alias("row"))).alias("first"))
+    first = stash(seen.groupBy("sha").agg(F.min(F.struct("id", F.col(ROW_ID).alias("row"))).alias("first")))
     judged = stash(seen.select(ROW_ID, "id", "n_words", "sha", "bare").join(first, "sha")
                    .select(ROW_ID, "id", "n_words", "sha", "bare", F.col("first.id").alias("first_id"),
                            F.col("first.row").alias("first_row")))
