@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 NAME = r"(?:\[?\w+\]?\.)*\[?#{0,2}\w+\]?(?:@\w+)?"
 ALIAS = r"(?:\s+(?:AS\s+)?(?!(?:WHERE|ON|INNER|LEFT|RIGHT|FULL|CROSS|JOIN|GROUP|ORDER|HAVING|UNION|SET|WHEN|OUTPUT|USING|VALUES|SELECT|AND|OR)\b)(\w+))?"
 # FROM list up to the next clause keyword; one level of parentheses (derived tables) inside.
-FROM_LIST = (r"(?is)(?<!\bDELETE\s{1,20})\bFROM\s+((?:[^;()]|\([^()]*(?:\([^()]*\)[^()]*)*\))+?)"
+FROM_LIST = (r"(?is)(?<!\bDELETE )\bFROM\s+((?:[^;()]|\([^()]*(?:\([^()]*\)[^()]*)*\))+?)"
              r"(?=\s*(?:\bWHERE\b|\bGROUP\s+BY\b|\bORDER\s+BY\b|\bHAVING\b|\bUNION\b|\bINNER\b|\bLEFT\b|"
              r"\bRIGHT\b|\bFULL\b|\bCROSS\b|\bJOIN\b|\bON\b|\bWHEN\b|\bSET\b|\)|$))")
 JOIN_REF = rf"(?is)\bJOIN\s+({NAME}){ALIAS}"
@@ -94,7 +94,9 @@ def references(scripts: DataFrame) -> DataFrame:
     """Every table reference: script_id, stmt_id, type, raw, name, alias, role ('read'/'target'/'branch')."""
     st = statements(scripts)
     # FROM lists, split on top-level commas
-    from_items = (st.select("script_id", "stmt_id", F.explode(F.regexp_extract_all("text", F.lit(FROM_LIST), 1)).alias("seg"))
+    # the FROM of a DELETE names its target: one blank between the two tells it, however many there were
+    deletes = F.regexp_replace("text", r"(?i)\bDELETE\s+FROM\b", "DELETE FROM")
+    from_items = (st.select("script_id", "stmt_id", F.explode(F.regexp_extract_all(deletes, F.lit(FROM_LIST), 1)).alias("seg"))
                   .select("script_id", "stmt_id", F.explode(F.split("seg", SPLIT_TOP_COMMA)).alias("item"))
                   .select("script_id", "stmt_id", _strip(F.col("item")).alias("item"))
                   .filter(F.col("item") != ""))

@@ -110,3 +110,9 @@ def test_lineage_ranges_columns_merge(refs):
     assert usage.update_counts(r).filter("name = '#Stage'").first().updates == 1
     top = usage.complexity(r).first()
     assert top.tables >= 4
+
+
+def test_blanks_after_delete_are_no_read(spark):
+    scripts = spark.createDataFrame([("s", "DELETE" + " " * 25 + "FROM Sessions WHERE 1 = 0;")], "script_id string, text string")
+    got = {(r.type, r.name) for r in usage.table_usage(usage.references(scripts)).collect()}
+    assert got == {("delete", "Sessions")}
