@@ -261,6 +261,7 @@ def _packed(pieces_df: DataFrame, capacity: int, first_id: int) -> DataFrame:
     kinds = {f.name: f.dataType.simpleString() for f in pieces_df.schema.fields}
 
     def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([(ROW_ID, "ascending"), ("piece", "ascending")])  # a retried task packs alike
         lengths = table.column("length").to_pylist()
         bins = _improve(_best_fit(lengths, capacity), lengths, capacity)
         sequence, offset, fill = (np.zeros(len(lengths), np.int64) for _ in range(3))
