@@ -164,7 +164,7 @@ def _digest(words: list[bytes]) -> str:
 
 
 def _surveyed(docs: DataFrame, window: int, rounds: int, m: int) -> DataFrame:
-    """Per row: row id, id, n_words, text hash, digest of all words, unit keys, and whether a window has no unit."""
+    """Per row: row id, id, the text's two hashes, n_words, digest of all words, unit keys, and whether a window has no unit."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in bounded(batches, 2):
@@ -178,15 +178,16 @@ def _surveyed(docs: DataFrame, window: int, rounds: int, m: int) -> DataFrame:
             offsets = np.searchsorted(doc, np.arange(len(sizes) + 1)).astype(np.int32)
             sha = [_digest(w) for w in words]
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), batch.column(1), pa.array(sizes), pa.array(sha),
+                batch.column(0), batch.column(1), batch.column(3), batch.column(4), pa.array(sizes), pa.array(sha),
                 pa.array(has_bare), pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.view(np.int64)))],
-                names=[ROW_ID, "id", "n_words", "sha", "bare", "keys"])
+                names=[ROW_ID, "id", "h1", "h2", "n_words", "sha", "bare", "keys"])
 
-    return docs.mapInArrow(run, f"{ROW_ID} long, id long, n_words long, sha string, bare boolean, keys array<long>")
+    return docs.mapInArrow(run, f"{ROW_ID} long, id long, h1 long, h2 long, n_words long, sha string, bare boolean, "
+                                "keys array<long>")
 
 
 def _candidates(docs: DataFrame, window: int, rounds: int, m: int) -> DataFrame:
-    """Per row with shared units: row id, id, text, and the hashes and starts of the windows to verify."""
+    """Per row with shared units: row id, id, text, and the windows to verify: hash, 32 bits of a second one, start."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in bounded(batches, 2):
@@ -203,6 +204,8 @@ def _candidates(docs: DataFrame, window: int, rounds: int, m: int) -> DataFrame:
             ruled = _ruled_out(len(ids), low[alone], high[alone], window)
             at = np.flatnonzero(_windows(sizes, window) & ~ruled)
             hashes = _range_hash(ids)(at, at + window) if len(at) else np.zeros(0, np.uint64)
+            # the same of other word hashes, so that it is independent of the first
+            checks = _range_hash(_mix(ids ^ np.uint64(BASE)))(at, at + window) if len(at) else np.zeros(0, np.uint64)
             starts = np.cumsum(sizes) - sizes
             owner = np.searchsorted(starts, at, side="right") - 1
             # of empty documents that share a start, the last one has the words
@@ -210,10 +213,12 @@ def _candidates(docs: DataFrame, window: int, rounds: int, m: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), batch.column(1), batch.column(2),
                 pa.ListArray.from_arrays(offsets, pa.array(hashes.view(np.int64))),
+                pa.ListArray.from_arrays(offsets, pa.array((checks >> np.uint64(32)).astype(np.uint32).view(np.int32))),
                 pa.ListArray.from_arrays(offsets, pa.array((at - starts[owner]).astype(np.int32)))],
-                names=[ROW_ID, "id", "text", "hashes", "starts"])
+                names=[ROW_ID, "id", "text", "hashes", "checks", "starts"])
 
-    return docs.mapInArrow(run, f"{ROW_ID} long, id long, text string, hashes array<long>, starts array<int>")
+    return docs.mapInArrow(run, f"{ROW_ID} long, id long, text string, hashes array<long>, checks array<int>, "
+                                "starts array<int>")
 
 
 def _cut(docs: DataFrame, window: int) -> DataFrame:
@@ -249,31 +254,36 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     columns are ignored.
     """
     last = (1 << 63) - 1
-    rows = docs.select(F.monotonically_increasing_id().alias(ROW_ID),
-                       F.coalesce(F.col(id_col).cast("long"), F.lit(last)).alias("id"), F.col(text_col).alias("text"))
-    seen = stash(_surveyed(rows, window, rounds, unit_symbols))
+    # texts are read twice rather than stored: the second reading may be split otherwise (executors come and go),
+    # so it finds its rows by id and two hashes of the text, not by row id
+    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(last)).alias("id"), F.col(text_col).alias("text"),
+                       F.xxhash64(text_col).alias("h1"), F.xxhash64(F.lit(1), F.col(text_col)).alias("h2"))
+    numbered = rows.select(F.monotonically_increasing_id().alias(ROW_ID), "id", "text", "h1", "h2")
+    seen = stash(_surveyed(numbered, window, rounds, unit_symbols))
     # equal texts are one: the row of the smallest id stands for them
     first = stash(seen.groupBy("sha").agg(F.min(F.struct("id", F.col(ROW_ID).alias("row"))).alias("first")))
-    judged = stash(seen.select(ROW_ID, "id", "n_words", "sha", "bare").join(first, "sha")
-                   .select(ROW_ID, "id", "n_words", "sha", "bare", F.col("first.id").alias("first_id"),
+    judged = stash(seen.select(ROW_ID, "id", "h1", "h2", "n_words", "sha", "bare").join(first, "sha")
+                   .select(ROW_ID, "id", "h1", "h2", "n_words", "sha", "bare", F.col("first.id").alias("first_id"),
                            F.col("first.row").alias("first_row")))
     # units of two texts or more
     units = seen.select(ROW_ID, F.xxhash64("sha").alias("text_hash"), F.explode("keys").alias("key"))
     # stored: a join side straight from an aggregation keeps AQE from splitting a key that very many texts share
     several = stash(units.groupBy("key").agg(F.min("text_hash").alias("a"), F.max("text_hash").alias("b"))
                     .filter("a != b").select("key"))
-    own = judged.filter(f"{ROW_ID} = first_row AND n_words >= {window}").select(ROW_ID, "bare")
+    own = judged.filter(f"{ROW_ID} = first_row AND n_words >= {window}").select(ROW_ID, "id", "h1", "h2", "bare")
     shared = units.select("key", ROW_ID).join(several, "key").groupBy(ROW_ID).agg(F.collect_set("key").alias("shared"))
-    open_rows = stash(own.join(shared, ROW_ID, "left").filter("bare OR shared IS NOT NULL").select(ROW_ID, "shared"))
-    windows = stash(_candidates(rows.join(open_rows, ROW_ID).select(ROW_ID, "id", "text", "shared"),
+    open_rows = stash(own.join(shared, ROW_ID, "left").filter("bare OR shared IS NOT NULL")
+                      .select(ROW_ID, "id", "h1", "h2", "shared"))
+    windows = stash(_candidates(rows.join(open_rows, ["id", "h1", "h2"]).select(ROW_ID, "id", "text", "shared"),
                                 window, rounds, unit_symbols))
-    each = windows.select(ROW_ID, "id", F.explode(F.arrays_zip("hashes", "starts")).alias("w")).select(
-        ROW_ID, "id", F.col("w.hashes").alias("hash"), F.col("w.starts").alias("start"))
-    earliest = stash(each.groupBy("hash").agg(F.min("id").alias("least"), F.max("id").alias("most"))
-                     .filter("least < most").select("hash", "least"))
-    doomed = (each.join(earliest, "hash").filter("id > least")
-              .groupBy(ROW_ID).agg(F.collect_list("start").alias("gone")))
-    cut = _cut(windows.select(ROW_ID, "text").join(stash(doomed), ROW_ID), window)
+    each = windows.select(ROW_ID, "id", F.explode(F.arrays_zip("hashes", "checks", "starts")).alias("w")).select(
+        ROW_ID, "id", F.col("w.hashes").alias("hash"), F.col("w.checks").alias("check"), F.col("w.starts").alias("start"))
+    earliest = stash(each.groupBy("hash", "check").agg(F.min("id").alias("least"), F.max("id").alias("most"))
+                     .filter("least < most").select("hash", "check", "least"))
+    # a row that is repeated, id and text, came through the join as often
+    doomed = (each.join(earliest, ["hash", "check"]).filter("id > least")
+              .groupBy(ROW_ID).agg(F.collect_set("start").alias("gone")))
+    cut = stash(_cut(windows.select(ROW_ID, "text").join(stash(doomed), ROW_ID), window).dropDuplicates(["cut_row"]))
     empty = F.sha2(F.lit(""), 256)
     copy = (F.col("id") > F.col("first_id")) & (F.col("n_words") >= window)
     return (judged.join(cut, F.col("first_row") == F.col("cut_row"), "left")

@@ -222,6 +222,32 @@ def test_passages_of_awkward_words(spark, seed):
     assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in out} == removed(texts, 50)
 
 
+def test_passages_when_a_second_reading_is_split_otherwise(spark, tmp_path, monkeypatch):
+    """Executors that come or go between two jobs change how files are split into partitions."""
+    rng = random.Random(9)
+    base = [str(rng.randrange(10_000)) for _ in range(120)]
+    texts = {i: " ".join([*(str(rng.randrange(10_000)) for _ in range(i)), *(base if i % 3 else []), "end"]) for i in range(90)}
+    rows = [*texts.items(), (0, texts[0]), (89, texts[89]), (89, texts[89])]  # whole rows repeated
+    for k in range(6):
+        spark.createDataFrame(rows[k::6], "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / f"t/k={k}"))
+    docs, plain = spark.read.parquet(str(tmp_path / "t")).drop("k"), substring_dedup.stash
+
+    def resplit(df):
+        out = plain(df)
+        size = int(spark.conf.get("spark.sql.files.maxPartitionBytes").rstrip("b"))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size // 8 if size > 4096 else 1 << 27)
+        return out
+
+    monkeypatch.setattr(substring_dedup, "stash", resplit)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        out = substring_dedup.deduplicated(docs, window=50).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    want = removed(texts, 50)
+    assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in out) == sorted((i, *want[i]) for i, _ in rows)
+
+
 def test_pages_are_their_articles(spark, texts):
     out = queries.op9_html_extract(spark, SF).collect()
     pages = spark.read.parquet(f"{SF}/pages.parquet")
