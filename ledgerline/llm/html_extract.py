@@ -44,14 +44,15 @@ HINTS = {"ad", "ads", "advert", "advertisement", "banner", "breadcrumb", "breadc
          "search", "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "toolbar",
          "widget"}
 
+# a quote opens a value after an equals sign only: elsewhere it is a character like any other
 _TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
-    r"""|<(/?)([A-Za-z][^\s/>]*)([^>]*)(?:>|\Z)""", re.S)
+    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>"""
+    r"""|<(/?)([A-Za-z][^\s/>]*)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+)(?:>|\Z)""", re.S)
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
 
 
-def _off(name: str, attributes: str) -> bool:
-    """Whether an element is marked as something else than the article, or hidden."""
+def _off(name: str, attributes: str, inside: bool) -> bool:
+    """Whether an element is marked as something else than the article, or hidden; inside: of an article."""
     if not attributes or name in ("html", "body"):
         return False
     for m in _ATTRIBUTE.finditer(attributes):
@@ -61,7 +62,7 @@ def _off(name: str, attributes: str) -> bool:
         if key == "style":
             if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
                 return True
-        elif HINTS.intersection(re.split(r"[^a-z]+", value)):
+        elif (hints := HINTS.intersection(re.split(r"[^a-z]+", value))) and not (inside and hints == {"header"}):
             return True
     return False
 
@@ -90,18 +91,20 @@ def blocks(page: str) -> tuple[list[str], list[str]]:
         if m.start() > at:
             run.append(page[at:m.start()])
         at = m.end()
-        name = (m[2] or m[5] or "").lower()
+        name = (m[2] or "").lower()
         if not name:
             continue
         if name in BLOCK:
             flush()
-        if m[1] or m[4]:  # an end tag
+        if m[1]:  # an end tag
             k = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
             if k is not None:
                 flush()
                 pop(k)
             continue
-        attributes = m[3] or m[6] or ""
+        attributes = m[3]
+        if name in ("svg", "math") and attributes.endswith("/"):  # these two may close themselves
+            continue
         if name in RAW:
             lower = lower or page.lower()
             if len(lower) != len(page):  # a letter whose lower case is longer
@@ -116,7 +119,7 @@ def blocks(page: str) -> tuple[list[str], list[str]]:
         if name in MAIN and not n["mark"]:
             while stack and stack[-1][1] == "tag":  # a menu that was never closed
                 pop(len(stack) - 1)
-        kind = ("mark" if _off(name, attributes) else "main" if name in MAIN else
+        kind = ("mark" if _off(name, attributes, n["main"] > 0) else "main" if name in MAIN else
                 "tag" if name in SKIP and not (name == "header" and n["main"]) else "")
         if kind or any(x[0] == name for x in stack):
             flush()

@@ -267,6 +267,9 @@ def test_blocks_of_a_page():
     assert (main, other) == ([], ["One two three &lt;", "Four", "tail"])
     main, other = html_extract.blocks("<nav><a href=x>menu<article><h1>T &eacute;</h1><p>a<br>b<aside>no</aside></article>x")
     assert main == ["T é", "a", "b"]
+    main, other = html_extract.blocks("<article><div class=article-header><h1>T</h1></div><p title=Bob's>it's<svg class='x' />"
+                                      "<a title='a>b' href=x?a=b>on</a></p></article><div class=header>no</div><p a='b>it")
+    assert (main, other) == (["T", "it'son"], ["it"])
     assert html_extract.blocks("") == ([], []) and html_extract.blocks("<") == ([], ["<"])
 
 
