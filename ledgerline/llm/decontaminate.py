@@ -32,7 +32,8 @@ WINDOW = 8
 COVERAGE = 0.5
 #: Bits of the bitmap: 2 MB, however many windows the benchmark has.
 BITS = 1 << 24
-REMEMBERED = 1_000_000
+#: Distinct tokens whose codes a Python worker remembers: about 50 MB.
+REMEMBERED = 200_000
 # Words that are units where a number stands before them.
 UNITS = frozenset("""
     % cm m km mm mi ft in inch inches foot feet yard yards mile miles meter meters metre metres kilometer kilometers

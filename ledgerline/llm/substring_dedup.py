@@ -35,8 +35,8 @@ from ledgerline.llm.common import ROW_ID, bounded, stash
 WINDOW = 50
 ROUNDS = 2
 UNIT_SYMBOLS = 10
-#: Distinct words whose hashes a Python worker remembers.
-REMEMBERED = 1_000_000
+#: Distinct words whose hashes a Python worker remembers: about 50 MB.
+REMEMBERED = 300_000
 #: Base of the rolling hash, odd, and its inverse modulo 2^64.
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
