@@ -32,8 +32,8 @@ VOCABULARY = "byte_bpe_50k.json"
 GROUP_PIECES = 100_000
 #: Bins below this share of the capacity are opened again for the second round.
 REOPEN = 0.98
-#: Distinct words whose ids a Python worker remembers: about 250 MB.
-REMEMBERED = 600_000
+#: Distinct words whose ids a Python worker remembers: about 350 MB.
+REMEMBERED = 1_000_000
 
 
 class _Odd(Exception):
