@@ -5,12 +5,13 @@ those inside elements that are never the article (menus, headers, footers,
 sidebars, forms, adverts, notices, reader comments, scripts, styles), and those
 in neither.  Pages are ordered by URL path within each host, by a distributed
 sort; a page's partner is the neighbour in that order whose path shares the
-longer prefix.  The lines in neither kind of element are aligned with the
+longer prefix.  All lines but those of the second kind are aligned with the
 partner's by longest common subsequence, and shared ones are deleted.
 
 Lines inside an article element are not deleted: neighbouring pages may carry
-copies of an article or repeat a passage, which is text all the same.  If a
-page has article blocks, they are its text; else the lines that are left are.
+copies of an article or repeat a passage, which is text all the same.  A page's
+text is its article lines and the other lines that are left, in page order; on
+a page whose lines are all an article's, differencing has nothing to decide.
 """
 
 from __future__ import annotations
@@ -67,10 +68,9 @@ def _off(name: str, attributes: str, inside: bool) -> bool:
     return False
 
 
-def blocks(page: str) -> tuple[list[str], list[str]]:
-    """(article blocks, other blocks) in page order; white space is one space, references are decoded."""
-    main: list[str] = []
-    other: list[str] = []
+def lines(page: str) -> list[tuple[str, bool]]:
+    """(block, whether an article holds it) in page order; white space is one space, references are decoded."""
+    out: list[tuple[str, bool]] = []
     run: list[str] = []
     stack: list[tuple[str, str]] = []  # open elements that matter: (name, "main", "tag", "mark" or "")
     n = {"main": 0, "tag": 0, "mark": 0, "": 0}
@@ -80,7 +80,7 @@ def blocks(page: str) -> tuple[list[str], list[str]]:
             text = " ".join(html.unescape("".join(run)).split())
             run.clear()
             if text and not n["tag"] and not n["mark"]:
-                (main if n["main"] else other).append(text)
+                out.append((text, n["main"] > 0))
 
     def pop(k: int) -> None:
         while len(stack) > k:
@@ -127,7 +127,13 @@ def blocks(page: str) -> tuple[list[str], list[str]]:
             n[kind] += 1
     run.append(page[at:])
     flush()
-    return main, other
+    return out
+
+
+def blocks(page: str) -> tuple[list[str], list[str]]:
+    """(article blocks, other blocks), each in page order."""
+    found = lines(page)
+    return [x for x, held in found if held], [x for x, held in found if not held]
 
 
 def common_lines(a: list, b: list) -> list[int]:
@@ -163,40 +169,42 @@ def _place(url: str | None) -> tuple[str, str]:
 
 
 def _read(pages: DataFrame, kind: str) -> DataFrame:
-    """Per page: row id, page_id, url, host, path, hashes of its other blocks; the blocks where no article holds the text."""
+    """Per page: row id, page_id, url, host, path, hashes of its lines; the lines and the places of those in no article, if there are any."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh64_intdigest
 
         for batch in bounded(batches, 3):
-            hosts, paths, others, hashes = [], [], [], []
+            hosts, paths, texts, free, hashes = [], [], [], [], []
             for url, page in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 host, path = _place(url)
-                main, other = blocks(page or "")
+                found = lines(page or "")
                 hosts.append(host)
                 paths.append(path)
-                others.append(None if main or not other else other)
-                hashes.append(np.array([xxh64_intdigest(x) for x in other], np.uint64).view(np.int64))
+                free.append([i for i, (_, held) in enumerate(found) if not held] or None)
+                texts.append([x for x, _ in found] if free[-1] else None)
+                hashes.append(np.array([xxh64_intdigest(x) for x, _ in found], np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:3], pa.array(hosts, pa.string()), pa.array(paths, pa.string()),
-                 pa.array(others, pa.list_(pa.string())), pa.array(hashes, pa.list_(pa.int64()))],
-                names=[ROW_ID, "page_id", "url", "host", "path", "other", "lines"])
+                 pa.array(texts, pa.list_(pa.string())), pa.array(free, pa.list_(pa.int32())),
+                 pa.array(hashes, pa.list_(pa.int64()))],
+                names=[ROW_ID, "page_id", "url", "host", "path", "texts", "free", "lines"])
 
     return pages.mapInArrow(run, f"{ROW_ID} long, page_id {kind}, url string, host string, path string, "
-                                 "other array<string>, lines array<long>")
+                                 "texts array<string>, free array<int>, lines array<long>")
 
 
 def _articles(pages: DataFrame, kind: str) -> DataFrame:
-    """page_id, url, text of the pages that no other page has a say in: with an article, or without any text."""
+    """page_id, url, text of the pages that have no line outside an article: no other page has a say in them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in bounded(batches, 2):
             at, texts = [], []
             for i, page in enumerate(batch.column(2).to_pylist()):
-                main, other = blocks(page or "")
-                if main or not other:
+                found = lines(page or "")
+                if all(held for _, held in found):
                     at.append(i)
-                    texts.append("\n".join(main))
+                    texts.append("\n".join(x for x, _ in found))
             rows = pa.array(at, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), pa.array(texts, pa.string())],
                                              names=["page_id", "url", "text"])
@@ -210,7 +218,7 @@ def _alike(a: str, b: str) -> int:
 
 
 def _without_shared(frame: DataFrame) -> DataFrame:
-    """(row id, rest): the other blocks that the nearest neighbour doesn't have."""
+    """(row id, rest): the lines that an article holds or the nearest neighbour doesn't have."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -219,7 +227,8 @@ def _without_shared(frame: DataFrame) -> DataFrame:
                 near = [(_alike(r["path"], r[f"{s}_path"]), r[f"{s}_lines"]) for s in ("before", "after")
                         if r[f"{s}_host"] == r["host"] and r[f"{s}_lines"] is not None]
                 shared = set(common_lines(r["lines"], max(near, key=lambda x: x[0])[1])) if near else set()
-                rest.append("\n".join(x for i, x in enumerate(r["other"]) if i not in shared))
+                shared &= set(r["free"])
+                rest.append("\n".join(x for i, x in enumerate(r["texts"]) if i not in shared))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rest, pa.string())], names=["rest_row", "rest"])
 
     return frame.mapInArrow(run, "rest_row long, rest string")
@@ -240,11 +249,11 @@ def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
                                   {"place": F.lit(1).cast("long")}).drop("place_total"))
     beside = lambda name, step: placed.select(
         (F.col("place") + step).alias("place"), *[F.col(c).alias(f"{name}_{c}") for c in ("host", "path", "lines")])
-    open_pages = placed.join(read.filter("other IS NOT NULL").select(ROW_ID, "other"), ROW_ID)
+    open_pages = placed.join(read.filter("free IS NOT NULL").select(ROW_ID, "texts", "free"), ROW_ID)
     pairs = open_pages.join(beside("before", 1), "place", "left").join(beside("after", -1), "place", "left")
-    rest = _without_shared(pairs.select(ROW_ID, "host", "path", "lines", "other", *[
+    rest = _without_shared(pairs.select(ROW_ID, "host", "path", "lines", "texts", "free", *[
         f"{s}_{c}" for s in ("before", "after") for c in ("host", "path", "lines")]))
-    differenced = (read.filter("other IS NOT NULL").select(ROW_ID, "page_id", "url")
+    differenced = (read.filter("free IS NOT NULL").select(ROW_ID, "page_id", "url")
                    .join(rest, F.col(ROW_ID) == F.col("rest_row")).select("page_id", "url", F.col("rest").alias("text")))
     # article texts are read again rather than stored and shuffled
     return (_articles(pages.select(*own), kind).unionByName(differenced)

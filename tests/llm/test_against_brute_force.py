@@ -283,6 +283,15 @@ def test_nearest_page_differencing(spark):
     assert out[90] == "" and out[91] == "Site name\nText x.\nMore x.\nAll rights y" and out[92] == "z"
 
 
+def test_text_beside_an_article(spark):
+    """Differencing decides the lines outside an article on pages that have one, too."""
+    page = "<div>Site name</div><div>Body {0}.</div><article><p>Teaser {0}</p><p>Same teaser</p></article><div>More {0}.</div>"
+    rows = [(i, f"http://h.org/a/{i:03d}", page.format(i)) for i in range(20)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    out = {r.page_id: r.text for r in html_extract.extracted(df).collect()}
+    assert out == {i: f"Body {i}.\nTeaser {i}\nSame teaser\nMore {i}." for i in range(20)}
+
+
 def test_common_lines():
     rng = random.Random(1)
     for _ in range(300):
