@@ -4,9 +4,12 @@ Each page is read into blocks of text: those inside an article or main element,
 those inside elements that are never the article (menus, headers, footers,
 sidebars, forms, adverts, notices, reader comments, scripts, styles), and those
 in neither.  Pages are ordered by URL path within each host, by a distributed
-sort; a page's partner is the neighbour in that order whose path shares the
-longer prefix.  All lines but those of the second kind are aligned with the
-partner's by longest common subsequence, and shared ones are deleted.
+sort; a page's partner is the nearest page before or after it in that order
+that has other lines than itself, of the two the one whose path shares the longer
+prefix.  All lines but those of the second kind are aligned with the partner's
+by longest common subsequence, and shared ones are deleted if they recur: if
+``RECURS`` pages of the host, copies counted once, have them.  So copies of a
+page at neighbouring URLs don't delete each other's text.
 
 Lines inside an article element are not deleted: neighbouring pages may carry
 copies of an article or repeat a passage, which is text all the same.  A page's
@@ -30,6 +33,8 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.common import ROW_ID, bounded, running_before, stash
 
+#: Different pages of a host that a line is on before it can be deleted: the page, its partner and another one.
+RECURS = 3
 # Element names and class words of the HTML vocabulary.
 RAW = {"script", "style", "title", "textarea", "iframe", "noscript", "template", "svg", "math", "object"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
@@ -217,44 +222,76 @@ def _alike(a: str, b: str) -> int:
     return next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
 
 
-def _without_shared(frame: DataFrame) -> DataFrame:
-    """(row id, rest): the lines that an article holds or the nearest neighbour doesn't have."""
+def _shared(frame: DataFrame) -> DataFrame:
+    """(row id, host, at, line): the lines in no article that a page's partner has, and their places."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rest = []
+            rows, hosts, places, hashes = [], [], [], []
             for r in batch.to_pylist():
-                near = [(_alike(r["path"], r[f"{s}_path"]), r[f"{s}_lines"]) for s in ("before", "after")
-                        if r[f"{s}_host"] == r["host"] and r[f"{s}_lines"] is not None]
-                shared = set(common_lines(r["lines"], max(near, key=lambda x: x[0])[1])) if near else set()
-                shared &= set(r["free"])
-                rest.append("\n".join(x for i, x in enumerate(r["texts"]) if i not in shared))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rest, pa.string())], names=["rest_row", "rest"])
+                near = [(_alike(r["path"], x["path"]), x["lines"]) for x in (r["before"], r["after"])
+                        if x is not None and x["host"] == r["host"]]
+                shared = common_lines(r["lines"], max(near, key=lambda x: x[0])[1]) if near else []
+                for i in sorted(set(shared).intersection(r["free"])):
+                    rows.append(r[ROW_ID])
+                    hosts.append(r["host"])
+                    places.append(i)
+                    hashes.append(r["lines"][i])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rows, pa.int64()), pa.array(hosts, pa.string()), pa.array(places, pa.int32()),
+                 pa.array(hashes, pa.int64())], names=["gone_row", "host", "at", "line"])
+
+    return frame.mapInArrow(run, "gone_row long, host string, at int, line long")
 
-    return frame.mapInArrow(run, "rest_row long, rest string")
+
+def _in_runs(placed: DataFrame) -> DataFrame:
+    """``placed`` with ``run``, the number of each stretch of pages of one host and the same lines, and whether a page is its first or last."""
+    beside = lambda name, step: placed.select(
+        (F.col("place") + step).alias("place"), F.lit(True).alias(name), F.col("host").alias(f"{name}_host"),
+        F.col("sequence").alias(f"{name}_sequence"))
+    other = lambda name: F.col(name).isNull() | (F.col(f"{name}_host") != F.col("host")) | (
+        F.col(f"{name}_sequence") != F.col("sequence"))
+    ends = (placed.join(beside("before", 1), "place", "left").join(beside("after", -1), "place", "left")
+            .select(*placed.columns, other("before").alias("first"), other("after").alias("last")))
+    runs = running_before(ends, [F.col("place")], {"run": F.col("first").cast("long")}).drop("run_total")
+    return runs.withColumn("run", F.col("run") + F.col("first").cast("long"))
 
 
 def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per input row: page_id, url, text, n_chars.
 
     Null or empty html gives an empty text.  Pages without a host (null or odd
-    URLs) form one host.  Repeated rows each have a row.  An empty table gives
-    no rows.  Other columns are ignored.
+    URLs) form one host.  Repeated rows each have a row, and no say in each
+    other's text.  An empty table gives no rows.  Other columns are ignored.
     """
     kind = pages.schema[id_col].dataType.simpleString()
     own = [F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html")]
     read = stash(_read(pages.select(F.monotonically_increasing_id().alias(ROW_ID), *own), kind))
     # neighbours in the order of host and path: places are global, so no host is one task's
-    placed = stash(running_before(read.select(ROW_ID, "host", "path", "lines"), [F.col("host"), F.col("path"), F.col(ROW_ID)],
+    spoken = read.filter("size(lines) > 0").select(ROW_ID, "host", "path", "lines", F.xxhash64("lines").alias("sequence"))
+    placed = stash(running_before(spoken, [F.col("host"), F.col("path"), F.col(ROW_ID)],
                                   {"place": F.lit(1).cast("long")}).drop("place_total"))
-    beside = lambda name, step: placed.select(
-        (F.col("place") + step).alias("place"), *[F.col(c).alias(f"{name}_{c}") for c in ("host", "path", "lines")])
-    open_pages = placed.join(read.filter("free IS NOT NULL").select(ROW_ID, "texts", "free"), ROW_ID)
-    pairs = open_pages.join(beside("before", 1), "place", "left").join(beside("after", -1), "place", "left")
-    rest = _without_shared(pairs.select(ROW_ID, "host", "path", "lines", "texts", "free", *[
-        f"{s}_{c}" for s in ("before", "after") for c in ("host", "path", "lines")]))
-    differenced = (read.filter("free IS NOT NULL").select(ROW_ID, "page_id", "url")
-                   .join(rest, F.col(ROW_ID) == F.col("rest_row")).select("page_id", "url", F.col("rest").alias("text")))
+    runs = stash(_in_runs(placed))
+    # the last page of the run before and the first of the run after: one row per run
+    page = F.struct("host", "path", "lines")
+    nothing = F.lit(None).cast(runs.select(page.alias("p")).schema["p"].dataType)
+    sides = (runs.filter("last").select((F.col("run") + 1).alias("run"), page.alias("before"), nothing.alias("after"))
+             .unionByName(runs.filter("first").select((F.col("run") - 1).alias("run"), nothing.alias("before"),
+                                                      page.alias("after")))
+             .groupBy("run").agg(F.first("before", ignorenulls=True).alias("before"),
+                                 F.first("after", ignorenulls=True).alias("after")))
+    open_pages = read.filter("free IS NOT NULL")
+    pairs = runs.join(open_pages.select(ROW_ID, "free"), ROW_ID).join(stash(sides), "run")
+    shared = _shared(pairs.select(ROW_ID, "host", "path", "lines", "free", "before", "after"))
+    recurring = (placed.groupBy("host", "sequence").agg(F.first("lines").alias("lines"))
+                 .select("host", F.explode(F.array_distinct("lines")).alias("line"))
+                 .groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")).filter(f"n >= {RECURS}").drop("n"))
+    gone = (stash(shared).join(stash(recurring), ["host", "line"])
+            .groupBy("gone_row").agg(F.collect_list("at").alias("gone")))  # at most a page's lines
+    left = F.array_except(F.sequence(F.lit(0), F.size("texts") - 1), F.coalesce("gone", F.array().cast("array<int>")))
+    differenced = (open_pages.join(gone, F.col(ROW_ID) == F.col("gone_row"), "left")
+                   .withColumn("left", left)
+                   .select("page_id", "url", F.expr("array_join(transform(left, i -> texts[i]), '\n')").alias("text")))
     # article texts are read again rather than stored and shuffled
     return (_articles(pages.select(*own), kind).unionByName(differenced)
             .withColumn("n_chars", F.length("text").cast("long")))

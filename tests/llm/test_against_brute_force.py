@@ -292,6 +292,20 @@ def test_text_beside_an_article(spark):
     assert out == {i: f"Body {i}.\nTeaser {i}\nSame teaser\nMore {i}." for i in range(20)}
 
 
+def test_copies_at_neighbouring_urls(spark):
+    """Copies of a page keep their text; what the host repeats on other pages goes."""
+    page = "<body><div>Site name</div><p>Text {0}.</p><p>More {0}.</p><div>{1}</div><div>All rights</div></body>"
+    rows = [(i, f"http://h.org/a/{i:03d}", page.format(i, "")) for i in range(20)]
+    rows += [(i, f"http://h.org/a/{i:03d}", page.format(i, "")) for i in (4, 4, 7, 19)]  # repeated rows
+    rows += [(100 + i, f"http://h.org/a/{i:03d}-{k}", page.format(i, "")) for i in (8, 9, 19) for k in range(3)]
+    rows += [(200, "http://h.org/a/012-print", page.format(12, "Print"))]  # a near copy
+    rows += [(k, f"http://two.org/{k}", page.format(k, "")) for k in (300, 301)]  # no third page tells
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    out = sorted((r.page_id, r.text) for r in html_extract.extracted(df).collect())
+    text = {200: "Text 12.\nMore 12.\nPrint"} | {k: f"Site name\nText {k}.\nMore {k}.\nAll rights" for k in (300, 301)}
+    assert out == sorted((i, text.get(i, f"Text {i % 100}.\nMore {i % 100}.")) for i, _, _ in rows)
+
+
 def test_common_lines():
     rng = random.Random(1)
     for _ in range(300):
