@@ -12,7 +12,9 @@ by longest common subsequence, and shared ones are deleted if they recur: if
 page at neighbouring URLs don't delete each other's text.
 
 Lines inside an article element are not deleted: neighbouring pages may carry
-copies of an article or repeat a passage, which is text all the same.  A page's
+copies of an article or repeat a passage, which is text all the same.  Only
+those are decided by differencing that stand in an element whose id or compound
+class has a word such as "related" or "notice" in it.  A page's
 text is its article lines and the other lines that are left, in page order; on
 a page whose lines are all an article's, differencing has nothing to decide.
 """
@@ -57,35 +59,43 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
 
 
-def _off(name: str, attributes: str, inside: bool) -> bool:
-    """Whether an element is marked as something else than the article, or hidden; inside: of an article."""
+def _mark(name: str, attributes: str, inside: bool) -> str:
+    """"mark" if an element is marked as something else than the article, or hidden; "doubt" if it may be; or "".
+
+    inside: of an article.  There only whole values of class and role mark an
+    element; a word of a compound class or of an id makes its lines doubtful,
+    so that differencing decides on them.
+    """
     if not attributes or name in ("html", "body"):
-        return False
+        return ""
+    doubt = ""
     for m in _ATTRIBUTE.finditer(attributes):
         key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if key == "hidden" or key == "aria-hidden" and value == "true":
-            return True
+            return "mark"
         if key == "style":
             if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-                return True
+                return "mark"
         elif (hints := HINTS.intersection(re.split(r"[^a-z]+", value))) and not (inside and hints == {"header"}):
-            return True
-    return False
+            if not inside or key in ("class", "role") and (HINTS - {"header"}).intersection(value.split()):
+                return "mark"
+            doubt = "doubt"
+    return doubt
 
 
 def lines(page: str) -> list[tuple[str, bool]]:
-    """(block, whether an article holds it) in page order; white space is one space, references are decoded."""
+    """(block, whether an article surely holds it) in page order; white space is one space, references are decoded."""
     out: list[tuple[str, bool]] = []
     run: list[str] = []
-    stack: list[tuple[str, str]] = []  # open elements that matter: (name, "main", "tag", "mark" or "")
-    n = {"main": 0, "tag": 0, "mark": 0, "": 0}
+    stack: list[tuple[str, str]] = []  # open elements that matter: (name, "main", "tag", "mark", "doubt" or "")
+    n = {"main": 0, "tag": 0, "mark": 0, "doubt": 0, "": 0}
 
     def flush() -> None:
         if run:
             text = " ".join(html.unescape("".join(run)).split())
             run.clear()
             if text and not n["tag"] and not n["mark"]:
-                out.append((text, n["main"] > 0))
+                out.append((text, n["main"] > 0 and not n["doubt"]))
 
     def pop(k: int) -> None:
         while len(stack) > k:
@@ -124,8 +134,9 @@ def lines(page: str) -> list[tuple[str, bool]]:
         if name in MAIN and not n["mark"]:
             while stack and stack[-1][1] == "tag":  # a menu that was never closed
                 pop(len(stack) - 1)
-        kind = ("mark" if _off(name, attributes, n["main"] > 0) else "main" if name in MAIN else
-                "tag" if name in SKIP and not (name == "header" and n["main"]) else "")
+        mark = _mark(name, attributes, n["main"] > 0)
+        kind = (mark if mark == "mark" else "main" if name in MAIN and not mark else
+                "tag" if name in SKIP and not (name == "header" and n["main"]) else mark)
         if kind or any(x[0] == name for x in stack):
             flush()
             stack.append((name, kind))

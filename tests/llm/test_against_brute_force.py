@@ -306,6 +306,19 @@ def test_copies_at_neighbouring_urls(spark):
     assert out == sorted((i, text.get(i, f"Text {i % 100}.\nMore {i % 100}.")) for i, _, _ in rows)
 
 
+def test_names_inside_an_article(spark):
+    """Inside an article whole class and role values condemn; words of ids and compound names leave it to differencing."""
+    page = ("<article><h2 id=search>Search {0}</h2><section id='related-work'><p>Work {0}</p></section>"
+            "<div class='social-history'>History {0}</div><p id=notice-1>Notice {0}</p><div class='ad box'>no</div>"
+            "<div role=navigation>no</div><aside>no</aside><div class='share-buttons'>Share this</div><p>Same</p></article>")
+    main, other = html_extract.blocks(page.format(0))
+    assert (main, other) == (["Same"], ["Search 0", "Work 0", "History 0", "Notice 0", "Share this"])
+    rows = [(i, f"http://h.org/a/{i:03d}", page.format(i)) for i in range(12)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    out = {r.page_id: r.text for r in html_extract.extracted(df).collect()}
+    assert out == {i: f"Search {i}\nWork {i}\nHistory {i}\nNotice {i}\nSame" for i in range(12)}
+
+
 def test_common_lines():
     rng = random.Random(1)
     for _ in range(300):
