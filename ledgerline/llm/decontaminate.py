@@ -9,6 +9,10 @@ tokens and its slots are consistent: each value of the item stands for one
 value of the document throughout.  So a copy whose numbers and names were
 replaced is caught, and a text that happens to share the template isn't.
 
+A window with more placeholders than words says little as a template: any sum is
+like any other.  Such windows are joined by a hash that includes their slots'
+values, so items of numbers or names are found where they were copied verbatim.
+
 A bitmap of fixed size (``BITS``) over the benchmark's window hashes lets the
 documents' other windows go before the join, whatever the benchmark's size: a
 fuller bitmap only lets more through to the join, which is exact.
@@ -55,7 +59,7 @@ class _Codes(dict):
         low = token.lower()
         h = xxh64_intdigest(low) & int(_HASH)
         if token[0].isdigit():
-            code = _NUMBER
+            code = _NUMBER | h
         elif token in ".!?:\n":
             code = _END
         elif low in UNITS:
@@ -96,17 +100,39 @@ def _template(text: str) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray]
     return out[at], (number | unit | name)[at], tokens, at
 
 
-def _windows(text: str, sizes: list[int]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(size, hashes, whether mostly words) of all windows of each size."""
-    out, slot, _, _ = _template(text)
+def _valued(out: np.ndarray, slot: np.ndarray, tokens: list[str], at: np.ndarray) -> np.ndarray:
+    """Template tokens with hashes of their values in place of placeholders; of a name, all its words."""
+    code = np.fromiter(map(_codes().__getitem__, tokens), np.uint64, len(tokens))[at[0]:]
+    starts = at - at[0]
+    place = np.arange(len(code)) - np.repeat(starts, np.diff(np.append(starts, len(code))))
+    mixed = ((code & _HASH) + place.astype(np.uint64)) * np.uint64(0xC2B2AE3D27D4EB4F)
+    mixed ^= mixed >> np.uint64(31)
+    mixed[code & _KIND == _END] = 0
+    return np.where(slot, np.add.reduceat(mixed * (place.astype(np.uint64) + np.uint64(1)), starts), out)
+
+
+def _hashes(out: np.ndarray, w: int, seed: int) -> np.ndarray:
+    n = len(out) - w + 1
+    h = np.full(n, seed, np.uint64)
+    for k in range(w):
+        h = (h ^ out[k:k + n]) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+    return h
+
+
+def _windows(text: str, sizes: list[int]) -> Iterator[tuple[int, np.ndarray]]:
+    """(size, hashes) of all windows of each size; with their slots' values where these are more than the words."""
+    out, slot, tokens, at = _template(text)
+    valued = None
     for w in sizes:
-        if (n := len(out) - w + 1) > 0:
-            h = np.full(n, w, np.uint64)
-            for k in range(w):
-                h = (h ^ out[k:k + n]) * np.uint64(0x9E3779B97F4A7C15)
-                h ^= h >> np.uint64(29)
+        if len(out) >= w:
+            h = _hashes(out, w, w)
             slots = np.concatenate(([0], np.cumsum(slot)))
-            yield w, h, 2 * (slots[w:] - slots[:-w]) <= w
+            heavy = 2 * (slots[w:] - slots[:-w]) > w
+            if heavy.any():
+                valued = _valued(out, slot, tokens, at) if valued is None else valued
+                h = np.where(heavy, _hashes(valued, w, w + (1 << 32)), h)
+            yield w, h
 
 
 def _slots(tokens: list[str], at: np.ndarray, slot: np.ndarray, a: int, w: int) -> list[str]:
@@ -124,11 +150,12 @@ def windows(rows: DataFrame, sizes: list[int], bitmap=None) -> DataFrame:
             ids, n, size, pos, hashes, values = [], [], [], [], [], []
             for i, text in enumerate(batch.column(1).to_pylist()):
                 parts = None
-                for w, h, wordy in _windows(text or "", sizes):
+                for w, h in _windows(text or "", sizes):
+                    seen = np.ones(len(h), bool)
                     if bits is not None:
                         b = h & np.uint64(BITS - 1)
-                        wordy &= (bits[(b >> np.uint64(6)).astype(np.int64)] >> (b & np.uint64(63)) & np.uint64(1)) > 0
-                    for a in np.flatnonzero(wordy).tolist():
+                        seen = (bits[(b >> np.uint64(6)).astype(np.int64)] >> (b & np.uint64(63)) & np.uint64(1)) > 0
+                    for a in np.flatnonzero(seen).tolist():
                         parts = parts or _template(text)
                         ids.append(i)
                         n.append(len(parts[0]))
@@ -198,8 +225,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                  item_col: str = "item_id", item_text: str = "text", **parameters) -> DataFrame:
     """One row per contaminated row and item: doc_id, item_id, kind, covered, tokens.
 
-    Null and empty texts match nothing, on either side; items without a window
-    that is at least half words match nothing.  Repeated rows and rows with
+    Null and empty texts match nothing, on either side.  Repeated rows and rows with
     null ids are reported like any other.  An empty table gives no rows.  Other
     columns are ignored.
     """

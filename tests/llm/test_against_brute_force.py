@@ -144,6 +144,22 @@ def test_reparameterised_questions(spark):
     assert {r.doc_id for r in decontaminate.clean(frame(spark, rows), bench).collect()} >= {3, 4, 5, 6}
 
 
+def test_questions_of_numbers_and_names(spark):
+    filler = "It was a quiet morning and nobody in the village had much to say about it. "
+    items = ["Compute 12 + 34 + 56.", "Sort 17, 4, 93, 8, 55, 21, 60, 2 in ascending order.",
+             "Evaluate 3 * 4 + 12 / 6 - 5 + 9 * 2 - 7.", "Who met Anna Maria Bell, Tom Reed, Ann, Bob and Eve?",
+             "Add up the row 5 1 8 2 9 4 7 3 6 2 8 5 1 7 9 4 6 3 and say it."]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    rows = [(i, filler + x + " " + filler) for i, x in enumerate(items)]
+    rows += [(10 + i, filler + re.sub(r"\d+", lambda m: str(int(m[0]) + 100), x).replace("Bell", "Dane") + filler)
+             for i, x in enumerate(items)]
+    rows += [(20, filler + "Who met Bell Anna Maria, Tom Reed, Ann, Bob and Eve?")]
+    out = {(r.doc_id, r.item_id): r.kind for r in decontaminate.contaminated(frame(spark, rows), bench).collect()}
+    assert {k: v for k, v in out.items() if k[0] < 10} == {(i, i): "exact" for i in range(5)}
+    # other numbers are another sum; more than half of the words of the row's sentence aren't there
+    assert not {d for d, _ in out} & {10, 11, 12, 14}
+
+
 def test_benchmark_passages(spark, texts):
     items = {r.item_id: r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
     letters = re.compile(r"[^\W\d_]+")
