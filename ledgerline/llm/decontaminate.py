@@ -4,10 +4,13 @@ Texts become template tokens: lower-cased words, with numbers, units after a
 number and capitalised names inside a sentence replaced by typed placeholders
 whose values are the slots.  Windows of template tokens are hash-joined with
 those of the benchmark; matching windows of one document, item and offset form
-an alignment.  It counts if it covers at least ``coverage`` of the item's
-tokens and its slots are consistent: each value of the item stands for one
-value of the document throughout.  So a copy whose numbers and names were
-replaced is caught, and a text that happens to share the template isn't.
+a piece.  Pieces at neighbouring offsets, no further apart than the item is long,
+form an alignment: a word put in or left out starts a new piece.  It counts if it
+covers at least ``coverage`` of the item's tokens and its slots are consistent:
+each value of the item stands for one value of the document throughout.  So a
+copy whose numbers and names were replaced is caught, and a text that happens to
+share the template isn't.  A run of ``VERBATIM`` tokens that are the item's, values
+too, counts however long the item is.
 
 A window with more placeholders than words says little as a template: any sum is
 like any other.  Such windows are joined by a hash that includes their slots'
@@ -34,6 +37,8 @@ from ledgerline.llm.common import ROW_ID, bounded, field, stash, with_row_id
 
 WINDOW = 8
 COVERAGE = 0.5
+#: Tokens of an item in a row that count whatever share of it they are.
+VERBATIM = 30
 #: Bits of the bitmap: 2 MB, however many windows the benchmark has.
 BITS = 1 << 24
 #: Distinct tokens whose codes a Python worker remembers: about 50 MB.
@@ -185,6 +190,87 @@ def _bitmap(items: DataFrame):
     return items.sparkSession.sparkContext.broadcast(bits)
 
 
+def _covered(starts: list[int], size: int) -> set[int]:
+    return {k for p in starts for k in range(p, p + size)}
+
+
+def _longest(places: set[int]) -> int:
+    """Length of the longest run of consecutive places."""
+    best = n = 0
+    last = None
+    for k in sorted(places):
+        n = n + 1 if last is not None and k == last + 1 else 1
+        best, last = max(best, n), k
+    return best
+
+
+def _best(tokens: int, size: int, pieces: list[dict], coverage: float) -> tuple[int, bool] | None:
+    """(covered tokens, whether verbatim) of a document's best alignment with an item, if one counts.
+
+    pieces: offset, at (item places of the windows), same (of those with the
+    item's values), pairs (item's and document's values).  Going along the
+    offsets, a piece joins the alignments it is consistent with; one without
+    slots joins all.
+    """
+    most: tuple[int, bool] | None = None
+
+    def count(n: int, exact: bool) -> None:
+        nonlocal most
+        most = max(most or (0, False), (n, exact))
+
+    need = max(size, coverage * tokens)
+    plain: dict | None = None  # the alignment of pieces without slots
+    open_: list[dict] = []  # those with slots
+    for piece in sorted(pieces, key=lambda x: x["offset"]):
+        at = piece["offset"]
+        if len(piece["same"]) * size >= VERBATIM and (n := _longest(_covered(piece["same"], size))) >= VERBATIM:
+            count(n, True)
+        values: dict[str, str] = {}
+        if any(values.setdefault(x["a"], x["b"]) != x["b"] for x in piece["pairs"]):
+            continue
+        here = _covered(piece["at"], size)
+        open_ = [x for x in open_ if at - x["last"] <= tokens]
+        if plain and at - plain["last"] > tokens:
+            plain = None
+        if not values:
+            plain = plain or {"values": {}, "covered": set(), "last": at}
+            join = [plain, *open_]
+        else:
+            join = [x for x in open_ if all(x["values"].get(a, b) == b for a, b in values.items())]
+            if not join:
+                join = [{"values": {}, "covered": set(plain["covered"]) if plain else set(), "last": at}]
+                open_ += join
+        for x in join:
+            x["values"].update(values)
+            x["covered"] |= here
+            x["last"] = at
+            if len(x["covered"]) >= need:
+                count(len(x["covered"]), all(a == b for a, b in x["values"].items()))
+    return most
+
+
+def _counted(found: DataFrame, coverage: float) -> DataFrame:
+    """(row, item_row, kind, covered, tokens) of the documents and items (row, item_row, tokens, size, pieces) with an alignment that counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, kinds, covered = [], [], []
+            for i, (tokens, size, pieces) in enumerate(zip(*[batch.column(k).to_pylist() for k in (2, 3, 4)])):
+                if best := _best(tokens, size, pieces, coverage):
+                    at.append(i)
+                    covered.append(best[0])
+                    kinds.append("exact" if best[1] else "reparameterised")
+            rows = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(kinds, pa.string()),
+                 pa.array(covered, pa.int64()), batch.column(2).take(rows).cast(pa.int64())],
+                names=["row", "item_row", "kind", "covered", "tokens"])
+
+    kind = found.schema["row"].dataType.simpleString()
+    return found.select("row", "item_row", "tokens", "size", "pieces").mapInArrow(
+        run, f"row {kind}, item_row long, kind string, covered long, tokens long")
+
+
 def matches(rows: DataFrame, benchmark: DataFrame, item_col: str = "item_id", item_text: str = "text",
             window: int = WINDOW, coverage: float = COVERAGE) -> DataFrame:
     """(row, item, kind, covered, tokens): contaminated ones of ``rows(id, text)`` and the items they hold.
@@ -203,22 +289,16 @@ def matches(rows: DataFrame, benchmark: DataFrame, item_col: str = "item_id", it
     met = found.select(F.col("id").alias("row"), "size", "pos", "hash", "slots").join(own, ["hash", "size"])
     met = met.filter("size(slots) = size(item_slots)")
     pairs = F.arrays_zip(F.col("item_slots").alias("a"), F.col("slots").alias("b"))
-    aligned = met.groupBy("row", "item_row", (F.col("pos") - F.col("item_pos")).alias("offset")).agg(
+    pieces = met.groupBy("row", "item_row", (F.col("pos") - F.col("item_pos")).alias("offset")).agg(
         F.first("tokens").alias("tokens"), F.first("size").alias("size"),
         F.collect_set("item_pos").alias("at"),  # at most the item's tokens
+        F.collect_set(F.when(F.col("slots") == F.col("item_slots"), F.col("item_pos"))).alias("same"),
         F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"))
-    covered = F.size(F.array_distinct(F.flatten(F.transform(
-        "at", lambda p: F.sequence(p, p + F.col("size") - 1)))))
-    consistent = F.size(F.array_distinct(F.transform("pairs", lambda p: p["a"]))) == F.size("pairs")
-    exact = F.forall("pairs", lambda p: p["a"] == p["b"])
-    good = (aligned.withColumn("covered", covered).filter(consistent)
-            .filter(F.col("covered") >= F.greatest(F.col("size"), coverage * F.col("tokens")))
-            .withColumn("kind", F.when(exact, "exact").otherwise("reparameterised")))
-    best = good.groupBy("row", "item_row").agg(F.max(F.struct(
-        "covered", F.when(exact, 1).otherwise(0).alias("e"), "kind", "tokens")).alias("m"))
-    return best.join(items.select(F.col("id").alias("item_row"), "item"), "item_row").select(
-        "row", "item", "m.kind", F.col("m.covered").cast("long").alias("covered"),
-        F.col("m.tokens").cast("long").alias("tokens"))
+    found = pieces.groupBy("row", "item_row").agg(
+        F.first("tokens").alias("tokens"), F.first("size").alias("size"),
+        F.collect_list(F.struct("offset", "at", "same", "pairs")).alias("pieces"))  # one document's and one item's
+    return _counted(found, coverage).join(items.select(F.col("id").alias("item_row"), "item"), "item_row").select(
+        "row", "item", "kind", "covered", "tokens")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",

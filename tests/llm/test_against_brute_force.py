@@ -160,6 +160,27 @@ def test_questions_of_numbers_and_names(spark):
     assert not {d for d, _ in out} & {10, 11, 12, 14}
 
 
+def test_copies_with_words_put_in_and_parts_of_long_items(spark):
+    rng = random.Random(2)
+    words = lambda n: ["".join(rng.choice("abcdefghij") for _ in range(7)) for _ in range(n)]
+    a, b, x = words(39), words(100), words(400)
+    ask = ("how many apples does the farmer Mary Lee have left if {0} and then her good old friend sells {1} of the "
+           "{2} pears that they both had kept in the old barn").split()
+    text = lambda w, *v: " ".join(w).format(*v)
+    cut = lambda *v: text([*ask[:12], "maybe", *ask[12:22], "also", *ask[22:]], *v)
+    items = [text(a), text(b), text(ask, 12, 12, 12)]
+    rows = [(1, text([*x[:90], *a[:13], "extra", *a[13:26], "again", *a[26:], *x[90:]])),  # two words put in
+            (2, text([*x[:50], *a[:12], *a[14:26], *a[28:], *x[50:99]])),  # words left out
+            (3, text([*x[:70], *b[30:70], *x[70:]])),  # 40 % of a long item
+            (4, text([*x[:70], *b[30:50], *x[70:]])),  # 20 %
+            (5, text([*a[:13], *x, *a[13:26]])),  # not side by side
+            (6, text(["said"]) + " " + cut(5, 5, 5) + " " + cut(8, 8, 8)), (7, "said " + cut(5, 6, 7)), (8, text(x))]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    out = {(r.doc_id, r.item_id): (r.kind, r.covered) for r in decontaminate.contaminated(frame(spark, rows), bench).collect()}
+    assert {k: v[0] for k, v in out.items()} == {(1, 0): "exact", (2, 0): "exact", (3, 1): "exact", (6, 2): "reparameterised"}
+    assert out[1, 0][1] == 39 and out[3, 1][1] == 40
+
+
 def test_benchmark_passages(spark, texts):
     items = {r.item_id: r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
     letters = re.compile(r"[^\W\d_]+")
