@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.llm import (
+    alignment,
     decontaminate,
     html_extract,
     line_dedup,
@@ -17,7 +18,9 @@ from ledgerline.llm import (
     quality_rules,
     sharding,
     simhash,
+    spelling,
     substring_dedup,
+    token_files,
 )
 from ledgerline.llm.common import table
 
@@ -77,6 +80,21 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), capacity=1024, end_id=2)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The frequent words of all documents, each with the more frequent spelling that is one edit away."""
+    return spelling.grouped(spelling.word_counts(table(spark, sf_dir, "documents"), min_length=6, min_count=5, slip=199), ratio=5)
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ids of all documents, written to Re-Pair compressed files and read back from them."""
+    return token_files.round_trip(table(spark, sf_dir, "documents"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' groups of byte-level and piece tokens, with the links' counts over the corpus."""
+    return alignment.aligned(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_sharding": op2_sharding,
@@ -88,6 +106,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_html_extract": op9_html_extract,
     "op10_packing": op10_packing,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_token_files": op12_token_files,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLES: dict[str, str] = {

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ledgerline.llm import (
+    alignment,
     decontaminate,
     html_extract,
     line_dedup,
@@ -14,7 +15,9 @@ from ledgerline.llm import (
     quality_rules,
     sharding,
     simhash,
+    spelling,
     substring_dedup,
+    token_files,
 )
 
 LONG = " ".join(f"word{i % 977} is {i}" for i in range(40_000)) + "\nlast line"
@@ -56,10 +59,14 @@ OPERATORS = {
     "html_extract": (lambda s, d: html_extract.extracted(
         d.withColumnsRenamed({"doc_id": "page_id", "text": "html", "source": "url"})), True),
     "packing": (lambda s, d: packing.packed(d), False),
+    "spelling": (lambda s, d: spelling.grouped(spelling.word_counts(d, min_length=4, min_count=1, slip=7)), False),
+    "token_files": (lambda s, d: token_files.round_trip(d), True),
+    "alignment": (lambda s, d: alignment.aligned(d), True),
 }
 #: Names that the operators use themselves.
 CLASHES = ["doc", "q", "verdict", "host", "n_docs", "rest", "gone", "row", "rank", "shard", "slot", "size", "__row_id",
-           "__fp", "fp", "root", "component_id", "features", "score", "item_id", "kind", "at", "first", "place", "id"]
+           "__fp", "fp", "root", "component_id", "features", "score", "item_id", "kind", "at", "first", "place", "id",
+           "h", "word", "n", "run", "row", "part", "keys", "times", "file", "content"]
 
 
 def clashing(df):
