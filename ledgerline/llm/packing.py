@@ -14,8 +14,6 @@ that stay far from full in any group are dealt again and packed once more.
 
 from __future__ import annotations
 
-import sys
-import types
 import zlib
 from array import array
 from bisect import bisect_right
@@ -27,7 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import ROW_ID, stash
+from ledgerline.llm.common import ROW_ID, bounded, stash
+from ledgerline.llm.token_chunks import ByteLevel, kept, pack
 
 CAPACITY = 1024
 END_ID = 2
@@ -36,75 +35,26 @@ VOCABULARY = "byte_bpe_50k.json"
 GROUP_PIECES = 100_000
 #: Bins below this share of the capacity are opened again for the second round.
 REOPEN = 0.98
-#: Distinct words whose ids a Python worker remembers: about 350 MB.
-REMEMBERED = 1_000_000
 
 
-class _Odd(Exception):
-    """A chunk that the tokenizer may not see alone."""
-
-
-class _ChunkIds(dict):
-    """chunk -> its ids as little-endian 32-bit bytes, made by the tokenizer once."""
-
-    def __init__(self, tokenizer, before: str):
-        super().__init__()
-        self.tokenizer, self.before = tokenizer, before
-
-    def __missing__(self, chunk: str) -> bytes:
-        if not chunk or chunk[0].isspace() or chunk[-1].isspace():
-            raise _Odd
-        ids = _bytes(self.tokenizer.encode(self.before + chunk, add_special_tokens=False).ids)
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[chunk] = ids
-        return ids
-
-
-def _bytes(ids: list[int]) -> bytes:
-    return np.asarray(ids, dtype="<u4").tobytes()
-
-
-class Encoder:
-    """Ids of whole texts, as bytes.
-
-    A byte-level tokenizer with the usual splitting pattern never lets a token
-    span a single space or line feed between two characters that aren't white
-    space, so such a text is encoded chunk by chunk and each chunk once only.
-    Texts with other white space are encoded whole.
-    """
+class Encoder(ByteLevel):
+    """Ids of whole texts, as bytes."""
 
     def __init__(self, path: str | None = None):
-        from tokenizers import Tokenizer
-
         if path is None:
             import public_tokenizers
 
             path = public_tokenizers.path(VOCABULARY)
-        self.tokenizer = Tokenizer.from_file(str(path))
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.first, self.rest = _ChunkIds(self.tokenizer, ""), _ChunkIds(self.tokenizer, " ")
-        self.line_feed = _bytes(self.tokenizer.encode("\n", add_special_tokens=False).ids)
+        super().__init__(path)
 
     def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        try:
-            lines = []
-            for line in text.split("\n"):
-                head, *tail = line.split(" ")
-                lines.append(self.first[head] + b"".join(map(self.rest.__getitem__, tail)))
-            return self.line_feed.join(lines)
-        except _Odd:
-            return _bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
-
-
-def _encoder(path: str | None) -> Encoder:
-    """The Python worker's encoder: kept between its tasks."""
-    kept = sys.modules.setdefault("_ledgerline_encoders", types.ModuleType("_ledgerline_encoders"))
-    if (path, REMEMBERED) not in kept.__dict__.setdefault("made", {}):
-        kept.made[path, REMEMBERED] = Encoder(path)
-    return kept.made[path, REMEMBERED]
+        return self.all([text])[0]
+
+    def all(self, texts: list[str]) -> list[bytes]:
+        return super().encode(texts)
+
+
+_bytes = pack
 
 
 def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY,
@@ -118,11 +68,11 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capa
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = _encoder(path), _bytes([end_id])
-        for batch in batches:
+        encoder, end = kept(Encoder, path, VOCABULARY), _bytes([end_id])
+        for batch in bounded(batches, 2):
             row, piece, start, length, crc = [], array("i"), array("q"), array("q"), array("q")
-            for i, text in enumerate(batch.column(2).to_pylist()):
-                ids = encoder.encode(text or "") + end
+            for i, found in enumerate(encoder.all([t or "" for t in batch.column(2).to_pylist()])):
+                ids = found + end
                 n = len(ids) // 4
                 cuts = [0, *range(n % capacity or capacity, n, capacity), n]
                 for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
