@@ -1,12 +1,11 @@
-"""Ids of whole texts from a tokenizer that never sees the same chunk twice.
+"""Ids of whole texts from a tokenizer that never sees the same piece of text twice.
 
 The given tokenizers never let a token span a single space or line feed between
 two characters that aren't white space, so a text's ids are those of its chunks
-between them.  A worker remembers the ids of the chunks it has met.  New chunks of a
-batch are encoded together, several hundred to a call, and cut apart again at a
-mark that the tokenizer leaves (the space that begins a token, a line feed, a
-separator), which costs half of what a call for each chunk does.  Texts with
-other white space at a chunk's edge are encoded whole.
+between them.  The distinct chunks of a batch are found by Arrow; a worker remembers
+the ids of those it has met.  New ones are encoded together, several hundred to a
+call, and cut apart again at a mark that the tokenizer leaves.  Texts with other
+white space at a chunk's edge are encoded whole.
 """
 
 from __future__ import annotations
@@ -16,64 +15,164 @@ import types
 from collections.abc import Callable, Iterable
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Bytes of remembered chunks in a Python worker, by estimate.
-REMEMBERED_BYTES = 250 << 20
-#: What an entry takes besides its text and ids.
-ENTRY = 250
-#: Chunks that one call of the tokenizer encodes, and the longest chunk that shares a call.
+#: Bytes that a cache of a Python worker takes at most, by estimate, and what an entry takes besides its text and ids.
+REMEMBERED_BYTES, ENTRY = 240 << 20, 150
+#: Texts that one call of the tokenizer encodes, and the longest chunk that shares a call.
 JOINED, LONGEST = 500, 200
 
 
-class Chunks(dict):
-    """chunk -> its ids as little-endian 32-bit bytes, or None where the chunk can't stand alone.
+def pack(ids: list[int]) -> bytes:
+    return np.asarray(ids, "<u4").tobytes()
 
-    ``join`` puts chunks into one text, ``encode`` gives its ids, ``cut`` says where
-    each chunk's ids begin and end in them; ``alone`` encodes one chunk.
-    """
 
-    def __init__(self, join: Callable, encode: Callable, cut: Callable, alone: Callable, right: Callable | None = None):
+class Remembered(dict):
+    """text -> its ids as little-endian 32-bit bytes, or None; forgets everything when it grows too large."""
+
+    def __init__(self, most: int | None = None):
         super().__init__()
-        self.join, self.encode, self.cut, self.alone, self.right = join, encode, cut, alone, right
-        self.bytes = 0
-
-    def learn(self, wanted: Iterable[str]) -> None:
-        """Remember the ids of all wanted chunks."""
-        new = [c for c in wanted if c not in self]
-        if self.bytes > REMEMBERED_BYTES:
-            new = list(wanted)
+        self.bytes, self.most = 0, most
+
+    def put(self, text: str, ids: bytes | None) -> None:
+        self[text] = ids
+        self.bytes += ENTRY + len(text) + (len(ids) if ids else 0)
+
+    def make_room(self) -> None:
+        if self.bytes > (REMEMBERED_BYTES if self.most is None else self.most):
             self.clear()
             self.bytes = 0
-        together = []
-        for c in new:
-            if not c or c[0].isspace() or c[-1].isspace():
-                self[c] = None
-            elif len(c) > LONGEST:
-                self._put(c, self.alone(c))
+
+
+def _cut_apart(texts: list[str], join: Callable, encode: Callable, cut: Callable, alone: Callable) -> list[bytes]:
+    """The ids of each text, from calls that encode many: ``join`` makes one text of a group, ``cut`` says where
+    each one's ids begin and end; where that doesn't fit, a text holds the mark itself and each is encoded alone."""
+    out: list[bytes] = []
+    groups = [texts[i:i + JOINED] for i in range(0, len(texts), JOINED)]
+    for group, found in zip(groups, encode([join(g) for g in groups])):
+        ids = np.asarray(found, "<u4")
+        starts, ends = cut(ids)
+        if len(starts) != len(group):
+            out += map(alone, group)
+            continue
+        data = ids.tobytes()
+        out += [data[a:b] for a, b in zip((4 * starts).tolist(), (4 * ends).tolist())]
+    return out
+
+
+class Encoder:
+    """What the tokenizers have in common.
+
+    ``lead``: a text is encoded as if a space came before it.  ``exact``: ``bytes`` has
+    each token's bytes, and a text that its tokens don't spell has no ids (None).
+    """
+
+    lead, exact = True, False
+    bytes: list[bytes]
+
+    def __init__(self, remember: int | None = None):
+        self.chunks = Remembered(remember)
+
+    # to be given: the ids of a whole text, and of chunks (those after a line feed begin with it)
+    def whole(self, text: str) -> bytes:
+        raise NotImplementedError
+
+    def learn(self, chunks: list[str]) -> None:
+        """Put the ids of new chunks into ``self.chunks``; None for those that can't stand alone."""
+        raise NotImplementedError
+
+    def text(self, ids: bytes) -> bytes:
+        return b"".join(map(self.bytes.__getitem__, memoryview(ids).cast("I")))
+
+    def flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[int]]:
+        """(ids of all texts in a row, how many each has, the texts that aren't spelt and so have none)."""
+        rows = pc.replace_substring(pa.array(texts, pa.string()), "\n", " \n")
+        if not self.lead:  # the first chunk follows a line feed, too, whose id is dropped
+            rows = pc.binary_join_element_wise("\n", rows, "")
+        split = pc.split_pattern(rows, " ")
+        coded = split.flatten().dictionary_encode()
+        codes, distinct = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        self.chunks.make_room()
+        self.learn([c for c in distinct if c not in self.chunks])
+        found = list(map(self.chunks.__getitem__, distinct))
+        store = np.frombuffer(b"".join(x for x in found if x), "<u4")
+        sizes = np.fromiter((len(x) // 4 if x is not None else 0 for x in found), np.int64, len(found))
+        starts = np.cumsum(sizes) - sizes
+        first = split.offsets.to_numpy().astype(np.int64)
+        n = sizes[codes]
+        after = np.append(0, np.cumsum(n))
+        at = np.arange(after[-1])
+        at += np.repeat(starts[codes] - after[:-1], n)
+        ids, ends = store[at], after[first]
+        counts = np.diff(ends)
+        odd = np.fromiter((x is None for x in found), bool, len(found))
+        strange: list[int] = []
+        if odd.any() or not self.lead or "" in texts:
+            # texts that have to be encoded whole, ids to drop, and the empty text, which is no chunk but a text
+            held = np.flatnonzero(np.add.reduceat(odd[codes], first[:-1])) if len(codes) else []
+            again, parts = set(np.asarray(held).tolist()), []
+            for i, text in enumerate(texts):
+                part = ids[ends[i]:ends[i + 1]]
+                if not text:
+                    part = part[:0]
+                elif i in again:
+                    made = self.whole(text)
+                    if self.exact and self.text(made) != (" " * self.lead + text).encode():
+                        strange.append(i)
+                        made = b""
+                    part = np.frombuffer(made, "<u4")
+                elif not self.lead:
+                    part = part[1:]
+                parts.append(part)
+            ids, counts = np.concatenate([np.zeros(0, "<u4"), *parts]), np.array([len(p) for p in parts], np.int64)
+        return ids, counts, strange
+
+    def encode(self, texts: list[str]) -> list[bytes | None]:
+        """The ids of each text; None where an exact encoder's tokens don't spell it, space in front included."""
+        if not texts:
+            return []
+        ids, counts, strange = self.flat(texts)
+        data, ends = ids.tobytes(), (4 * np.cumsum(counts)).tolist()
+        out: list[bytes | None] = [data[a:b] for a, b in zip([0, *ends], ends)]
+        for i in strange:
+            out[i] = None
+        return out
+
+    def _sort_out(self, chunks: Iterable[str]) -> tuple[list[str], list[str]]:
+        """The new chunks that can stand alone: those after a space, and those after a line feed (without it)."""
+        rest, first = [], []
+        for c in chunks:
+            after_feed = c[:1] == "\n"
+            body = c[1:] if after_feed else c
+            if not body or body[0].isspace() or body[-1].isspace():
+                self.chunks.put(c, None)
             else:
-                together.append(c)
-        groups = [together[i:i + JOINED] for i in range(0, len(together), JOINED)]
-        for group, found in zip(groups, self.encode([self.join(g) for g in groups])):
-            ids = np.asarray(found, "<u4")
-            starts, ends = self.cut(ids)
-            if len(starts) != len(group):  # a chunk holds the mark itself
-                for c in group:
-                    self._put(c, self.alone(c))
-                continue
-            data = ids.tobytes()
-            for c, a, b in zip(group, (4 * starts).tolist(), (4 * ends).tolist()):
-                self._put(c, data[a:b])
-
-    def _put(self, chunk: str, ids: bytes) -> None:
-        if self.right is not None and not self.right(chunk, ids):
-            self[chunk] = None
-            return
-        self[chunk] = ids
-        self.bytes += ENTRY + len(chunk) + len(ids)
+                (first if after_feed else rest).append(body)
+        return rest, first
 
 
-def pack(ids: list[int]) -> bytes:
-    return np.asarray(ids, "<u4").tobytes()
+class _Tokenizers(Encoder):
+    """A file of the ``tokenizers`` library."""
+
+    def __init__(self, path: str, remember: int | None = None):
+        from tokenizers import Tokenizer
+
+        super().__init__(remember)
+        self.tokenizer = Tokenizer.from_file(str(path))
+        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+
+    def _flags(self, of: Callable[[str], bool]) -> np.ndarray:
+        flags = np.zeros(max(self.vocabulary.values()) + 1, bool)
+        flags[[i for t, i in self.vocabulary.items() if of(t)]] = True
+        return flags
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _batch(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
 
 
 def _byte_letters() -> dict[str, int]:
@@ -85,26 +184,17 @@ def _byte_letters() -> dict[str, int]:
 _BYTE = _byte_letters()
 
 
-class ByteLevel:
-    """Byte-level BPE that splits at single spaces and keeps them (GPT-2's pattern).
-
-    With ``lead``, texts follow a space; with ``exact``, ``bytes`` has each token's
-    bytes, and a text that they don't spell has no ids (None).
-    """
-
-    def __init__(self, path: str, lead: bool = False, exact: bool = False):
-        from tokenizers import Tokenizer
+class ByteLevel(_Tokenizers):
+    """Byte-level BPE that splits at single spaces and keeps them (GPT-2's pattern)."""
 
-        self.tokenizer, self.lead = Tokenizer.from_file(str(path)), lead
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        spaced = np.zeros(max(vocabulary.values()) + 1, bool)
-        spaced[[i for t, i in vocabulary.items() if t.startswith("Ġ")]] = True
+    def __init__(self, path: str, lead: bool = False, exact: bool = False, remember: int | None = None):
+        super().__init__(path, remember)
+        self.lead, self.exact = lead, exact
+        spaced = self._flags(lambda t: t.startswith("Ġ"))
         (feed,) = self._ids("\n")
-        self.exact, self.bytes = exact, [b""] * len(spaced)
-        if exact:
-            for token, i in vocabulary.items():
-                self.bytes[i] = bytes(map(_BYTE.__getitem__, token)) if all(c in _BYTE for c in token) else token.encode()
+        self.feed, self.bytes = pack([feed]), [b""] * len(spaced)
+        for token, i in self.vocabulary.items():
+            self.bytes[i] = bytes(map(_BYTE.__getitem__, token)) if all(c in _BYTE for c in token) else token.encode()
 
         def at_space(ids):
             starts = np.flatnonzero(spaced[ids])
@@ -114,37 +204,77 @@ class ByteLevel:
             feeds = np.flatnonzero(ids == feed)
             return np.append(0, feeds + 1), np.append(feeds, len(ids))
 
-        self.feed = pack([feed])
-        self.rest = Chunks(lambda g: " " + " ".join(g), self._batch, at_space, lambda c: pack(self._ids(" " + c)),
-                           (lambda c, ids: self.text(ids) == b" " + c.encode()) if exact else None)
-        self.first = Chunks("\n".join, self._batch, at_feed, lambda c: pack(self._ids(c)),
-                            (lambda c, ids: self.text(ids) == c.encode()) if exact else None)
+        self.at_space, self.at_feed = at_space, at_feed
 
-    def _ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+    def whole(self, text: str) -> bytes:
+        return pack(self._ids(" " * self.lead + text))
 
-    def _batch(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
+    def learn(self, chunks: list[str]) -> None:
+        rest, first = self._sort_out(chunks)
+        for bodies, join, cut, front, before in (
+                (rest, lambda g: " " + " ".join(g), self.at_space, " ", ""), (first, "\n".join, self.at_feed, "", "\n")):
+            short = [c for c in bodies if len(c) <= LONGEST]
+            found = zip(short, _cut_apart(short, join, self._batch, cut, lambda c: pack(self._ids(front + c))))
+            for c, ids in [*found, *((c, pack(self._ids(front + c))) for c in bodies if len(c) > LONGEST)]:
+                right = not self.exact or self.text(ids) == (front + c).encode()
+                self.chunks.put(before + c, (self.feed if before else b"") + ids if right else None)
 
-    def text(self, ids: bytes) -> bytes:
-        return b"".join(map(self.bytes.__getitem__, memoryview(ids).cast("I")))
+
+class WordEnds(_Tokenizers):
+    """BPE of lower-cased words with word ends, white space dropped."""
+
+    MARK = "\x01"
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        super().__init__(path)
+        # ASCII words are whole words to its splitter: they go to the model alone
+        self.model = Tokenizer(self.tokenizer.model)
+        self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        (mark,) = self._ids(self.MARK)
+        last = self._flags(lambda t: t.endswith("</w>"))
+
+        def at_mark(ids):
+            marks = np.flatnonzero(ids == mark)
+            return np.append(0, marks + 1), np.append(marks, len(ids))
+
+        def at_end(ids):
+            ends = np.flatnonzero(last[ids]) + 1
+            return np.append(0, ends[:-1]), ends
+
+        self.at_mark, self.at_end = at_mark, at_end
+
+    def _model_batch(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.model.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
 
     def whole(self, text: str) -> bytes:
-        return pack(self._ids(" " * self.lead + text))
+        return pack(self._ids(text))
 
-    def encode(self, texts: list[str]) -> list[bytes | None]:
-        """The ids of each text."""
-        return _encode(self, texts)
+    def learn(self, chunks: list[str]) -> None:
+        plain, other = [], []
+        for c in chunks:  # white space leaves no token, so every chunk can stand alone, a line feed in front or not
+            body = c[1:] if c[:1] == "\n" else c
+            if len(c) > LONGEST:
+                self.chunks.put(c, self.whole(c))
+            else:
+                (plain if body.isascii() and body.isalpha() else other).append(c)
+        lower = [c.strip("\n").lower() for c in plain]
+        for c, ids in zip(plain, _cut_apart(lower, " ".join, self._model_batch, self.at_end, self.whole)):
+            self.chunks.put(c, ids)
+        for c, ids in zip(other, _cut_apart(other, f" {self.MARK} ".join, self._batch, self.at_mark, self.whole)):
+            self.chunks.put(c, ids)
 
 
-class Pieces:
+class Pieces(Encoder):
     """A sentencepiece BPE model with byte fallback whose pieces have a space in front only, and no line feed."""
 
     lead, exact = True, True  # the model puts a space before the text
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remember: int | None = None):
         import sentencepiece
 
+        super().__init__(remember)
         self.model = m = sentencepiece.SentencePieceProcessor(model_file=str(path))
         names = [m.id_to_piece(i) for i in range(m.vocab_size())]
         self.bytes = [bytes([int(n[3:5], 16)]) if m.is_byte(i) else n.replace("▁", " ").encode() for i, n in enumerate(names)]
@@ -161,90 +291,22 @@ class Pieces:
             feeds = np.flatnonzero(ids == feed)
             return feeds + 1, np.append(feeds[1:], len(ids))
 
-        self.feed = pack([feed])
-        # the model changes some texts (U+2581 becomes a space): such chunks are left to the whole text
-        self.rest = Chunks(" ".join, self._batch, at_space, lambda c: pack(m.encode(c)),
-                           lambda c, ids: self.text(ids) == b" " + c.encode())
-        self.first = Chunks(lambda g: "\n" + "\n".join(g), self._batch, at_feed,
-                            lambda c: pack(m.encode("\n" + c))[8:], lambda c, ids: self.text(ids) == c.encode())
+        self.feed, self.at_space, self.at_feed = pack([feed]), at_space, at_feed
 
     def _batch(self, texts: list[str]) -> list[list[int]]:
         return self.model.encode(texts, num_threads=1) if texts else []
 
-    def text(self, ids: bytes) -> bytes:
-        return b"".join(map(self.bytes.__getitem__, memoryview(ids).cast("I")))
-
     def whole(self, text: str) -> bytes:
         return pack(self.model.encode(text))
 
-    def encode(self, texts: list[str]) -> list[bytes | None]:
-        return _encode(self, texts)
-
-
-class WordEnds:
-    """BPE with word ends, white space dropped: chunks are joined by a separator that is a word of its own."""
-
-    lead, exact, feed = True, False, b""
-    MARK = "\x01"
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(str(path))
-        self.tokenizer.encode_special_tokens = True
-        (mark,) = self._ids(self.MARK)
-
-        def at_mark(ids):
-            marks = np.flatnonzero(ids == mark)
-            return np.append(0, marks + 1), np.append(marks, len(ids))
-
-        self.rest = self.first = Chunks(f" {self.MARK} ".join, self._batch, at_mark, self.whole)
-
-    def _ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
-
-    _batch = ByteLevel._batch
-
-    def whole(self, text: str) -> bytes:
-        return pack(self._ids(text))
-
-    def encode(self, texts: list[str]) -> list[bytes | None]:
-        return _encode(self, texts)
-
-
-def _encode(encoder, texts: list[str]) -> list[bytes | None]:
-    """Chunk by chunk, after all new chunks of the texts have been learnt.
-
-    An exact encoder gives None for a text whose tokens don't spell it, space in front included.
-    """
-    cut, heads, tails = [], set(), set()
-    for text in texts:
-        lines = [line.split(" ") for line in text.split("\n")]
-        cut.append(lines)
-        for line in lines:
-            tails.update(line[1:])
-        heads.update([line[0] for line in lines[encoder.lead:]])
-        if encoder.lead:
-            tails.add(lines[0][0])
-    if encoder.first is encoder.rest:
-        encoder.rest.learn(tails | heads)
-    else:
-        encoder.rest.learn(tails)
-        encoder.first.learn(heads)
-    first, rest, out = encoder.first.__getitem__, encoder.rest.__getitem__, []
-    for text, lines in zip(texts, cut):
-        try:
-            if encoder.lead:
-                made = [b"".join(map(rest, lines[0]))]
-                made += [first(head) + b"".join(map(rest, tail)) for head, *tail in lines[1:]]
-            else:
-                made = [first(head) + b"".join(map(rest, tail)) for head, *tail in lines]
-            out.append(encoder.feed.join(made))
-        except TypeError:  # None: a chunk that can't stand alone
-            ids = encoder.whole(text) if text else b""
-            wrong = encoder.exact and text and encoder.text(ids) != (" " * encoder.lead + text).encode()
-            out.append(None if wrong else ids)
-    return out
+    def learn(self, chunks: list[str]) -> None:
+        rest, first = self._sort_out(chunks)
+        # the model changes some texts (U+2581 becomes a space): such chunks are left to the whole text
+        for c, ids in zip(rest, _cut_apart(rest, " ".join, self._batch, self.at_space, self.whole)):
+            self.chunks.put(c, ids if self.text(ids) == b" " + c.encode() else None)
+        alone = lambda c: pack(self.model.encode("\n" + c))[8:]
+        for c, ids in zip(first, _cut_apart(first, lambda g: "\n" + "\n".join(g), self._batch, self.at_feed, alone)):
+            self.chunks.put("\n" + c, self.feed + ids if self.text(ids) == c.encode() else None)
 
 
 def kept(kind: type, path: str | None, vocabulary: str, **options):
