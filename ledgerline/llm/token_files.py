@@ -3,8 +3,8 @@
 Documents are range-partitioned by id; the ids of a partition are cut into shards
 of whole documents and a file holds the shards of one partition, one after another.
 In each shard frequent pairs of neighbouring symbols are replaced by nonterminals,
-round after round, all pairs within a quarter of the most frequent one at a time, until no
-pair occurs ``MIN_COUNT`` times; a pair never spans two documents.  The file
+round after round, all pairs down to a sixteenth of the last round's counts at a time, until
+no pair occurs ``MIN_COUNT`` times; a pair never spans two documents.  The file
 keeps the rules, the length that each nonterminal expands to and where each document's
 symbols begin, so one document or a range of its ids is read without the rest.
 
@@ -47,58 +47,100 @@ SHARD_IDS = 1 << 20
 MIN_COUNT = 8
 MAGIC, VERSION, HEAD = b"LLRP", 1, "<4sII6Q"
 #: Bits of the table that counts pairs by hash, which leaves few pairs to count exactly.
-HASH_BITS = 20
+HASH_BITS = 18
+#: A round replaces all pairs down to this part of the last round's least frequent ones.
+STEP = 16
 
 
 def _runs_alternate(at: np.ndarray) -> np.ndarray:
-    """Of sorted positions, every other one of each run of neighbours, from the run's first: no two overlap."""
+    """Which of sorted positions: every other one of each run of neighbours, from the run's first; no two overlap."""
     fresh = np.ones(len(at), bool)
     fresh[1:] = np.diff(at) != 1
     first = np.flatnonzero(fresh)
     inside = np.arange(len(at)) - np.repeat(first, np.diff(np.append(first, len(at))))
-    return at[inside % 2 == 0]
+    return np.flatnonzero(inside % 2 == 0)
+
+
+def _hash_of(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """HASH_BITS bits of hash of pairs."""
+    out = left.astype(np.uint32)
+    out *= np.uint32(0x9E3779B1)
+    out ^= right.astype(np.uint32) * np.uint32(0x85EBCA6B)
+    out *= np.uint32(0xC2B2AE35)
+    out >>= np.uint32(32 - HASH_BITS)
+    return out
+
+
+def _frequent_pairs(seq: np.ndarray, ends: np.ndarray, at: np.ndarray | None, limit: int | None, min_count: int):
+    """(pairs that occur ``limit`` times or more at the given positions, where, which, limit), pairs in order.
+
+    Without a limit it is a ``STEP``-th of the most frequent one's count.  Counting
+    by hash first leaves few pairs to count exactly.
+    """
+    hashed = _hash_of(seq[:-1], seq[1:]) if at is None else _hash_of(seq[at], seq[at + 1])
+    if at is None:
+        hashed[np.flatnonzero(ends[:-1])] = 1 << HASH_BITS  # no pair: two documents
+    counts = np.bincount(hashed, minlength=(1 << HASH_BITS) + 1)  # at least the count of any pair with that hash
+    counts[1 << HASH_BITS] = 0
+    if limit is None:
+        limit = max(min_count, int(counts.max()) // STEP)
+    kept = np.flatnonzero((counts >= limit)[hashed])
+    at = kept if at is None else at[kept]
+    keys = seq[at].astype(np.uint64)
+    keys <<= np.uint64(32)
+    keys |= seq[at + 1]
+    order = np.sort(keys)
+    first = np.flatnonzero(np.append(True, order[1:] != order[:-1])) if len(order) else np.zeros(0, np.int64)
+    pairs = order[first[np.diff(np.append(first, len(order))) >= limit]]
+    if not len(pairs):
+        return pairs, at[:0], at[:0], limit
+    # by hash where it belongs to one frequent pair only, else by search
+    numbers = np.zeros((1 << HASH_BITS) + 1, np.int64)
+    spots = _hash_of(pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF))
+    numbers[spots] = np.arange(len(pairs))
+    shared = np.bincount(spots, minlength=len(numbers)) > 1
+    hashed = hashed[kept]
+    which = numbers[hashed]
+    several = np.flatnonzero(shared[hashed])
+    which[several] = np.minimum(np.searchsorted(pairs, keys[several]), len(pairs) - 1)
+    hit = pairs[which] == keys
+    return pairs, at[hit], which[hit], limit
 
 
 def re_pair(symbols: np.ndarray, ends: np.ndarray, n_terminals: int, min_count: int = MIN_COUNT):
-    """(rules, symbols, ends): pairs that occur ``min_count`` times or more replaced, most frequent ones first.
+    """(rules, symbols, ends): pairs that occur ``min_count`` times or more replaced, more frequent ones first.
 
     ``ends`` marks the last symbol of each document.  Symbol ``n_terminals + r``
     stands for the two symbols ``rules[r]``, which are smaller.
     """
     seq, ends, rules = symbols.astype(np.uint32), ends.copy(), [np.zeros((0, 2), np.uint32)]
-    n, top = n_terminals, None
+    n, limit, where = n_terminals, None, None
     while len(seq) > 1:
-        inside = np.flatnonzero(~ends[:-1])
-        hashed = (seq[:-1] * np.uint32(0x9E3779B1) ^ seq[1:] * np.uint32(0x85EBCA6B)) * np.uint32(0xC2B2AE35) >> np.uint32(32 - HASH_BITS)
-        hashed = hashed[inside]
-        counts = np.bincount(hashed, minlength=1 << HASH_BITS)  # at least the count of any pair with that hash
-        limit = max(min_count, int(counts.max()) // 4 if top is None else min(top, int(counts.max()) // 4))
-        at = inside[counts[hashed] >= limit]
-        keys = seq[at].astype(np.uint64) << np.uint64(32) | seq[at + 1]
-        order = np.sort(keys)
-        first = np.flatnonzero(np.append(True, order[1:] != order[:-1])) if len(order) else np.zeros(0, np.int64)
-        often = np.diff(np.append(first, len(order))) >= limit
-        pairs = order[first[often]]
-        if not len(pairs):
-            if limit == min_count:
+        pairs, at, which, limit = _frequent_pairs(seq, ends, where, limit, min_count)
+        if len(pairs):
+            chosen = _runs_alternate(at)
+            alone, which = at[chosen], which[chosen]
+            used = np.zeros(len(pairs), np.int64)
+            used[which] = 1  # a pair whose every copy overlaps another gets no rule
+            number = np.cumsum(used) - used
+            pairs = pairs[used == 1]
+            rules.append(np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
+            seq[alone] = n + number[which]
+            ends[alone] = ends[alone + 1]
+            stay = np.ones(len(seq), bool)
+            stay[alone + 1] = False
+            # what may be frequent after the last limit: pairs with a new symbol, and those that overlapped
+            fresh = seq >= n
+            fresh[at] = True
+            fresh[:-1] |= fresh[1:]
+            n += len(pairs)
+            seq, ends, fresh = seq[stay], ends[stay], fresh[stay]
+        if limit == min_count:
+            if not len(pairs):
                 break
-            top = limit // 4  # several pairs shared the fullest hashes
-            continue
-        top = None
-        found = np.searchsorted(pairs, keys)
-        found[found == len(pairs)] = 0
-        hit = pairs[found] == keys
-        at, found = at[hit], found[hit]
-        alone = _runs_alternate(at)
-        which = found[np.searchsorted(at, alone)]
-        used, which = np.unique(which, return_inverse=True)  # a pair whose every copy overlaps another gets no rule
-        rules.append(np.stack([pairs[used] >> np.uint64(32), pairs[used] & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
-        seq[alone] = n + which
-        ends[alone] = ends[alone + 1]
-        n += len(used)
-        stay = np.ones(len(seq), bool)
-        stay[alone + 1] = False
-        seq, ends = seq[stay], ends[stay]
+            where = np.flatnonzero(fresh[:-1] & ~ends[:-1])
+        else:
+            limit = max(min_count, limit // STEP)
     return np.concatenate(rules), seq, ends
 
 
@@ -174,6 +216,19 @@ class Shard:
                 self._expanded.append(self._expanded[a] + self._expanded[b])
         return b"".join(map(self._expanded.__getitem__, self.symbols[int(self.starts[i]):int(self.starts[i + 1])].tolist()))
 
+    def all(self) -> list[bytes]:
+        """All ids of every document."""
+        expanded = [t.tobytes() for t in self.terminals.astype("<u4").reshape(-1, 1)]
+        for a, b in self.rules.tolist():
+            expanded.append(expanded[a] + expanded[b])
+        sizes = np.append(np.ones(len(self.terminals), np.int64), self.lengths.astype(np.int64))
+        first, n = np.cumsum(sizes) - sizes, sizes[self.symbols]
+        at = np.arange(self.n_ids)
+        at += np.repeat(first[self.symbols] - (np.cumsum(n) - n), n)
+        data = np.frombuffer(b"".join(expanded), "<u4")[at].tobytes()
+        ends = (4 * np.cumsum(self.counts.astype(np.int64))).tolist()
+        return [data[a:b] for a, b in zip([0, *ends], ends)]
+
     def ids(self, i: int, start: int, stop: int) -> np.ndarray:
         """Ids ``start`` to ``stop`` of document ``i``; expands the symbols that hold them and nothing else."""
         n, seq = len(self.terminals), self.symbols[int(self.starts[i]):int(self.starts[i + 1])]
@@ -231,7 +286,7 @@ def write(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
             names, made, size = [], [], 0
             return out
 
-        for batch in bounded(batches, 1):
+        for batch in bounded(batches, 1, 8 << 20):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for name, ids in zip(batch.column(0).to_pylist(), encoder.encode(texts)):
                 names.append(name)
@@ -267,7 +322,7 @@ def read(spark: SparkSession, path: str, id_type: str = "long") -> DataFrame:
                     counts = shard.counts.astype(np.int64)
                     starts = at + np.cumsum(counts) - counts
                     at += shard.n_ids
-                    crc = np.array([zlib.crc32(shard.document(i)) for i in range(len(shard))], np.int64)
+                    crc = np.array([zlib.crc32(d) for d in shard.all()], np.int64)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([file.as_py()] * len(shard), pa.int32()), pa.array(shard.names, pa.string()), pa.array(starts),
                          pa.array(counts), pa.array(crc)], names=["file", "doc_id", "inside", "n_tokens", "ids_crc32"])

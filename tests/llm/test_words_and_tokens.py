@@ -113,6 +113,7 @@ def test_grammar_round_trip(docs, min_count, large):
     data = token_files.shard_bytes(names, [d.tobytes() for d in docs], min_count) + b"\n"
     (shard,) = token_files.shards(data)
     assert shard.names == names and shard.end == len(data) and shard.n_ids == sum(map(len, docs))
+    assert shard.all() == [d.tobytes() for d in docs]
     for i, d in enumerate(docs):
         assert shard.document(i) == d.tobytes()
         for a, z in ((0, 1), (1, 4), (len(d) - 1, len(d) + 5), (3, 3), (len(d), len(d) + 1)):
