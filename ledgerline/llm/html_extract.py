@@ -24,7 +24,7 @@ from __future__ import annotations
 import html
 import re
 from bisect import bisect_left
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from urllib.parse import urlsplit
 
@@ -56,7 +56,8 @@ HINTS = {"ad", "ads", "advert", "advertisement", "banner", "breadcrumb", "breadc
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>"""
     r"""|<(/?)([A-Za-z][^\s/>]*)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+)(?:>|\Z)""", re.S)
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s=>"'/]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+_TELLING = re.compile(r"class|id|role|style|hidden", re.I)
 
 
 def _mark(name: str, attributes: str, inside: bool) -> str:
@@ -66,11 +67,13 @@ def _mark(name: str, attributes: str, inside: bool) -> str:
     element; a word of a compound class or of an id makes its lines doubtful,
     so that differencing decides on them.
     """
-    if not attributes or name in ("html", "body"):
+    if not attributes or name in ("html", "body") or not _TELLING.search(attributes):
         return ""
     doubt = ""
     for m in _ATTRIBUTE.finditer(attributes):
         key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
+        if key not in ("class", "id", "role", "style", "hidden", "aria-hidden"):
+            continue  # names are compared whole; a value belongs to its name
         if key == "hidden" or key == "aria-hidden" and value == "true":
             return "mark"
         if key == "style":
@@ -83,27 +86,61 @@ def _mark(name: str, attributes: str, inside: bool) -> str:
     return doubt
 
 
+class _Open:
+    """The open elements that matter, innermost last, with where each name stands among them."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, str]] = []  # (name, "main", "tag", "mark", "doubt" or "")
+        self.places: dict[str, list[int]] = defaultdict(list)
+        self.n = {"main": 0, "tag": 0, "mark": 0, "doubt": 0, "": 0}
+        self.blocks = 0
+
+    def push(self, name: str, kind: str) -> None:
+        self.places[name].append(len(self.stack))
+        self.stack.append((name, kind))
+        self.n[kind] += 1
+        self.blocks += name in BLOCK
+
+    def pop(self) -> None:
+        name, kind = self.stack.pop()
+        self.places[name].pop()
+        self.n[kind] -= 1
+        self.blocks -= name in BLOCK
+
+    @property
+    def shown(self) -> bool:
+        return not self.n["tag"] and not self.n["mark"]
+
+
 def lines(page: str) -> list[tuple[str, bool]]:
-    """(block, whether an article surely holds it) in page order; white space is one space, references are decoded."""
+    """(block, whether an article surely holds it) in page order; white space is one space, references are decoded.
+
+    Blocks begin and end at block elements only: an inline element that is
+    hidden or marked leaves its text out of the block around it.
+    """
     out: list[tuple[str, bool]] = []
     run: list[str] = []
-    stack: list[tuple[str, str]] = []  # open elements that matter: (name, "main", "tag", "mark", "doubt" or "")
-    n = {"main": 0, "tag": 0, "mark": 0, "doubt": 0, "": 0}
+    open_ = _Open()
+    n, stack = open_.n, open_.stack
 
     def flush() -> None:
         if run:
             text = " ".join(html.unescape("".join(run)).split())
             run.clear()
-            if text and not n["tag"] and not n["mark"]:
+            if text:
                 out.append((text, n["main"] > 0 and not n["doubt"]))
 
-    def pop(k: int) -> None:
+    def close(k: int) -> None:
+        """Close the elements from place k on; a block among them ends here."""
+        blocks = open_.blocks
+        if blocks and any(x[0] in BLOCK for x in stack[k:]):
+            flush()
         while len(stack) > k:
-            n[stack.pop()[1]] -= 1
+            open_.pop()
 
     at, lower = 0, None
     for m in iter(lambda: _TOKEN.search(page, at), None):
-        if m.start() > at:
+        if m.start() > at and open_.shown:
             run.append(page[at:m.start()])
         at = m.end()
         name = (m[2] or "").lower()
@@ -112,10 +149,8 @@ def lines(page: str) -> list[tuple[str, bool]]:
         if name in BLOCK:
             flush()
         if m[1]:  # an end tag
-            k = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-            if k is not None:
-                flush()
-                pop(k)
+            if open_.places[name]:
+                close(open_.places[name][-1])
             continue
         attributes = m[3]
         if name in ("svg", "math") and attributes.endswith("/"):  # these two may close themselves
@@ -124,24 +159,27 @@ def lines(page: str) -> list[tuple[str, bool]]:
             lower = lower or page.lower()
             if len(lower) != len(page):  # a letter whose lower case is longer
                 lower = re.sub(r"[A-Z]", lambda x: x[0].lower(), page)
-            close = lower.find(f"</{name}", at)
-            at = len(page) if close < 0 else close
+            end = lower.find(f"</{name}", at)
+            at = len(page) if end < 0 else end
             continue
         if name in VOID or attributes.endswith("/") and name not in BLOCK:
             continue
         if name in BLOCK and stack and stack[-1][0] == "p":  # a paragraph ends where a block begins
-            pop(len(stack) - 1)
+            close(len(stack) - 1)
         if name in MAIN and not n["mark"]:
             while stack and stack[-1][1] == "tag":  # a menu that was never closed
-                pop(len(stack) - 1)
+                close(len(stack) - 1)
         mark = _mark(name, attributes, n["main"] > 0)
+        if name not in BLOCK and mark == "doubt":
+            mark = ""  # the block around it decides
         kind = (mark if mark == "mark" else "main" if name in MAIN and not mark else
                 "tag" if name in SKIP and not (name == "header" and n["main"]) else mark)
-        if kind or any(x[0] == name for x in stack):
-            flush()
-            stack.append((name, kind))
-            n[kind] += 1
-    run.append(page[at:])
+        if kind or open_.places[name]:
+            if kind == "main":
+                flush()
+            open_.push(name, kind)
+    if open_.shown:
+        run.append(page[at:])
     flush()
     return out
 
@@ -152,8 +190,12 @@ def blocks(page: str) -> tuple[list[str], list[str]]:
     return [x for x, held in found if held], [x for x, held in found if not held]
 
 
-def common_lines(a: list, b: list) -> list[int]:
-    """Positions in a of one longest common subsequence with b."""
+#: Pairs of equal lines, for each line of both pages, up to which they are looked at one by one.
+PAIRS_PER_LINE = 32
+
+
+def _by_pairs(a: list, b: list) -> list[int]:
+    """One longest common subsequence, from the pairs of equal lines (Hunt and Szymanski)."""
     where = defaultdict(list)
     for j, x in enumerate(b):
         where[x].append(j)
@@ -175,6 +217,51 @@ def common_lines(a: list, b: list) -> list[int]:
     return out[::-1]
 
 
+def _lengths(a: list, b: list) -> np.ndarray:
+    """Longest common subsequence of a and each prefix of b: a row of the table as the bits of one integer."""
+    masks: dict = defaultdict(int)
+    for j, x in enumerate(b):
+        masks[x] |= 1 << j
+    full = (1 << len(b)) - 1
+    row = full  # bit j is 0 where the length grows at j
+    for x in a:
+        hit = row & masks.get(x, 0)
+        row = (row + hit | row - hit) & full
+    bits = np.unpackbits(np.frombuffer(row.to_bytes(len(b) // 8 + 1, "little"), np.uint8), bitorder="little")[:len(b)]
+    return np.append(0, np.cumsum(bits == 0))
+
+
+def common_lines(a: list, b: list) -> list[int]:
+    """Positions in a of one longest common subsequence with b.
+
+    Equal heads and tails belong to one.  In between, where lines are equal to
+    very many others, a is halved and b is cut where the halves' lengths add up to
+    most (Hirschberg), until there are few pairs; lengths are counted bit-parallel.
+    """
+    out: list[int] = []
+    todo = [(0, len(a), 0, len(b))]
+    while todo:
+        i, k, j, m = todo.pop()
+        while i < k and j < m and a[i] == b[j]:
+            out.append(i)
+            i, j = i + 1, j + 1
+        while i < k and j < m and a[k - 1] == b[m - 1]:
+            k, m = k - 1, m - 1
+            out.append(k)
+        if i == k or j == m:
+            continue
+        left, right = a[i:k], b[j:m]
+        counts = Counter(right)
+        if sum(counts[x] for x in left) <= PAIRS_PER_LINE * (len(left) + len(right)) or len(left) == 1:
+            out += [i + p for p in _by_pairs(left, right)]
+            continue
+        half = len(left) // 2
+        ahead = _lengths(left[:half], right) + _lengths(left[half:][::-1], right[::-1])[::-1]
+        cut = int(ahead.argmax())
+        todo += [(i, i + half, j, j + cut), (i + half, k, j + cut, m)]
+    return sorted(out)
+
+
 def _place(url: str | None) -> tuple[str, str]:
     """Host and path of a URL (empty if it has none)."""
     try:
