@@ -24,10 +24,8 @@ def main(argv: list[str] | None = None) -> None:
     src.add_argument("--input", help="folder with region/nation/customer/... parquet tables")
     src.add_argument("--database", help="catalog database with the retail tables")
     src.add_argument("--scripts", help="(usage) files or glob of SQL scripts")
-    ap.add_argument("--out", help="output folder (pipeline: run folder; query: parquet path)")
+    ap.add_argument("--out", help="output folder (pipeline: the lasting tables; query: parquet path)")
     ap.add_argument("--date", help="run date YYYY-MM-DD (default: today)")
-    ap.add_argument("--summary-path", help="partitioned CustomerOrderSummary kept across runs")
-    ap.add_argument("--reports-dir", help="where the report tables live across runs (default: the output folder)")
     ap.add_argument("--master", help="only for local runs, e.g. local[8]")
     args = ap.parse_args(argv)
 
@@ -49,8 +47,7 @@ def main(argv: list[str] | None = None) -> None:
     when = datetime.strptime(args.date, "%Y-%m-%d") if args.date else None
     params = RunParams.fresh(when)
     if args.what == "pipeline":
-        run_pipeline(model, params, out_dir=args.out, summary_path=args.summary_path,
-                     reports_dir=args.reports_dir).show(truncate=False)
+        run_pipeline(model, params, out_dir=args.out).show(truncate=False)
     else:
         df = QUERIES[args.name](model, params)
         if args.out:

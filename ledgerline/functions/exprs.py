@@ -57,6 +57,11 @@ def add_days(ts: Column, days) -> Column:
     return F.timestamp_add("DAY", days if isinstance(days, Column) else F.lit(days), ts)
 
 
+def month_number(ts: Column) -> Column:
+    """1998-06-30 -> 199806: the partition column of tables kept by month."""
+    return (F.year(ts) * 100 + F.month(ts)).cast("int")
+
+
 def percent_factor(percent_sum: Column) -> Column:
     """`1 + ISNULL(SUM(pct), 0) / 100.0`, computed exactly (x * 0.01 == x / 100)."""
     return F.lit(1) + F.coalesce(percent_sum, F.lit(Decimal("0"))) * F.lit(Decimal("0.01"))

@@ -2,7 +2,8 @@
 
 Parquet tables are immutable, so each statement returns the after-image of
 the target; ``write_snapshot`` stores it as a new version directory (never
-the folder being read).  Where the target is a row-level-capable v2 table,
+the folder being read), ``sources.lasting`` writes only the partitions that
+changed.  Where the target is a row-level-capable v2 table,
 ``DataFrame.mergeInto`` can take its place.
 
 Scale notes: the merge joins only the target slice that can change (rows
@@ -84,7 +85,9 @@ def merge(target: DataFrame, source: DataFrame, spec: MergeSpec,
     for k in keys:
         c = F.col(f"t__{k}") == F.col(f"s__{k}")
         cond = c if cond is None else cond & c
-    j = in_scope.join(s, cond, "full_outer")
+    # without an insert clause source rows that match nothing go, so the target needn't be the preserved
+    # side of a full join: a small source is then broadcast and the target isn't shuffled
+    j = in_scope.join(s, cond, "full_outer" if spec.insert_values else "left")
     has_t = F.coalesce(F.col("t____present"), F.lit(False))
     has_s = F.coalesce(F.col("s____present"), F.lit(False))
     matched = has_t & has_s
@@ -125,15 +128,16 @@ def merge(target: DataFrame, source: DataFrame, spec: MergeSpec,
 
 
 def update(target: DataFrame, updates: DataFrame, keys: Sequence[str], set_cols: Sequence[str],
-           where: Column | None = None) -> DataFrame:
+           where: Column | None = None, unique: bool = False) -> DataFrame:
     """`UPDATE t SET c = u.c FROM t JOIN u ON keys [WHERE ...]`; row count is unchanged.
 
-    ``updates`` must hold one row per key (checked: T-SQL would pick an
-    arbitrary one, we refuse).  Rows without a match, or failing ``where``,
-    keep their values.
+    ``updates`` must hold one row per key (checked, unless the caller knows that
+    they are ``unique``: T-SQL would pick an arbitrary one, we refuse).  Rows
+    without a match, or failing ``where``, keep their values.
     """
     keys = list(keys)
-    check_unique_source(updates, keys)
+    if not unique:
+        check_unique_source(updates, keys)
     u = updates.select(*keys, *[F.col(c).alias(f"__new_{c}") for c in set_cols]).withColumn("__hit", F.lit(True))
     j = target.join(u, keys, "left")
     hit = F.coalesce(F.col("__hit"), F.lit(False))
@@ -150,11 +154,12 @@ def delete(target: DataFrame, doomed_keys: DataFrame, keys: Sequence[str]) -> Da
 
 
 def latest_version(spark: SparkSession, base_path: str) -> int:
-    """The newest version under ``base_path`` (0: none)."""
+    """The newest version under ``base_path`` whose write was finished (0: none)."""
     path = spark._jvm.org.apache.hadoop.fs.Path(base_path)
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
-    return max((int(n[2:]) for n in names if n.startswith("v=") and n[2:].isdigit()), default=0)
+    found = [s.getPath() for s in fs.listStatus(path)] if fs.exists(path) else []
+    done = [p.getName() for p in found if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+    return max((int(n[2:]) for n in done if n.startswith("v=") and n[2:].isdigit()), default=0)
 
 
 def read_snapshot(spark: SparkSession, base_path: str) -> DataFrame | None:

@@ -41,8 +41,15 @@ def with_row_id(df: DataFrame, col: str = "Id") -> DataFrame:
     return df.withColumn(col, F.monotonically_increasing_id()).checkpoint(eager=True)
 
 
+def identity_ids(df: DataFrame, order: Sequence[Column], col: str = "Id") -> DataFrame:
+    """`INT IDENTITY(1,1)`: ids 1..n in ``order``, dense, from the rows' places in their partitions and the
+    counts of the partitions before.  With an order that is total but for alike rows, the ids don't depend
+    on partitioning, and so a retry gives the same."""
+    return row_number_by_range(df, [], order, col=col, kind="long").select(col, *df.columns)
+
+
 def row_number_by_range(df: DataFrame, keys: Sequence[str], order: Sequence[Column], col: str = "rn",
-                        partitions: int | None = None) -> DataFrame:
+                        partitions: int | None = None, kind: str = "int") -> DataFrame:
     """`ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order)` for few, possibly huge, key groups.
 
     A plain window sorts each key group in one task, so one department holding
@@ -70,5 +77,5 @@ def row_number_by_range(df: DataFrame, keys: Sequence[str], order: Sequence[Colu
                            F.coalesce(F.sum("__cnt").over(w), F.lit(0)).alias("__before"))
     on = [F.col("__pid") == F.col("__opid")] + [F.col(k).eqNullSafe(F.col(f"__ok{i}")) for i, k in enumerate(keys)]
     j = s.join(offsets, on, "inner")
-    rn = (F.col("__mid") - F.col("__first") + 1 + F.col("__before")).cast("int")
+    rn = (F.col("__mid") - F.col("__first") + 1 + F.col("__before")).cast(kind)
     return j.select(*df.columns, rn.alias(col))

@@ -48,6 +48,16 @@ class RunParams:
     def process_month(self) -> int:
         return self.current_ts.month
 
+    @property
+    def year_start(self) -> datetime:
+        """`DATEFROMPARTS(YEAR(@CurrentDate), 1, 1)`."""
+        return datetime(self.current_ts.year, 1, 1)
+
+    @property
+    def year_end(self) -> datetime:
+        """`DATEFROMPARTS(YEAR(@CurrentDate), 12, 31)`."""
+        return datetime(self.current_ts.year, 12, 31)
+
     def days_before(self, days: int) -> datetime:
         return self.current_ts - timedelta(days=days)
 

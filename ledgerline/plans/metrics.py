@@ -151,9 +151,10 @@ def regional_sales_summary(m: RetailModel, params: RunParams = DEFAULT_PARAMS,
 
 
 # ---------------------------------------------------------------- Q6
-def category_gross_sales(m: RetailModel) -> DataFrame:
-    """Gross sales per category name over all order lines (inner joins)."""
-    per_product = m.order_details.groupBy("ProductId").agg(F.sum(gross_amount()).alias("g"))
+def category_gross_sales(m: RetailModel, per_product: DataFrame | None = None) -> DataFrame:
+    """Gross sales per category name over all order lines (inner joins); ``per_product`` (ProductId, g) may be kept."""
+    if per_product is None:
+        per_product = m.order_details.groupBy("ProductId").agg(F.sum(gross_amount()).alias("g"))
     p = m.products.select("ProductId", "CategoryId")
     per_cat = per_product.join(p, "ProductId", "inner").groupBy("CategoryId").agg(F.sum("g").alias("g"))
     cat = m.categories
@@ -161,9 +162,10 @@ def category_gross_sales(m: RetailModel) -> DataFrame:
             .agg(F.sum("g").cast("decimal(38,2)").alias("GrossSales")))
 
 
-def top_categories(m: RetailModel, params: RunParams = DEFAULT_PARAMS, n: int = 5) -> DataFrame:
+def top_categories(m: RetailModel, params: RunParams = DEFAULT_PARAMS, n: int = 5,
+                   per_product: DataFrame | None = None) -> DataFrame:
     """Q6: the five category names with the highest gross sales (ties by name)."""
-    ranked = category_gross_sales(m).orderBy(F.col("GrossSales").desc(), F.col("CategoryName").asc())
+    ranked = category_gross_sales(m, per_product).orderBy(F.col("GrossSales").desc(), F.col("CategoryName").asc())
     return ranked.limit(n)
 
 

@@ -8,7 +8,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.params import DEFAULT_PARAMS, RunParams
-from ledgerline.plans import adhoc, metrics, pipeline, upserts
+from ledgerline.plans import adhoc, inplace, metrics, pipeline, upserts
 from ledgerline.plans.stages import TPD_COLUMNS, Run, Stages, stages_for
 from ledgerline.session import ensure_checkpoint_dir
 from ledgerline.sources.testdata import RetailModel
@@ -47,9 +47,9 @@ QUERIES: dict[str, QueryFn] = {
     # Q10 P20 J6
     "uncancelled_orders": _st(lambda st: st.uncancelled_orders()),
     # Q11 J1 S7
-    "stage_processing_data": _st(lambda st: st.tpd1),
+    "stage_processing_data": _st(lambda st: st.tpd1.select(*TPD_COLUMNS)),
     # P13
-    "optional_filter": _st(lambda st: stages_for(st.m, replace(st.p, department_id=103)).tpd1),
+    "optional_filter": _st(lambda st: stages_for(st.m, replace(st.p, department_id=103)).tpd1.select(*TPD_COLUMNS)),
     # Q12 P7 U1
     "reprice_with_discounts": _st(lambda st: st.tpd2.select(*TPD_COLUMNS[:5], "Amount")),
     # Q13 P26 A10
@@ -107,11 +107,28 @@ QUERIES: dict[str, QueryFn] = {
     # Q37
     "nested_topn_amount": _st(lambda st: adhoc.nested_topn_amount(
         st.m.orders, st.m.order_details, st.m.products, st.m.categories,
-        st.m.categories, st.m.products, st.m.order_details)),
+        st.m.categories, st.m.products, st.m.order_details, rank_others=[st.m.categories])),
     # Q38 J8
     "filtered_product_join": _st(adhoc.filtered_product_join),
     # J3
     "left_join_extra_on": _st(adhoc.left_join_extra_on),
+    # J9 J10
+    "category_sales_through_product": _st(adhoc.category_sales_through_product),
+    # A10
+    "order_value_percentiles": _st(adhoc.order_value_percentiles),
+    # S7
+    "staged_row_ids": _st(adhoc.staged_row_ids),
+    # F7 F9
+    "orders_of_the_year": _st(adhoc.orders_of_the_year),
+    # S2
+    "customers_by_qualified_names": _st(adhoc.customers_by_qualified_names),
+    # U4 D1 on lasting tables
+    "orders_repaired_in_place": _st(inplace.orders_repaired_in_place),
+    "queue_purged_in_place": _st(inplace.queue_purged_in_place),
+    # P26 A14 from kept months
+    "sales_history": inplace.sales_history,
+    # S8 S10
+    "failed_run": inplace.failed_run,
     # Q40 S10 S13 S14
     "run_pipeline": pipeline.run_pipeline_counts,
 }

@@ -10,9 +10,9 @@ staging table (#TempProcessingData) lazily:
 
 Correlated subqueries of the procedure are decorrelated into one grouped
 frame per natural key (customer, order, (order, product), (customer,
-category), (region, category), employee), joined back on that key.  Row-level
-validation is computed as columns of the staging rows, so the validation
-table and the finalisation need no join on a surrogate id.
+category), (region, category), employee), joined back on that key.  Staging rows
+get their IDENTITY ids when they are filled; the validation rows carry them, and the
+finalisation aggregates the failed ones by them.
 
 Every query reads the whole model tables; only the run parameters restrict
 rows, exactly as the procedure does.
@@ -21,26 +21,39 @@ rows, exactly as the procedure does.
 from __future__ import annotations
 
 import uuid
+from dataclasses import dataclass
 from decimal import Decimal
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.functions.exprs import (add_days, count_when, lit_ts, net_amount, optional_eq,
+from ledgerline.functions.exprs import (add_days, count_when, lit_ts, month_number, net_amount, optional_eq,
                                         percent_factor, tier)
+from ledgerline.operators.dml import update
 from ledgerline.operators.quantile import percentile_cont
-from ledgerline.operators.relational import append_if_absent, row_number_by_range, top_n_per_key
+from ledgerline.operators.relational import append_if_absent, identity_ids, row_number_by_range, top_n_per_key
 from ledgerline.params import DEFAULT_PARAMS, RunParams
 from ledgerline.plans import labels as L
 from ledgerline.plans import metrics
 from ledgerline.session import ensure_checkpoint_dir, remove_folder
-from ledgerline.sources.testdata import RetailModel
+from ledgerline.sources.testdata import ORDER_MONTH, RetailModel
 
 TPD_KEYS = ["CustomerId", "OrderId", "ProductId", "EmployeeId", "DepartmentId"]
 TPD_COLUMNS = TPD_KEYS + ["Amount", "Status", "ProcessDate", "IsProcessed", "ErrorMessage"]
+#: With the IDENTITY column, which the stages use; queries that are compared with SQL leave it out.
+STAGED = ["Id"] + TPD_COLUMNS
 
 
+@dataclass(frozen=True)
+class Rule:
+    """A validation of staging rows: which rows it looks at, which of those are valid, and what it says."""
+    key: str
+    kind: str
+    applies: Column
+    valid: Column
+    message: Column
+
 
 def _dec(x: str) -> Column:
     return F.lit(Decimal(x))
@@ -132,7 +145,8 @@ class Stages:
     @cached_property
     def recent_orders(self) -> DataFrame:
         """Orders with OrderDate >= @PreviousMonth (the lower-bound filters): about a month's, stored once per run."""
-        return self._keep(self.m.orders.filter(F.col("OrderDate") >= self.prev))
+        recent = self.m.since(self.m.orders, self.p.previous_month).filter(F.col("OrderDate") >= self.prev)
+        return self._keep(recent.drop(ORDER_MONTH))
 
     @cached_property
     def window_orders(self) -> DataFrame:
@@ -148,7 +162,8 @@ class Stages:
         is about one month of lines, a small slice of the table.
         """
         o = self.recent_orders.select("OrderId", "CustomerId", "SalesPersonId", "OrderDate")
-        return self._keep(self.m.order_details.join(o, "OrderId", "inner"))
+        lines = self.m.since(self.m.order_details, self.p.previous_month).drop(ORDER_MONTH)
+        return self._keep(lines.join(o, "OrderId", "inner"))
 
     @cached_property
     def dept_tree(self) -> DataFrame:
@@ -160,11 +175,17 @@ class Stages:
     @cached_property
     def order_totals(self) -> DataFrame:
         """Per-order gross/net sums over all lines: read by the tier and value rules, stored once."""
+        if self.m.history is not None:
+            return self.m.history.order_totals()
         return self._shared("order_totals", lambda: self._keep(metrics.order_totals(self.m)))
 
     @cached_property
     def regional_totals(self) -> DataFrame:
-        """TotalSales per region over all orders, from the stored per-order totals."""
+        """TotalSales per region over all orders, from the kept months or the stored per-order totals."""
+        if self.m.history is not None:
+            spent = self.m.history.customers().join(self.m.customers.select("CustomerId", "RegionId"), "CustomerId", "inner")
+            per = spent.groupBy("RegionId").agg(F.sum("net_sum").cast("decimal(38,4)").alias("TotalSales"))
+            return self._keep(self.m.regions.select("RegionId").join(per, "RegionId", "left"))
         return self._shared("regional_totals", lambda: self._keep(
             metrics.regional_sales_summary(self.m, self.p, self.order_totals).select("RegionId", "TotalSales")))
 
@@ -173,6 +194,12 @@ class Stages:
         """Average UnitsInStock per category (double, like AVG over the products)."""
         return self.m.products.groupBy("CategoryId").agg(F.avg("UnitsInStock").alias("cat_avg_stock"))
 
+    def _product_history(self) -> DataFrame | None:
+        """(ProductId, g) over all months, if they are kept."""
+        if self.m.history is None:
+            return None
+        return self.m.history.products().select("ProductId", F.col("gross_sum").alias("g"))
+
     @cached_property
     def top_category_ids(self) -> DataFrame:
         """CategoryIds whose name is among the top 5 by gross sales (at most 5 names).
@@ -180,7 +207,8 @@ class Stages:
         Ranking needs every order line, so the few ids are stored once per run.
         """
         def build():
-            names = metrics.top_categories(self.m, self.p).select("CategoryName")
+            names = metrics.top_categories(
+                self.m, self.p, per_product=self._product_history()).select("CategoryName")
             return self._keep(self.m.categories.join(F.broadcast(names), "CategoryName", "left_semi")
                               .select("CategoryId"))
         return self._shared("top_category_ids", build)
@@ -212,10 +240,13 @@ class Stages:
         exactly as sum > 1000 * count); else Standard.
         """
         cust = customers.select("CustomerId").distinct()
-        o = self.m.orders.select("OrderId", "CustomerId").join(cust, "CustomerId", "left_semi")
-        totals = self.order_totals.select("OrderId", "gross_sum", "line_count")
-        gross = (o.join(totals, "OrderId", "inner").groupBy("CustomerId")
-                 .agg(F.sum("gross_sum").alias("g"), F.sum("line_count").alias("n")))
+        if self.m.history is not None:
+            gross = self.m.history.customers().select("CustomerId", F.col("gross_sum").alias("g"), F.col("line_count").alias("n"))
+        else:
+            o = self.m.orders.select("OrderId", "CustomerId").join(cust, "CustomerId", "left_semi")
+            totals = self.order_totals.select("OrderId", "gross_sum", "line_count")
+            gross = (o.join(totals, "OrderId", "inner").groupBy("CustomerId")
+                     .agg(F.sum("gross_sum").alias("g"), F.sum("line_count").alias("n")))
         j = cust.join(self.window_orders_per_customer, "CustomerId", "left").join(gross, "CustomerId", "left")
         recent = F.coalesce(F.col("RecentOrders"), F.lit(0))
         return j.select(
@@ -302,13 +333,15 @@ class Stages:
                 .join(valid_products, "ProductId", "left_semi")
                 .join(kept, "OrderId", "inner")
                 .join(status, "CustomerId", "left"))
-        return self._keep(rows.observe(self.stage1_rows, F.count(F.lit(1)).alias("rows")).select(
+        # stored before the ids are made: a second look at the rows would be observed, too
+        filled = self._keep(rows.observe(self.stage1_rows, F.count(F.lit(1)).alias("rows")).select(
             "CustomerId", "OrderId", "ProductId", "EmployeeId", "DepartmentId",
             F.col("Amount").cast("decimal(18,2)").alias("Amount"),
             F.col("Tier").alias("Status"),
             self.cur.alias("ProcessDate"),
             F.lit(0).alias("IsProcessed"),
             F.lit(None).cast("string").alias("ErrorMessage")))
+        return self._keep(identity_ids(filled, [F.col(c).asc() for c in TPD_KEYS]))
 
     # ------------------------------------------------------------ Q12-Q13 stage 2
     def discount_factor(self) -> DataFrame:
@@ -336,7 +369,10 @@ class Stages:
         value over all orders.
         """
         m = self.m
-        per_cust = m.orders.groupBy("CustomerId").agg(F.count(F.lit(1)).alias("cust_orders"))
+        if m.history is not None:
+            per_cust = m.history.customers().select("CustomerId", F.col("orders").alias("cust_orders"))
+        else:
+            per_cust = m.orders.groupBy("CustomerId").agg(F.count(F.lit(1)).alias("cust_orders"))
         c = m.customers.select("CustomerId", "RegionId")
         region_mean = (per_cust.join(c, "CustomerId", "inner").groupBy("RegionId")
                        .agg(F.avg(F.col("cust_orders").cast("double")).alias("region_mean")))
@@ -363,8 +399,8 @@ class Stages:
         upd = self.value_status(self.repriced_amount(target))
         upd = upd.select(*[F.col("NewAmount").alias("Amount") if c == "Amount"
                            else F.col("NewStatus").alias("Status") if c == "Status"
-                           else F.col(c) for c in TPD_COLUMNS])
-        return self._keep(upd.unionByName(rest.select(*TPD_COLUMNS)))
+                           else F.col(c) for c in STAGED])
+        return self._keep(upd.unionByName(rest.select(*STAGED)))
 
     # ------------------------------------------------------------ Q14 stage 3
     @cached_property
@@ -509,59 +545,73 @@ class Stages:
         recent = self.recent_orders.select("OrderId").withColumn("recent_order", F.lit(True))
         j = (tpd.join(order_max, "OrderId", "left").join(spend, "CustomerId", "left")
              .join(cust, "CustomerId", "left").join(recent, "OrderId", "left"))
+        return j.select(*STAGED, *[c for r in self.rules() for c in (
+            F.coalesce(r.applies, F.lit(False)).alias(f"has_{r.key}_check"),
+            F.when(r.valid, 1).otherwise(0).alias(f"{r.key}_valid"), r.message.alias(f"{r.key}_msg"))])
+
+    def rules(self) -> list[Rule]:
+        """Stage 7's validations, in the order in which their messages are listed."""
         amt, cap = F.col("Amount"), F.col("max_line") * _dec("1.1")
-        a_valid = F.when((amt > 0) & (amt <= cap), 1).otherwise(0)
-        a_msg = (F.when(amt <= 0, L.AMOUNT_NOT_POSITIVE)
-                 .when(amt > cap, L.AMOUNT_TOO_HIGH).otherwise(L.VALID))
         active = F.col("IsActive") == 1
-        c_valid = F.when(active & (F.col("CreditLimit") >= F.col("recent_spend")), 1).otherwise(0)
-        c_msg = (F.when(~F.coalesce(active, F.lit(False)), L.CUSTOMER_INACTIVE)
-                 .when(F.col("CreditLimit") < F.col("recent_spend"), L.CREDIT_EXCEEDED)
-                 .otherwise(L.VALID))
-        return j.select(*TPD_COLUMNS,
-                        F.coalesce(F.col("recent_order"), F.lit(False)).alias("has_amount_check"),
-                        a_valid.alias("amount_valid"), a_msg.alias("amount_msg"),
-                        c_valid.alias("customer_valid"), c_msg.alias("customer_msg"))
+        return [
+            Rule("amount", L.AMOUNT_VALIDATION, F.col("recent_order"), (amt > 0) & (amt <= cap),
+                 F.when(amt <= 0, L.AMOUNT_NOT_POSITIVE).when(amt > cap, L.AMOUNT_TOO_HIGH).otherwise(L.VALID)),
+            Rule("customer", L.CUSTOMER_VALIDATION, F.lit(True),
+                 active & (F.col("CreditLimit") >= F.col("recent_spend")),
+                 F.when(~F.coalesce(active, F.lit(False)), L.CUSTOMER_INACTIVE)
+                 .when(F.col("CreditLimit") < F.col("recent_spend"), L.CREDIT_EXCEEDED).otherwise(L.VALID)),
+        ]
 
     @cached_property
     def validated(self) -> DataFrame:
-        """Unprocessed staging rows with both validation outcomes; read by the validation
-        queries, the finalisation and the log, so stored once per run."""
+        """Unprocessed staging rows with the outcome of every rule, stored once per run."""
         return self._keep(self._with_validations(self.tpd2.filter(F.col("IsProcessed") == 0)))
 
+    @cached_property
+    def validations(self) -> DataFrame:
+        """#TempValidationResults: a row for each staging row (RecordId) and rule that looks at it; RuleNo orders them."""
+        outcomes = F.array(*[F.when(F.col(f"has_{r.key}_check"), F.struct(
+            F.lit(i).alias("RuleNo"), F.lit(r.kind).alias("ValidationType"), F.col(f"{r.key}_valid").alias("IsValid"),
+            F.col(f"{r.key}_msg").alias("ValidationMessage"))) for i, r in enumerate(self.rules())])
+        rows = self.validated.select(F.col("Id").alias("RecordId"), *TPD_KEYS, F.explode(outcomes).alias("tvr"))
+        return self._keep(rows.filter("tvr IS NOT NULL").select("RecordId", *TPD_KEYS, "tvr.*"))
+
+    def failed_validations(self) -> DataFrame:
+        """`tvr WHERE tvr.IsValid = 0`."""
+        return self.validations.filter(F.col("IsValid") == 0)
+
     def validation_results(self) -> DataFrame:
-        """Q18+Q19: #TempValidationResults rows (staging keys instead of the surrogate id)."""
-        v = self.validated
-        a = v.filter("has_amount_check").select(
-            *TPD_KEYS, F.lit(L.AMOUNT_VALIDATION).alias("ValidationType"),
-            F.col("amount_valid").alias("IsValid"), F.col("amount_msg").alias("ValidationMessage"))
-        c = v.select(*TPD_KEYS, F.lit(L.CUSTOMER_VALIDATION).alias("ValidationType"),
-                     F.col("customer_valid").alias("IsValid"), F.col("customer_msg").alias("ValidationMessage"))
-        return a.unionByName(c)
+        """Q18+Q19: #TempValidationResults rows."""
+        return self.validations.select("RecordId", *TPD_KEYS, "ValidationType", "IsValid", "ValidationMessage")
+
+    def _results_of(self, kind: str) -> DataFrame:
+        return self.validation_results().filter(F.col("ValidationType") == kind).drop("RecordId")
 
     def validate_amount(self) -> DataFrame:
-        return self.validation_results().filter(F.col("ValidationType") == L.AMOUNT_VALIDATION)
+        return self._results_of(L.AMOUNT_VALIDATION)
 
     def validate_customer(self) -> DataFrame:
-        return self.validation_results().filter(F.col("ValidationType") == L.CUSTOMER_VALIDATION)
+        return self._results_of(L.CUSTOMER_VALIDATION)
 
     @cached_property
     def tpd3(self) -> DataFrame:
-        """Q20: stage 8 — IsProcessed = 1, final Status and the joined error messages."""
-        v = self.validated.join(self.m.orders.select("OrderId"), "OrderId", "left_semi")
-        a_bad = F.col("has_amount_check") & (F.col("amount_valid") == 0)
-        c_bad = F.col("customer_valid") == 0
-        msg = F.concat_ws(L.MESSAGE_SEPARATOR, F.when(a_bad, F.col("amount_msg")), F.when(c_bad, F.col("customer_msg")))
-        status = (F.when(a_bad | c_bad, L.VALIDATION_FAILED)
+        """Q20: stage 8 — IsProcessed = 1, final Status and the messages of all rules that failed, by record id."""
+        unprocessed = self.tpd2.filter(F.col("IsProcessed") == 0)
+        existing = self.m.orders.select("OrderId")
+        # the messages of a record, at most one for each rule, in the rules' order
+        failed = self.failed_validations().groupBy(F.col("RecordId").alias("Id")).agg(
+            F.count(F.lit(1)).cast("int").alias("failures"),
+            F.expr(f"listagg(ValidationMessage, '{L.MESSAGE_SEPARATOR}') WITHIN GROUP (ORDER BY RuleNo)").alias("messages"))
+        v = unprocessed.join(existing, "OrderId", "left_semi").join(failed, "Id", "left")
+        status = (F.when(F.col("failures") > 0, L.VALIDATION_FAILED)
                   .when(F.col("Amount").isNull() | (F.col("Amount") <= 0), L.INVALID_AMOUNT)
                   .otherwise(L.PROCESSED))
         done = v.select(*[status.alias("Status") if c == "Status"
                           else F.lit(1).alias("IsProcessed") if c == "IsProcessed"
-                          else F.when(a_bad | c_bad, msg).alias("ErrorMessage") if c == "ErrorMessage"
-                          else F.col(c) for c in TPD_COLUMNS],
-                        (a_bad.cast("int") + c_bad.cast("int")).alias("invalid_count"))
-        untouched = (self.tpd2.filter(F.col("IsProcessed") == 0)
-                     .join(self.m.orders.select("OrderId"), "OrderId", "left_anti")
+                          else F.col("messages").alias("ErrorMessage") if c == "ErrorMessage"
+                          else F.col(c) for c in STAGED],
+                        F.coalesce(F.col("failures"), F.lit(0)).alias("invalid_count"))
+        untouched = (unprocessed.join(existing, "OrderId", "left_anti")
                      .unionByName(self.tpd2.filter(F.col("IsProcessed") != 0))
                      .withColumn("invalid_count", F.lit(0)))
         return self._keep(done.unionByName(untouched))
@@ -663,7 +713,7 @@ class Stages:
                    (F.col("CustomerId") == F.col("s_cust")) & (F.col("sim_cat") == F.col("s_cat")), "left")
              .join(regional, (F.col("own_region") == F.col("RegionId")) & (F.col("own_cat") == F.col("CategoryId")),
                    "left"))
-        return self._keep(j.select(*TPD_COLUMNS,
+        return self._keep(j.select(*STAGED,
                                    F.coalesce(F.col("SimilarOrderCount"), F.lit(0)).alias("SimilarOrderCount"),
                                    "RegionalCategoryAverage"))
 
@@ -685,11 +735,11 @@ class Stages:
                       (F.col("RegionalCategoryAverage").cast("double") > F.lit(p75).cast("double"),
                        L.ABOVE_REGIONAL_AVERAGE),
                       default=F.col("Status"))
-        done = cdt.select(*[status.alias("Status") if c == "Status" else F.col(c) for c in TPD_COLUMNS])
-        return self._keep(done.unionByName(self.tpd3.filter(F.col("IsProcessed") != 1).select(*TPD_COLUMNS)))
+        done = cdt.select(*[status.alias("Status") if c == "Status" else F.col(c) for c in STAGED])
+        return self._keep(done.unionByName(self.tpd3.filter(F.col("IsProcessed") != 1).select(*STAGED)))
 
     def reclassify_status(self) -> DataFrame:
-        return self.tpd4
+        return self.tpd4.select(*TPD_COLUMNS)
 
     @cached_property
     def employee_ranking(self) -> DataFrame:
@@ -703,12 +753,16 @@ class Stages:
                   .withColumnRenamed("SalesPersonId", "EmployeeId"))
         prod_cat = (m.products.select("ProductId", "CategoryId")
                     .join(m.categories.select("CategoryId"), "CategoryId", "left_semi"))
-        all_lines = m.order_details.join(m.orders.select("OrderId", "SalesPersonId", "OrderDate"), "OrderId", "inner")
-        emp_cat = (all_lines.join(prod_cat, "ProductId", "inner")
-                   .groupBy("SalesPersonId", "CategoryId")
-                   .agg(F.sum(net_amount()).alias("cat_sales"),
-                        F.sum(F.when(F.col("OrderDate") >= self.prev, net_amount())).alias("recent_cat_sales"),
-                        F.count(F.when(F.col("OrderDate") >= self.prev, 1)).alias("recent_cat_lines")))
+        key = ["SalesPersonId", "CategoryId"]
+        if m.history is not None:
+            sold = m.history.sellers().join(prod_cat, "ProductId", "inner").groupBy(*key).agg(F.sum("net_sum").alias("cat_sales"))
+        else:
+            all_lines = m.order_details.join(m.orders.select("OrderId", "SalesPersonId"), "OrderId", "inner")
+            sold = (all_lines.join(prod_cat, "ProductId", "inner").groupBy(*key)
+                    .agg(F.sum(net_amount()).alias("cat_sales")))
+        lately = (self.recent_lines.join(prod_cat, "ProductId", "inner").groupBy(*key)
+                  .agg(F.sum(net_amount()).alias("recent_cat_sales"), F.count(F.lit(1)).alias("recent_cat_lines")))
+        emp_cat = sold.join(lately, key, "left")
         top3 = top_n_per_key(emp_cat, ["SalesPersonId"],
                              [F.col("cat_sales").desc(), F.col("CategoryId").asc()], 3)
         top_sales = (top3.groupBy(F.col("SalesPersonId").alias("EmployeeId"))
@@ -816,8 +870,8 @@ class Stages:
         return out
 
     # ------------------------------------------------------------ Q34 stage 13
-    def order_line_flags(self, orders: DataFrame | None = None) -> DataFrame:
-        """Per order, from one pass over its lines: has_valid_line (a product whose
+    def order_line_flags(self, orders: DataFrame) -> DataFrame:
+        """Per given (recent) order, from one pass over its lines: has_valid_line (a product whose
         category exists), has_discontinued (a discontinued product)."""
         m = self.m
         cats = m.categories.select("CategoryId").withColumn("cat_ok", F.lit(1))
@@ -825,47 +879,50 @@ class Stages:
                 .join(cats, "CategoryId", "left")
                 .select("ProductId", F.coalesce(F.col("cat_ok"), F.lit(0)).alias("valid"),
                         F.when(F.col("Discontinued") == 1, 1).otherwise(0).alias("disc")))
-        lines = m.order_details.select("OrderId", "ProductId")
-        if orders is not None:
-            lines = lines.join(orders.select("OrderId"), "OrderId", "left_semi")
+        lines = self.recent_lines.select("OrderId", "ProductId").join(orders.select("OrderId"), "OrderId", "left_semi")
         return (lines.join(prod, "ProductId", "inner").groupBy("OrderId")
                 .agg((F.max("valid") == 1).alias("has_valid_line"), (F.max("disc") == 1).alias("has_discontinued")))
 
-    def repair_order_dates(self, tpd: DataFrame | None = None) -> DataFrame:
-        """Q34: Orders after the date repair (all orders; only qualifying ones change).
+    def order_date_fixes(self, tpd: DataFrame | None = None) -> DataFrame:
+        """Stage 13's updates: (OrderId, OrderMonth, RequiredDate, ShippedDate) of the orders that it changes.
 
-        One pass over the orders: each order gets its line flags, whether its
-        customer (with region) and salesperson (with department) exist, and
-        whether it is staged; the CASE rules apply where all hold.
+        Only staged orders of the run's months are looked at: those that an
+        anomaly, an existing customer (with region) and salesperson (with
+        department) and a line with a category qualify.
         """
         m = self.m
         t = tpd if tpd is not None else self.tpd1
-        o = m.orders_with_shipping
         od_, req, shp = F.col("OrderDate"), F.col("RequiredDate"), F.col("ShippedDate")
         anomaly = ((req < od_) | (req > add_days(od_, 90))
                    | (shp.isNotNull() & (shp < od_)) | (shp.isNotNull() & (shp > add_days(od_, 180))))
-        cust_ok = (m.customers.select("CustomerId", "RegionId")
-                   .join(m.regions.select("RegionId"), "RegionId", "left_semi")
-                   .select("CustomerId", F.lit(True).alias("cust_ok")))
-        emp_ok = (m.employees.select("EmployeeId", "DepartmentId")
-                  .join(m.departments.select("DepartmentId"), "DepartmentId", "left_semi")
-                  .select(F.col("EmployeeId").alias("SalesPersonId"), F.lit(True).alias("emp_ok")))
-        staged = t.select("OrderId").distinct().withColumn("staged", F.lit(True))
-        j = (o.join(self.order_line_flags(staged), "OrderId", "left")
-             .join(staged, "OrderId", "left")
-             .join(cust_ok, "CustomerId", "left")
-             .join(emp_ok, "SalesPersonId", "left"))
-        fix = F.coalesce((od_ >= self.prev) & anomaly & F.col("staged") & F.col("cust_ok") & F.col("emp_ok")
-                         & F.col("has_valid_line"), F.lit(False))
+        customers = (m.customers.select("CustomerId", "RegionId")
+                     .join(m.regions.select("RegionId"), "RegionId", "left_semi").select("CustomerId"))
+        sellers = (m.employees.select("EmployeeId", "DepartmentId")
+                   .join(m.departments.select("DepartmentId"), "DepartmentId", "left_semi")
+                   .select(F.col("EmployeeId").alias("SalesPersonId")))
+        staged = t.select("OrderId").distinct()
+        odd = self._keep(m.since(m.orders_with_shipping, self.p.previous_month)
+                         .filter((od_ >= self.prev) & anomaly).join(staged, "OrderId", "left_semi")
+                         .join(customers, "CustomerId", "left_semi").join(sellers, "SalesPersonId", "left_semi")
+                         .select("OrderId", "OrderDate", "RequiredDate", "ShippedDate"))
+        flags = self.order_line_flags(odd).filter("has_valid_line")
         new_req = (F.when(req < od_, add_days(od_, 7))
                    .when(req > add_days(od_, 90), add_days(od_, 30)).otherwise(req))
         new_shp = (F.when(shp.isNotNull() & (shp < od_), F.lit(None))
-                   .when(shp.isNotNull() & (shp > add_days(od_, 180))
-                         & ~F.coalesce(F.col("has_discontinued"), F.lit(False)), add_days(od_, 14))
+                   .when(shp.isNotNull() & (shp > add_days(od_, 180)) & ~F.col("has_discontinued"), add_days(od_, 14))
                    .otherwise(shp))
-        return j.select("OrderId", "OrderDate", "SalesPersonId", "CustomerId", "ShipVia",
-                        F.when(fix, new_req).otherwise(req).alias("RequiredDate"),
-                        F.when(fix, new_shp).otherwise(shp).alias("ShippedDate"))
+        fixes = odd.join(flags, "OrderId", "inner").select(
+            "OrderId", month_number(od_).alias(ORDER_MONTH), "OrderDate",
+            new_req.alias("RequiredDate"), new_shp.alias("ShippedDate"), req.alias("was_req"), shp.alias("was_shp"))
+        # an exempt late shipment changes nothing
+        return fixes.filter(~(F.col("RequiredDate").eqNullSafe(F.col("was_req")) & F.col("ShippedDate").eqNullSafe(F.col("was_shp")))
+                            ).select("OrderId", ORDER_MONTH, "RequiredDate", "ShippedDate")
+
+    def repair_order_dates(self, tpd: DataFrame | None = None) -> DataFrame:
+        """Q34: Orders after the date repair: all orders, of which ``order_date_fixes`` changes a few."""
+        return update(self.m.orders_with_shipping, self.order_date_fixes(tpd), ["OrderId"], ["RequiredDate", "ShippedDate"],
+                      unique=True).select("OrderId", "OrderDate", "SalesPersonId", "CustomerId", "ShipVia",
+                                          "RequiredDate", "ShippedDate")
 
     # ------------------------------------------------------------ Q35-Q36 stage 14
     def process_statistics(self) -> DataFrame:

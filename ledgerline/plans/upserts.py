@@ -71,27 +71,28 @@ def customer_order_summary_merge(st: Stages, target: DataFrame | None = None,
     return merged
 
 
-def purge_processed_queue(st: Stages, queue: DataFrame | None = None,
-                          tpd: DataFrame | None = None) -> DataFrame:
-    """Q15: the queue after deleting old processed entries of clean, processed orders.
+def purged_entries(st: Stages, queue: DataFrame | None = None, tpd: DataFrame | None = None) -> DataFrame:
+    """The queue rows that stage 4 deletes: old processed entries of clean, processed orders.
 
     A queue row goes when: Status 'Processed', ProcessedDate older than 30
     days, its order has a processed staging row, no cancellation at all, no
     discontinued product, and the order joins through the whole dimension
     chain (customer/region, a line with product/category/supplier,
-    salesperson/department).
+    salesperson/department).  The staged orders, which are of the run's month,
+    restrict everything else first.
     """
     m = st.m
     queue = queue if queue is not None else m.order_processing_queue
     tpd = tpd if tpd is not None else st.tpd3
+    processed = tpd.filter(F.col("IsProcessed") == 1).select("OrderId").distinct()
+    candidates = st._keep(queue.filter((F.col("Status") == L.PROCESSED) & (F.col("ProcessedDate") < add_days(st.cur, -30)))
+                          .join(processed, "OrderId", "left_semi"))
     cust = (m.customers.select("CustomerId", "RegionId")
             .join(m.regions.select("RegionId"), "RegionId", "left_semi").select("CustomerId"))
     emp = (m.employees.select("EmployeeId", "DepartmentId")
            .join(m.departments.select("DepartmentId"), "DepartmentId", "left_semi")
            .select(F.col("EmployeeId").alias("SalesPersonId")))
-    candidates = queue.filter((F.col("Status") == L.PROCESSED)
-                              & (F.col("ProcessedDate") < add_days(st.cur, -30)))
-    orders = (m.orders.select("OrderId", "CustomerId", "SalesPersonId")
+    orders = (st.recent_orders.select("OrderId", "CustomerId", "SalesPersonId")
               .join(candidates.select("OrderId"), "OrderId", "left_semi")
               .join(cust, "CustomerId", "left_semi").join(emp, "SalesPersonId", "left_semi")
               .select("OrderId"))
@@ -104,16 +105,20 @@ def purge_processed_queue(st: Stages, queue: DataFrame | None = None,
             .select("ProductId",
                     F.when((F.col("cat_ok") == 1) & (F.col("sup_ok") == 1), 1).otherwise(0).alias("valid"),
                     F.when(F.col("Discontinued") == 1, 1).otherwise(0).alias("disc")))
-    clean = (m.order_details.select("OrderId", "ProductId").join(orders, "OrderId", "left_semi")
+    clean = (st.recent_lines.select("OrderId", "ProductId").join(orders, "OrderId", "left_semi")
              .join(prod, "ProductId", "inner").groupBy("OrderId")
              .agg(F.max("valid").alias("v"), F.max("disc").alias("d"))
              .filter((F.col("v") == 1) & (F.col("d") == 0)).select("OrderId"))
-    processed = tpd.filter(F.col("IsProcessed") == 1).select("OrderId")
-    doomed = (candidates.join(clean, "OrderId", "left_semi")
-              .join(processed, "OrderId", "left_semi")
-              .join(m.order_cancellations.select("OrderId"), "OrderId", "left_anti")
-              .select("QueueId"))
-    return delete(queue, doomed, ["QueueId"])
+    return (candidates.join(clean, "OrderId", "left_semi")
+            .join(m.order_cancellations.select("OrderId"), "OrderId", "left_anti"))
+
+
+def purge_processed_queue(st: Stages, queue: DataFrame | None = None,
+                          tpd: DataFrame | None = None) -> DataFrame:
+    """Q15: the queue after deleting ``purged_entries``."""
+    queue = queue if queue is not None else st.m.order_processing_queue
+    left = delete(queue, purged_entries(st, queue, tpd).select("QueueId"), ["QueueId"])
+    return left.select("QueueId", "OrderId", "Status", "ProcessedDate")
 
 
 def merge_update_only(st: Stages, target: DataFrame | None = None,

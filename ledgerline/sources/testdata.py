@@ -13,19 +13,25 @@ which reads the twenty tables from the catalog under the same names.
 
 from __future__ import annotations
 
+import copy
+from collections.abc import Mapping
+from datetime import datetime
 from decimal import Decimal
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.functions.exprs import lit_ts
+from ledgerline.functions.exprs import lit_ts, month_number
 from ledgerline.params import RunParams
 from ledgerline.session import listing
 
 # Fixed values of the mapping (kept equal to the DuckDB side).
 SEGMENT_TYPE_IDS = {"AUTOMOBILE": 1, "BUILDING": 2, "FURNITURE": 3, "HOUSEHOLD": 4, "MACHINERY": 5}
 SHIPPER_IDS = [1, 2, 3, 4, 5]
+#: The month of an order, 199806: partition column of Orders and OrderDetails where they are kept by month.
+ORDER_MONTH = "OrderMonth"
+PROCESSED_MONTH = "ProcessedMonth"
 RAW_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 ROOT_DEPARTMENT_NAME = "HQ"
 DISCOUNT_START = "1995-01-01 00:00:00"
@@ -43,6 +49,8 @@ class RetailModel:
 
     #: Whose stored tables this model's queries share (``plans.stages.Run``); None: nobody's.
     run = None
+    #: Partial aggregates of past months (``plans.history.History``), where they are kept.
+    history = None
 
     def __init__(self, spark: SparkSession, sf_dir: str, run=None):
         self.spark = spark
@@ -53,6 +61,13 @@ class RetailModel:
         """What the data is, not where: stored results count for one identity only."""
         return ("folder", listing(self.spark, [f"{self.sf_dir}/{t}.parquet" for t in RAW_TABLES]))
 
+    @staticmethod
+    def since(df: DataFrame, moment: datetime) -> DataFrame:
+        """Drops the months before ``moment`` where the table is kept by month (else nothing): fewer partitions are read."""
+        if ORDER_MONTH not in df.columns:
+            return df
+        return df.filter(F.col(ORDER_MONTH) >= moment.year * 100 + moment.month)
+
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
@@ -311,34 +326,38 @@ class CatalogModel(RetailModel):
         "discounts": "Discounts", "order_processing_queue": "OrderProcessingQueue",
     }
 
-    def __init__(self, spark: SparkSession, database: str = "default"):
+    def __init__(self, spark: SparkSession, database: str = "default", names: Mapping[str, str] | None = None):
+        """``names`` says where single tables are instead: "Customers" -> "user01.Customers"."""
         super().__init__(spark, "")
-        self.database = database
+        self.database, self.names = database, dict(names or {})
         for attr, table in self.TABLES.items():
-            self.__dict__[attr] = spark.table(f"{database}.{table}")
+            self.__dict__[attr] = spark.table(self.qualified(table))
         self.__dict__["orders_with_shipping"] = self.__dict__["orders"]
         self.__dict__["orders"] = self.__dict__["orders"].drop("ShippedDate")
 
+    def qualified(self, table: str) -> str:
+        return self.names.get(table, f"{self.database}.{table}")
+
     def folders(self) -> list[str]:
         """Where the files of the tables lie."""
-        names = [*self.TABLES.values(), "CustomerOrderSummary"]
-        known = [n for n in names if self.spark.catalog.tableExists(f"{self.database}.{n}")]
-        return sorted({f.rsplit("/", 1)[0] for n in known for f in self.spark.table(f"{self.database}.{n}").inputFiles()})
+        names = map(self.qualified, [*self.TABLES.values(), "CustomerOrderSummary"])
+        known = [n for n in names if self.spark.catalog.tableExists(n)]
+        return sorted({f.rsplit("/", 1)[0] for n in known for f in self.spark.table(n).inputFiles()})
 
     def identity(self) -> tuple:
-        return ("catalog", self.database, listing(self.spark, self.folders()))
+        return ("catalog", self.database, str(sorted(self.names.items())), listing(self.spark, self.folders()))
 
     def customer_order_summary(self, params: RunParams) -> DataFrame:  # noqa: ARG002
-        return self.spark.table(f"{self.database}.CustomerOrderSummary")
+        return self.spark.table(self.qualified("CustomerOrderSummary"))
 
     def stored_sales_report(self, params: RunParams) -> DataFrame:  # noqa: ARG002
-        return self.spark.table(f"{self.database}.SalesPerformanceReport")
+        return self.spark.table(self.qualified("SalesPerformanceReport"))
 
     def stored_segment_analysis(self, params: RunParams) -> DataFrame:  # noqa: ARG002
-        return self.spark.table(f"{self.database}.CustomerSegmentAnalysis")
+        return self.spark.table(self.qualified("CustomerSegmentAnalysis"))
 
     def stored_department_report(self, params: RunParams) -> DataFrame:  # noqa: ARG002
-        return self.spark.table(f"{self.database}.DepartmentPerformanceReport")
+        return self.spark.table(self.qualified("DepartmentPerformanceReport"))
 
 
 # Main join key of each table: tables sharing a key are bucketed alike, so
@@ -350,25 +369,84 @@ BUCKET_KEYS = {
 }
 
 
-def publish_tables(model: RetailModel, database: str, buckets: int, mode: str = "overwrite") -> None:
+def by_month(model: RetailModel) -> dict[str, DataFrame]:
+    """Orders, OrderDetails and the queue with their month; a line carries its order's (NULL if it has none)."""
+    orders = model.orders_with_shipping.withColumn(ORDER_MONTH, month_number(F.col("OrderDate")))
+    queue = model.order_processing_queue.withColumn(PROCESSED_MONTH, month_number(F.col("ProcessedDate")))
+    months = model.orders.select("OrderId", month_number(F.col("OrderDate")).alias(ORDER_MONTH))
+    return {"orders": orders, "order_processing_queue": queue,
+            "order_details": model.order_details.drop(ORDER_MONTH).join(months, "OrderId", "left")}
+
+
+#: The tables that are kept by month, and by which column.
+MONTH_COLUMNS = {"orders": ORDER_MONTH, "order_details": ORDER_MONTH, "order_processing_queue": PROCESSED_MONTH}
+
+
+def publish_tables(model: RetailModel, database: str, buckets: int, mode: str = "overwrite", months: bool = False) -> None:
     """Write the retail tables into ``database`` for ``CatalogModel``.
 
     Fact tables are bucketed (and sorted) by their main join key with the same
     bucket count, so Orders ⋈ OrderDetails and the other OrderId joins run as
-    sort-merge joins without an exchange; dimensions are written plain.
+    sort-merge joins without an exchange; dimensions are written plain.  With
+    ``months``, orders, lines and the queue are partitioned by month as well: a
+    run then reads the months of its window only.
     """
     spark = model.spark
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    monthly = by_month(model) if months else {}
     for attr, table in CatalogModel.TABLES.items():
         # the stored Orders table carries ShippedDate (the test mapping derives it from lines)
         df = model.orders_with_shipping if attr == "orders" else getattr(model, attr)
+        df = monthly.get(attr, df)
         writer = df.write.mode(mode)
         key = BUCKET_KEYS.get(attr)
+        if attr in monthly:
+            writer = writer.partitionBy(MONTH_COLUMNS[attr])
         if key:
             writer = writer.bucketBy(buckets, key).sortBy(key)
         writer.saveAsTable(f"{database}.{table}")
 
 
+def load_tables(model: RetailModel, change) -> None:
+    """Put orders, lines and queue into lasting tables (``sources.lasting``), kept by month."""
+    for attr, df in by_month(model).items():
+        change.create(CatalogModel.TABLES[attr], df, [MONTH_COLUMNS[attr]])
+
+
+class LastingModel(RetailModel):
+    """``base`` with Orders, OrderDetails and the queue as lasting tables have them, where they have them."""
+
+    def __init__(self, base: RetailModel, tables, record=None):
+        self.__dict__.update(copy.copy(base).__dict__)
+        self.base, self.tables = base, tables
+        self.record = record or tables.record()
+        self.run, self.history = base.run, None
+        for attr in MONTH_COLUMNS:
+            df = tables.read(CatalogModel.TABLES[attr], self.record)
+            if df is None:
+                continue
+            if attr == "orders":
+                self.__dict__["orders_with_shipping"] = df
+                df = df.drop("ShippedDate")
+            self.__dict__[attr] = df
+
+    def identity(self) -> tuple:
+        kept = {n: sorted(t.folders()) for n, t in self.record.tables.items() if n in CatalogModel.TABLES.values()}
+        return ("lasting", self.tables.root, str(sorted(kept.items())), self.base.identity())
+
+    def customer_order_summary(self, params: RunParams) -> DataFrame:
+        return self.base.customer_order_summary(params)
+
+    def stored_sales_report(self, params: RunParams) -> DataFrame:
+        return self.base.stored_sales_report(params)
+
+    def stored_segment_analysis(self, params: RunParams) -> DataFrame:
+        return self.base.stored_segment_analysis(params)
+
+    def stored_department_report(self, params: RunParams) -> DataFrame:
+        return self.base.stored_department_report(params)
+
+
 class FrameModel(RetailModel):
     """The same interface over DataFrames given by name (tests, notebooks)."""
 

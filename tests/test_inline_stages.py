@@ -149,3 +149,24 @@ def test_zero_budget_gives_null_ratio(spark, model):
     assert rows[100].TotalSales is not None and rows[100].SalesToBudgetRatio is None
     assert rows[100].Status == "Below Target"
     assert rows[101].EmployeeCount == 0 and rows[101].TotalSales is None   # no staff: kept, empty measures
+
+
+def test_a_third_rule_needs_no_other_change(model, monkeypatch):
+    """Messages of a record are listed in the rules' order; each failed one is a row of the left join."""
+    from ledgerline.plans.adhoc import left_join_extra_on
+    from ledgerline.plans.stages import Rule
+    two = Stages.rules
+    monkeypatch.setattr(Stages, "rules", lambda self: [
+        Rule("order", "Order Validation", F.col("OrderId") < 300, F.col("OrderId") != 200, F.lit("Order is 200")), *two(self)])
+    st = Stages(model, P)
+    final = {(r.OrderId, r.ProductId): (r.Status, r.ErrorMessage) for r in st.finalize_status().collect()}
+    assert final[(200, 10)] == ("Validation Failed", "Order is 200; Customer credit limit exceeded")
+    assert final[(300, 10)] == ("Validation Failed", "Customer credit limit exceeded")
+    assert final[(100, 10)] == ("Processed", None)
+    joined = [(r.OrderId, r.ValidationType) for r in left_join_extra_on(st).filter("CustomerId = 2").collect()]
+    assert sorted(joined) == sorted([(200, "Order Validation"), (200, "Customer Status Validation")] * 2
+                                    + [(300, "Customer Status Validation")] * 2)
+    kinds = {r.ValidationType: r.TotalValidations for r in st.validation_summary().collect()}
+    assert kinds["Order Validation"] == kinds["Amount Validation"] - 2
+    ids = sorted(r.Id for r in st.tpd1.collect())
+    assert ids == list(range(1, len(ids) + 1)) and {r.RecordId for r in st.validations.collect()} == set(ids)

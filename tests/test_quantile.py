@@ -55,3 +55,21 @@ def test_coarse_sketch_is_still_exact(spark, monkeypatch, accuracy):
     df = spark.createDataFrame([(v,) for v in vals], "x double").repartition(4)
     for q in (0.1, 0.5, 0.99):
         assert quantile.percentile_cont(df, "x", q) == pytest.approx(_np_cont(vals, q), rel=1e-12)
+
+
+def test_many_percentiles_share_their_scans(spark, monkeypatch):
+    monkeypatch.setattr(quantile, "ACCURACY", 50)
+    rng = np.random.default_rng(5)
+    vals = rng.integers(0, 400, size=3000).astype(float).tolist() + [42.0] * 1500
+    df = spark.createDataFrame([(v,) for v in vals], "x double").repartition(4)
+    qs = [0.0, 0.01, 0.1, 0.25, 0.5, 0.5, 0.75, 0.9, 0.99, 1.0]
+    kind, scans = type(df), []
+    real = kind.agg
+    monkeypatch.setattr(kind, "agg", lambda self, *a, **k: (scans.append(1), real(self, *a, **k))[1])
+    got = quantile.percentiles_cont(df, "x", qs)
+    together = len(scans)
+    assert got == pytest.approx([_np_cont(vals, q) for q in qs], rel=1e-12)
+    scans.clear()
+    assert [quantile.percentile_cont(df, "x", q) for q in qs] == pytest.approx(got, rel=1e-12)
+    assert together * 3 < len(scans)
+    assert quantile.percentiles_cont(df.filter("x < 0"), "x", qs) == [None] * len(qs)

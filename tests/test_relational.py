@@ -40,3 +40,38 @@ def test_row_number_by_range_without_broadcast(spark):
         assert got.select("k", "id", "rn").exceptAll(want.select("k", "id", "rn")).count() == 0
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_identity_ids_are_dense_and_alike_for_any_layout(spark):
+    from ledgerline.operators.relational import identity_ids
+    df = spark.range(1000).select((F.col("id") * 7919 % 97).alias("a"), (F.col("id") % 3).alias("b"))
+    order = [F.col("a").asc(), F.col("b").asc()]
+    one = identity_ids(df.repartition(3), order)
+    assert sorted(r.Id for r in one.collect()) == list(range(1, 1001))
+    other = identity_ids(df.repartition(11), order)
+    assert one.exceptAll(other).count() == 0
+    assert identity_ids(df.limit(0), order).count() == 0
+
+
+def test_aggregates_through_a_product(spark):
+    """Against the product itself; one empty table empties the result."""
+    from ledgerline.operators.product import through_product
+    rows = spark.createDataFrame([("a", 1), ("a", 2), ("b", 2), ("b", 2), ("c", None)], "k string, v long")
+    two, three = spark.range(2), spark.range(3)
+    how = [F.sum("v").alias("s"), F.count(F.lit(1)).alias("n"), F.count_distinct("v").alias("d"), F.max("v").alias("hi"),
+           F.avg("v").alias("mean")]
+    crossed = rows.crossJoin(two.toDF("x")).crossJoin(three.toDF("y")).groupBy("k").agg(*how)
+    got = through_product(rows.groupBy("k").agg(*how), [two, three], ["s", "n"])
+    assert got.dtypes == crossed.dtypes
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, crossed.collect()))
+    assert through_product(rows.groupBy("k").agg(*how), [two, spark.range(0)], ["s", "n"]).count() == 0
+
+
+def test_top_names_with_an_empty_second_table(spark):
+    from ledgerline.plans.adhoc import top_category_names
+    cats = spark.createDataFrame([(1, "A"), (2, "B")], "CategoryId int, CategoryName string")
+    prods = spark.createDataFrame([(10, 1), (20, 2)], "ProductId int, CategoryId int")
+    lines = spark.createDataFrame([(10, 1, 5.0), (20, 2, 9.0)], "ProductId int, Quantity int, UnitPrice double")
+    names = lambda others: [r.CategoryName for r in top_category_names(cats, prods, lines, 1, others).collect()]
+    assert names([]) == names([cats]) == ["B"]
+    assert names([cats, spark.range(0)]) == []
