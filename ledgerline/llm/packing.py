@@ -69,7 +69,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capa
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = kept(Encoder, path, VOCABULARY), _bytes([end_id])
-        for batch in bounded(batches, 2, 8 << 20):
+        for batch in bounded(batches, 2, 12 << 20):
             row, piece, start, length, crc = [], array("i"), array("q"), array("q"), array("q")
             for i, found in enumerate(encoder.all([t or "" for t in batch.column(2).to_pylist()])):
                 ids = found + end

@@ -4,24 +4,31 @@ The given tokenizers never let a token span a single space or line feed between
 two characters that aren't white space, so a text's ids are those of its chunks
 between them.  The distinct chunks of a batch are found by Arrow; a worker remembers
 the ids of those it has met.  New ones are encoded together, several hundred to a
-call, and cut apart again at a mark that the tokenizer leaves.  Texts with other
-white space at a chunk's edge are encoded whole.
+call, and cut apart again at a mark that the tokenizer leaves.  Where the tokenizer
+splits words from the signs behind them, a word and a comma are the word's ids and
+the comma's.  Texts with other white space at a chunk's edge are encoded whole.
 """
 
 from __future__ import annotations
 
+import re
 import sys
 import types
 from collections.abc import Callable, Iterable
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes that a cache of a Python worker takes at most, by estimate, and what an entry takes besides its text and ids.
-REMEMBERED_BYTES, ENTRY = 240 << 20, 150
+REMEMBERED_BYTES, ENTRY = 150 << 20, 180
 #: Texts that one call of the tokenizer encodes, and the longest chunk that shares a call.
 JOINED, LONGEST = 500, 200
+#: Letters whose lower case and composed form are single letters: those of ASCII and U+00C0 to U+00FF; and a word of
+#: them with one of the commonest signs behind it.  None of these begins a contraction or is white space.
+_LETTERS, _SIGNS = "A-Za-zÀ-ÖØ-öø-ÿ", ",.;:!?"
+_WORD = re.compile(f"([{_LETTERS}]+)([{_SIGNS}]?)").fullmatch
 
 
 def pack(ids: list[int]) -> bytes:
@@ -82,6 +89,12 @@ class Encoder:
         """Put the ids of new chunks into ``self.chunks``; None for those that can't stand alone."""
         raise NotImplementedError
 
+    def found(self, chunks: list[str]) -> list[bytes | None]:
+        """The ids of distinct chunks."""
+        self.chunks.make_room()
+        self.learn([c for c in chunks if c not in self.chunks])
+        return list(map(self.chunks.__getitem__, chunks))
+
     def text(self, ids: bytes) -> bytes:
         return b"".join(map(self.bytes.__getitem__, memoryview(ids).cast("I")))
 
@@ -93,11 +106,13 @@ class Encoder:
         split = pc.split_pattern(rows, " ")
         coded = split.flatten().dictionary_encode()
         codes, distinct = coded.indices.to_numpy(), coded.dictionary.to_pylist()
-        self.chunks.make_room()
-        self.learn([c for c in distinct if c not in self.chunks])
-        found = list(map(self.chunks.__getitem__, distinct))
-        store = np.frombuffer(b"".join(x for x in found if x), "<u4")
-        sizes = np.fromiter((len(x) // 4 if x is not None else 0 for x in found), np.int64, len(found))
+        found = self.found(distinct)
+        odd = np.zeros(len(found), bool)
+        if None in found:
+            odd[[i for i, x in enumerate(found) if x is None]] = True
+            found = [x or b"" for x in found]
+        store = np.frombuffer(b"".join(found), "<u4")
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
         starts = np.cumsum(sizes) - sizes
         first = split.offsets.to_numpy().astype(np.int64)
         n = sizes[codes]
@@ -106,7 +121,6 @@ class Encoder:
         at += np.repeat(starts[codes] - after[:-1], n)
         ids, ends = store[at], after[first]
         counts = np.diff(ends)
-        odd = np.fromiter((x is None for x in found), bool, len(found))
         strange: list[int] = []
         if odd.any() or not self.lead or "" in texts:
             # texts that have to be encoded whole, ids to drop, and the empty text, which is no chunk but a text
@@ -161,12 +175,14 @@ class _Tokenizers(Encoder):
         super().__init__(remember)
         self.tokenizer = Tokenizer.from_file(str(path))
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.names = [""] * (max(vocabulary.values()) + 1)
+        for token, i in vocabulary.items():
+            self.names[i] = token
+        self.signs = {sign: pack(self._ids(sign)) for sign in _SIGNS}
 
     def _flags(self, of: Callable[[str], bool]) -> np.ndarray:
-        flags = np.zeros(max(self.vocabulary.values()) + 1, bool)
-        flags[[i for t, i in self.vocabulary.items() if of(t)]] = True
-        return flags
+        return np.array([of(t) for t in self.names])
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -174,6 +190,37 @@ class _Tokenizers(Encoder):
     def _batch(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
 
+    def base(self, word: str) -> str:
+        """What a word is remembered under."""
+        return word
+
+    def found(self, chunks: list[str]) -> list[bytes | None]:
+        """Chunks that are a word and a sign are put together from the two and not remembered themselves."""
+        known = self.chunks
+        known.make_room()
+        missing = object()
+        out = list(map(known.get, chunks, repeat(missing)))
+        apart: list[tuple[int, str, str]] = []
+        new: set[str] = set()
+        for i in [i for i, ids in enumerate(out) if ids is missing]:
+            c = chunks[i]
+            if len(c) <= LONGEST and c.isalpha() and c.isascii():
+                word = self.base(c)
+                if word not in known:
+                    new.add(word)
+                apart.append((i, word, ""))
+                continue
+            feed = c[:1] == "\n"
+            m = _WORD(c, 1) if feed else _WORD(c)
+            word, sign = (c, "") if m is None or len(c) > LONGEST else ("\n" * feed + self.base(m[1]), m[2])
+            if word not in known:
+                new.add(word)
+            apart.append((i, word, sign))
+        self.learn(list(new))
+        for i, word, sign in apart:
+            out[i] = known[word] + self.signs[sign] if sign else known[word]
+        return out
+
 
 def _byte_letters() -> dict[str, int]:
     """The letters that stand for the bytes in a byte-level vocabulary: printable ones for themselves, then 256 and up."""
@@ -182,6 +229,7 @@ def _byte_letters() -> dict[str, int]:
 
 
 _BYTE = _byte_letters()
+_LETTER = [c for c, _ in sorted(_BYTE.items(), key=lambda x: x[1])]
 
 
 class ByteLevel(_Tokenizers):
@@ -192,9 +240,8 @@ class ByteLevel(_Tokenizers):
         self.lead, self.exact = lead, exact
         spaced = self._flags(lambda t: t.startswith("Ġ"))
         (feed,) = self._ids("\n")
-        self.feed, self.bytes = pack([feed]), [b""] * len(spaced)
-        for token, i in self.vocabulary.items():
-            self.bytes[i] = bytes(map(_BYTE.__getitem__, token)) if all(c in _BYTE for c in token) else token.encode()
+        self.feed = pack([feed])
+        self.bytes = [bytes(map(_BYTE.__getitem__, t)) if all(c in _BYTE for c in t) else t.encode() for t in self.names] if exact else []
 
         def at_space(ids):
             starts = np.flatnonzero(spaced[ids])
@@ -224,12 +271,13 @@ class WordEnds(_Tokenizers):
     """BPE of lower-cased words with word ends, white space dropped."""
 
     MARK = "\x01"
+    _TO_LETTERS = str.maketrans({chr(c): "".join(_LETTER[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)})
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer, pre_tokenizers
 
         super().__init__(path)
-        # ASCII words are whole words to its splitter: they go to the model alone
+        # lower-cased words of plain letters stay as they are until the model, but for the letters of their bytes
         self.model = Tokenizer(self.tokenizer.model)
         self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         (mark,) = self._ids(self.MARK)
@@ -245,6 +293,9 @@ class WordEnds(_Tokenizers):
 
         self.at_mark, self.at_end = at_mark, at_end
 
+    def base(self, word: str) -> str:
+        return word.lower()
+
     def _model_batch(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.model.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
 
@@ -258,8 +309,8 @@ class WordEnds(_Tokenizers):
             if len(c) > LONGEST:
                 self.chunks.put(c, self.whole(c))
             else:
-                (plain if body.isascii() and body.isalpha() else other).append(c)
-        lower = [c.strip("\n").lower() for c in plain]
+                (plain if (m := _WORD(body)) and not m[2] else other).append(c)
+        lower = [c.strip("\n").lower().translate(self._TO_LETTERS) for c in plain]
         for c, ids in zip(plain, _cut_apart(lower, " ".join, self._model_batch, self.at_end, self.whole)):
             self.chunks.put(c, ids)
         for c, ids in zip(other, _cut_apart(other, f" {self.MARK} ".join, self._batch, self.at_mark, self.whole)):

@@ -269,7 +269,7 @@ def write(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
     """Write the ids of every whole text, ``end_id`` behind each document's, in ascending order of ids.
 
     Null texts count as empty, so they are the end id alone.  Null ids come first,
-    repeated ids in the order of their texts' hashes.  Strings of special tokens inside
+    repeated ids in the order in which they are read.  Strings of special tokens inside
     a text are ordinary text.  Files are written by Spark's committer, so a
     retried task leaves no half file; an empty table leaves no shard.
     """
@@ -286,7 +286,7 @@ def write(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
             names, made, size = [], [], 0
             return out
 
-        for batch in bounded(batches, 1, 8 << 20):
+        for batch in bounded(batches, 1, 12 << 20):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for name, ids in zip(batch.column(0).to_pylist(), encoder.encode(texts)):
                 names.append(name)
@@ -298,10 +298,9 @@ def write(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
             yield close()
 
     spark = docs.sparkSession
-    keyed = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("h", F.xxhash64("text"))
-    # rows that are alike in id and text are dealt out by their place, so they don't meet in one task
-    dealt = (keyed.withColumn("place", F.monotonically_increasing_id())
-             .repartitionByRange(shuffle_partitions(spark), "id", "h", "place").sortWithinPartitions("id", "h", "place"))
+    # rows of one id are dealt out by their place, so that they needn't meet in one task
+    placed = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("place"))
+    dealt = placed.repartitionByRange(shuffle_partitions(spark), "id", "place").sortWithinPartitions("id", "place")
     files = dealt.select(F.col("id").cast("string"), "text").mapInArrow(run, "value binary")
     files.select(F.col("value").cast("string")).write.option("lineSep", "\n").text(path)
 
