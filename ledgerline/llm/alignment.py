@@ -32,7 +32,7 @@ FAN = 8
 #: Most frequent id pairs whose counts every task gets; the others are joined. 16 bytes each.
 TOP_PAIRS = 1 << 20
 #: What each of a worker's two encoders remembers at most.
-REMEMBERED_BYTES = 64 << 20
+REMEMBERED_BYTES = 100 << 20
 #: A single space between two characters that aren't white space.
 CUT = re.compile(r"\S (?=\S)")
 
@@ -80,7 +80,7 @@ class _Aligner:
     def __init__(self, a_path: str | None, b_path: str | None):
         self.a = kept(ByteLevel, a_path, A_FILE, lead=True, exact=True, remember=REMEMBERED_BYTES)
         self.b = kept(Pieces, b_path, B_FILE, remember=REMEMBERED_BYTES)
-        self.a_size, self.b_size = (np.array([len(x) for x in e.bytes], np.int64) for e in (self.a, self.b))
+        self.a_size, self.b_size = (np.array([len(x) for x in e.bytes], np.int32) for e in (self.a, self.b))
 
     def tokens(self, texts: list[str]) -> list[tuple[bytes, bytes] | None]:
         """The ids of both sides; None where they don't spell the text."""
@@ -90,7 +90,8 @@ class _Aligner:
     def joined(self, found: list[tuple[bytes, bytes] | None]):
         """All texts in a row: ids, the positions of the tokens that end together, tokens per text."""
         a, b = (np.frombuffer(b"".join(x[k] for x in found if x), "<u4") for k in (0, 1))
-        a_ends, b_ends = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
+        # a batch's bytes fit 32 bits
+        a_ends, b_ends = np.cumsum(self.a_size[a], dtype=np.int32), np.cumsum(self.b_size[b], dtype=np.int32)
         marks = np.zeros((int(a_ends[-1]) if len(a) else 0) + 1, np.int8)
         marks[a_ends] = 1
         marks[b_ends] += 1
@@ -115,12 +116,13 @@ def _records(ids: pa.Array, a, b, close_a, close_b, n_a, n_b) -> pa.RecordBatch:
     # texts that have tokens end with a common end, so no group spans two of them
     ends_a, ends_b = np.cumsum(n_a), np.cumsum(n_b)
     groups = np.diff(np.searchsorted(close_a, ends_a), prepend=0)
-    closing_a, closing_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
-    closing_a[close_a], closing_b[close_b] = 1, 1
-    before_a, before_b = np.cumsum(closing_a) - closing_a, np.cumsum(closing_b) - closing_b
-    line = np.empty(len(a) + len(b), np.int64)  # the ids group by group, A's in front of B's
-    line[np.arange(len(a)) + np.append(0, close_b + 1)[before_a]] = 3 * a.astype(np.int64) + closing_a
-    line[np.arange(len(b)) + np.append(close_a + 1, 0)[before_b]] = 3 * b.astype(np.int64) + 2 * closing_b
+    line = np.empty(len(a) + len(b), np.uint32)  # the ids group by group, A's in front of B's
+    for ids_, close, sign, others in ((a, close_a, 1, np.append(0, close_b + 1)), (b, close_b, 2, np.append(close_a + 1, 0))):
+        closing = np.zeros(len(ids_), np.int32)
+        closing[close] = 1
+        before = np.cumsum(closing, dtype=np.int32)
+        before -= closing
+        line[np.arange(len(ids_), dtype=np.int32) + others.astype(np.int32)[before]] = 3 * ids_ + np.uint32(sign) * closing.astype(np.uint32)
     word = kept(_Digits, "", "").upto(int(max(a.max(), b.max())) if len(a) else 0).__getitem__
     digests, at = [], 0
     for size in (n_a + n_b).tolist():
@@ -130,9 +132,13 @@ def _records(ids: pa.Array, a, b, close_a, close_b, n_a, n_b) -> pa.RecordBatch:
     # links: the tokens that end together, alike ones of a text counted
     text_of = np.repeat(np.arange(len(n_a), dtype=np.int64), groups)
     keys = a[close_a].astype(np.int64) << 32 | b[close_b]
-    order = np.lexsort((keys, text_of)) if len(n_a) > 1 else np.argsort(keys, kind="stable")
-    keys, text_of = keys[order], text_of[order]
-    first = np.flatnonzero(np.append(True, (np.diff(keys) != 0) | (np.diff(text_of) != 0))) if len(keys) else np.zeros(0, np.int64)
+    at = 0
+    for n in groups.tolist():  # each text's own, in order
+        keys[at:at + n].sort()
+        at += n
+    fresh = np.append(True, keys[1:] != keys[:-1]) if len(keys) else np.zeros(0, bool)
+    fresh[np.cumsum(groups)[:-1][groups[1:] > 0]] = True  # a text's first
+    first = np.flatnonzero(fresh)
     times = np.diff(np.append(first, len(keys))).astype(np.int32)
     offsets = pa.array(np.searchsorted(text_of[first], np.arange(len(n_a) + 1)).astype(np.int32))
     return pa.RecordBatch.from_arrays(
@@ -144,7 +150,7 @@ def _records(ids: pa.Array, a, b, close_a, close_b, n_a, n_b) -> pa.RecordBatch:
 def _short(rows: DataFrame, a_path: str | None, b_path: str | None, kind: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = _Aligner(a_path, b_path)
-        for batch in bounded(batches, 1, 2 << 20):
+        for batch in bounded(batches, 1, 3 << 20):
             found = aligner.tokens([t or "" for t in batch.column(1).to_pylist()])
             yield _records(batch.column(0), *aligner.joined(found))
 
@@ -211,8 +217,9 @@ def _long(rows: DataFrame, a_path: str | None, b_path: str | None, kind: str, pa
     made = stash(cuts.repartition("row", "part").mapInArrow(align, piece + whole))
     most = made.agg(F.max("part")).first()[0] or 0
     while most > 0:
-        made = (made.withColumn("__up", F.expr(f"part div {FAN}")).groupBy("row", "__up")
-                .applyInArrow(lambda t: compose(t.drop_columns(["__up"])), piece + whole))
+        # stored, so that a task runs one Python function and needs one worker
+        made = stash(made.withColumn("__up", F.expr(f"part div {FAN}")).groupBy("row", "__up")
+                     .applyInArrow(lambda t: compose(t.drop_columns(["__up"])), piece + whole))
         most //= FAN
     return made.mapInArrow(finish, ALIGNED.format(kind=kind))
 
@@ -247,8 +254,10 @@ def aligned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", a_p
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     # parts have at least so many characters, and so bytes
     long = F.coalesce(F.octet_length("text") > part_chars, F.lit(False))
-    both = _short(rows.filter(~long), a_path, b_path, kind).unionByName(_long(rows.filter(long), a_path, b_path, kind, part_chars))
-    found = stash(both.withColumn("row", F.monotonically_increasing_id()))
+    # in tasks of their own, with row numbers from 0 up and from -1 down
+    short = stash(_short(rows.filter(~long), a_path, b_path, kind).withColumn("row", F.monotonically_increasing_id()))
+    found = short.unionByName(stash(_long(rows.filter(long), a_path, b_path, kind, part_chars)
+                                    .withColumn("row", -1 - F.monotonically_increasing_id())))
     return _with_counts(spark, found, stash(pair_counts(found)), top_pairs)
 
 
