@@ -1,17 +1,20 @@
 """Personal data: base patterns and bootstrapped contextual extraction.
 
 Four base patterns find e-mail addresses, IP addresses, card and phone numbers
-in whole texts; they are the seed entities.  *Candidates* are looser forms of
-the same kinds (numbers without a plus sign, spelled-out addresses, digits that
-fail a check).  The one or two words before an entity or candidate are a
-lexical pattern of its kind.
-
-Patterns and instances form a graph that Spark scores in rounds: a pattern's
-confidence is the weight of the distinct-instance evidence behind it over all
-the times its words occur in the corpus, whatever follows; a candidate's weight
-is that of its best pattern.  Patterns that start with too few seeds, or words
-that any text has, never gain confidence.  Candidates at patterns of high
-confidence become spans; those of the base patterns always stay.
+in whole texts; they are seed entities, and so are long hexadecimal strings, of a
+kind of their own (secret) that the base patterns don't know.  *Candidates* are
+looser forms of the kinds (numbers without a plus sign, spelled-out addresses,
+digits that fail a check) and, of no kind yet, all other identifiers: tokens of six
+characters or more with a digit.  The one or two words before an entity or
+candidate are a lexical pattern.
+
+Patterns and instances form a graph that Spark scores in rounds, until nothing
+changes: a pattern's confidence in a kind is the weight of the distinct-instance
+evidence behind it over all the times its words occur in the corpus, whatever
+follows; a candidate's weight is that of its best pattern.  Patterns that start with
+too few seeds, or words that any text has, never gain confidence.  Secrets and
+candidates at patterns of high confidence become spans, identifiers of any shape
+with the pattern's kind; those of the base patterns always stay.
 """
 
 from __future__ import annotations
@@ -29,13 +32,19 @@ from ledgerline.llm.common import ROW_ID, bounded, stash
 
 #: Kinds in the order in which spans at one place are listed.
 KINDS = ("email", "ip", "card", "phone")
-ROUNDS = 3
+#: Those with the kinds that only contexts make spans.
+ALL_KINDS = (*KINDS, "secret")
+SECRET = len(KINDS)
+#: A round in which no candidate's weight grows by more is the last one.
+SETTLED = 0.001
 MIN_SEEDS = 3
 CONFIDENCE = 0.6
 #: Bits of the bitmap of pattern words: 2 MB, however many patterns there are.
 BITS = 1 << 24
-#: Characters before an entity that its pattern's words lie in at most.
+#: Characters before an entity in which its pattern's words are looked for first.
 REACH = 200
+#: Signs that may stand between a pattern's words and the entity.
+OPENING = "\"'`([{<"
 
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -53,6 +62,10 @@ _LOOSE = {
 }
 
 
+_HEX = re.compile(r"(?<![0-9A-Za-z_])[0-9a-f]{32,}(?![0-9A-Za-z_])")
+_IDENTIFIER = re.compile(r"(?<![\w.+/=:@-])(?=[\w.+/=:@-]*[0-9])[A-Za-z0-9][\w.+/=:@-]{5,}")
+
+
 def _luhn(digits: str) -> bool:
     total = 0
     for i, c in enumerate(reversed(digits)):
@@ -95,7 +108,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def _listed(spans) -> str:
-    return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in sorted(spans))
+    return ",".join(f"{ALL_KINDS[k]}:{a}:{b}" for a, k, b in sorted(spans))
 
 
 def _hash(words: str) -> int:
@@ -106,32 +119,67 @@ def _hash(words: str) -> int:
 
 
 def _patterns(text: str, start: int) -> list[int]:
-    """Hashes of the last one and two words before a place."""
-    words = text[max(0, start - REACH):start].lower().split()[-2:]
+    """Hashes of the last one and two words before a place; quotes and brackets in between don't count."""
+    reach = REACH
+    while True:
+        words = text[max(0, start - reach):start].lower().rstrip(OPENING).split()
+        if len(words) > 2 or reach >= start:  # the first one found may be cut
+            break
+        reach *= 4
     return [_hash(" ".join(words[-n:])) for n in (1, 2) if len(words) >= n]
 
 
 def _instance(kind: int, value: str) -> str:
     """What counts as the same entity."""
-    return re.sub(r"[\W_]+", ".", value.lower()) if kind < 2 else _digits(value)
+    return _digits(value) if kind in (2, 3) else re.sub(r"[\W_]+", ".", value.lower())
+
+
+class _Taken:
+    """Spans that nothing else may overlap, asked for in ascending order of places."""
+
+    def __init__(self, spans: list[tuple[int, int]]):
+        self.spans, self.i = sorted(spans), 0
+
+    def free(self, start: int, end: int) -> bool:
+        while self.i < len(self.spans) and self.spans[self.i][1] <= start:
+            self.i += 1
+        return self.i == len(self.spans) or self.spans[self.i][0] >= end
 
 
 def _occurrences(text: str) -> tuple[list[tuple[int, int, int]], list[dict]]:
-    """Base spans, and all entities and candidates with their patterns."""
+    """Base spans, and all entities and candidates (kind -1: any) with their patterns."""
     base, found = base_spans(text), []
-    taken = sorted((a, b) for a, _, b in base)
+
+    def add(kind: int, start: int, end: int, seed: bool) -> None:
+        found.append({"kind": kind, "start": start, "end": end, "instance": _hash(_instance(kind, text[start:end])),
+                      "seed": seed, "patterns": _patterns(text, start)})
+
     for a, k, b in base:
-        found.append({"kind": k, "start": a, "end": b, "instance": _hash(_instance(k, text[a:b])), "seed": True,
-                      "patterns": _patterns(text, a)})
+        add(k, a, b, True)
+    taken = [(a, b) for a, _, b in base]
+    free = _Taken(taken)
+    for m in _HEX.finditer(text):
+        if free.free(m.start(), m.end()) and re.search("[0-9]", m[0]) and re.search("[a-f]", m[0]):
+            add(SECRET, m.start(), m.end(), True)
+            taken.append((m.start(), m.end()))
+    loose = []
     for k, name in enumerate(KINDS):
-        i = 0
+        free = _Taken(taken)
         for m in _LOOSE[name].finditer(text):
-            while i < len(taken) and taken[i][1] <= m.start():
-                i += 1
-            if i < len(taken) and taken[i][0] < m.end():
-                continue
-            found.append({"kind": k, "start": m.start(), "end": m.end(), "instance": _hash(_instance(k, m[0])),
-                          "seed": False, "patterns": _patterns(text, m.start())})
+            if free.free(m.start(), m.end()):
+                add(k, m.start(), m.end(), False)
+                loose.append((m.start(), m.end()))
+    ends = 0
+    merged = []  # the loose forms may overlap each other
+    for a, b in sorted(taken + loose):
+        if a >= ends:
+            merged.append((a, b))
+        ends = max(ends, b)
+    free = _Taken(merged)
+    for m in _IDENTIFIER.finditer(text):
+        end = m.start() + len(m[0].rstrip(".:=/-"))
+        if end - m.start() >= 6 and any("0" <= c <= "9" for c in m[0]) and free.free(m.start(), end):
+            add(-1, m.start(), end, False)
     return base, found
 
 
@@ -187,12 +235,10 @@ def _word_counts(texts: DataFrame, patterns: DataFrame) -> DataFrame:
     return counted.join(patterns.select("pattern").distinct(), "pattern", "left_semi")
 
 
-def _scored_patterns(edges: DataFrame, totals: DataFrame, rounds: int, min_seeds: int) -> DataFrame:
-    """(kind, pattern, confidence) after ``rounds`` over the graph of edges(kind, pattern, instance, seed, n)."""
-    weights = edges.groupBy("kind", "instance").agg(F.max(F.col("seed").cast("double")).alias("weight"))
-    patterns = None
-    for _ in range(rounds):
-        weights = stash(weights)
+def _scored_patterns(edges: DataFrame, totals: DataFrame, min_seeds: int, settled: float = SETTLED) -> DataFrame:
+    """(kind, pattern, confidence) once the graph of edges(kind, pattern, instance, seed, n) has settled."""
+    weights = stash(edges.groupBy("kind", "instance").agg(F.max(F.col("seed").cast("double")).alias("weight")))
+    while True:
         patterns = (edges.join(weights, ["kind", "instance"]).groupBy("kind", "pattern")
                     .agg(F.sum(F.col("weight") * F.col("n")).alias("mass"), F.sum("weight").alias("distinct"),
                          F.sum("n").alias("seen"))
@@ -203,19 +249,23 @@ def _scored_patterns(edges: DataFrame, totals: DataFrame, rounds: int, min_seeds
         patterns = stash(patterns)
         best = (edges.join(patterns, ["kind", "pattern"]).groupBy("kind", "instance")
                 .agg(F.max("confidence").alias("reached")))
-        # a seed keeps its weight; a candidate has that of its best pattern, damped so that doubt adds up
-        weights = (weights.join(best, ["kind", "instance"], "left")
-                   .select("kind", "instance", F.greatest("weight", F.coalesce(F.col("reached") * 0.9, F.lit(0.0)))
-                           .alias("weight")))
-    return patterns
+        # a seed keeps its weight; a candidate has that of its best pattern, damped so that doubt adds up;
+        # weights only grow and stay below one, so the rounds end
+        weights = stash(weights.withColumnRenamed("weight", "was").join(best, ["kind", "instance"], "left")
+                        .select("kind", "instance", "was", F.greatest("was", F.coalesce(F.col("reached") * 0.9, F.lit(0.0)))
+                                .alias("weight")))
+        if weights.filter(F.col("weight") > F.col("was") + settled).isEmpty():
+            return patterns
+        weights = weights.drop("was")
 
 
-def found(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS,
+def found(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           min_seeds: int = MIN_SEEDS, confidence: float = CONFIDENCE) -> DataFrame:
     """One row per input row: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added.
 
     The counts are those of the base patterns; ``spans`` lists all spans as
-    kind:start:end (code points, end exclusive).  Null texts are empty ones.
+    kind:start:end (code points, end exclusive);
+    added ones may be of the kind secret.  Null texts are empty ones.
     Repeated rows and null ids each have a row.  An empty table gives no rows.
     Other columns are ignored.
     """
@@ -224,20 +274,23 @@ def found(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", round
                        F.col(text_col).alias("text"))
     seen = stash(_searched(rows, kind))
     each = seen.filter("size(found) > 0").select(ROW_ID, F.explode("found").alias("f"))
-    edges = stash(each.select("f.kind", "f.instance", "f.seed", F.explode("f.patterns").alias("pattern"))
+    edges = stash(each.filter("f.kind >= 0").select("f.kind", "f.instance", "f.seed", F.explode("f.patterns").alias("pattern"))
                   .groupBy("kind", "pattern", "instance").agg(F.max("seed").alias("seed"), F.count(F.lit(1)).alias("n")))
     # patterns with a chance: as many distinct instances of a kind as seeds are asked for
     likely = stash(edges.groupBy("kind", "pattern").agg(F.count(F.lit(1)).alias("instances"))
                    .filter(F.col("instances") >= min_seeds).select("kind", "pattern"))
     edges = stash(edges.join(likely, ["kind", "pattern"], "left_semi"))
     totals = stash(_word_counts(docs.select(F.col(text_col).alias("text")), likely))
-    sure = _scored_patterns(edges, totals, rounds, min_seeds).filter(F.col("confidence") >= confidence)
-    wanted = (each.filter("NOT f.seed").select(ROW_ID, "f.kind", "f.start", "f.end", F.explode("f.patterns").alias("pattern"))
-              .join(sure.select("kind", "pattern"), ["kind", "pattern"], "left_semi")
-              .select(ROW_ID, F.struct("start", "kind", "end").alias("s")).groupBy(ROW_ID)
+    sure = stash(_scored_patterns(edges, totals, min_seeds).filter(F.col("confidence") >= confidence))
+    # secrets and candidates of a kind need a sure pattern of that kind, other identifiers take the surest one's
+    open_ = each.filter(f"NOT f.seed OR f.kind = {SECRET}").select(
+        ROW_ID, F.col("f.kind").alias("own"), "f.start", "f.end", F.explode("f.patterns").alias("pattern"))
+    wanted = (open_.join(sure, "pattern").filter("own = kind OR own = -1")
+              .groupBy(ROW_ID, "start", "end").agg(F.min(F.struct((-F.col("confidence")).alias("c"), "kind")).alias("best"))
+              .select(ROW_ID, F.struct("start", F.col("best.kind").alias("kind"), "end").alias("s")).groupBy(ROW_ID)
               .agg(F.collect_set("s").alias("added")))  # at most a text's spans
-    names = F.array(*[F.lit(k) for k in KINDS])
-    own = F.transform(F.filter("found", lambda f: f["seed"]), lambda f: F.struct(f["start"], f["kind"], f["end"]))
+    names = F.array(*[F.lit(k) for k in ALL_KINDS])
+    own = F.transform(F.filter("found", lambda f: f["seed"] & (f["kind"] < SECRET)), lambda f: F.struct(f["start"], f["kind"], f["end"]))
     every = F.sort_array(F.concat(own, F.coalesce("added", F.array().cast("array<struct<start:int,kind:int,end:int>>"))))
     listed = F.array_join(F.transform(every, lambda s: F.concat_ws(
         ":", names[s["kind"]], s["start"].cast("string"), s["end"].cast("string"))), ",")
