@@ -29,8 +29,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 
-from ledgerline.llm.common import ROW_ID, bounded, stash
+from ledgerline.llm.common import ROW_ID, bounded, running_before, stash
 
 WINDOW = 50
 ROUNDS = 2
@@ -244,15 +245,27 @@ def _cut(docs: DataFrame, window: int) -> DataFrame:
     return docs.mapInArrow(run, "cut_row long, n_removed long, kept_sha256 string")
 
 
+def _by_rank(docs: DataFrame, id_col: str, text_col: str, window: int, rounds: int, unit_symbols: int) -> DataFrame:
+    """``deduplicated`` for ids that aren't integers: the distinct ids' places in their order stand for them."""
+    ids = docs.select(F.col(id_col).alias("named")).filter("named IS NOT NULL").distinct()
+    places = stash(running_before(ids, [F.col("named")], {"place": F.lit(1).cast("long")}).select("named", "place"))
+    rows = docs.select(F.col(id_col).alias("named"), F.col(text_col).alias("text")).join(places, "named", "left")
+    out = deduplicated(stash(rows.select("place", "text")), "place", "text", window, rounds, unit_symbols)
+    return (out.withColumnRenamed("doc_id", "place").join(places, "place", "left")
+            .select(F.col("named").alias("doc_id"), "n_words", "n_removed", "kept_sha256"))
+
+
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
                  rounds: int = ROUNDS, unit_symbols: int = UNIT_SYMBOLS) -> DataFrame:
     """One row per input row: doc_id, n_words, n_removed, kept_sha256.
 
-    Null and empty texts have no words (digest of the empty string).  A null id
-    counts as larger than any other.  Rows of one id don't remove each other's
+    Null and empty texts have no words (digest of the empty string).  Ids may be
+    of any type that has an order; a null id counts as larger than any other.  Rows of one id don't remove each other's
     words, as none has the smaller id.  An empty table gives no rows.  Other
     columns are ignored.
     """
+    if not isinstance(docs.schema[id_col].dataType, (ByteType, ShortType, IntegerType, LongType)):
+        return _by_rank(docs, id_col, text_col, window, rounds, unit_symbols)
     last = (1 << 63) - 1
     # texts are read twice rather than stored: the second reading may be split otherwise (executors come and go),
     # so it finds its rows by id and two hashes of the text, not by row id
