@@ -82,7 +82,10 @@ OP8_LINE_DEDUP = r"""
     later AS (SELECT doc_id, k FROM
                 (SELECT *, row_number() OVER (PARTITION BY x1, x2 ORDER BY doc_id, k) AS copy FROM runs)
               WHERE copy > 1),
-    gone AS (SELECT doc_id, k FROM later UNION SELECT doc_id, k + 1 FROM later),
+    single AS (SELECT doc_id, k FROM
+                (SELECT doc_id, k, x, row_number() OVER (PARTITION BY x ORDER BY doc_id, k) AS copy FROM lines)
+              WHERE copy > 1 AND len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) >= 50),
+    gone AS (SELECT doc_id, k FROM later UNION SELECT doc_id, k + 1 FROM later UNION SELECT doc_id, k FROM single),
     kept AS (
         SELECT s.doc_id, string_agg(s.x, chr(10) ORDER BY s.i) AS text
         FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS x,

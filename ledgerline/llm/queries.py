@@ -65,7 +65,7 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The texts of all documents without the later copies of repeated runs of two or more lines."""
+    """The texts of all documents without the later copies of repeated runs of two or more lines, or of 50 words."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.deduplicated(docs, min_lines=2).selectExpr("doc.doc_id", "n_lines", "n_removed", "rest AS text")
 
