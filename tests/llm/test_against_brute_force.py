@@ -11,7 +11,7 @@ import pytest
 import xxhash
 
 import corpus_pipeline
-from ledgerline.llm import decontaminate, html_extract, packing, pii, quality_classifier, queries, simhash, substring_dedup
+from ledgerline.llm import decontaminate, html_extract, line_dedup, packing, pii, quality_classifier, queries, simhash, substring_dedup
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -424,7 +424,7 @@ def test_pipeline_against_brute_force(spark, texts):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     kept = {r.doc_id for r in queries.op1_quality_rules(spark, SF).filter("kept").collect()}
     left = {i: t for i, t in texts.items() if i in kept}
-    # later copies of runs of two lines
+    # later copies of runs of two lines, and of lines of 50 words
     lines = {i: [(k, x) for k, x in enumerate(left[i].split("\n")) if WORD.search(x)] for i in left}
     seen, gone = {}, defaultdict(set)
     for i in sorted(left):
@@ -432,6 +432,10 @@ def test_pipeline_against_brute_force(spark, texts):
             if (x, y) in seen:
                 gone[i] |= {a, b}
             seen.setdefault((x, y), i)
+        for a, x in lines[i]:
+            if x in seen and len(WORD.findall(x)) >= 50:
+                gone[i].add(a)
+            seen.setdefault(x, i)
     rest = {i: "\n".join(x for k, x in enumerate(left[i].split("\n")) if k not in gone[i])
             for i in left if len(gone[i]) < len(lines[i]) or not gone[i]}
     ids = sorted(rest)
@@ -449,3 +453,148 @@ def test_pipeline_against_brute_force(spark, texts):
     assert all(total[i] == len(tokenizer.encode(single[i], add_special_tokens=False).ids) + 1 for i in want)
     packs(out)
     assert docs.count() > len(want)
+
+
+def test_html_attributes_and_inline_elements():
+    """Attributes are compared by whole name, and inline elements end no block."""
+    page = lambda body: f"<html><body><nav>menu</nav><article>{body}</article></body></html>"
+    text = lambda body: html_extract.blocks(page(body))[0]
+    assert text('<p title="a hidden truth">Body</p>') == ["Body"]
+    assert text('<p data-hidden="false">Body</p>') == ["Body"]
+    assert text('<p data-class="widget">Body</p>') == ["Body"]
+    assert text('<p>Read <a href="/hidden-gems">the hidden gems</a> now</p>') == ["Read the hidden gems now"]
+    assert text('<p>see <a id="nav-1">link text</a> end</p>') == ["see link text end"]
+    assert text('<p>see <span class="ad">buy</span> end <b hidden>x</b>.</p>') == ["see end ."]
+    assert text('<div class="ad"><p>buy</p></div><p hidden>x</p><p aria-hidden = "true">y</p><p>z</p>') == ["z"]
+    assert text("<p>a<span class=ad>b<div>c</div></span>d</p>") == ["a", "d"]
+
+
+def test_common_lines_of_long_and_alike_pages():
+    rng = random.Random(6)
+
+    def longest(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            new = [0]
+            for j, y in enumerate(b):
+                new.append(row[j] + 1 if x == y else max(row[j + 1], new[j]))
+            row = new
+        return row[-1]
+
+    for letters, n in (("ab", 300), ("a", 200), ("abcdefgh", 250), ("aab", 400)):
+        for _ in range(4):
+            a, b = ([rng.choice(letters) for _ in range(rng.randint(0, n))] for _ in range(2))
+            got = html_extract.common_lines(a, b)
+            it = iter(b)
+            assert got == sorted(set(got)) and all(a[i] in it for i in got) and len(got) == longest(a, b)
+    many = ["0"] * 200_000
+    assert len(html_extract.common_lines(many, many[:-5] + ["1"])) == 199_995
+    cells = [rng.choice("01") for _ in range(20_000)]
+    assert len(html_extract.common_lines(cells, cells[::-1])) > 13_000
+    deep = "<div class=x>" * 20_000 + "<span id=nav>" * 20_000 + "text" + "</b>" * 20_000
+    assert html_extract.lines("<article>" + deep) == [("text", True)]
+
+
+def test_quality_sample_is_bounded_and_threshold_is_exact(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    sent, real = [], quality_classifier.fit
+    monkeypatch.setattr(quality_classifier, "fit", lambda x, good, **k: (sent.append(len(good)), real(x, good, **k))[1])
+    out = quality_classifier.scored(docs, labels, fit_rows=40).collect()
+    assert 20 <= sent[0] <= 40
+    known = {r.doc_id: r.quality for r in labels.filter("quality IN (0, 1)").collect()}
+    learnt = [r for r in out if not r.held_out and r.doc_id in known]
+    good = sum(known[r.doc_id] for r in learnt)
+    # the threshold cuts all labelled rows at the share of bad ones, ties and rounding of the quantile aside
+    assert abs(sum(r.predicted for r in learnt) - good) <= 1
+    assert sum(r.predicted == known[r.doc_id] for r in learnt) > 0.9 * len(learnt)
+
+
+def test_substring_dedup_takes_any_ids(spark):
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(40)]
+    texts = [" ".join(rng.choices(words, k=30)) for _ in range(12)]
+    texts += [texts[1] + " x " + texts[2], "y " + texts[3], texts[4]]
+    rows = [(f"id{rng.randrange(10**6):06d}" if i % 7 else None, t) for i, t in enumerate(texts)] + [("a", None), ("b", "")]
+    named = spark.createDataFrame(rows, "doc_id string, text string").repartition(3)
+    order = {x: i for i, x in enumerate(sorted({i for i, _ in rows if i}))}
+    numbers = spark.createDataFrame([(order.get(i), t) for i, t in rows], "doc_id long, text string").repartition(2)
+    got = substring_dedup.deduplicated(named, window=8).collect()
+    want = substring_dedup.deduplicated(numbers, window=8).collect()
+    assert Counter((order.get(r.doc_id), *r[1:]) for r in got) == Counter(tuple(r) for r in want)
+    assert sum(r.n_removed for r in got) > 50
+
+
+def pii_by_hand(texts, min_seeds=3, confidence=0.6):
+    """Spans of each text by plain loops over the pattern-instance graph."""
+    found = [pii._occurrences(t or "")[1] for t in texts]
+    words = Counter()
+    for t in texts:
+        w = (t or "").lower().split()
+        words.update(pii._hash(x) for x in w)
+        words.update(pii._hash(f"{a} {b}") for a, b in zip(w, w[1:]))
+    edges, seed = Counter(), defaultdict(bool)
+    for f in (f for fs in found for f in fs if f["kind"] >= 0):
+        seed[f["kind"], f["instance"]] |= f["seed"]
+        edges.update((f["kind"], p, f["instance"]) for p in f["patterns"])
+    weight = {}
+    for (k, _, i) in edges:
+        weight[k, i] = float(seed[k, i])
+    while True:
+        mass, distinct, seen = defaultdict(float), defaultdict(float), Counter()
+        for (k, p, i), n in edges.items():
+            mass[k, p] += weight[k, i] * n
+            distinct[k, p] += weight[k, i]
+            seen[k, p] += n
+        sure = {x: mass[x] / (max(seen[x], words[x[1]]) + 1) for x in mass if distinct[x] >= min_seeds}
+        grown = dict(weight)
+        for (k, p, i) in edges:
+            grown[k, i] = max(grown[k, i], 0.9 * sure.get((k, p), 0))
+        done = all(grown[x] <= weight[x] + 0.001 for x in weight)
+        weight = grown
+        if done:
+            break
+    sure = {x: c for x, c in sure.items() if c >= confidence}
+    out = []
+    for fs in found:
+        spans = {(f["start"], f["kind"], f["end"]) for f in fs if f["seed"] and f["kind"] < 4}
+        best = {}
+        for f in fs:
+            if f["seed"] and f["kind"] < 4:
+                continue
+            for (k, p), c in sure.items():
+                if p in f["patterns"] and f["kind"] in (k, -1):
+                    place = (f["start"], f["end"])
+                    best[place] = min(best.get(place, (0, 9)), (-c, k))
+        spans |= {(a, k, b) for (a, b), (_, k) in best.items()}
+        out.append(pii._listed(spans))
+    return out
+
+
+def test_pii_contexts_against_plain_loops(spark, texts):
+    rng = random.Random(12)
+    filler = lambda n: " ".join(rng.choice("alpha beta gamma delta house tree river stone".split()) for _ in range(n))
+    digits = lambda n, letters="0123456789": "".join(rng.choice(letters) for _ in range(n))
+    rows = [f'{filler(9)} token = "{digits(40, "0123456789abcdef")}" {filler(5)}' for _ in range(40)]
+    rows += [f'{filler(4)} token = "Zq-{digits(6)}_X" {filler(3)}' for _ in range(5)]  # another shape in the same context
+    rows += [f"{filler(3)} {rng.choice(['a', 'b', 'c'])}{i} {digits(64, '0123456789abcdef')} {filler(3)}" for i in range(6)]
+    rows += [f"{filler(5)} call me on +1 578 555 {digits(4)} {filler(2)}" for _ in range(8)]
+    rows += [f"{filler(5)} call me on 555 {digits(3)} {digits(4)} {filler(2)}", f"{filler(5)} call me on ext/{digits(5)}"]
+    rows += [f"order {digits(8)} {filler(6)}" for _ in range(5)]
+    rows += [t for t in texts.values()]
+    got = {r.doc_id: r for r in pii.found(frame(spark, list(enumerate(rows)))).collect()}
+    want = pii_by_hand(rows)
+    assert [got[i].spans for i in range(len(rows))] == want
+    assert all(got[i].spans.startswith("secret:") and got[i].n_added == 1 for i in range(45))
+    assert not any("secret" in got[i].spans for i in range(45, 51))  # the same shape in no context
+    assert got[59].spans.startswith("phone:") and got[60].spans.startswith("phone:")  # learnt from the eight before
+    assert not any(got[i].spans for i in range(61, 66))
+
+
+def test_long_single_lines_are_runs(spark):
+    long, short = " ".join(f"w{i}" for i in range(67)), "a short line"
+    rows = [(1, f"one\n{long}\nx"), (2, long), (3, f"{short}\nq\n{long}"), (4, short), (5, f"{long} more"),
+            (6, " ".join(["v"] * 49)), (7, " ".join(["v"] * 49)), (8, " ".join(["v"] * 50)), (9, " ".join(["v"] * 50))]
+    out = {r.doc.doc_id: (r.rest, r.n_removed) for r in line_dedup.deduplicated(frame(spark, rows)).collect()}
+    assert out == {1: (rows[0][1], 0), 2: ("", 1), 3: (f"{short}\nq", 1), 4: (short, 0), 5: (f"{long} more", 0),
+                   6: (rows[5][1], 0), 7: (rows[5][1], 0), 8: (rows[7][1], 0), 9: ("", 1)}
