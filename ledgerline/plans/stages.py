@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.exprs import (add_days, count_when, lit_ts, month_number, net_amount, optional_eq,
                                         percent_factor, tier)
+from ledgerline.operators.distinct import distinct_counts
 from ledgerline.operators.dml import update
 from ledgerline.operators.quantile import percentile_cont
 from ledgerline.operators.relational import append_if_absent, identity_ids, row_number_by_range, top_n_per_key
@@ -455,15 +456,21 @@ class Stages:
         lines = (self.recent_lines.select("OrderId", "ProductId", "Quantity", "UnitPrice", "Discount")
                  .join(prod, "ProductId", "inner")
                  .join(mult, "OrderId", "inner"))
-        # one row per (report key, order, product) first: the distinct counts then expand few rows
-        pairs = lines.groupBy(*keys, "OrderId", "ProductId", "CategoryId", "SupplierId").agg(
+        # level by level, so that every distinct count is a count of rows: orders, then products, each of
+        # which has one category and one supplier
+        per_product = lines.groupBy(*keys, "ProductId", "CategoryId", "SupplierId").agg(
             F.sum(net_amount() * F.col("mult")).alias("s"), F.sum("mult").alias("n"))
-        agg = pairs.groupBy(*keys).agg(
-            F.count_distinct("OrderId").alias("OrderCount"),
-            F.sum("s").alias("s"), F.sum("n").alias("n"),
-            F.count_distinct("ProductId").alias("ProductCount"),
-            F.count_distinct("CategoryId").alias("CategoryCount"),
-            F.count_distinct("SupplierId").alias("SupplierCount"))
+        per_supplier = per_product.groupBy(*keys, "CategoryId", "SupplierId").agg(
+            F.sum("s").alias("s"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("k"))
+        per_category = per_supplier.groupBy(*keys, "CategoryId").agg(
+            F.sum("s").alias("s"), F.sum("n").alias("n"), F.sum("k").alias("k"))
+        suppliers = (per_supplier.groupBy(*keys, "SupplierId").agg(F.lit(1).alias("one"))
+                     .groupBy(*keys).agg(F.count(F.lit(1)).alias("SupplierCount")))
+        orders = (lines.groupBy(*keys, "OrderId").agg(F.lit(1).alias("one"))
+                  .groupBy(*keys).agg(F.count(F.lit(1)).alias("OrderCount")))
+        agg = (per_category.groupBy(*keys).agg(F.sum("s").alias("s"), F.sum("n").alias("n"), F.sum("k").alias("ProductCount"),
+                                               F.count(F.lit(1)).alias("CategoryCount"))
+               .join(suppliers, keys).join(orders, keys))
         # read by the percentile and the mean: stored once per run
         per_pair = self._keep(self.recent_lines.groupBy("SalesPersonId", "CustomerId")
                               .agg(F.sum(net_amount()).alias("pair_sales")))
@@ -620,6 +627,15 @@ class Stages:
         return self.tpd3.select(*TPD_COLUMNS)
 
     # ------------------------------------------------------------ Q21-Q24 stages 9-10
+    @staticmethod
+    def _counts(df: DataFrame, columns: dict[str, Column]) -> Column:
+        """Distinct counts as the fields of one scalar subquery, however many of them are used."""
+        return distinct_counts(df, columns).select(F.struct(*columns)).scalar()
+
+    def _people(self, tpd: DataFrame) -> Column:
+        return self._counts(tpd, {"DepartmentCount": F.col("DepartmentId"), "EmployeeCount": F.col("EmployeeId"),
+                                  "CustomerCount": F.col("CustomerId")})
+
     def execution_log(self) -> DataFrame:
         """Q21: one ProcessExecutionLog row (LEFT JOIN to invalid validations fans out)."""
         t = self.tpd3.filter(F.col("IsProcessed") == 1)
@@ -631,10 +647,8 @@ class Stages:
             F.sum(F.when(failed, w).otherwise(0)).alias("RecordsFailed"),
             F.sum(F.col("Amount") * w).alias("s"),
             F.sum(F.when(F.col("Amount").isNotNull(), w)).alias("n"),
-            F.count_distinct("DepartmentId").alias("DepartmentCount"),
-            F.count_distinct("EmployeeId").alias("EmployeeCount"),
-            F.count_distinct("CustomerId").alias("CustomerCount"),
             F.sum(F.when(F.col("invalid_count") > 0, 1).otherwise(0)).alias("ErrorCount"))
+        people = self._people(t)
         return agg.select(
             F.lit(self.p.run_id).alias("ProcessId"), F.lit(L.PROCESS_NAME).alias("ProcessName"),
             self.cur.alias("StartTime"), self.cur.alias("EndTime"),
@@ -643,7 +657,7 @@ class Stages:
             F.col("RecordsFailed").cast("long").alias("RecordsFailed"),
             F.col("s").cast("decimal(38,2)").alias("TotalAmount"),
             metrics.avg_from_parts(F.col("s"), F.col("n"), scale=2).alias("AverageAmount"),
-            "DepartmentCount", "EmployeeCount", "CustomerCount",
+            *[people[c].alias(c) for c in ("DepartmentCount", "EmployeeCount", "CustomerCount")],
             F.coalesce(F.col("ErrorCount"), F.lit(0)).cast("long").alias("ErrorCount"),
             tier((F.col("RecordsFailed") == 0, L.SUCCESS),
                  (F.col("RecordsFailed") < F.col("RecordsProcessed") * _dec("0.1"), L.PARTIAL_SUCCESS),
@@ -935,13 +949,9 @@ class Stages:
         sups = m.suppliers.withColumn("sup_ok", F.lit(True))
         lp = (lines.join(prod, "ProductId", "inner").join(cats, "CategoryId", "left")
               .join(sups, "SupplierId", "left"))
-        # one pass for the three distinct counts (categories / suppliers only where they exist)
-        dims = lp.agg(F.count_distinct("ProductId").alias("p"),
-                      F.count_distinct(F.when(F.col("cat_ok"), F.col("CategoryId"))).alias("c"),
-                      F.count_distinct(F.when(F.col("sup_ok"), F.col("SupplierId"))).alias("s"))
-        product_count = dims.select("p").scalar()
-        category_count = dims.select("c").scalar()
-        supplier_count = dims.select("s").scalar()
+        # categories / suppliers count where they exist
+        sold = self._counts(lp, {"ProductCount": F.col("ProductId"), "CategoryCount": F.when(F.col("cat_ok"), F.col("CategoryId")),
+                                 "SupplierCount": F.when(F.col("sup_ok"), F.col("SupplierId"))})
         region_count = (self.recent_orders.select("CustomerId")
                         .join(m.customers.select("CustomerId", "RegionId"), "CustomerId", "inner")
                         .join(m.regions.select("RegionId"), "RegionId", "left_semi")
@@ -952,16 +962,13 @@ class Stages:
             count_when(F.col("Status") == L.PROCESSED).cast("long").alias("SuccessfulRecords"),
             failed.cast("long").alias("FailedRecords"),
             F.sum("Amount").cast("decimal(38,2)").alias("TotalAmount"),
-            F.avg("Amount").cast("decimal(38,6)").alias("AverageAmount"),
-            F.count_distinct("DepartmentId").alias("DepartmentCount"),
-            F.count_distinct("EmployeeId").alias("EmployeeCount"),
-            F.count_distinct("CustomerId").alias("CustomerCount"))
+            F.avg("Amount").cast("decimal(38,6)").alias("AverageAmount"))
+        people = self._people(t)
         return agg.select(
             F.lit(self.p.run_id).alias("ProcessId"), self.cur.alias("ProcessDate"),
             "TotalRecords", "SuccessfulRecords", "FailedRecords", "TotalAmount", "AverageAmount",
-            "DepartmentCount", "EmployeeCount", "CustomerCount",
-            product_count.alias("ProductCount"), category_count.alias("CategoryCount"),
-            supplier_count.alias("SupplierCount"), region_count.alias("RegionCount"),
+            *[people[c].alias(c) for c in ("DepartmentCount", "EmployeeCount", "CustomerCount")],
+            *[sold[c].alias(c) for c in ("ProductCount", "CategoryCount", "SupplierCount")], region_count.alias("RegionCount"),
             F.lit(0).cast("long").alias("ProcessingTimeSeconds"),
             tier((F.col("FailedRecords") == 0, L.SUCCESS),
                  (F.col("FailedRecords") < F.col("TotalRecords") * _dec("0.05"), L.WARNING),

@@ -170,3 +170,9 @@ def test_a_third_rule_needs_no_other_change(model, monkeypatch):
     assert kinds["Order Validation"] == kinds["Amount Validation"] - 2
     ids = sorted(r.Id for r in st.tpd1.collect())
     assert ids == list(range(1, len(ids) + 1)) and {r.RecordId for r in st.validations.collect()} == set(ids)
+
+
+def test_no_report_expands_its_rows(model):
+    st = Stages(model, P)
+    for df in (st.sales_performance_report(), st.execution_log(), st.process_statistics()):
+        assert "Expand" not in df._jdf.queryExecution().optimizedPlan().toString()

@@ -75,3 +75,20 @@ def test_top_names_with_an_empty_second_table(spark):
     names = lambda others: [r.CategoryName for r in top_category_names(cats, prods, lines, 1, others).collect()]
     assert names([]) == names([cats]) == ["B"]
     assert names([cats, spark.range(0)]) == []
+
+
+def test_distinct_counts_by_bitmaps(spark):
+    from ledgerline.operators.distinct import counted, distinct_counts, id_bitmaps, rolled_up
+    df = spark.range(5000).select((F.col("id") % 3).alias("k"), (F.col("id") * 7919 % 100_003 - 500).alias("a"),
+                                  F.when(F.col("id") % 5 != 0, F.col("id") % 41).cast("int").alias("b"),
+                                  F.lit(None).cast("long").alias("c"))
+    cols = {n: F.col(n) for n in "abc"}
+    want = df.agg(*[F.count_distinct(n).alias(n) for n in "abc"])
+    got = distinct_counts(df, cols)
+    assert "Expand" not in got._jdf.queryExecution().executedPlan().toString()
+    assert got.collect() == want.collect()
+    by_k = df.groupBy("k").agg(*[F.count_distinct(n).alias(n) for n in "ab"])
+    assert sorted(distinct_counts(df, {n: F.col(n) for n in "ab"}, ["k"]).collect()) == sorted(by_k.collect())
+    finer = id_bitmaps(df, cols, ["k"])
+    assert counted(rolled_up(finer), list("abc")).collect() == want.collect()
+    assert distinct_counts(df.limit(0), cols).first() == (0, 0, 0)
