@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import bounded, stash
-from ledgerline.llm.token_chunks import ByteLevel, Pieces, kept
+from ledgerline.llm.token_chunks import ByteLevel, Pieces, give_back, kept
 
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Longer texts are cut into parts of about so many characters, at the next place where both tokenizers always split.
@@ -153,6 +153,7 @@ def _short(rows: DataFrame, a_path: str | None, b_path: str | None, kind: str) -
         for batch in bounded(batches, 1, 3 << 20):
             found = aligner.tokens([t or "" for t in batch.column(1).to_pylist()])
             yield _records(batch.column(0), *aligner.joined(found))
+        give_back()
 
     return rows.select("doc_id", "text").mapInArrow(run, ALIGNED.format(kind=kind))
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import ROW_ID, bounded, stash
-from ledgerline.llm.token_chunks import ByteLevel, kept, pack
+from ledgerline.llm.token_chunks import ByteLevel, give_back, kept, pack
 
 CAPACITY = 1024
 END_ID = 2
@@ -69,7 +69,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capa
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = kept(Encoder, path, VOCABULARY), _bytes([end_id])
-        for batch in bounded(batches, 2, 12 << 20):
+        for batch in bounded(batches, 2, 6 << 20):
             row, piece, start, length, crc = [], array("i"), array("q"), array("q"), array("q")
             for i, found in enumerate(encoder.all([t or "" for t in batch.column(2).to_pylist()])):
                 ids = found + end
@@ -86,6 +86,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capa
                 [batch.column(0).take(at), batch.column(1).take(at), pa.array(np.frombuffer(piece, np.int32)),
                  *(pa.array(np.frombuffer(x, np.int64)) for x in (start, length, crc))],
                 names=[ROW_ID, "doc_id", "piece", "start", "length", "ids_crc32"])
+        give_back()
 
     rows = docs.select(F.monotonically_increasing_id().alias(ROW_ID), F.col(id_col).alias("doc_id"),
                        F.col(text_col).alias("text"))

@@ -11,6 +11,7 @@ the comma's.  Texts with other white space at a chunk's edge are encoded whole.
 
 from __future__ import annotations
 
+import ctypes
 import re
 import sys
 import types
@@ -22,7 +23,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes that a cache of a Python worker takes at most, by estimate, and what an entry takes besides its text and ids.
-REMEMBERED_BYTES, ENTRY = 150 << 20, 180
+REMEMBERED_BYTES, ENTRY = 120 << 20, 180
 #: Texts that one call of the tokenizer encodes, and the longest chunk that shares a call.
 JOINED, LONGEST = 500, 200
 #: Letters whose lower case and composed form are single letters: those of ASCII and U+00C0 to U+00FF; and a word of
@@ -73,9 +74,10 @@ class Encoder:
 
     ``lead``: a text is encoded as if a space came before it.  ``exact``: ``bytes`` has
     each token's bytes, and a text that its tokens don't spell has no ids (None).
+    ``folds``: A-Z are encoded as a-z.
     """
 
-    lead, exact = True, False
+    lead, exact, folds = True, False, False
     bytes: list[bytes]
 
     def __init__(self, remember: int | None = None):
@@ -100,7 +102,10 @@ class Encoder:
 
     def flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[int]]:
         """(ids of all texts in a row, how many each has, the texts that aren't spelt and so have none)."""
-        rows = pc.replace_substring(pa.array(texts, pa.string()), "\n", " \n")
+        rows = pa.array(texts, pa.string())
+        if self.folds:
+            rows = pc.ascii_lower(rows)
+        rows = pc.replace_substring(rows, "\n", " \n")
         if not self.lead:  # the first chunk follows a line feed, too, whose id is dropped
             rows = pc.binary_join_element_wise("\n", rows, "")
         split = pc.split_pattern(rows, " ")
@@ -112,14 +117,16 @@ class Encoder:
             odd[[i for i, x in enumerate(found) if x is None]] = True
             found = [x or b"" for x in found]
         store = np.frombuffer(b"".join(found), "<u4")
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        starts = np.cumsum(sizes) - sizes
-        first = split.offsets.to_numpy().astype(np.int64)
-        n = sizes[codes]
-        after = np.append(0, np.cumsum(n))
-        at = np.arange(after[-1])
+        sizes = np.fromiter(map(len, found), np.int32, len(found)) // np.int32(4)
+        starts = np.cumsum(sizes, dtype=np.int32) - sizes
+        first = split.offsets.to_numpy()
+        n = sizes[codes]  # a batch's ids and bytes fit 32 bits
+        after = np.zeros(len(n) + 1, np.int32)
+        np.cumsum(n, out=after[1:])
+        at = np.arange(after[-1], dtype=np.int32)
         at += np.repeat(starts[codes] - after[:-1], n)
-        ids, ends = store[at], after[first]
+        ids, ends = store[at], after[first].astype(np.int64)
+        del at
         counts = np.diff(ends)
         strange: list[int] = []
         if odd.any() or not self.lead or "" in texts:
@@ -270,7 +277,7 @@ class ByteLevel(_Tokenizers):
 class WordEnds(_Tokenizers):
     """BPE of lower-cased words with word ends, white space dropped."""
 
-    MARK = "\x01"
+    folds, MARK = True, "\x01"
     _TO_LETTERS = str.maketrans({chr(c): "".join(_LETTER[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)})
 
     def __init__(self, path: str):
@@ -360,6 +367,15 @@ class Pieces(Encoder):
             self.chunks.put("\n" + c, self.feed + ids if self.text(ids) == c.encode() else None)
 
 
+def give_back() -> None:
+    """Hand freed memory back to the system at a task's end: workers live on and wait."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def kept(kind: type, path: str | None, vocabulary: str, **options):
     """The Python worker's encoder of that file, kept between its tasks."""
     if path is None:

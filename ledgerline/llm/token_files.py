@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import bounded, shuffle_partitions, stash
-from ledgerline.llm.token_chunks import WordEnds, kept
+from ledgerline.llm.token_chunks import WordEnds, give_back, kept
 from ledgerline.session import ensure_checkpoint_dir
 
 VOCABULARY = "word_bpe_49k.json"
@@ -286,7 +286,7 @@ def write(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
             names, made, size = [], [], 0
             return out
 
-        for batch in bounded(batches, 1, 12 << 20):
+        for batch in bounded(batches, 1, 6 << 20):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for name, ids in zip(batch.column(0).to_pylist(), encoder.encode(texts)):
                 names.append(name)
@@ -296,6 +296,7 @@ def write(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
                     yield close()
         if made:
             yield close()
+        give_back()
 
     spark = docs.sparkSession
     # rows of one id are dealt out by their place, so that they needn't meet in one task
@@ -325,6 +326,7 @@ def read(spark: SparkSession, path: str, id_type: str = "long") -> DataFrame:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([file.as_py()] * len(shard), pa.int32()), pa.array(shard.names, pa.string()), pa.array(starts),
                          pa.array(counts), pa.array(crc)], names=["file", "doc_id", "inside", "n_tokens", "ids_crc32"])
+        give_back()
 
     number = F.regexp_extract(F.col("path"), r"part-(\d+)", 1).cast("int").alias("file")
     content = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select(number, "content")
