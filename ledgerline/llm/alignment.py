@@ -31,8 +31,6 @@ PART_CHARS = 1 << 16
 FAN = 8
 #: Most frequent id pairs whose counts every task gets; the others are joined. 16 bytes each.
 TOP_PAIRS = 1 << 20
-#: What each of a worker's two encoders remembers at most.
-REMEMBERED_BYTES = 100 << 20
 #: A single space between two characters that aren't white space.
 CUT = re.compile(r"\S (?=\S)")
 
@@ -78,8 +76,8 @@ class _Aligner:
     """Both encoders of a worker, and the lengths of their tokens."""
 
     def __init__(self, a_path: str | None, b_path: str | None):
-        self.a = kept(ByteLevel, a_path, A_FILE, lead=True, exact=True, remember=REMEMBERED_BYTES)
-        self.b = kept(Pieces, b_path, B_FILE, remember=REMEMBERED_BYTES)
+        self.a = kept(ByteLevel, a_path, A_FILE, lead=True, exact=True)
+        self.b = kept(Pieces, b_path, B_FILE)
         self.a_size, self.b_size = (np.array([len(x) for x in e.bytes], np.int32) for e in (self.a, self.b))
 
     def tokens(self, texts: list[str]) -> list[tuple[bytes, bytes] | None]:

@@ -2,11 +2,10 @@
 
 The given tokenizers never let a token span a single space or line feed between
 two characters that aren't white space, so a text's ids are those of its chunks
-between them.  The distinct chunks of a batch are found by Arrow; a worker remembers
-the ids of those it has met.  New ones are encoded together, several hundred to a
-call, and cut apart again at a mark that the tokenizer leaves.  Where the tokenizer
-splits words from the signs behind them, a word and a comma are the word's ids and
-the comma's.  Texts with other white space at a chunk's edge are encoded whole.
+between them.  A worker remembers the ids of the chunks it has met and looks all
+chunks of a batch up at once, by their bytes.  New ones are encoded together,
+several hundred to a call, and cut apart again at a mark that the tokenizer leaves.
+Texts with other white space at a chunk's edge are encoded whole.
 """
 
 from __future__ import annotations
@@ -15,15 +14,14 @@ import ctypes
 import re
 import sys
 import types
-from collections.abc import Callable, Iterable
-from itertools import repeat
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Bytes that a cache of a Python worker takes at most, by estimate, and what an entry takes besides its text and ids.
-REMEMBERED_BYTES, ENTRY = 120 << 20, 180
+#: Chunks that a table holds at most: 70 MB with their ids, if they have three each.
+TABLE_CHUNKS = 900_000
 #: Texts that one call of the tokenizer encodes, and the longest chunk that shares a call.
 JOINED, LONGEST = 500, 200
 #: Letters whose lower case and composed form are single letters: those of ASCII and U+00C0 to U+00FF; and a word of
@@ -36,26 +34,12 @@ def pack(ids: list[int]) -> bytes:
     return np.asarray(ids, "<u4").tobytes()
 
 
-class Remembered(dict):
-    """text -> its ids as little-endian 32-bit bytes, or None; forgets everything when it grows too large."""
-
-    def __init__(self, most: int | None = None):
-        super().__init__()
-        self.bytes, self.most = 0, most
-
-    def put(self, text: str, ids: bytes | None) -> None:
-        self[text] = ids
-        self.bytes += ENTRY + len(text) + (len(ids) if ids else 0)
-
-    def make_room(self) -> None:
-        if self.bytes > (REMEMBERED_BYTES if self.most is None else self.most):
-            self.clear()
-            self.bytes = 0
-
-
 def _cut_apart(texts: list[str], join: Callable, encode: Callable, cut: Callable, alone: Callable) -> list[bytes]:
     """The ids of each text, from calls that encode many: ``join`` makes one text of a group, ``cut`` says where
     each one's ids begin and end; where that doesn't fit, a text holds the mark itself and each is encoded alone."""
+    if any(len(t) > LONGEST for t in texts):  # these share no call
+        made = iter(_cut_apart([t for t in texts if len(t) <= LONGEST], join, encode, cut, alone))
+        return [next(made) if len(t) <= LONGEST else alone(t) for t in texts]
     out: list[bytes] = []
     groups = [texts[i:i + JOINED] for i in range(0, len(texts), JOINED)]
     for group, found in zip(groups, encode([join(g) for g in groups])):
@@ -69,6 +53,89 @@ def _cut_apart(texts: list[str], join: Callable, encode: Callable, cut: Callable
     return out
 
 
+_U8 = np.uint64
+#: The bytes of the first and of the second word of a key that a chunk of each length fills.
+_MASKS = [np.array([(1 << 8 * min(max(n - skip, 0), 8)) - 1 for n in range(16)], _U8) for skip in (0, 8)]
+
+
+class ChunkTable:
+    """Chunks of up to 15 bytes, each a number, found by their bytes and length: a table that is probed for many at once."""
+
+    def __init__(self, most: int):
+        self.most = most
+        self.clear()
+
+    def clear(self) -> None:
+        self.n, self.used = 0, 0
+        self.slots = np.zeros((1 << 12, 3), _U8)  # the key's two words, and the chunk's number and one (0: free)
+        self.first, self.size = (np.zeros(1 << 10, np.int32) for _ in range(2))  # size -1: can't stand alone
+        self.ids = np.zeros(1 << 12, "<u4")
+
+    def _places(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        h = low * _U8(0x9E3779B97F4A7C15)
+        h ^= high * _U8(0xC2B2AE3D27D4EB4F)
+        h ^= h >> _U8(32)
+        h *= _U8(0x165667B19E3779F9)
+        return (h >> _U8(64 - (len(self.slots).bit_length() - 1))).astype(np.int64)
+
+    def find(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """The chunks' numbers; -1 for those that aren't there."""
+        place, out = self._places(low, high), np.full(len(low), -1, np.int32)
+        todo = np.arange(len(low))
+        while len(todo):
+            rows = self.slots[place]
+            same = (rows[:, 0] == low) & (rows[:, 1] == high) & (rows[:, 2] != 0)
+            out[todo[same]] = rows[same, 2].astype(np.int64) - 1
+            on = np.flatnonzero(~same & (rows[:, 2] != 0))  # another chunk's place: try the next one
+            todo, low, high = todo[on], low[on], high[on]
+            place = (place[on] + 1) & (len(self.slots) - 1)
+        return out
+
+    def _insert(self, low: np.ndarray, high: np.ndarray, numbers: np.ndarray) -> None:
+        place = self._places(low, high)
+        while len(place):
+            spots, at = np.unique(place, return_index=True)  # one chunk for each place
+            free = self.slots[spots, 2] == 0
+            spots, at = spots[free], at[free]
+            self.slots[spots] = np.stack([low[at], high[at], numbers[at].astype(_U8) + _U8(1)], 1)
+            left = np.ones(len(place), bool)
+            left[at] = False
+            low, high, numbers = low[left], high[left], numbers[left]
+            place = (place[left] + 1) & (len(self.slots) - 1)
+
+    def number(self, found: list[bytes | None]) -> np.ndarray:
+        """New numbers for chunks of these ids."""
+        sizes = np.array([-1 if x is None else len(x) // 4 for x in found], np.int32)
+        data = np.frombuffer(b"".join(x or b"" for x in found), "<u4")
+        numbers = np.arange(self.n, self.n + len(found), dtype=np.int32)
+        self.first, self.size = (_room(x, self.n + len(found)) for x in (self.first, self.size))
+        self.ids = _room(self.ids, self.used + len(data))
+        kept = np.maximum(sizes, 0)
+        self.first[self.n:self.n + len(found)] = self.used + np.cumsum(kept) - kept
+        self.size[self.n:self.n + len(found)] = sizes
+        self.ids[self.used:self.used + len(data)] = data
+        self.n, self.used = self.n + len(found), self.used + len(data)
+        return numbers
+
+    def add(self, low: np.ndarray, high: np.ndarray, found: list[bytes | None]) -> np.ndarray:
+        """Put in distinct chunks that aren't there; their numbers."""
+        numbers = self.number(found)
+        if 2 * self.n > len(self.slots):
+            held = self.slots[self.slots[:, 2] != 0]
+            self.slots = np.zeros((1 << (4 * self.n - 1).bit_length(), 3), _U8)
+            self._insert(held[:, 0], held[:, 1], held[:, 2].astype(np.int64) - 1)
+        self._insert(low, high, numbers)
+        return numbers
+
+
+def _room(x: np.ndarray, n: int) -> np.ndarray:
+    if n <= len(x):
+        return x
+    out = np.zeros(max(n, 3 * len(x) // 2), x.dtype)
+    out[:len(x)] = x
+    return out
+
+
 class Encoder:
     """What the tokenizers have in common.
 
@@ -80,26 +147,58 @@ class Encoder:
     lead, exact, folds = True, False, False
     bytes: list[bytes]
 
-    def __init__(self, remember: int | None = None):
-        self.chunks = Remembered(remember)
+    def __init__(self):
+        self.table = ChunkTable(TABLE_CHUNKS)
+        self.long: dict[bytes, int] = {}  # numbers of longer chunks
 
     # to be given: the ids of a whole text, and of chunks (those after a line feed begin with it)
     def whole(self, text: str) -> bytes:
         raise NotImplementedError
 
-    def learn(self, chunks: list[str]) -> None:
-        """Put the ids of new chunks into ``self.chunks``; None for those that can't stand alone."""
-        raise NotImplementedError
-
     def found(self, chunks: list[str]) -> list[bytes | None]:
-        """The ids of distinct chunks."""
-        self.chunks.make_room()
-        self.learn([c for c in chunks if c not in self.chunks])
-        return list(map(self.chunks.__getitem__, chunks))
+        """The ids of distinct new chunks; None for those that can't stand alone."""
+        raise NotImplementedError
 
     def text(self, ids: bytes) -> bytes:
         return b"".join(map(self.bytes.__getitem__, memoryview(ids).cast("I")))
 
+    def _numbers(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The chunks' numbers in the table, new ones learnt; ``data`` has eight bytes and more behind the last one."""
+        table = self.table
+        if table.n > table.most or table.used > 8 * table.most:
+            table.clear()
+            self.long.clear()
+        at_byte = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
+        low, high, short = at_byte[starts], at_byte[starts + 8], np.minimum(sizes, 15)
+        low &= _MASKS[0][short]
+        high &= _MASKS[1][short]
+        high |= short.astype(_U8) << _U8(56)
+        out = table.find(low, high)
+        whole = memoryview(data)
+        chunk = lambda i: bytes(whole[starts[i]:starts[i] + sizes[i]])
+        # longer ones are looked up one by one
+        long = np.flatnonzero(sizes > 15).tolist()
+        names = list(map(chunk, long))
+        new_long = list({x for x in names if x not in self.long})
+        # of each new chunk, one occurrence
+        missing = np.flatnonzero((out < 0) & (sizes <= 15))
+        order = missing[np.lexsort((high[missing], low[missing]))]
+        fresh = np.append(True, (low[order[1:]] != low[order[:-1]]) | (high[order[1:]] != high[order[:-1]])) if len(order) else []
+        new = order[np.flatnonzero(fresh)]
+        if len(new) or new_long:
+            found = self.found([x.decode() for x in [*map(chunk, new.tolist()), *new_long]])
+            if len(new):
+                numbers = table.add(low[new], high[new], found[:len(new)])
+                out[order] = numbers[np.cumsum(fresh) - 1]
+            if new_long:
+                self.long.update(zip(new_long, table.number(found[len(new):]).tolist()))
+        if long:
+            out[long] = [self.long[x] for x in names]
+            for x in new_long:
+                if len(x) > 4 * LONGEST:  # hardly met again
+                    del self.long[x]
+        return out
+
     def flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[int]]:
         """(ids of all texts in a row, how many each has, the texts that aren't spelt and so have none)."""
         rows = pa.array(texts, pa.string())
@@ -108,31 +207,32 @@ class Encoder:
         rows = pc.replace_substring(rows, "\n", " \n")
         if not self.lead:  # the first chunk follows a line feed, too, whose id is dropped
             rows = pc.binary_join_element_wise("\n", rows, "")
-        split = pc.split_pattern(rows, " ")
-        coded = split.flatten().dictionary_encode()
-        codes, distinct = coded.indices.to_numpy(), coded.dictionary.to_pylist()
-        found = self.found(distinct)
-        odd = np.zeros(len(found), bool)
-        if None in found:
-            odd[[i for i, x in enumerate(found) if x is None]] = True
-            found = [x or b"" for x in found]
-        store = np.frombuffer(b"".join(found), "<u4")
-        sizes = np.fromiter(map(len, found), np.int32, len(found)) // np.int32(4)
-        starts = np.cumsum(sizes, dtype=np.int32) - sizes
-        first = split.offsets.to_numpy()
-        n = sizes[codes]  # a batch's ids and bytes fit 32 bits
-        after = np.zeros(len(n) + 1, np.int32)
+        bounds = np.frombuffer(rows.buffers()[1], np.int32)[rows.offset:rows.offset + len(rows) + 1].astype(np.int64)
+        data = np.zeros(bounds[-1] - bounds[0] + 24, np.uint8)
+        if bounds[-1] > bounds[0]:
+            data[:-24] = np.frombuffer(rows.buffers()[2], np.uint8)[bounds[0]:bounds[-1]]
+        bounds -= bounds[0]
+        spaces = np.flatnonzero(data[:-24] == 32)
+        starts, ends = np.sort(np.concatenate([bounds[:-1], spaces + 1])), np.sort(np.concatenate([spaces, bounds[1:]]))
+        # a row's first chunk: a chunk for each row and each space before
+        first = np.arange(len(bounds)) + np.searchsorted(spaces, bounds)
+        numbers = self._numbers(data, starts, ends - starts)
+        table = self.table
+        n = table.size[numbers]
+        odd = n < 0
+        np.maximum(n, 0, out=n)
+        after = np.zeros(len(n) + 1, np.int32)  # a batch's ids fit 32 bits
         np.cumsum(n, out=after[1:])
         at = np.arange(after[-1], dtype=np.int32)
-        at += np.repeat(starts[codes] - after[:-1], n)
-        ids, ends = store[at], after[first].astype(np.int64)
+        at += np.repeat(table.first[numbers] - after[:-1], n)
+        ids, ends = table.ids[at], after[first].astype(np.int64)
         del at
         counts = np.diff(ends)
         strange: list[int] = []
         if odd.any() or not self.lead or "" in texts:
             # texts that have to be encoded whole, ids to drop, and the empty text, which is no chunk but a text
-            held = np.flatnonzero(np.add.reduceat(odd[codes], first[:-1])) if len(codes) else []
-            again, parts = set(np.asarray(held).tolist()), []
+            again = set(np.flatnonzero(np.add.reduceat(odd, first[:-1])).tolist()) if odd.any() else set()
+            parts = []
             for i, text in enumerate(texts):
                 part = ids[ends[i]:ends[i + 1]]
                 if not text:
@@ -160,33 +260,30 @@ class Encoder:
             out[i] = None
         return out
 
-    def _sort_out(self, chunks: Iterable[str]) -> tuple[list[str], list[str]]:
-        """The new chunks that can stand alone: those after a space, and those after a line feed (without it)."""
+    @staticmethod
+    def _sort_out(chunks: list[str]) -> tuple[list[int], list[int]]:
+        """Which chunks can stand alone: those after a space, and those after a line feed."""
         rest, first = [], []
-        for c in chunks:
+        for i, c in enumerate(chunks):
             after_feed = c[:1] == "\n"
-            body = c[1:] if after_feed else c
-            if not body or body[0].isspace() or body[-1].isspace():
-                self.chunks.put(c, None)
-            else:
-                (first if after_feed else rest).append(body)
+            if len(c) > after_feed and not c[after_feed].isspace() and not c[-1].isspace():
+                (first if after_feed else rest).append(i)
         return rest, first
 
 
 class _Tokenizers(Encoder):
     """A file of the ``tokenizers`` library."""
 
-    def __init__(self, path: str, remember: int | None = None):
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        super().__init__(remember)
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(str(path))
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.names = [""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
             self.names[i] = token
-        self.signs = {sign: pack(self._ids(sign)) for sign in _SIGNS}
 
     def _flags(self, of: Callable[[str], bool]) -> np.ndarray:
         return np.array([of(t) for t in self.names])
@@ -197,37 +294,6 @@ class _Tokenizers(Encoder):
     def _batch(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
 
-    def base(self, word: str) -> str:
-        """What a word is remembered under."""
-        return word
-
-    def found(self, chunks: list[str]) -> list[bytes | None]:
-        """Chunks that are a word and a sign are put together from the two and not remembered themselves."""
-        known = self.chunks
-        known.make_room()
-        missing = object()
-        out = list(map(known.get, chunks, repeat(missing)))
-        apart: list[tuple[int, str, str]] = []
-        new: set[str] = set()
-        for i in [i for i, ids in enumerate(out) if ids is missing]:
-            c = chunks[i]
-            if len(c) <= LONGEST and c.isalpha() and c.isascii():
-                word = self.base(c)
-                if word not in known:
-                    new.add(word)
-                apart.append((i, word, ""))
-                continue
-            feed = c[:1] == "\n"
-            m = _WORD(c, 1) if feed else _WORD(c)
-            word, sign = (c, "") if m is None or len(c) > LONGEST else ("\n" * feed + self.base(m[1]), m[2])
-            if word not in known:
-                new.add(word)
-            apart.append((i, word, sign))
-        self.learn(list(new))
-        for i, word, sign in apart:
-            out[i] = known[word] + self.signs[sign] if sign else known[word]
-        return out
-
 
 def _byte_letters() -> dict[str, int]:
     """The letters that stand for the bytes in a byte-level vocabulary: printable ones for themselves, then 256 and up."""
@@ -242,8 +308,8 @@ _LETTER = [c for c, _ in sorted(_BYTE.items(), key=lambda x: x[1])]
 class ByteLevel(_Tokenizers):
     """Byte-level BPE that splits at single spaces and keeps them (GPT-2's pattern)."""
 
-    def __init__(self, path: str, lead: bool = False, exact: bool = False, remember: int | None = None):
-        super().__init__(path, remember)
+    def __init__(self, path: str, lead: bool = False, exact: bool = False):
+        super().__init__(path)
         self.lead, self.exact = lead, exact
         spaced = self._flags(lambda t: t.startswith("Ġ"))
         (feed,) = self._ids("\n")
@@ -263,15 +329,17 @@ class ByteLevel(_Tokenizers):
     def whole(self, text: str) -> bytes:
         return pack(self._ids(" " * self.lead + text))
 
-    def learn(self, chunks: list[str]) -> None:
+    def found(self, chunks: list[str]) -> list[bytes | None]:
+        out: list[bytes | None] = [None] * len(chunks)
         rest, first = self._sort_out(chunks)
-        for bodies, join, cut, front, before in (
-                (rest, lambda g: " " + " ".join(g), self.at_space, " ", ""), (first, "\n".join, self.at_feed, "", "\n")):
-            short = [c for c in bodies if len(c) <= LONGEST]
-            found = zip(short, _cut_apart(short, join, self._batch, cut, lambda c: pack(self._ids(front + c))))
-            for c, ids in [*found, *((c, pack(self._ids(front + c))) for c in bodies if len(c) > LONGEST)]:
-                right = not self.exact or self.text(ids) == (front + c).encode()
-                self.chunks.put(before + c, (self.feed if before else b"") + ids if right else None)
+        for which, join, cut, front, skip in ((rest, lambda g: " " + " ".join(g), self.at_space, " ", 0),
+                                              (first, "\n".join, self.at_feed, "", 1)):
+            alone = lambda c: pack(self._ids(front + c))  # noqa: E731,B023
+            bodies = [chunks[i][skip:] for i in which]
+            for i, c, ids in zip(which, bodies, _cut_apart(bodies, join, self._batch, cut, alone)):
+                if not self.exact or self.text(ids) == (front + c).encode():
+                    out[i] = self.feed + ids if skip else ids
+        return out
 
 
 class WordEnds(_Tokenizers):
@@ -288,6 +356,7 @@ class WordEnds(_Tokenizers):
         self.model = Tokenizer(self.tokenizer.model)
         self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         (mark,) = self._ids(self.MARK)
+        self.signs = {sign: pack(self._ids(sign)) for sign in _SIGNS}
         last = self._flags(lambda t: t.endswith("</w>"))
 
         def at_mark(ids):
@@ -300,28 +369,36 @@ class WordEnds(_Tokenizers):
 
         self.at_mark, self.at_end = at_mark, at_end
 
-    def base(self, word: str) -> str:
-        return word.lower()
-
     def _model_batch(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.model.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
 
+    def _model_alone(self, word: str) -> bytes:
+        return pack(self._model_batch([word])[0])
+
     def whole(self, text: str) -> bytes:
         return pack(self._ids(text))
 
-    def learn(self, chunks: list[str]) -> None:
-        plain, other = [], []
-        for c in chunks:  # white space leaves no token, so every chunk can stand alone, a line feed in front or not
-            body = c[1:] if c[:1] == "\n" else c
-            if len(c) > LONGEST:
-                self.chunks.put(c, self.whole(c))
+    def found(self, chunks: list[str]) -> list[bytes | None]:
+        # white space leaves no token, so every chunk can stand alone, a line feed in front or not
+        out: list[bytes | None] = [b""] * len(chunks)
+        words: list[str] = []
+        places: list[tuple[int, str]] = []
+        other: list[int] = []
+        for i, c in enumerate(chunks):
+            if c.isalpha() and c.isascii() and len(c) <= LONGEST:
+                words.append(c.lower())
+                places.append((i, ""))
+            elif (m := _WORD(c.strip("\n"))) and len(c) <= LONGEST:
+                words.append(m[1].lower().translate(self._TO_LETTERS))
+                places.append((i, m[2]))
             else:
-                (plain if (m := _WORD(body)) and not m[2] else other).append(c)
-        lower = [c.strip("\n").lower().translate(self._TO_LETTERS) for c in plain]
-        for c, ids in zip(plain, _cut_apart(lower, " ".join, self._model_batch, self.at_end, self.whole)):
-            self.chunks.put(c, ids)
-        for c, ids in zip(other, _cut_apart(other, f" {self.MARK} ".join, self._batch, self.at_mark, self.whole)):
-            self.chunks.put(c, ids)
+                other.append(i)
+        for (i, sign), ids in zip(places, _cut_apart(words, " ".join, self._model_batch, self.at_end, self._model_alone)):
+            out[i] = ids + self.signs[sign] if sign else ids
+        rest = [chunks[i] for i in other]
+        for i, ids in zip(other, _cut_apart(rest, f" {self.MARK} ".join, self._batch, self.at_mark, self.whole)):
+            out[i] = ids
+        return out
 
 
 class Pieces(Encoder):
@@ -329,10 +406,10 @@ class Pieces(Encoder):
 
     lead, exact = True, True  # the model puts a space before the text
 
-    def __init__(self, path: str, remember: int | None = None):
+    def __init__(self, path: str):
         import sentencepiece
 
-        super().__init__(remember)
+        super().__init__()
         self.model = m = sentencepiece.SentencePieceProcessor(model_file=str(path))
         names = [m.id_to_piece(i) for i in range(m.vocab_size())]
         self.bytes = [bytes([int(n[3:5], 16)]) if m.is_byte(i) else n.replace("▁", " ").encode() for i, n in enumerate(names)]
@@ -357,14 +434,18 @@ class Pieces(Encoder):
     def whole(self, text: str) -> bytes:
         return pack(self.model.encode(text))
 
-    def learn(self, chunks: list[str]) -> None:
+    def found(self, chunks: list[str]) -> list[bytes | None]:
+        out: list[bytes | None] = [None] * len(chunks)
         rest, first = self._sort_out(chunks)
         # the model changes some texts (U+2581 becomes a space): such chunks are left to the whole text
-        for c, ids in zip(rest, _cut_apart(rest, " ".join, self._batch, self.at_space, self.whole)):
-            self.chunks.put(c, ids if self.text(ids) == b" " + c.encode() else None)
+        names = [chunks[i] for i in rest]
+        for i, c, ids in zip(rest, names, _cut_apart(names, " ".join, self._batch, self.at_space, self.whole)):
+            out[i] = ids if self.text(ids) == b" " + c.encode() else None
+        names = [chunks[i][1:] for i in first]
         alone = lambda c: pack(self.model.encode("\n" + c))[8:]
-        for c, ids in zip(first, _cut_apart(first, lambda g: "\n" + "\n".join(g), self._batch, self.at_feed, alone)):
-            self.chunks.put("\n" + c, self.feed + ids if self.text(ids) == c.encode() else None)
+        for i, c, ids in zip(first, names, _cut_apart(names, lambda g: "\n" + "\n".join(g), self._batch, self.at_feed, alone)):
+            out[i] = self.feed + ids if self.text(ids) == c.encode() else None
+        return out
 
 
 def give_back() -> None:

@@ -90,13 +90,14 @@ AWKWARD = ["", " ", "a", "a  b", " a ", "tab\tand\x0b\x0c\r\n", "<|endoftext|> x
     lambda p: token_chunks.WordEnds(p("word_bpe_49k.json")),
     lambda p: token_chunks.Pieces(p("piece_bpe_32k.model")),
 ])
-def test_chunks_give_the_ids_of_whole_texts(make, texts, monkeypatch):
+def test_chunks_give_the_ids_of_whole_texts(make, texts):
     encoder = make(public_tokenizers.path)
     rng = random.Random(4)
     fuzz = ["".join(rng.choice("ab c\n\t'sé中▁ 　\x01́K1,.|>\r") for _ in range(rng.randrange(30))) for _ in range(2000)]
     some = AWKWARD + fuzz + [t or "" for t in texts.values()]
-    for budget in (1 << 30, 1000):  # with 1000 bytes the chunks are forgotten all the time
-        monkeypatch.setattr(token_chunks, "REMEMBERED_BYTES", budget)
+    some += ["z" * 900 + " " + "y" * 201 + "\nexactly15bytes! exactly16bytes!! a\x00 a\x00\x00 a"] * 2
+    for most in (1 << 20, 20):  # with 20 the chunks are forgotten all the time
+        encoder.table.most = most
         for i in range(0, len(some), 100):
             for text, ids in zip(some[i:i + 100], encoder.encode(some[i:i + 100])):
                 want = encoder.whole(text) if text else b""
