@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,15 +41,17 @@ def with_row_id(df: DataFrame, col: str = "Id") -> DataFrame:
     return df.withColumn(col, F.monotonically_increasing_id()).checkpoint(eager=True)
 
 
-def identity_ids(df: DataFrame, order: Sequence[Column], col: str = "Id") -> DataFrame:
+def identity_ids(df: DataFrame, order: Sequence[Column], col: str = "Id",
+                 store: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """`INT IDENTITY(1,1)`: ids 1..n in ``order``, dense, from the rows' places in their partitions and the
     counts of the partitions before.  With an order that is total but for alike rows, the ids don't depend
     on partitioning, and so a retry gives the same."""
-    return row_number_by_range(df, [], order, col=col, kind="long").select(col, *df.columns)
+    return row_number_by_range(df, [], order, col=col, kind="long", store=store).select(col, *df.columns)
 
 
 def row_number_by_range(df: DataFrame, keys: Sequence[str], order: Sequence[Column], col: str = "rn",
-                        partitions: int | None = None, kind: str = "int") -> DataFrame:
+                        partitions: int | None = None, kind: str = "int",
+                        store: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """`ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order)` for few, possibly huge, key groups.
 
     A plain window sorts each key group in one task, so one department holding
@@ -60,6 +62,7 @@ def row_number_by_range(df: DataFrame, keys: Sequence[str], order: Sequence[Colu
     earlier partitions are added from a small (partition, key) count table.
     ``order`` must make the order total (end with a unique column).  The count
     table has at most partitions x keys rows; AQE broadcasts it if it is small.
+    ``store`` keeps the partitioned rows (default: a checkpoint).
     """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -68,8 +71,8 @@ def row_number_by_range(df: DataFrame, keys: Sequence[str], order: Sequence[Colu
     # partition layout (range bounds come from a sample of the input)
     s = (df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
          .withColumn("__pid", F.spark_partition_id())
-         .withColumn("__mid", F.monotonically_increasing_id())
-         .checkpoint(eager=True))
+         .withColumn("__mid", F.monotonically_increasing_id()))
+    s = store(s) if store else s.checkpoint(eager=True)
     stats = s.groupBy("__pid", *keys).agg(F.min("__mid").alias("__first"), F.count(F.lit(1)).alias("__cnt"))
     w = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = stats.select(F.col("__pid").alias("__opid"),
