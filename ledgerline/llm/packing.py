@@ -50,7 +50,7 @@ class Encoder(ByteLevel):
     def encode(self, text: str) -> bytes:
         return self.all([text])[0]
 
-    def all(self, texts: list[str]) -> list[bytes]:
+    def all(self, texts: list[str] | pa.Array) -> list[bytes]:
         return super().encode(texts)
 
 
@@ -71,7 +71,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capa
         encoder, end = kept(Encoder, path, VOCABULARY), _bytes([end_id])
         for batch in bounded(batches, 2, 6 << 20):
             row, piece, start, length, crc = [], array("i"), array("q"), array("q"), array("q")
-            for i, found in enumerate(encoder.all([t or "" for t in batch.column(2).to_pylist()])):
+            for i, found in enumerate(encoder.all(batch.column(2))):
                 ids = found + end
                 n = len(ids) // 4
                 cuts = [0, *range(n % capacity or capacity, n, capacity), n]

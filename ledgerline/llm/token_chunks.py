@@ -199,11 +199,11 @@ class Encoder:
                     del self.long[x]
         return out
 
-    def flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[int]]:
-        """(ids of all texts in a row, how many each has, the texts that aren't spelt and so have none)."""
-        rows = pa.array(texts, pa.string())
-        if self.folds:
-            rows = pc.ascii_lower(rows)
+    def flat(self, texts: list[str] | pa.Array) -> tuple[np.ndarray, np.ndarray, list[int]]:
+        """(ids of all texts in a row, how many each has, the texts that aren't spelt and so have none); null is empty."""
+        given = pa.array(texts, pa.string()) if isinstance(texts, list) else texts
+        given = pc.fill_null(given.cast(pa.string()), "")
+        rows = pc.ascii_lower(given) if self.folds else given
         rows = pc.replace_substring(rows, "\n", " \n")
         if not self.lead:  # the first chunk follows a line feed, too, whose id is dropped
             rows = pc.binary_join_element_wise("\n", rows, "")
@@ -229,15 +229,17 @@ class Encoder:
         del at
         counts = np.diff(ends)
         strange: list[int] = []
-        if odd.any() or not self.lead or "" in texts:
+        empty = pc.equal(pc.binary_length(given), 0).to_numpy(zero_copy_only=False)
+        if odd.any() or not self.lead or empty.any():
             # texts that have to be encoded whole, ids to drop, and the empty text, which is no chunk but a text
             again = set(np.flatnonzero(np.add.reduceat(odd, first[:-1])).tolist()) if odd.any() else set()
             parts = []
-            for i, text in enumerate(texts):
+            for i in range(len(given)):
                 part = ids[ends[i]:ends[i + 1]]
-                if not text:
+                if empty[i]:
                     part = part[:0]
                 elif i in again:
+                    text = given[i].as_py()
                     made = self.whole(text)
                     if self.exact and self.text(made) != (" " * self.lead + text).encode():
                         strange.append(i)
@@ -249,9 +251,9 @@ class Encoder:
             ids, counts = np.concatenate([np.zeros(0, "<u4"), *parts]), np.array([len(p) for p in parts], np.int64)
         return ids, counts, strange
 
-    def encode(self, texts: list[str]) -> list[bytes | None]:
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes | None]:
         """The ids of each text; None where an exact encoder's tokens don't spell it, space in front included."""
-        if not texts:
+        if not len(texts):
             return []
         ids, counts, strange = self.flat(texts)
         data, ends = ids.tobytes(), (4 * np.cumsum(counts)).tolist()
@@ -382,18 +384,22 @@ class WordEnds(_Tokenizers):
         # white space leaves no token, so every chunk can stand alone, a line feed in front or not
         out: list[bytes | None] = [b""] * len(chunks)
         words: list[str] = []
-        places: list[tuple[int, str]] = []
+        places: list[int] = []
+        signs: list[str] = []
         other: list[int] = []
         for i, c in enumerate(chunks):
             if c.isalpha() and c.isascii() and len(c) <= LONGEST:
                 words.append(c.lower())
-                places.append((i, ""))
+                signs.append("")
             elif (m := _WORD(c.strip("\n"))) and len(c) <= LONGEST:
                 words.append(m[1].lower().translate(self._TO_LETTERS))
-                places.append((i, m[2]))
+                signs.append(m[2])
             else:
                 other.append(i)
-        for (i, sign), ids in zip(places, _cut_apart(words, " ".join, self._model_batch, self.at_end, self._model_alone)):
+                continue
+            places.append(i)
+        made = _cut_apart(words, " ".join, self._model_batch, self.at_end, self._model_alone)
+        for i, sign, ids in zip(places, signs, made):
             out[i] = ids + self.signs[sign] if sign else ids
         rest = [chunks[i] for i in other]
         for i, ids in zip(other, _cut_apart(rest, f" {self.MARK} ".join, self._batch, self.at_mark, self.whole)):

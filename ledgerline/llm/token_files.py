@@ -156,13 +156,19 @@ def shard_bytes(names: list[str | None], documents: list[bytes], min_count: int
     """A shard of documents, each the little-endian 32-bit ids of one, none of them empty."""
     ids = np.frombuffer(b"".join(documents), "<u4")
     counts = np.array([len(d) // 4 for d in documents], "<u8")
-    terminals = np.unique(ids) if ids.max() >> 24 else np.flatnonzero(np.bincount(ids)).astype("<u4")
+    most = int(ids.max())
+    if most >> 24:
+        terminals = np.unique(ids)
+    else:
+        there = np.zeros(most + 1, bool)
+        there[ids] = True
+        terminals = np.flatnonzero(there).astype("<u4")
     ends = np.zeros(len(ids), bool)
     ends[np.cumsum(counts).astype(np.int64) - 1] = True
-    if terminals[-1] >> 24:
+    if most >> 24:
         dense = np.searchsorted(terminals, ids)
     else:
-        dense = np.zeros(terminals[-1] + 1, np.uint32)
+        dense = np.zeros(most + 1, np.uint32)
         dense[terminals] = np.arange(len(terminals))
         dense = dense[ids]
     rules, seq, ends = re_pair(dense, ends, len(terminals), min_count)
@@ -287,8 +293,7 @@ def write(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
             return out
 
         for batch in bounded(batches, 1, 6 << 20):
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for name, ids in zip(batch.column(0).to_pylist(), encoder.encode(texts)):
+            for name, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1))):
                 names.append(name)
                 made.append(ids + end)
                 size += len(ids) // 4 + 1
