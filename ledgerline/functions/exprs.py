@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from datetime import datetime
 from decimal import Decimal
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ByteType, DecimalType, IntegerType, LongType, ShortType
 
 
 def lit_ts(value: datetime) -> Column:
@@ -31,6 +33,51 @@ def net_unit_price(prefix: str = "") -> Column:
     return F.col(f"{prefix}UnitPrice") * (1 - F.col(f"{prefix}Discount"))
 
 
+def in_cents(df: DataFrame, *columns: str) -> bool:
+    """Quantity is an integer, and ``columns`` are decimals of at most 2 places that a double holds exactly."""
+    kinds = {c: df.schema[c].dataType for c in ("Quantity", *columns)}
+    return (isinstance(kinds.pop("Quantity"), ByteType | ShortType | IntegerType | LongType)
+            and all(isinstance(k, DecimalType) and k.scale <= 2 and k.precision <= 15 for k in kinds.values()))
+
+
+def _cents(c: str) -> Column:
+    return F.rint(F.col(c).cast("double") * 100).cast("long")
+
+
+def _sum_of(df: DataFrame, columns: Sequence[str], units: Callable[[], Column], places: int, exact: Column,
+            where: Column | None, kind: str) -> Column:
+    """SUM of ``exact``, added up in whole ``units`` of 10^-places where the columns are kept in cents.
+
+    A sum of longs is many times cheaper than one of DECIMAL(27,4) and takes a third of its
+    room in hash maps and shuffles; it holds 9e14 of money a group.
+    """
+    if not in_cents(df, *columns):
+        return F.sum(exact if where is None else F.when(where, exact)).cast(kind)
+    whole = units() if where is None else F.when(where, units())
+    return (F.sum(whole).cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-places))).cast(kind)
+
+
+def net_units() -> Column:
+    """``net_amount`` in ten-thousandths, as a long."""
+    return F.col("Quantity").cast("long") * _cents("UnitPrice") * (100 - _cents("Discount"))
+
+
+def net_unit_price_units() -> Column:
+    """``net_unit_price`` in ten-thousandths, as a long."""
+    return _cents("UnitPrice") * (100 - _cents("Discount"))
+
+
+def sum_net(df: DataFrame, where: Column | None = None) -> Column:
+    """SUM(net_amount) over order lines ``df``."""
+    return _sum_of(df, ["UnitPrice", "Discount"], net_units, 4, net_amount(), where, "decimal(37,4)")
+
+
+def sum_gross(df: DataFrame) -> Column:
+    """SUM(gross_amount) over order lines ``df``."""
+    return _sum_of(df, ["UnitPrice"], lambda: F.col("Quantity").cast("long") * _cents("UnitPrice"), 2,
+                   gross_amount(), None, "decimal(31,2)")
+
+
 def optional_eq(col: str | Column, value) -> Column:
     """`ISNULL(@p, col) = col`: a filter only when the parameter is set.
 

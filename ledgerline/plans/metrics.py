@@ -10,16 +10,23 @@ No side is broadcast by force: AQE's runtime broadcast conversion checks sizes.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.exprs import datediff_days, gross_amount, lit_ts, net_amount, net_unit_price
+from ledgerline.functions.exprs import (datediff_days, in_cents, lit_ts, net_amount, net_unit_price, net_unit_price_units,
+                                        net_units, sum_gross, sum_net)
 from ledgerline.operators.hierarchy import cumulative_down, tree_paths
 from ledgerline.plans import labels as L
 from ledgerline.params import DEFAULT_PARAMS, RunParams
 from ledgerline.sources.testdata import RetailModel
 
 
+#: Megabytes of stored tables to a part of product_sales_metrics' (order, product) groups.
+PAIRS_MB = 16
+
+
 def avg_from_parts(total: Column, count: Column, scale: int = 4) -> Column:
     """sum/count as the exact average, rounded half-up at ``scale + 4`` decimals."""
     return (total.cast(f"decimal({22 + scale},{scale})")
@@ -30,8 +37,8 @@ def order_totals(m: RetailModel) -> DataFrame:
     """One row per order that has lines: net and gross sums and line count."""
     od = m.order_details
     return od.groupBy("OrderId").agg(
-        F.sum(net_amount()).alias("net_sum"),
-        F.sum(gross_amount()).alias("gross_sum"),
+        sum_net(od).alias("net_sum"),
+        sum_gross(od).alias("gross_sum"),
         F.count(F.lit(1)).alias("line_count"),
     )
 
@@ -100,10 +107,19 @@ def product_sales_metrics(m: RetailModel, params: RunParams = DEFAULT_PARAMS) ->
     # Lines are shuffled once by OrderId for the join; the (OrderId, ProductId)
     # aggregate reuses that partitioning, and the per-product aggregate is
     # partial before its shuffle, so a hot product is combined map-side.
+    # A task holds its pairs twice, as partial and as whole groups: parts of a set size
+    # (which AQE leaves as they are) keep that from growing with the tables.
+    n = m.parts_of(PAIRS_MB)
+    if n > m.spark.sparkContext.defaultParallelism:
+        od, o = od.repartition(n, "OrderId"), o.repartition(n, "OrderId")
+    # whole ten-thousandths, where the columns allow it: a third of a decimal's room
+    whole = in_cents(od, "UnitPrice", "Discount")
+    net, unit = (net_units(), net_unit_price_units()) if whole else (net_amount(), net_unit_price())
+    money = lambda c: F.col(c).cast("decimal(20,0)") * F.lit(Decimal("0.0001")) if whole else F.col(c)
     lines = od.join(o, "OrderId", "left")
     per_pair = lines.groupBy("OrderId", "ProductId").agg(
-        F.sum("Quantity").alias("q"), F.sum(net_amount()).alias("s"),
-        F.sum(net_unit_price()).alias("u"), F.count(F.lit(1)).alias("n"),
+        F.sum("Quantity").alias("q"), F.sum(net).alias("s"),
+        F.sum(unit).alias("u"), F.count(F.lit(1)).alias("n"),
         F.max("OrderDate").alias("d"))
     per_prod = per_pair.groupBy("ProductId").agg(
         F.count("OrderId").alias("OrderCount"), F.sum("q").alias("TotalQuantitySold"),
@@ -116,8 +132,8 @@ def product_sales_metrics(m: RetailModel, params: RunParams = DEFAULT_PARAMS) ->
         *p.columns,
         F.coalesce(F.col("OrderCount"), F.lit(0)).alias("OrderCount"),
         F.col("TotalQuantitySold").cast("long").alias("TotalQuantitySold"),
-        F.col("s").cast("decimal(38,4)").alias("TotalRevenue"),
-        avg_from_parts(F.col("u"), F.col("n")).alias("AvgSellingPrice"),
+        money("s").cast("decimal(38,4)").alias("TotalRevenue"),
+        avg_from_parts(money("u"), F.col("n")).alias("AvgSellingPrice"),
         "LastSaleDate")
 
 
@@ -154,7 +170,7 @@ def regional_sales_summary(m: RetailModel, params: RunParams = DEFAULT_PARAMS,
 def category_gross_sales(m: RetailModel, per_product: DataFrame | None = None) -> DataFrame:
     """Gross sales per category name over all order lines (inner joins); ``per_product`` (ProductId, g) may be kept."""
     if per_product is None:
-        per_product = m.order_details.groupBy("ProductId").agg(F.sum(gross_amount()).alias("g"))
+        per_product = m.order_details.groupBy("ProductId").agg(sum_gross(m.order_details).alias("g"))
     p = m.products.select("ProductId", "CategoryId")
     per_cat = per_product.join(p, "ProductId", "inner").groupBy("CategoryId").agg(F.sum("g").alias("g"))
     cat = m.categories

@@ -19,10 +19,10 @@ from datetime import datetime
 from decimal import Decimal
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerline.functions.exprs import lit_ts, month_number
+from ledgerline.functions.exprs import lit_ts, month_number, net_units
 from ledgerline.params import RunParams
 from ledgerline.session import listing
 
@@ -59,7 +59,15 @@ class RetailModel:
 
     def identity(self) -> tuple:
         """What the data is, not where: stored results count for one identity only."""
-        return ("folder", listing(self.spark, [f"{self.sf_dir}/{t}.parquet" for t in RAW_TABLES]))
+        return ("folder", listing(self.spark, self.folders()))
+
+    def folders(self) -> list[str]:
+        """Where the files of the tables lie."""
+        return [f"{self.sf_dir}/{t}.parquet" for t in RAW_TABLES]
+
+    def parts_of(self, megabytes: int) -> int:
+        """How many parts of about ``megabytes`` the stored tables make."""
+        return -(-sum(size for _, size, _ in listing(self.spark, self.folders())) // (megabytes << 20))
 
     @staticmethod
     def since(df: DataFrame, moment: datetime) -> DataFrame:
@@ -135,11 +143,15 @@ class RetailModel:
     @cached_property
     def order_details(self) -> DataFrame:
         li = self.raw("lineitem")
-        cents = F.round(F.col("l_extendedprice") * 100).cast("long")
-        qty = F.col("l_quantity").cast("long")
-        # unit price in cents, rounded half up with exact integer arithmetic
-        unit_cents = (cents * 2 + qty).cast("decimal(20,0)") / (qty * 2)
-        unit_cents = F.floor(unit_cents)
+        # round(x) of a double by floor and remainder, which are exact: ROUND goes through text and BigDecimal
+        price = F.col("l_extendedprice") * 100
+        whole = F.floor(F.abs(price))
+        cents = F.when(price < 0, -1).otherwise(1) * (whole + F.when(F.abs(price) - whole >= 0.5, 1).otherwise(0))
+        li = li.withColumns({"__cents": cents.cast("long"), "__qty": F.col("l_quantity").cast("long")})
+        # unit price in cents, rounded half up with exact integer arithmetic: floor((2 cents + qty) / (2 qty))
+        over, under = F.expr("__cents * 2 + __qty"), F.expr("__qty * 2")
+        unit_cents = F.expr("(__cents * 2 + __qty) div (__qty * 2)") - F.when(
+            (over % under != 0) & ((over < 0) != (under < 0)), 1).otherwise(0)
         return li.select(
             F.col("l_orderkey").alias("OrderId"),
             F.col("l_partkey").alias("ProductId"),
@@ -255,23 +267,33 @@ class RetailModel:
         o = (self.orders.select("OrderId", "CustomerId", "SalesPersonId", "OrderDate")
              .filter(F.col("CustomerId") % 3 != 2))
         e = self.employees.select(F.col("EmployeeId").alias("SalesPersonId"), "DepartmentId")
-        od = self.order_details
-        net = F.col("Quantity") * F.col("UnitPrice") * (1 - F.col("Discount"))
-        # one row per order first (lines combined map-side), then per (customer, department);
-        # orders are unique, so distinct order and salesperson counts need no Expand over lines
-        per_order = od.groupBy("OrderId").agg(F.sum(net).alias("s"), F.count(F.lit(1)).alias("n"))
+        e = e.filter(F.col("DepartmentId").isNotNull())
         orders = o.join(e, "SalesPersonId", "inner")
-        head = orders.join(per_order, "OrderId", "inner").groupBy("CustomerId", "DepartmentId").agg(
-            F.count(F.lit(1)).alias("OrderCount"),
-            F.sum("s").alias("s"), F.sum("n").alias("n"),
-            F.min("OrderDate").alias("FirstProcessDate"),
-            F.count_distinct("SalesPersonId").alias("EmployeeCount"))
-        products = (od.select("OrderId", "ProductId")
-                    .join(orders.select("OrderId", "CustomerId", "DepartmentId"), "OrderId", "inner")
-                    .select("CustomerId", "DepartmentId", "ProductId").distinct()
-                    .groupBy("CustomerId", "DepartmentId").agg(F.count(F.lit(1)).alias("ProductCount")))
+        # lines meet their orders once; an order's first line speaks for the order itself, so that its date, salesperson
+        # and count come from the same pass.  Where the lines lie by OrderId for the join, numbering them is free.
+        first = F.row_number().over(Window.partitionBy("OrderId").orderBy("OrderId")) == 1
+        lines = self.order_details.filter(F.col("OrderId").isNotNull()).select(
+            "OrderId", "ProductId", net_units().alias("units")).withColumn("first", first)
+
+        def fact(seller: bool, id_: str, units, n: int, k: int):
+            return F.struct(F.lit(seller).alias("seller"), F.col(id_).alias("id"), units.cast("long").alias("units"),
+                            F.lit(n).cast("long").alias("n"), F.lit(k).cast("long").alias("k"))
+
+        line, order = fact(False, "ProductId", F.col("units"), 1, 0), fact(True, "SalesPersonId", F.lit(None), 0, 1)
+        facts = lines.join(orders, "OrderId", "inner").select(
+            "CustomerId", "DepartmentId", "OrderDate",
+            F.explode(F.when(F.col("first"), F.array(line, order)).otherwise(F.array(line))).alias("x"))
+        # distinct products and salespersons first, then the groups: both by where (customer, department) lies
+        ids = (facts.select("CustomerId", "DepartmentId", "OrderDate", "x.*").repartition("CustomerId", "DepartmentId")
+               .groupBy("CustomerId", "DepartmentId", "seller", "id")
+               .agg(F.sum("units").alias("units"), F.sum("n").alias("n"), F.sum("k").alias("k"), F.min("OrderDate").alias("d")))
+        sums = ids.groupBy("CustomerId", "DepartmentId").agg(
+            F.sum("k").alias("OrderCount"), (F.sum("units").cast("decimal(20,0)") * F.lit(Decimal("0.0001"))).alias("s"),
+            F.sum("n").alias("n"), F.min("d").alias("FirstProcessDate"),
+            F.count(F.when(~F.col("seller"), 1)).alias("ProductCount"),
+            F.count(F.when(F.col("seller"), F.col("id"))).alias("EmployeeCount"))
         avg = (F.col("s").cast("decimal(26,4)") / F.col("n").cast("decimal(20,0)")).cast("decimal(38,8)")
-        agg = head.join(products, ["CustomerId", "DepartmentId"], "inner").select(
+        agg = sums.select(
             "CustomerId", "DepartmentId", "OrderCount",
             F.col("s").cast("decimal(18,2)").alias("TotalAmount"),
             avg.cast("decimal(18,6)").alias("AvgAmount"),
@@ -457,6 +479,9 @@ class FrameModel(RetailModel):
         if "orders_with_shipping" not in frames and "orders" in frames:
             self.__dict__["orders_with_shipping"] = frames["orders"]
 
+    def folders(self) -> list[str]:
+        return []
+
     def identity(self) -> tuple:
         return ("frames", self)  # the object itself: no other model equals it
 
