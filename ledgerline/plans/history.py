@@ -12,11 +12,12 @@ part was made from, and reads no other month's lines; the readers add the parts
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.exprs import gross_amount, net_amount
+from ledgerline.functions.exprs import sum_gross, sum_net
 from ledgerline.sources.lasting import Change, TableState
 from ledgerline.sources.testdata import ORDER_MONTH
 
@@ -35,20 +36,20 @@ def _made_from(change: Change) -> dict[str, str]:
     return {m: json.dumps([x.get(m, []) for x in both]) for m in sorted(set().union(*both))}
 
 
-def _parts(orders: DataFrame, lines: DataFrame) -> dict[str, DataFrame]:
-    """The states over some months of orders and lines."""
-    sums = [F.sum(net_amount()).alias("net_sum"), F.sum(gross_amount()).alias("gross_sum"), F.count(F.lit(1)).alias("line_count")]
-    totals = lines.groupBy(ORDER_MONTH, "OrderId").agg(*sums)
-    o = orders.select("OrderId", ORDER_MONTH, "CustomerId", "SalesPersonId")
-    with_totals = o.join(totals.drop(ORDER_MONTH), "OrderId", "left")
-    with_lines = lines.drop(ORDER_MONTH).join(o, "OrderId", "inner")
-    return {
-        "HistoryOrders": totals,
-        "HistoryCustomers": with_totals.groupBy(ORDER_MONTH, "CustomerId").agg(
-            F.count(F.lit(1)).alias("orders"), *[F.sum(c).alias(c) for c in ("net_sum", "gross_sum", "line_count")]),
-        "HistoryProducts": lines.groupBy(ORDER_MONTH, "ProductId").agg(*sums),
-        "HistorySellers": with_lines.groupBy(ORDER_MONTH, "SalesPersonId", "ProductId").agg(*sums),
-    }
+#: Into how many buckets the rows of a month are spread, so that a month isn't one task.
+BUCKETS = 8
+
+
+def _sums(lines: DataFrame) -> list[Column]:
+    return [sum_net(lines).alias("net_sum"), sum_gross(lines).alias("gross_sum"), F.count(F.lit(1)).alias("line_count")]
+
+
+def _per_month(rows: DataFrame, keys: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
+    """Aggregates per (month, keys) that lie by month already, for ``arranged`` writes: rows meet once, by month
+    and a bucket of the last key.  There are nearly as many groups as rows, so sums before that exchange
+    would only be work, and a second exchange by month as large as the first."""
+    spread = rows.withColumn("__bucket", F.pmod(F.hash(keys[-1]), F.lit(BUCKETS))).repartition(ORDER_MONTH, "__bucket")
+    return spread.groupBy(ORDER_MONTH, "__bucket", *keys).agg(*aggs).drop("__bucket")
 
 
 class History:
@@ -67,12 +68,23 @@ class History:
             return []
         orders, lines = (change.tables.rows(s, change.now[s], [f for f in change.now[s].folders()
                                                                if f[0].partition("=")[2] in set(stale)]) for s in SOURCES)
-        for name, rows in _parts(orders, lines).items():
+
+        def keep(name: str, rows: DataFrame) -> None:
             if name in change.now:
-                values = [{ORDER_MONTH: m} for m in stale]
-                change.replace_parts(name, rows, values)
+                change.replace_parts(name, rows, [{ORDER_MONTH: m} for m in stale], arranged=True)
             else:
-                change.create(name, rows, [ORDER_MONTH])
+                change.create(name, rows, [ORDER_MONTH], arranged=True)
+
+        sums = _sums(lines)
+        keep("HistoryOrders", _per_month(lines, ["OrderId"], sums))
+        state = change.now["HistoryOrders"]
+        totals = change.tables.rows("HistoryOrders", state, [f for f in state.folders() if f[0].partition("=")[2] in set(stale)])
+        o = orders.select("OrderId", ORDER_MONTH, "CustomerId", "SalesPersonId")
+        keep("HistoryCustomers", _per_month(o.join(totals.drop(ORDER_MONTH), "OrderId", "left"), ["CustomerId"], [
+            F.count(F.lit(1)).alias("orders"), *[F.sum(c).alias(c) for c in ("net_sum", "gross_sum", "line_count")]]))
+        keep("HistoryProducts", _per_month(lines, ["ProductId"], sums))
+        sold = lines.drop(ORDER_MONTH).join(o.drop("CustomerId"), "OrderId", "inner").drop("OrderId")
+        keep("HistorySellers", _per_month(sold, ["SalesPersonId", "ProductId"], sums))
         change.create(MADE_FROM, self.spark.createDataFrame(sorted(now.items()), "Month string, MadeFrom string"))
         return stale
 
