@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions.exprs import (add_days, count_when, lit_ts, month_number, net_amount, optional_eq,
-                                        percent_factor, tier)
+                                        percent_factor, sum_net, tier)
 from ledgerline.operators.distinct import distinct_counts
 from ledgerline.operators.dml import update
 from ledgerline.operators.quantile import percentile_cont
@@ -174,6 +174,25 @@ class Stages:
             return self._keep(lines.join(o, "OrderId", "inner"))
         return self._of_the_date("recent_lines", build)
 
+    @cached_property
+    def window_lines(self) -> DataFrame:
+        """The recent lines of the run window's orders, which the staging rows are of: a small part of all recent ones."""
+        def build():
+            return self._keep(self.recent_lines.join(self.window_orders.select("OrderId"), "OrderId", "left_semi"))
+        return self._of_the_date("window_lines", build)
+
+    @cached_property
+    def recent_sales(self) -> DataFrame:
+        """The recent lines with their product's category and supplier (inner join), for the reports by those.
+
+        Stored once per run: beyond the size that a broadcast takes, each join of
+        the lines with the products shuffles all of them.
+        """
+        def build():
+            products = self.m.products.select("ProductId", "CategoryId", "SupplierId")
+            return self._keep(self.recent_lines.drop("OrderDate").join(products, "ProductId", "inner"))
+        return self._of_the_date("recent_sales", build)
+
     @cached_property
     def dept_tree(self) -> DataFrame:
         """DepartmentIds reachable from a root (bounded dimension), stored once per run
@@ -227,12 +246,12 @@ class Stages:
         """Q7: per order, net value of its lines whose product is in a top-5 category (NULL if none)."""
         o = (orders if orders is not None else self.window_orders).select("OrderId")
         # the run window's lines are among the stored recent ones
-        lines = (self.m.order_details if orders is not None else self.recent_lines).join(o, "OrderId", "left_semi")
+        lines = (self.m.order_details if orders is not None else self.window_lines).join(o, "OrderId", "left_semi")
         top = F.broadcast(self.top_category_ids.withColumn("in_top", F.lit(True)))
         prod = self.m.products.select("ProductId", "CategoryId").join(top, "CategoryId", "left")
         per = (lines.join(prod, "ProductId", "inner")
                .groupBy("OrderId")
-               .agg(F.sum(F.when(F.col("in_top"), net_amount())).alias("Amount")))
+               .agg(sum_net(lines, F.col("in_top")).alias("Amount")))
         return o.join(per, "OrderId", "left").select(
             "OrderId", F.col("Amount").cast("decimal(38,4)").alias("Amount"))
 
@@ -320,7 +339,7 @@ class Stages:
                   .join(emp, "SalesPersonId", "inner")
                   .join(recent_cancel, "OrderId", "left_anti"))
         orders = self._keep(orders)  # a month's orders: read by the lines, the totals and the rows
-        win_lines = (self.recent_lines.select("OrderId", "ProductId", "Quantity", "UnitPrice", "Discount")
+        win_lines = (self.window_lines.select("OrderId", "ProductId", "Quantity", "UnitPrice", "Discount")
                      .join(orders.select("OrderId"), "OrderId", "left_semi"))
         # One aggregate per order gives both the top-5 amount and the low-stock test.
         top = F.broadcast(self.top_category_ids.withColumn("in_top", F.lit(True)))
@@ -331,7 +350,7 @@ class Stages:
                              F.coalesce(F.col("UnitsInStock") < F.col("cat_avg_stock"), F.lit(False))
                              .alias("is_low")))
         per_order = (win_lines.join(prod_info, "ProductId", "inner").groupBy("OrderId")
-                     .agg(F.sum(F.when(F.col("in_top"), net_amount())).alias("Amount"),
+                     .agg(sum_net(win_lines, F.col("in_top")).alias("Amount"),
                           F.max(F.col("is_low").cast("int")).alias("has_low"))
                      .filter(F.col("has_low") == 1))
         valid_products = (m.products.select("ProductId", "CategoryId", "SupplierId")
@@ -367,9 +386,9 @@ class Stages:
     def repriced_amount(self, tpd: DataFrame) -> DataFrame:
         """Q12: Amount = net of the row's (order, product) lines x discount factor, as DECIMAL(18,2)."""
         pairs = tpd.select("OrderId", "ProductId").distinct()
-        # the rows to re-price belong to recent orders
-        pair_net = (self.recent_lines.join(pairs, ["OrderId", "ProductId"], "left_semi")
-                    .groupBy("OrderId", "ProductId").agg(F.sum(net_amount()).alias("pair_net")))
+        # the rows to re-price belong to orders of the window
+        pair_net = (self.window_lines.join(pairs, ["OrderId", "ProductId"], "left_semi")
+                    .groupBy("OrderId", "ProductId").agg(sum_net(self.window_lines).alias("pair_net")))
         j = tpd.join(pair_net, ["OrderId", "ProductId"], "left").join(self.discount_factor(), "CustomerId", "left")
         factor = percent_factor(F.col("pct_sum")).cast("decimal(9,4)")
         return j.withColumn("NewAmount", (F.col("pair_net").cast("decimal(18,4)") * factor).cast("decimal(18,2)"))
@@ -466,9 +485,9 @@ class Stages:
                 .join(m.suppliers, "SupplierId", "left_semi"))
         # each line of a staged order, once per (report key, order), weighted by the
         # number of staging rows of that order: one aggregate gives sums and distinct counts
-        lines = (self.recent_lines.select("OrderId", "ProductId", "Quantity", "UnitPrice", "Discount")
-                 .join(prod, "ProductId", "inner")
-                 .join(mult, "OrderId", "inner"))
+        lines = (self.window_lines.select("OrderId", "ProductId", "Quantity", "UnitPrice", "Discount")
+                 .join(mult, "OrderId", "inner")
+                 .join(prod, "ProductId", "inner"))
         # level by level, so that every distinct count is a count of rows: orders, then products, each of
         # which has one category and one supplier
         per_product = lines.groupBy(*keys, "ProductId", "CategoryId", "SupplierId").agg(
@@ -486,7 +505,7 @@ class Stages:
                .join(suppliers, keys).join(orders, keys))
         # read by the percentile and the mean: stored once per run
         per_pair = self._keep(self.recent_lines.groupBy("SalesPersonId", "CustomerId")
-                              .agg(F.sum(net_amount()).alias("pair_sales")))
+                              .agg(sum_net(self.recent_lines).alias("pair_sales")))
         p90 = percentile_cont(per_pair, "pair_sales", 0.9)
         mean = per_pair.select(F.avg("pair_sales").alias("m")).scalar()
         total = F.col("s").cast("decimal(38,4)")
@@ -532,7 +551,7 @@ class Stages:
                 .join(cust.select("CustomerId"), "CustomerId", "left_semi")
                 .join(emp, "EmployeeId", "inner")
                 .join(m.orders.select("OrderId"), "OrderId", "left_semi"))
-        lines_per_order = (self.recent_lines.join(rows.select("OrderId").distinct(), "OrderId", "left_semi")
+        lines_per_order = (self.window_lines.join(rows.select("OrderId").distinct(), "OrderId", "left_semi")
                            .join(prod, "ProductId", "left_semi")
                            .groupBy("OrderId").agg(F.count(F.lit(1)).alias("n")))
         fan = rows.join(lines_per_order, "OrderId", "inner")
@@ -557,10 +576,10 @@ class Stages:
     def _with_validations(self, tpd: DataFrame) -> DataFrame:
         """Adds both validation outcomes as columns of the unprocessed staging rows."""
         m = self.m
-        order_max = (self.recent_lines.join(tpd.select("OrderId").distinct(), "OrderId", "left_semi")
+        order_max = (self.window_lines.join(tpd.select("OrderId").distinct(), "OrderId", "left_semi")
                      .groupBy("OrderId").agg(F.max(net_amount()).alias("max_line")))
         spend = (self.recent_lines.join(tpd.select("CustomerId").distinct(), "CustomerId", "left_semi")
-                 .groupBy("CustomerId").agg(F.sum(net_amount()).alias("recent_spend")))
+                 .groupBy("CustomerId").agg(sum_net(self.recent_lines).alias("recent_spend")))
         cust = m.customers.select("CustomerId", "IsActive", "CreditLimit")
         recent = self.recent_orders.select("OrderId").withColumn("recent_order", F.lit(True))
         j = (tpd.join(order_max, "OrderId", "left").join(spend, "CustomerId", "left")
@@ -713,19 +732,22 @@ class Stages:
         """ComplexDataTransformation: SimilarOrderCount and RegionalCategoryAverage per processed row."""
         m = self.m
         t = self.tpd3.filter(F.col("IsProcessed") == 1)
-        prod_cat = (m.products.select("ProductId", "CategoryId")
-                    .join(m.categories.select("CategoryId"), "CategoryId", "left_semi"))
-        lines = self.recent_lines.select("OrderId", "CustomerId", "ProductId", "Quantity", "UnitPrice", "Discount")
+        known = m.categories.select("CategoryId")
+        prod_cat = m.products.select("ProductId", "CategoryId").join(known, "CategoryId", "left_semi")
+        prod_any = m.products.select("ProductId", "CategoryId")
+        # a customer's orders in a category, with their lines' sum: read by both measures, stored once per run
+        lines = self.recent_sales
+        per = self._keep(lines.groupBy("CustomerId", "CategoryId", "OrderId")
+                         .agg(sum_net(lines).alias("s"), F.count(F.lit(1)).alias("n"))
+                         .groupBy("CustomerId", "CategoryId")
+                         .agg(F.sum("s").alias("s"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("SimilarOrderCount")))
         # (customer, category) -> distinct recent orders touching the category
-        similar = (lines.join(prod_cat, "ProductId", "inner")
-                   .select("CustomerId", "CategoryId", "OrderId").distinct()
-                   .groupBy("CustomerId", "CategoryId").agg(F.count(F.lit(1)).alias("SimilarOrderCount")))
+        similar = (per.join(known, "CategoryId", "left_semi")
+                   .select("CustomerId", "CategoryId", "SimilarOrderCount"))
         # (region, category) -> average net line of recent orders of the region's customers
         cust = m.customers.select("CustomerId", "RegionId")
-        prod_any = m.products.select("ProductId", "CategoryId")
-        regional = (lines.join(prod_any, "ProductId", "inner").join(cust, "CustomerId", "inner")
-                    .groupBy("RegionId", "CategoryId")
-                    .agg(F.sum(net_amount()).alias("s"), F.count(F.lit(1)).alias("n")))
+        regional = (per.join(cust, "CustomerId", "inner").groupBy("RegionId", "CategoryId")
+                    .agg(F.sum("s").alias("s"), F.sum("n").alias("n")))
         regional = regional.select("RegionId", "CategoryId",
                                    metrics.avg_from_parts(F.col("s"), F.col("n")).alias("RegionalCategoryAverage"))
         row_cat = t.join(prod_cat.withColumnRenamed("CategoryId", "sim_cat"), "ProductId", "left")
@@ -776,7 +798,7 @@ class Stages:
              .join(m.departments.select("DepartmentId"), "DepartmentId", "left_semi")
              .select("EmployeeId", "DepartmentId", "EmployeeName"))
         recent = (self.recent_lines.groupBy("SalesPersonId")
-                  .agg(F.sum(net_amount()).alias("recent_sales"))
+                  .agg(sum_net(self.recent_lines).alias("recent_sales"))
                   .withColumnRenamed("SalesPersonId", "EmployeeId"))
         prod_cat = (m.products.select("ProductId", "CategoryId")
                     .join(m.categories.select("CategoryId"), "CategoryId", "left_semi"))
@@ -786,9 +808,9 @@ class Stages:
         else:
             all_lines = m.order_details.join(m.orders.select("OrderId", "SalesPersonId"), "OrderId", "inner")
             sold = (all_lines.join(prod_cat, "ProductId", "inner").groupBy(*key)
-                    .agg(F.sum(net_amount()).alias("cat_sales")))
-        lately = (self.recent_lines.join(prod_cat, "ProductId", "inner").groupBy(*key)
-                  .agg(F.sum(net_amount()).alias("recent_cat_sales"), F.count(F.lit(1)).alias("recent_cat_lines")))
+                    .agg(sum_net(all_lines).alias("cat_sales")))
+        lately = (self.recent_sales.join(m.categories.select("CategoryId"), "CategoryId", "left_semi").groupBy(*key)
+                  .agg(sum_net(self.recent_sales).alias("recent_cat_sales"), F.count(F.lit(1)).alias("recent_cat_lines")))
         emp_cat = sold.join(lately, key, "left")
         top3 = top_n_per_key(emp_cat, ["SalesPersonId"],
                              [F.col("cat_sales").desc(), F.col("CategoryId").asc()], 3)
@@ -812,14 +834,12 @@ class Stages:
         c = m.customers.filter(F.col("IsActive") == 1).select("CustomerId", "CustomerName", "RegionId")
         lines = self.recent_lines
         # each feeds a threshold (percentile / mean) and the join: stored once per run
-        spend = self._keep(lines.groupBy("CustomerId").agg(F.sum(net_amount()).alias("spend")))
+        spend = self._keep(lines.groupBy("CustomerId").agg(sum_net(lines).alias("spend")))
         orders_n = self._keep(self.recent_orders.groupBy("CustomerId")
                               .agg(F.count(F.lit(1)).alias("recent_orders")))
-        prod = m.products.select("ProductId", "CategoryId")
-        prods_n = (lines.join(prod, "ProductId", "left_semi").groupBy("CustomerId")
+        prods_n = (self.recent_sales.groupBy("CustomerId")
                    .agg(F.count_distinct("ProductId").alias("recent_products")))
-        cat_names = (lines.select("CustomerId", "ProductId").join(prod, "ProductId", "inner")
-                     .join(m.categories, "CategoryId", "inner")
+        cat_names = (self.recent_sales.select("CustomerId", "CategoryId").join(m.categories, "CategoryId", "inner")
                      .groupBy("CustomerId")
                      .agg(sorted_list(F.collect_set("CategoryName")).alias("PreferredCategories")))
         p90 = percentile_cont(spend, "spend", 0.9)
@@ -854,7 +874,7 @@ class Stages:
                  .distinct())
         cust_orders = by_emp.groupBy("CustomerId").agg(F.sum("k").alias("TotalOrders"))
         money = (self.recent_lines.groupBy("CustomerId")
-                 .agg(F.sum(net_amount()).alias("s"), F.count(F.lit(1)).alias("n")))
+                 .agg(sum_net(self.recent_lines).alias("s"), F.count(F.lit(1)).alias("n")))
         main_emp = top_n_per_key(by_emp, ["CustomerId"], [F.col("k").desc(), F.col("SalesPersonId").asc()], 1) \
             .select("CustomerId", F.col("SalesPersonId").alias("EmployeeId"))
         by_dept = (by_emp.join(e, "SalesPersonId", "inner")
@@ -956,11 +976,9 @@ class Stages:
         """Q35: the ProcessStatistics row over processed staging rows and recent sales."""
         m = self.m
         t = self.tpd4.filter(F.col("IsProcessed") == 1)
-        lines = self.recent_lines.select("OrderId", "ProductId", "CustomerId")
-        prod = m.products.select("ProductId", "CategoryId", "SupplierId")
         cats = m.categories.select("CategoryId").withColumn("cat_ok", F.lit(True))
         sups = m.suppliers.withColumn("sup_ok", F.lit(True))
-        lp = (lines.join(prod, "ProductId", "inner").join(cats, "CategoryId", "left")
+        lp = (self.recent_sales.select("ProductId", "CategoryId", "SupplierId").join(cats, "CategoryId", "left")
               .join(sups, "SupplierId", "left"))
         # categories / suppliers count where they exist
         sold = self._counts(lp, {"ProductCount": F.col("ProductId"), "CategoryCount": F.when(F.col("cat_ok"), F.col("CategoryId")),
