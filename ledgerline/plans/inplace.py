@@ -27,10 +27,11 @@ def maintained(st: Stages) -> LastingTables:
     def build() -> LastingTables:
         tables = scratch_tables(st.m)
         change = tables.begin()
-        load_tables(st.m, change)
+        load_tables(st.m, change, st.shipped_orders)
         change.commit()
         change = tables.begin()
-        change.update("Orders", st._keep(st.order_date_fixes()), ["OrderId"], ["RequiredDate", "ShippedDate"], unique=True)
+        fixes = st._keep(st.order_date_fixes(orders=change.read("Orders")))
+        change.update("Orders", fixes, ["OrderId"], ["RequiredDate", "ShippedDate"], unique=True)
         gone = upserts.purged_entries(st, queue=change.read("OrderProcessingQueue"))
         change.delete("OrderProcessingQueue", st._keep(gone.select("QueueId", PROCESSED_MONTH)), ["QueueId"])
         change.commit()
@@ -75,10 +76,10 @@ class _BrokenOff(RuntimeError):
 def failed_run(m: RetailModel, params: RunParams) -> DataFrame:
     """The lasting tables and their rows after a run that fails in its last stage: those before it, and its logs."""
     tables = scratch_tables(m)
-    change = tables.begin()
-    load_tables(m, change)
+    change, st = tables.begin(), stages_for(m, params)
+    load_tables(m, change, st.shipped_orders)
     change.commit()
-    broken = copy.copy(stages_for(m, params))
+    broken = copy.copy(st)
 
     def fails() -> DataFrame:
         raise _BrokenOff("stage 14")

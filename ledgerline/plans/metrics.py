@@ -34,12 +34,15 @@ def avg_from_parts(total: Column, count: Column, scale: int = 4) -> Column:
 
 
 def order_totals(m: RetailModel) -> DataFrame:
-    """One row per order that has lines: net and gross sums and line count."""
-    od = m.order_details
+    """One row per order that has lines: net and gross sums and line count, and where the
+    model makes ShippedDate of it, the first ship date, from the same pass."""
+    od = m.shipped_lines if m.shipped_lines is not None else m.order_details
+    first_ship = [F.min("ShipDate").alias("first_ship")] if m.shipped_lines is not None else []
     return od.groupBy("OrderId").agg(
         sum_net(od).alias("net_sum"),
         sum_gross(od).alias("gross_sum"),
         F.count(F.lit(1)).alias("line_count"),
+        *first_ship,
     )
 
 

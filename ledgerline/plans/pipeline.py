@@ -146,6 +146,7 @@ def _stages(change: Change, st: Stages, params: RunParams, temp: str, debug: boo
 
     def first() -> dict:
         # 1 staging rows; @RowCount comes from an Observation filled while tpd1 is stored
+        _ = st.recent_lines  # the reports read all of them, so the staging takes its own from them
         tpd1 = st.tpd1
         observed = st.stage1_rows.get if st.run else {}
         return {"rows": int(observed["rows"]) if "rows" in observed else tpd1.count()}

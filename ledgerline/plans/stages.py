@@ -144,7 +144,10 @@ class Stages:
 
     def _of_the_date(self, name: str, build) -> DataFrame:
         """A fact that depends on the run date only: runs for single departments or employees share it."""
-        return self._shared(f"{name} {self.p.current_ts.isoformat()}", build)
+        return self._shared(self._dated(name), build)
+
+    def _dated(self, name: str) -> str:
+        return f"{name} {self.p.current_ts.isoformat()}"
 
     # ------------------------------------------------------------ shared facts
     @cached_property
@@ -157,8 +160,9 @@ class Stages:
 
     @cached_property
     def window_orders(self) -> DataFrame:
-        """Orders in [@PreviousMonth, @CurrentDate)."""
-        return self.recent_orders.filter(F.col("OrderDate") < self.cur)
+        """Orders in [@PreviousMonth, @CurrentDate): of all recent ones often a few, so they are stored by themselves."""
+        return self._of_the_date("window_orders", lambda: self._keep(
+            self.recent_orders.filter(F.col("OrderDate") < self.cur)))
 
     @cached_property
     def recent_lines(self) -> DataFrame:
@@ -169,16 +173,29 @@ class Stages:
         is about one month of lines, a small slice of the table.
         """
         def build():
-            o = self.recent_orders.select("OrderId", "CustomerId", "SalesPersonId", "OrderDate")
-            lines = self.m.since(self.m.order_details, self.p.previous_month).drop(ORDER_MONTH)
-            return self._keep(lines.join(o, "OrderId", "inner"))
+            return self._keep(self._lines_with(self.recent_orders))
         return self._of_the_date("recent_lines", build)
 
+    def _lines_with(self, orders: DataFrame) -> DataFrame:
+        """The lines of some recent orders, with the order's customer and salesperson."""
+        lines = self.m.since(self.m.order_details, self.p.previous_month).drop(ORDER_MONTH)
+        return lines.join(orders.select("OrderId", "CustomerId", "SalesPersonId", "OrderDate"), "OrderId", "inner")
+
+    def _recent_lines_where(self, key: str, keys: DataFrame) -> DataFrame:
+        """The recent lines whose ``key`` (OrderId or CustomerId) is among a few ``keys``.
+
+        From all recent lines where those are stored, else by a look for the lines
+        of these orders, which are stored first: a join learns how few they are.
+        """
+        if self.facts is None or self._dated("recent_lines") in self.facts:
+            return self.recent_lines.join(keys, key, "left_semi")
+        return self._lines_with(self._keep(self.recent_orders.join(keys, key, "left_semi")))
+
     @cached_property
     def window_lines(self) -> DataFrame:
         """The recent lines of the run window's orders, which the staging rows are of: a small part of all recent ones."""
         def build():
-            return self._keep(self.recent_lines.join(self.window_orders.select("OrderId"), "OrderId", "left_semi"))
+            return self._keep(self._recent_lines_where("OrderId", self.window_orders.select("OrderId")))
         return self._of_the_date("window_lines", build)
 
     @cached_property
@@ -205,8 +222,18 @@ class Stages:
         """Per-order gross/net sums over all lines: read by the tier and value rules, stored once."""
         if self.m.history is not None:
             return self.m.history.order_totals()
+        return self._order_sums.select("OrderId", "net_sum", "gross_sum", "line_count")
+
+    @cached_property
+    def _order_sums(self) -> DataFrame:
         return self._shared("order_totals", lambda: self._keep(metrics.order_totals(self.m)))
 
+    @cached_property
+    def shipped_orders(self) -> DataFrame:
+        """Orders with ShippedDate; where the model makes that of the lines, it comes from the stored sums per order."""
+        m = self.m
+        return m.orders_with_shipping if m.shipped_lines is None else m.with_shipping(self._order_sums)
+
     @cached_property
     def regional_totals(self) -> DataFrame:
         """TotalSales per region over all orders, from the kept months or the stored per-order totals."""
@@ -272,7 +299,8 @@ class Stages:
         if self.m.history is not None:
             gross = self.m.history.customers().select("CustomerId", F.col("gross_sum").alias("g"), F.col("line_count").alias("n"))
         else:
-            o = self.m.orders.select("OrderId", "CustomerId").join(cust, "CustomerId", "left_semi")
+            # stored, so that the join learns how few they are and needn't move all totals
+            o = self._keep(self.m.orders.select("OrderId", "CustomerId").join(cust, "CustomerId", "left_semi"))
             totals = self.order_totals.select("OrderId", "gross_sum", "line_count")
             gross = (o.join(totals, "OrderId", "inner").groupBy("CustomerId")
                      .agg(F.sum("gross_sum").alias("g"), F.sum("line_count").alias("n")))
@@ -385,7 +413,7 @@ class Stages:
 
     def repriced_amount(self, tpd: DataFrame) -> DataFrame:
         """Q12: Amount = net of the row's (order, product) lines x discount factor, as DECIMAL(18,2)."""
-        pairs = tpd.select("OrderId", "ProductId").distinct()
+        pairs = tpd.select("OrderId", "ProductId")
         # the rows to re-price belong to orders of the window
         pair_net = (self.window_lines.join(pairs, ["OrderId", "ProductId"], "left_semi")
                     .groupBy("OrderId", "ProductId").agg(sum_net(self.window_lines).alias("pair_net")))
@@ -411,6 +439,7 @@ class Stages:
                        .agg(F.avg(F.col("cust_orders").cast("double")).alias("region_mean")))
         totals = self.order_totals.select("OrderId", "gross_sum")
         p75 = percentile_cont(totals, "gross_sum", 0.75)
+        totals = totals.join(tpd.select("OrderId"), "OrderId", "left_semi")  # a staged table is small beside all totals
         j = (tpd.join(per_cust, "CustomerId", "left")
              .join(c.withColumnRenamed("RegionId", "cust_region"), "CustomerId", "left")
              .join(region_mean, F.col("cust_region") == F.col("RegionId"), "left")
@@ -421,11 +450,15 @@ class Stages:
             (F.col("gross_sum") > p75_col, L.ABOVE_AVERAGE),
             default=L.STANDARD))
 
+    def _recent_ids(self, tpd: DataFrame) -> DataFrame:
+        """The recent orders' OrderIds that staging rows have, stored: of all recent orders they are a few."""
+        return self._keep(self.recent_orders.select("OrderId").join(tpd.select("OrderId"), "OrderId", "left_semi"))
+
     @cached_property
     def tpd2(self) -> DataFrame:
         """#TempProcessingData after stage 2 (rows with IsProcessed = 0 and a recent order)."""
         t = self.tpd1
-        recent = self.recent_orders.select("OrderId")
+        recent = self._recent_ids(t)
         target = t.join(recent, "OrderId", "left_semi").filter(F.col("IsProcessed") == 0)
         rest = t.join(recent, "OrderId", "left_anti").unionByName(t.filter(F.col("IsProcessed") != 0)
                                                                   .join(recent, "OrderId", "left_semi"))
@@ -576,12 +609,12 @@ class Stages:
     def _with_validations(self, tpd: DataFrame) -> DataFrame:
         """Adds both validation outcomes as columns of the unprocessed staging rows."""
         m = self.m
-        order_max = (self.window_lines.join(tpd.select("OrderId").distinct(), "OrderId", "left_semi")
+        order_max = (self.window_lines.join(tpd.select("OrderId"), "OrderId", "left_semi")
                      .groupBy("OrderId").agg(F.max(net_amount()).alias("max_line")))
-        spend = (self.recent_lines.join(tpd.select("CustomerId").distinct(), "CustomerId", "left_semi")
-                 .groupBy("CustomerId").agg(sum_net(self.recent_lines).alias("recent_spend")))
+        spent = self._recent_lines_where("CustomerId", tpd.select("CustomerId"))
+        spend = spent.groupBy("CustomerId").agg(sum_net(spent).alias("recent_spend"))
         cust = m.customers.select("CustomerId", "IsActive", "CreditLimit")
-        recent = self.recent_orders.select("OrderId").withColumn("recent_order", F.lit(True))
+        recent = self._recent_ids(tpd).withColumn("recent_order", F.lit(True))
         j = (tpd.join(order_max, "OrderId", "left").join(spend, "CustomerId", "left")
              .join(cust, "CustomerId", "left").join(recent, "OrderId", "left"))
         return j.select(*STAGED, *[c for r in self.rules() for c in (
@@ -730,13 +763,12 @@ class Stages:
     @cached_property
     def complex_transformation(self) -> DataFrame:
         """ComplexDataTransformation: SimilarOrderCount and RegionalCategoryAverage per processed row."""
-        m = self.m
+        m, lines = self.m, self.recent_sales  # all recent lines are read, so the staging takes its own from them
         t = self.tpd3.filter(F.col("IsProcessed") == 1)
         known = m.categories.select("CategoryId")
         prod_cat = m.products.select("ProductId", "CategoryId").join(known, "CategoryId", "left_semi")
         prod_any = m.products.select("ProductId", "CategoryId")
         # a customer's orders in a category, with their lines' sum: read by both measures, stored once per run
-        lines = self.recent_sales
         per = self._keep(lines.groupBy("CustomerId", "CategoryId", "OrderId")
                          .agg(sum_net(lines).alias("s"), F.count(F.lit(1)).alias("n"))
                          .groupBy("CustomerId", "CategoryId")
@@ -918,7 +950,7 @@ class Stages:
 
     # ------------------------------------------------------------ Q34 stage 13
     def order_line_flags(self, orders: DataFrame) -> DataFrame:
-        """Per given (recent) order, from one pass over its lines: has_valid_line (a product whose
+        """Per given order of the run window, from one pass over its lines: has_valid_line (a product whose
         category exists), has_discontinued (a discontinued product)."""
         m = self.m
         cats = m.categories.select("CategoryId").withColumn("cat_ok", F.lit(1))
@@ -926,13 +958,15 @@ class Stages:
                 .join(cats, "CategoryId", "left")
                 .select("ProductId", F.coalesce(F.col("cat_ok"), F.lit(0)).alias("valid"),
                         F.when(F.col("Discontinued") == 1, 1).otherwise(0).alias("disc")))
-        lines = self.recent_lines.select("OrderId", "ProductId").join(orders.select("OrderId"), "OrderId", "left_semi")
+        lines = self.window_lines.select("OrderId", "ProductId").join(orders.select("OrderId"), "OrderId", "left_semi")
         return (lines.join(prod, "ProductId", "inner").groupBy("OrderId")
                 .agg((F.max("valid") == 1).alias("has_valid_line"), (F.max("disc") == 1).alias("has_discontinued")))
 
-    def order_date_fixes(self, tpd: DataFrame | None = None) -> DataFrame:
+    def order_date_fixes(self, tpd: DataFrame | None = None, orders: DataFrame | None = None) -> DataFrame:
         """Stage 13's updates: (OrderId, OrderMonth, RequiredDate, ShippedDate) of the orders that it changes.
 
+        ``orders``: the orders with ShippedDate as they are stored (kept by month: only the run's months are read).
+
         Only staged orders of the run's months are looked at: those that an
         anomaly, an existing customer (with region) and salesperson (with
         department) and a line with a category qualify.
@@ -947,8 +981,9 @@ class Stages:
         sellers = (m.employees.select("EmployeeId", "DepartmentId")
                    .join(m.departments.select("DepartmentId"), "DepartmentId", "left_semi")
                    .select(F.col("EmployeeId").alias("SalesPersonId")))
-        staged = t.select("OrderId").distinct()
-        odd = self._keep(m.since(m.orders_with_shipping, self.p.previous_month)
+        staged = t.select("OrderId")
+        orders = orders if orders is not None else self.shipped_orders
+        odd = self._keep(m.since(orders, self.p.previous_month)
                          .filter((od_ >= self.prev) & anomaly).join(staged, "OrderId", "left_semi")
                          .join(customers, "CustomerId", "left_semi").join(sellers, "SalesPersonId", "left_semi")
                          .select("OrderId", "OrderDate", "RequiredDate", "ShippedDate"))
@@ -967,7 +1002,7 @@ class Stages:
 
     def repair_order_dates(self, tpd: DataFrame | None = None) -> DataFrame:
         """Q34: Orders after the date repair: all orders, of which ``order_date_fixes`` changes a few."""
-        return update(self.m.orders_with_shipping, self.order_date_fixes(tpd), ["OrderId"], ["RequiredDate", "ShippedDate"],
+        return update(self.shipped_orders, self.order_date_fixes(tpd), ["OrderId"], ["RequiredDate", "ShippedDate"],
                       unique=True).select("OrderId", "OrderDate", "SalesPersonId", "CustomerId", "ShipVia",
                                           "RequiredDate", "ShippedDate")
 

@@ -84,7 +84,7 @@ def purged_entries(st: Stages, queue: DataFrame | None = None, tpd: DataFrame |
     m = st.m
     queue = queue if queue is not None else m.order_processing_queue
     tpd = tpd if tpd is not None else st.tpd3
-    processed = tpd.filter(F.col("IsProcessed") == 1).select("OrderId").distinct()
+    processed = tpd.filter(F.col("IsProcessed") == 1).select("OrderId")
     candidates = st._keep(queue.filter((F.col("Status") == L.PROCESSED) & (F.col("ProcessedDate") < add_days(st.cur, -30)))
                           .join(processed, "OrderId", "left_semi"))
     cust = (m.customers.select("CustomerId", "RegionId")
@@ -105,7 +105,7 @@ def purged_entries(st: Stages, queue: DataFrame | None = None, tpd: DataFrame |
             .select("ProductId",
                     F.when((F.col("cat_ok") == 1) & (F.col("sup_ok") == 1), 1).otherwise(0).alias("valid"),
                     F.when(F.col("Discontinued") == 1, 1).otherwise(0).alias("disc")))
-    clean = (st.recent_lines.select("OrderId", "ProductId").join(orders, "OrderId", "left_semi")
+    clean = (st.window_lines.select("OrderId", "ProductId").join(orders, "OrderId", "left_semi")
              .join(prod, "ProductId", "inner").groupBy("OrderId")
              .agg(F.max("valid").alias("v"), F.max("disc").alias("d"))
              .filter((F.col("v") == 1) & (F.col("d") == 0)).select("OrderId"))

@@ -113,6 +113,10 @@ class RetailModel:
 
     @cached_property
     def orders(self) -> DataFrame:
+        return self._orders.drop("o_orderstatus")
+
+    @cached_property
+    def _orders(self) -> DataFrame:
         o = self.raw("orders")
         return o.select(
             F.col("o_orderkey").alias("OrderId"),
@@ -121,6 +125,7 @@ class RetailModel:
             F.col("o_custkey").alias("CustomerId"),
             F.substring("o_orderpriority", 1, 1).cast("int").alias("ShipVia"),
             _days_after(F.col("o_orderdate"), F.col("o_orderkey") % 130 - 10).alias("RequiredDate"),
+            "o_orderstatus",
         )
 
     @cached_property
@@ -130,18 +135,30 @@ class RetailModel:
         Only the order-repair stage reads ShippedDate; the per-order minimum
         is a partial (map-side) aggregate over lineitem, shuffled by order key.
         """
-        first_ship = (self.raw("lineitem").groupBy("l_orderkey")
-                      .agg(F.min("l_shipdate").alias("first_ship")))
-        status = self.raw("orders").select(F.col("o_orderkey").alias("sk"), "o_orderstatus")
-        o = self.orders
-        return (o.join(status, o.OrderId == status.sk, "inner")
-                .join(first_ship, o.OrderId == first_ship.l_orderkey, "left")
-                .select(*o.columns,
-                        F.when(F.col("o_orderstatus") == "O", F.lit(None))
+        return self.with_shipping(self.raw("lineitem").groupBy(F.col("l_orderkey").alias("OrderId"))
+                                  .agg(F.min("l_shipdate").alias("first_ship")))
+
+    def with_shipping(self, first_ship: DataFrame) -> DataFrame:
+        """Orders plus ShippedDate, from (OrderId, first_ship); rows of one key stand once for each status of the key."""
+        statuses = F.collect_list(F.struct("o_orderstatus")).over(Window.partitionBy("OrderId"))
+        o = (self._orders.filter(F.col("OrderId").isNotNull())
+             .withColumn("statuses", statuses).withColumn("status", F.explode("statuses")))
+        return (o.join(first_ship.select("OrderId", "first_ship"), "OrderId", "left")
+                .select(*self.orders.columns,
+                        F.when(F.col("status.o_orderstatus") == "O", F.lit(None))
                         .otherwise(F.col("first_ship")).alias("ShippedDate")))
 
     @cached_property
     def order_details(self) -> DataFrame:
+        return self._lines.drop("ShipDate")
+
+    @cached_property
+    def shipped_lines(self) -> DataFrame | None:
+        """Order lines with the ShipDate that Orders.ShippedDate is made from; None where that is a column of Orders."""
+        return self._lines
+
+    @cached_property
+    def _lines(self) -> DataFrame:
         li = self.raw("lineitem")
         # round(x) of a double by floor and remainder, which are exact: ROUND goes through text and BigDecimal
         price = F.col("l_extendedprice") * 100
@@ -158,6 +175,7 @@ class RetailModel:
             F.col("l_quantity").cast("int").alias("Quantity"),
             (unit_cents.cast("decimal(12,0)") * F.lit(Decimal("0.01"))).cast("decimal(10,2)").alias("UnitPrice"),
             F.col("l_discount").cast("decimal(4,2)").alias("Discount"),
+            F.col("l_shipdate").alias("ShipDate"),
         )
 
     @cached_property
@@ -348,6 +366,8 @@ class CatalogModel(RetailModel):
         "discounts": "Discounts", "order_processing_queue": "OrderProcessingQueue",
     }
 
+    shipped_lines = None
+
     def __init__(self, spark: SparkSession, database: str = "default", names: Mapping[str, str] | None = None):
         """``names`` says where single tables are instead: "Customers" -> "user01.Customers"."""
         super().__init__(spark, "")
@@ -391,9 +411,13 @@ BUCKET_KEYS = {
 }
 
 
-def by_month(model: RetailModel) -> dict[str, DataFrame]:
-    """Orders, OrderDetails and the queue with their month; a line carries its order's (NULL if it has none)."""
-    orders = model.orders_with_shipping.withColumn(ORDER_MONTH, month_number(F.col("OrderDate")))
+def by_month(model: RetailModel, orders: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Orders, OrderDetails and the queue with their month; a line carries its order's (NULL if it has none).
+
+    ``orders``: the orders with ShippedDate, where those have been made from stored sums.
+    """
+    orders = orders if orders is not None else model.orders_with_shipping
+    orders = orders.withColumn(ORDER_MONTH, month_number(F.col("OrderDate")))
     queue = model.order_processing_queue.withColumn(PROCESSED_MONTH, month_number(F.col("ProcessedDate")))
     months = model.orders.select("OrderId", month_number(F.col("OrderDate")).alias(ORDER_MONTH))
     return {"orders": orders, "order_processing_queue": queue,
@@ -429,9 +453,9 @@ def publish_tables(model: RetailModel, database: str, buckets: int, mode: str =
         writer.saveAsTable(f"{database}.{table}")
 
 
-def load_tables(model: RetailModel, change) -> None:
+def load_tables(model: RetailModel, change, orders: DataFrame | None = None) -> None:
     """Put orders, lines and queue into lasting tables (``sources.lasting``), kept by month."""
-    for attr, df in by_month(model).items():
+    for attr, df in by_month(model, orders).items():
         change.create(CatalogModel.TABLES[attr], df, [MONTH_COLUMNS[attr]])
 
 
@@ -450,6 +474,8 @@ class LastingModel(RetailModel):
             if attr == "orders":
                 self.__dict__["orders_with_shipping"] = df
                 df = df.drop("ShippedDate")
+            if attr != "order_processing_queue":
+                self.__dict__["shipped_lines"] = None
             self.__dict__[attr] = df
 
     def identity(self) -> tuple:
@@ -478,6 +504,7 @@ class FrameModel(RetailModel):
             self.__dict__[attr] = df
         if "orders_with_shipping" not in frames and "orders" in frames:
             self.__dict__["orders_with_shipping"] = frames["orders"]
+        self.__dict__.setdefault("shipped_lines", None)
 
     def folders(self) -> list[str]:
         return []

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.exprs import net_amount, sum_gross, sum_net
 from ledgerline.params import DEFAULT_PARAMS
-from ledgerline.plans import history, metrics
+from ledgerline.plans import history, inplace, metrics
 from ledgerline.plans.stages import Run, Stages
 from ledgerline.sources.lasting import LastingTables
 from ledgerline.sources.testdata import RetailModel
@@ -112,3 +112,52 @@ def test_reports_by_category_share_one_join_with_the_products(spark, folder):
     assert st.recent_sales.count() == st.recent_lines.count() > st.window_lines.count() > 0
     assert {r.OrderId for r in st.window_lines.collect()} == {r.OrderId for r in st.window_orders.collect()}
     run.end()
+
+
+def repeated(spark, folder, run=None) -> RetailModel:
+    """The tables with orders whose key stands several times (other dates, customers and states) or is NULL."""
+    class Repeated(RetailModel):
+        def raw(self, name):
+            df = super().raw(name)
+            if name != "orders":
+                return df
+            key, day = F.col("o_orderkey"), F.col("o_orderdate")
+            again = df.filter(key % 3 == 0).withColumns({
+                "o_orderdate": F.timestamp_add("DAY", F.lit(20), day), "o_custkey": (F.col("o_custkey") + 3) % 8,
+                "o_orderstatus": F.when(key % 2 == 0, "O").when(key % 9 == 0, None).otherwise("F")})
+            return df.unionByName(again).unionByName(df.limit(1).withColumn("o_orderkey", F.lit(None).cast("long")))
+    return Repeated(spark, folder, run)
+
+
+def test_ship_dates_come_from_the_sums_of_the_lines(spark, folder):
+    m = repeated(spark, folder)
+    o, first = m.orders, m.raw("lineitem").groupBy("l_orderkey").agg(F.min("l_shipdate").alias("first"))
+    status = m.raw("orders").select(F.col("o_orderkey").alias("sk"), "o_orderstatus")
+    want = (o.join(status, o.OrderId == status.sk).join(first, o.OrderId == first.l_orderkey, "left").select(
+        *o.columns, F.when(F.col("o_orderstatus") == "O", F.lit(None)).otherwise(F.col("first")).alias("ShippedDate")))
+    rows = sorted(map(repr, want.collect()))
+    st = Run().stages(m, DEFAULT_PARAMS)
+    assert len(rows) > 40 and sorted(map(repr, m.orders_with_shipping.collect())) == rows
+    assert sorted(map(repr, st.shipped_orders.collect())) == rows
+    # from the sums that the run has stored
+    assert "lineitem.parquet" not in plan(st.shipped_orders)
+    assert st.order_totals.columns == ["OrderId", "net_sum", "gross_sum", "line_count"]
+
+
+@pytest.mark.parametrize("model", [RetailModel, repeated])
+def test_the_window_needs_no_recent_lines(spark, folder, model):
+    run, other = Run(), Run()
+    st, after = run.stages(model(spark, folder, run), DEFAULT_PARAMS), other.stages(model(spark, folder, other), DEFAULT_PARAMS)
+    repaired = inplace.orders_repaired_in_place(st)
+    assert repaired.count() > 0 and not [f for f in st.facts if f.startswith("recent_lines")]
+    # the same where the run has all recent lines
+    assert after.recent_lines.count() > after.window_lines.count() > 0
+    assert sorted(map(repr, st.window_lines.collect())) == sorted(map(repr, after.window_lines.select(*st.window_lines.columns).collect()))
+    assert sorted(map(repr, st.validated.collect())) == sorted(map(repr, after.validated.collect()))
+    assert sorted(map(repr, inplace.orders_repaired_in_place(after).collect())) == sorted(map(repr, repaired.collect()))
+
+
+def test_fixes_are_looked_for_in_the_stored_months(spark, folder):
+    st = Run().stages(RetailModel(spark, folder), DEFAULT_PARAMS)
+    stored = st._keep(st.shipped_orders)
+    assert sorted(st.order_date_fixes(orders=stored).collect()) == sorted(st.order_date_fixes().collect())
