@@ -11,6 +11,7 @@ Texts with other white space at a chunk's edge are encoded whole.
 from __future__ import annotations
 
 import ctypes
+import os
 import re
 import sys
 import types
@@ -20,8 +21,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Chunks that a table holds at most: 70 MB with their ids, if they have three each.
+from ledgerline.llm.common import bounded
+
+#: Chunks that a table holds at most: 60 MB with their ids, if they have three each.
 TABLE_CHUNKS = 900_000
+#: Bytes of texts whose chunks are looked up at once, if they aren't one text: arrays made of them take many times as much.
+AT_ONCE = 512 << 10
 #: Texts that one call of the tokenizer encodes, and the longest chunk that shares a call.
 JOINED, LONGEST = 500, 200
 #: Letters whose lower case and composed form are single letters: those of ASCII and U+00C0 to U+00FF; and a word of
@@ -67,7 +72,8 @@ class ChunkTable:
 
     def clear(self) -> None:
         self.n, self.used = 0, 0
-        self.slots = np.zeros((1 << 12, 3), _U8)  # the key's two words, and the chunk's number and one (0: free)
+        self.slots = np.zeros(1 << 12, np.int32)  # a chunk's number and one (0: free)
+        self.keys = np.zeros((1 << 10, 2), _U8)  # by number: a chunk's bytes and length
         self.first, self.size = (np.zeros(1 << 10, np.int32) for _ in range(2))  # size -1: can't stand alone
         self.ids = np.zeros(1 << 12, "<u4")
 
@@ -76,31 +82,42 @@ class ChunkTable:
         h ^= high * _U8(0xC2B2AE3D27D4EB4F)
         h ^= h >> _U8(32)
         h *= _U8(0x165667B19E3779F9)
-        return (h >> _U8(64 - (len(self.slots).bit_length() - 1))).astype(np.int64)
+        h >>= _U8(64 - (len(self.slots).bit_length() - 1))
+        return h.view(np.int64)
 
     def find(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
         """The chunks' numbers; -1 for those that aren't there."""
-        place, out = self._places(low, high), np.full(len(low), -1, np.int32)
-        todo = np.arange(len(low))
+        place = self._places(low, high)
+        out = self.slots[place]
+        out -= 1
+        # free places are the answer; another chunk's: try the next one
+        todo = np.flatnonzero(self._others(out, low, high))
+        place = place[todo]
         while len(todo):
-            rows = self.slots[place]
-            same = (rows[:, 0] == low) & (rows[:, 1] == high) & (rows[:, 2] != 0)
-            out[todo[same]] = rows[same, 2].astype(np.int64) - 1
-            on = np.flatnonzero(~same & (rows[:, 2] != 0))  # another chunk's place: try the next one
-            todo, low, high = todo[on], low[on], high[on]
-            place = (place[on] + 1) & (len(self.slots) - 1)
+            place += 1
+            place &= len(self.slots) - 1
+            found = self.slots[place]
+            found -= 1
+            out[todo] = found
+            on = np.flatnonzero(self._others(found, low[todo], high[todo]))
+            todo, place = todo[on], place[on]
         return out
 
-    def _insert(self, low: np.ndarray, high: np.ndarray, numbers: np.ndarray) -> None:
-        place = self._places(low, high)
+    def _others(self, found: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Which of the chunks found are other ones than those looked for."""
+        keys = self.keys[found]  # that of any chunk for none
+        return ((keys[:, 0] != low) | (keys[:, 1] != high)) & (found >= 0)
+
+    def _insert(self, numbers: np.ndarray) -> None:
+        place = self._places(self.keys[numbers, 0], self.keys[numbers, 1])
         while len(place):
             spots, at = np.unique(place, return_index=True)  # one chunk for each place
-            free = self.slots[spots, 2] == 0
+            free = self.slots[spots] == 0
             spots, at = spots[free], at[free]
-            self.slots[spots] = np.stack([low[at], high[at], numbers[at].astype(_U8) + _U8(1)], 1)
+            self.slots[spots] = numbers[at] + 1
             left = np.ones(len(place), bool)
             left[at] = False
-            low, high, numbers = low[left], high[left], numbers[left]
+            numbers = numbers[left]
             place = (place[left] + 1) & (len(self.slots) - 1)
 
     def number(self, found: list[bytes | None]) -> np.ndarray:
@@ -108,7 +125,7 @@ class ChunkTable:
         sizes = np.array([-1 if x is None else len(x) // 4 for x in found], np.int32)
         data = np.frombuffer(b"".join(x or b"" for x in found), "<u4")
         numbers = np.arange(self.n, self.n + len(found), dtype=np.int32)
-        self.first, self.size = (_room(x, self.n + len(found)) for x in (self.first, self.size))
+        self.first, self.size, self.keys = (_room(x, self.n + len(found)) for x in (self.first, self.size, self.keys))
         self.ids = _room(self.ids, self.used + len(data))
         kept = np.maximum(sizes, 0)
         self.first[self.n:self.n + len(found)] = self.used + np.cumsum(kept) - kept
@@ -120,18 +137,19 @@ class ChunkTable:
     def add(self, low: np.ndarray, high: np.ndarray, found: list[bytes | None]) -> np.ndarray:
         """Put in distinct chunks that aren't there; their numbers."""
         numbers = self.number(found)
+        self.keys[numbers, 0], self.keys[numbers, 1] = low, high
         if 2 * self.n > len(self.slots):
-            held = self.slots[self.slots[:, 2] != 0]
-            self.slots = np.zeros((1 << (4 * self.n - 1).bit_length(), 3), _U8)
-            self._insert(held[:, 0], held[:, 1], held[:, 2].astype(np.int64) - 1)
-        self._insert(low, high, numbers)
+            held = self.slots[self.slots != 0] - 1
+            self.slots = np.zeros(1 << (4 * self.n - 1).bit_length(), np.int32)
+            self._insert(held)
+        self._insert(numbers)
         return numbers
 
 
 def _room(x: np.ndarray, n: int) -> np.ndarray:
     if n <= len(x):
         return x
-    out = np.zeros(max(n, 3 * len(x) // 2), x.dtype)
+    out = np.zeros((max(n, 3 * len(x) // 2), *x.shape[1:]), x.dtype)
     out[:len(x)] = x
     return out
 
@@ -199,10 +217,9 @@ class Encoder:
                     del self.long[x]
         return out
 
-    def flat(self, texts: list[str] | pa.Array) -> tuple[np.ndarray, np.ndarray, list[int]]:
+    def flat(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[int]]:
         """(ids of all texts in a row, how many each has, the texts that aren't spelt and so have none); null is empty."""
-        given = pa.array(texts, pa.string()) if isinstance(texts, list) else texts
-        given = pc.fill_null(given.cast(pa.string()), "")
+        given = pc.fill_null(texts.cast(pa.string()), "")
         rows = pc.ascii_lower(given) if self.folds else given
         rows = pc.replace_substring(rows, "\n", " \n")
         if not self.lead:  # the first chunk follows a line feed, too, whose id is dropped
@@ -253,13 +270,14 @@ class Encoder:
 
     def encode(self, texts: list[str] | pa.Array) -> list[bytes | None]:
         """The ids of each text; None where an exact encoder's tokens don't spell it, space in front included."""
-        if not len(texts):
-            return []
-        ids, counts, strange = self.flat(texts)
-        data, ends = ids.tobytes(), (4 * np.cumsum(counts)).tolist()
-        out: list[bytes | None] = [data[a:b] for a, b in zip([0, *ends], ends)]
-        for i in strange:
-            out[i] = None
+        given = pa.array(texts, pa.string()) if isinstance(texts, list) else texts
+        out: list[bytes | None] = []
+        for batch in bounded([pa.RecordBatch.from_arrays([given], names=["text"])], 0, AT_ONCE):
+            ids, counts, strange = self.flat(batch.column(0))
+            data, ends, at = ids.tobytes(), (4 * np.cumsum(counts)).tolist(), len(out)
+            out += [data[a:b] for a, b in zip([0, *ends], ends)]
+            for i in strange:
+                out[at + i] = None
         return out
 
     @staticmethod
@@ -280,6 +298,8 @@ class _Tokenizers(Encoder):
         from tokenizers import Tokenizer
 
         super().__init__()
+        # Spark has given the cores to tasks; a worker's threads would each keep memory of their own
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(str(path))
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)

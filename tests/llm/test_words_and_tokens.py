@@ -3,12 +3,14 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import uuid
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -105,6 +107,38 @@ def test_chunks_give_the_ids_of_whole_texts(make, texts):
                 assert ids == (want if spelt else None), text
 
 
+def test_a_full_chunk_table_is_small():
+    table, ids, at = token_chunks.ChunkTable(token_chunks.TABLE_CHUNKS), np.arange(3, dtype="<u4").tobytes(), 0
+    tracemalloc.start()
+    try:
+        while table.n <= table.most:
+            low = np.arange(at, at := at + 2000, dtype=np.uint64) * np.uint64(977)
+            table.add(low, low >> np.uint64(3), [ids] * len(low))
+        held, most = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert held < 70e6 and most < 100e6  # 124 and 169 MB with the keys in the slots
+    low = np.arange(0, at + 5000, dtype=np.uint64) * np.uint64(977)
+    found = table.find(low, low >> np.uint64(3))
+    assert (found[:at] == np.arange(at)).all() and (found[at:] == -1).all()
+    assert (table.find(low[:at], (low[:at] >> np.uint64(3)) + np.uint64(1)) == -1).all()  # by all their bytes
+
+
+@pytest.mark.parametrize("kind, file", [(token_chunks.WordEnds, "word_bpe_49k.json"), (token_chunks.ByteLevel, "byte_bpe_50k.json")])
+def test_many_texts_take_little_memory_at_once(kind, file):
+    encoder = kind(public_tokenizers.path(file))
+    texts = pa.array([f"{'some words of a text ' * 100}{i}" for i in range(3000)], pa.string())  # 6 MB
+    sizes = list(map(len, encoder.encode(texts)))
+    tracemalloc.start()
+    try:
+        made = encoder.encode(texts)
+        held, most = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert most - held < 25e6  # over 100 MB with the chunks of all texts at once
+    assert list(map(len, made)) == sizes and made[7] == encoder.whole(texts[7].as_py())
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 6), min_size=1, max_size=60), min_size=1, max_size=8), st.integers(2, 5), st.booleans())
 def test_grammar_round_trip(docs, min_count, large):
